@@ -39,7 +39,7 @@ bank AS (
 
 
 def with_ctes(*ctes: str, body: str) -> str:
-    return "WITH " + ",".join(ctes) + "\n" + body
+    return "WITH RECURSIVE " + ",".join(ctes) + "\n" + body
 
 
 ORACLES: dict[str, str] = {}

@@ -1,3 +1,276 @@
-"""Registered queries for vectors, features, splits and models."""
+"""Registered queries for vectors, features, splits and models.
+
+Model queries follow one recipe: song lines -> hash split 80/20 on
+``song_id`` -> feature pipeline fitted on the training rows (the label
+minimum is learned there) -> model. Order-dependent floating results are
+rounded to ``R`` decimals.
+"""
 
 from __future__ import annotations
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import fixtures as fx
+from ..functions import vectors as V
+from ..functions.metrics import error_aggs
+from ..operators import features as fe
+from ..operators import split as sp
+from ..operators.gd import GradientDescentRegression
+from ..operators.linreg import ElasticNet
+from ..operators.tuning import cross_validate, param_grid
+from .queries import R, query
+
+KEY = ["song_id"]
+FEATURES_3 = [1, 2, 3]
+# Fixed values of the modelling workloads.
+ALPHA = 0.1                 # elastic-net mixing
+REG = 0.9                   # chosen regParam
+MAX_ITER = 50               # chosen maxIter
+GRID_MAX_ITER = [20, 30, 40, 50, 60, 70, 80]
+GRID_REG = [0.4, 0.6, 0.8, 0.9, 1.0, 1.2, 1.4]
+FOLDS = 3
+GD_ITERS = 100
+GD_STEP = 1.0
+GD_PROBE_W = [1.0, 1.0, 1.0]  # weights at which gd_gradient is evaluated
+
+
+def _round(c, name):
+    return F.round(c, R).alias(name)
+
+
+def _featurized(spark: SparkSession, sf: str, indices=FEATURES_3) -> DataFrame:
+    lines = fx.song_lines(spark, sf)
+    return Pipeline(stages=fe.song_stages(indices)).fit(lines).transform(lines)
+
+
+def _train_test(spark: SparkSession, sf: str, indices=FEATURES_3, poly: bool = False):
+    lines = fx.song_lines(spark, sf)
+    train_l, test_l = sp.hash_split(lines, KEY, [0.8, 0.2])
+    stages = fe.song_stages(indices)
+    if poly:
+        stages.append(fe.PolyExpansion(inputCol="features", outputCol="polyfeatures",
+                                       degree=2, numFeatures=len(indices)))
+    pm: PipelineModel = Pipeline(stages=stages).fit(train_l)
+    return pm.transform(train_l), pm.transform(test_l)
+
+
+# --- feature stages -----------------------------------------------------------
+
+@query("tokenize")
+def q_tokenize(spark, sf):
+    t = fe.Tokenizer(inputCol="value", outputCol="tokens", pattern=",").transform(
+        fx.song_lines(spark, sf))
+    return t.select("song_id", F.size("tokens").alias("n_tokens"),
+                    F.get("tokens", 0).cast("double").alias("label"))
+
+
+@query("tokens_to_features")
+def q_tokens_to_features(spark, sf):
+    lines = fx.song_lines(spark, sf)
+    pm = PipelineModel(stages=[fe.Tokenizer(inputCol="value", outputCol="tokens", pattern=","),
+                               fe.ArrayToVector(inputCol="tokens", outputCol="tokens_vector")])
+    out = pm.transform(lines).select("song_id", "tokens_vector")
+    return fe.unpack(out, "tokens_vector", 13, "v", start=0)
+
+
+@query("label_slice")
+def q_label_slice(spark, sf):
+    return _featurized(spark, sf).select("song_id", "label")
+
+
+@query("label_shift")
+def q_label_shift(spark, sf):
+    return _featurized(spark, sf).select("song_id", "label", "label_shifted")
+
+
+@query("feature_frame")
+def q_feature_frame(spark, sf):
+    out = _featurized(spark, sf).drop("value", "tokens", "tokens_vector", "year")
+    return fe.unpack(out, "features", 3, "x")
+
+
+@query("poly_features")
+def q_poly_features(spark, sf):
+    out = fe.PolyExpansion(inputCol="features", outputCol="poly", degree=2,
+                           numFeatures=3).transform(_featurized(spark, sf))
+    # element products are single IEEE operations: exact, no rounding needed
+    return out.select("song_id", *[F.get("poly", i).alias(f"p{i + 1}") for i in range(9)])
+
+
+@query("min_label")
+def q_min_label(spark, sf):
+    return _featurized(spark, sf).agg(F.min("label").alias("min_label"))
+
+
+@query("top_row")
+def q_top_row(spark, sf):
+    top = _featurized(spark, sf).orderBy("label", "tokens_vector").limit(1)
+    return fe.unpack(top.select("label", "tokens_vector"), "tokens_vector", 13, "v", start=0)
+
+
+# --- vector expressions ---------------------------------------------------------
+
+def _pairs(spark, sf):
+    df = _featurized(spark, sf)
+    return df.select("song_id", "label_shifted", "features",
+                     V.slice_indices("tokens_vector", [4, 5, 6]).alias("other"))
+
+
+@query("vector_dot")
+def q_vector_dot(spark, sf):
+    return _pairs(spark, sf).select("song_id", V.dot("features", "other").alias("dot"))
+
+
+@query("vector_scale")
+def q_vector_scale(spark, sf):
+    out = _pairs(spark, sf).select("song_id", V.scale("features", 2.5).alias("v"))
+    return out.select("song_id", *[F.get("v", i).alias(f"s{i + 1}") for i in range(3)])
+
+
+@query("vector_add")
+def q_vector_add(spark, sf):
+    out = _pairs(spark, sf).select("song_id", V.add("features", "other").alias("v"))
+    return out.select("song_id", *[F.get("v", i).alias(f"a{i + 1}") for i in range(3)])
+
+
+@query("vector_fill")
+def q_vector_fill(spark, sf):
+    out = _featurized(spark, sf).select(
+        "song_id", V.fill(3, 1.0).alias("ones"), "label_shifted")
+    out = out.select("song_id", V.scale("ones", F.col("label_shifted")).alias("z"))
+    return fe.unpack(out, "z", 3, "z")
+
+
+@query("vector_sum")
+def q_vector_sum(spark, sf):
+    sums = _featurized(spark, sf).agg(*V.sum_agg("features", 3))
+    return sums.select(*[_round(F.col(f"s{i}"), f"s{i + 1}") for i in range(3)])
+
+
+@query("rmse_metric")
+def q_rmse_metric(spark, sf):
+    df = _featurized(spark, sf).withColumn(
+        "prediction", V.dot_const("features", [40.0, 25.0, 15.0]))
+    m = df.agg(*error_aggs("label_shifted", "prediction"))
+    return m.select(*[_round(F.col(c), c) for c in ("rmse", "mse", "mae")])
+
+
+# --- split ---------------------------------------------------------------------
+
+@query("split_counts")
+def q_split_counts(spark, sf):
+    parts = sp.with_part(fx.song_lines(spark, sf), KEY, [0.8, 0.2], ["train", "test"])
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- gradient descent ----------------------------------------------------------
+
+def _gd(spark, sf):
+    train, test = _train_test(spark, sf)
+    model = GradientDescentRegression(featuresCol="features", labelCol="label_shifted",
+                                      maxIter=GD_ITERS, stepSize=GD_STEP).fit(train)
+    return model, train, test
+
+
+@query("gd_weights")
+def q_gd_weights(spark, sf):
+    model, _, _ = _gd(spark, sf)
+    w = model.weights_frame(spark)
+    return w.select(F.col("i"), _round(F.col("weight"), "weight"))
+
+
+@query("gd_history")
+def q_gd_history(spark, sf):
+    model, _, _ = _gd(spark, sf)
+    h = model.history(spark)
+    return h.select("iteration", _round(F.col("rmse"), "rmse"))
+
+
+@query("gd_gradient")
+def q_gd_gradient(spark, sf):
+    train, _ = _train_test(spark, sf)
+    r = V.dot_const("features", GD_PROBE_W) - F.col("label_shifted")
+    g = train.agg(*[F.avg(r * F.get("features", j)).alias(f"g{j}") for j in range(3)])
+    return g.select(*[_round(F.col(f"g{j}"), f"g{j + 1}") for j in range(3)])
+
+
+@query("gd_predict")
+def q_gd_predict(spark, sf):
+    model, _, test = _gd(spark, sf)
+    return model.transform(test).select("song_id", _round(F.col("prediction"), "prediction"))
+
+
+@query("gd_test_rmse")
+def q_gd_test_rmse(spark, sf):
+    model, _, test = _gd(spark, sf)
+    m = model.transform(test).agg(*error_aggs("label_shifted", "prediction"))
+    return m.select(_round(F.col("rmse"), "rmse"))
+
+
+# --- elastic net ---------------------------------------------------------------
+
+def _enet(spark, sf, poly: bool = False):
+    train, test = _train_test(spark, sf, poly=poly)
+    fc = "polyfeatures" if poly else "features"
+    est = ElasticNet(featuresCol=fc, labelCol="label_shifted", regParam=REG,
+                     elasticNetParam=ALPHA, maxIter=MAX_ITER)
+    return est.fit(train), train, test
+
+
+@query("enet_coefficients")
+def q_enet_coefficients(spark, sf):
+    model, _, _ = _enet(spark, sf)
+    return model.terms_frame(spark).select("term", _round(F.col("value"), "value"))
+
+
+@query("enet_train_metrics")
+def q_enet_train_metrics(spark, sf):
+    model, train, _ = _enet(spark, sf)
+    m = model.evaluate(train)
+    return m.select(*[_round(F.col(c), c) for c in ("rmse", "mse", "mae")])
+
+
+@query("enet_predict")
+def q_enet_predict(spark, sf):
+    model, _, test = _enet(spark, sf)
+    return model.transform(test).select("song_id", _round(F.col("prediction"), "prediction"))
+
+
+@query("enet_test_rmse")
+def q_enet_test_rmse(spark, sf):
+    model, _, test = _enet(spark, sf)
+    return model.evaluate(test).select(_round(F.col("rmse"), "rmse"))
+
+
+@query("poly_enet_test_rmse")
+def q_poly_enet_test_rmse(spark, sf):
+    model, _, test = _enet(spark, sf, poly=True)
+    return model.evaluate(test).select(_round(F.col("rmse"), "rmse"))
+
+
+# --- cross-validation ----------------------------------------------------------
+
+def _cv(spark, sf):
+    train, _ = _train_test(spark, sf)
+    train = sp.with_fold(train, KEY, FOLDS)
+    est = ElasticNet(featuresCol="features", labelCol="label_shifted", elasticNetParam=ALPHA)
+    return cross_validate(train, est, param_grid(GRID_MAX_ITER, GRID_REG), fold_col="fold")
+
+
+@query("cv_metrics")
+def q_cv_metrics(spark, sf):
+    res = _cv(spark, sf)
+    m = res.metrics_frame(spark)
+    return m.select("max_iter", "reg_param", _round(F.col("avg_rmse"), "avg_rmse"))
+
+
+@query("cv_best")
+def q_cv_best(spark, sf):
+    res = _cv(spark, sf)
+    m = res.metrics_frame(spark)
+    best = res.best_params
+    return (m.filter((F.col("max_iter") == best["maxIter"])
+                     & (F.col("reg_param") == best["regParam"]))
+             .select("max_iter", "reg_param", _round(F.col("avg_rmse"), "avg_rmse")))

@@ -30,6 +30,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.worker.reuse", "true")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
