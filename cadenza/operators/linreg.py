@@ -57,6 +57,7 @@ def solve(m: Moments, reg: float, alpha: float, tol: float = 1e-15,
         if delta <= tol:
             break
     coef[idx] = w * sy / sx[idx]
+    coef[coef == 0.0] = 0.0  # no signed zeros from the soft threshold
     intercept = float(m.mean[d] - coef @ m.mean[:d])
     return coef, intercept
 

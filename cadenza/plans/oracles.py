@@ -71,5 +71,5 @@ SELECT age, count(1) AS cnt FROM bank WHERE age < 70 GROUP BY age ORDER BY age""
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracles_ml  # noqa: F401
+    from . import oracles_io, oracles_ml  # noqa: F401
     return dict(ORACLES)

@@ -179,7 +179,7 @@ def _pred(xs: list[str]) -> str:
 X3 = ["f1", "f2", "f3"]
 EN3 = enet_sql(X3, "train", [], f"{REG}E0", CD_ROUNDS[3])
 oracle("enet_coefficients", with_ctes(SONG_CTE, SPLIT_CTE, EN3, body=f"""
-SELECT term, round(value, {R}) AS value FROM (
+SELECT term, CASE WHEN value = 0 THEN 0.0E0 ELSE round(value, {R}) END AS value FROM (
   SELECT unnest(['intercept', 'x1', 'x2', 'x3']) AS term, unnest([c0, c1, c2, c3]) AS value
   FROM coef)"""))
 oracle("enet_train_metrics", with_ctes(SONG_CTE, SPLIT_CTE, EN3, body=f"""

@@ -101,5 +101,5 @@ def q_bank_age_counts(spark, sf):
 
 def queries() -> dict[str, QueryFn]:
     # Import the modules that register more queries.
-    from . import queries_ml  # noqa: F401
+    from . import queries_io, queries_ml  # noqa: F401
     return dict(REGISTRY)
