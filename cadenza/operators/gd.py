@@ -44,9 +44,10 @@ def descend(G: np.ndarray, b: np.ndarray, yy: float, n: float, iters: int,
     w = np.zeros(len(b))
     hist = []
     for i in range(iters):
-        sse = float(w @ G @ w - 2.0 * w @ b + yy)
-        hist.append(math.sqrt(max(sse, 0.0) / n))
-        w = w - (step / (n * math.sqrt(i + 1))) * (G @ w - b)
+        with np.errstate(over="ignore", invalid="ignore"):
+            sse = float(w @ G @ w - 2.0 * w @ b + yy)
+            hist.append(math.sqrt(max(sse, 0.0) / n))
+            w = w - (step / (n * math.sqrt(i + 1))) * (G @ w - b)
         if not np.all(np.isfinite(w)):
             raise FloatingPointError(
                 f"gradient descent diverged at iteration {i}; scale the features "
