@@ -51,8 +51,12 @@ class Tokenizer(Transformer, _Stage):
         if self.getOrDefault(self.toLowercase):
             s = F.lower(s)
         k = self.getOrDefault(self.minTokenLength)
-        toks = F.filter(F.split(s, self.getOrDefault(self.pattern), -1),
-                        lambda t: F.length(t) >= k)
+        parts = F.split(s, self.getOrDefault(self.pattern), -1)
+        if k <= 1:
+            # dropping only empty tokens: a code-generated built-in
+            toks = parts if k <= 0 else F.array_remove(parts, "")
+        else:
+            toks = F.filter(parts, lambda t: F.length(t) >= k)
         return df.withColumn(self.getOutputCol(), toks)
 
 

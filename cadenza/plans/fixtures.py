@@ -55,13 +55,33 @@ def song(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[f[c].alias(c) for c in ["song_id", "year"] + FEATURE_COLS])
 
 
-def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True) -> DataFrame:
-    """``song_id string, value string``: each song as one CSV line
-    ``year,f1,...,f12``. The id rides along so splits can hash a stable key."""
+def derive_song_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``song_id string, value string`` computed from ``lineitem``: each song
+    as one CSV line ``year,f1,...,f12`` (doubles in Spark's text form)."""
     s = song(spark, sf_dir)
     value = F.concat_ws(",", *[F.col(c).cast("string") for c in ["year"] + FEATURE_COLS])
-    cols = [F.col("song_id")] if with_id else []
-    return s.select(*cols, value.alias("value"))
+    return s.select("song_id", value.alias("value"))
+
+
+def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True,
+               materialize: bool = True) -> DataFrame:
+    """The song lines as an input table. With ``materialize`` (default) Spark
+    writes them once as parquet into the shared checkpoint folder and every
+    query scans that table, like a text file of songs already in storage;
+    otherwise the lines are derived lazily on every use. The id rides along
+    so splits can hash a stable key."""
+    if materialize:
+        from ..session import checkpoint_root
+        from ..sources import storage
+        import hashlib
+        tag = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
+        path = f"{checkpoint_root(spark)}/cadenza/song_lines_{tag}.parquet"
+        if not storage.exists(spark, path + "/_SUCCESS"):
+            derive_song_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
+        df = spark.read.parquet(path)
+    else:
+        df = derive_song_lines(spark, sf_dir)
+    return df if with_id else df.select("value")
 
 
 # Fixed bank layout: the 17 header names of the delimited bank file.

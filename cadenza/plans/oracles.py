@@ -70,6 +70,12 @@ oracle("bank_age_counts", with_ctes(BANK_CTE, body="""
 SELECT age, count(1) AS cnt FROM bank WHERE age < 70 GROUP BY age ORDER BY age"""))
 
 
+for _n in ("song_count", "songs_1998_2000", "songs_per_year", "bank_age_counts"):
+    oracle("sql_" + _n, ORACLES[_n])
+oracle("sql_year_profile", with_ctes(SONG_CTE, body="""
+SELECT max(year) AS max_year, min(year) AS min_year, avg(year) AS avg_year FROM typed"""))
+
+
 def oracle_sql() -> dict[str, str]:
     from . import oracles_io, oracles_ml  # noqa: F401
     return dict(ORACLES)

@@ -99,6 +99,37 @@ def q_bank_age_counts(spark, sf):
     return profile.counts_by(bank, "age", where=F.col("age") < 70, name="cnt", order=True)
 
 
+# --- the same questions as SQL text over temp views ---------------------------
+
+# Fixed SQL texts of the profiling questions (run against the "song" and
+# "bank" temp views).
+SQL_TEXTS = {
+    "sql_song_count": "select count(*) as n from song",
+    "sql_songs_1998_2000": "select count(*) as n from song where year>=1998 and year<=2000",
+    "sql_year_profile": "select max(year) as max_year, min(year) as min_year, avg(year) as avg_year from song",
+    "sql_songs_per_year": ("select year, count(*) as numberSongs from song "
+                           "where year between 2000 and 2010 group by year"),
+    "sql_bank_age_counts": ("select age, count(1) as cnt from bank where age < 70 "
+                            "group by age order by age"),
+}
+
+
+def _sql_query(name: str, view: str) -> QueryFn:
+    def run(spark, sf):
+        if view == "song":
+            df = _typed(spark, sf)
+        else:
+            df = delimited.parse_delimited(fx.bank_lines(spark, sf))
+        df.createOrReplaceTempView(view)
+        return spark.sql(SQL_TEXTS[name])
+    run.__name__ = f"q_{name}"
+    return run
+
+
+for _name in SQL_TEXTS:
+    query(_name)(_sql_query(_name, "bank" if "bank" in _name else "song"))
+
+
 def queries() -> dict[str, QueryFn]:
     # Import the modules that register more queries.
     from . import queries_io, queries_ml  # noqa: F401

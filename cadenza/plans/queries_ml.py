@@ -168,10 +168,14 @@ def q_split_counts(spark, sf):
 # --- gradient descent ----------------------------------------------------------
 
 def _gd(spark, sf):
-    train, test = _train_test(spark, sf)
-    model = GradientDescentRegression(featuresCol="features", labelCol="label_shifted",
-                                      maxIter=GD_ITERS, stepSize=GD_STEP).fit(train)
-    return model, train, test
+    """Gradient descent as the last stage of the song pipeline, fitted on the
+    training lines; returns (model stage, featurised train, featurised test)."""
+    lines = fx.song_lines(spark, sf)
+    train_l, test_l = sp.hash_split(lines, KEY, [0.8, 0.2])
+    stages = fe.song_stages(FEATURES_3) + [GradientDescentRegression(
+        featuresCol="features", labelCol="label_shifted", maxIter=GD_ITERS, stepSize=GD_STEP)]
+    pm = Pipeline(stages=stages).fit(train_l)
+    return pm.stages[-1], pm.transform(train_l), pm.transform(test_l)
 
 
 @query("gd_weights")
@@ -212,11 +216,20 @@ def q_gd_test_rmse(spark, sf):
 # --- elastic net ---------------------------------------------------------------
 
 def _enet(spark, sf, poly: bool = False):
-    train, test = _train_test(spark, sf, poly=poly)
-    fc = "polyfeatures" if poly else "features"
-    est = ElasticNet(featuresCol=fc, labelCol="label_shifted", regParam=REG,
-                     elasticNetParam=ALPHA, maxIter=MAX_ITER)
-    return est.fit(train), train, test
+    """Elastic net as the last stage of the song pipeline (optionally after a
+    degree-2 expansion), fitted on the training lines."""
+    lines = fx.song_lines(spark, sf)
+    train_l, test_l = sp.hash_split(lines, KEY, [0.8, 0.2])
+    stages = fe.song_stages(FEATURES_3)
+    fc = "features"
+    if poly:
+        stages.append(fe.PolyExpansion(inputCol="features", outputCol="polyfeatures",
+                                       degree=2, numFeatures=len(FEATURES_3)))
+        fc = "polyfeatures"
+    stages.append(ElasticNet(featuresCol=fc, labelCol="label_shifted", regParam=REG,
+                             elasticNetParam=ALPHA, maxIter=MAX_ITER))
+    pm = Pipeline(stages=stages).fit(train_l)
+    return pm.stages[-1], pm.transform(train_l), pm.transform(test_l)
 
 
 @query("enet_coefficients")
