@@ -36,7 +36,8 @@ def dot_const(a: ColumnOrName, w: list[float]) -> Column:
 
 
 def scale(a: ColumnOrName, s: ColumnOrName | float) -> Column:
-    """``a * s`` element-wise."""
+    """``a * s`` element-wise. A column ``s`` is evaluated inside the lambda
+    for every element, so pass a stored column, not a costly expression."""
     s = F.lit(float(s)) if isinstance(s, (int, float)) else _c(s)
     return F.transform(_c(a), lambda x: x * s)
 
@@ -48,9 +49,10 @@ def add(a: ColumnOrName, b: ColumnOrName, check: bool = True) -> Column:
     return _same_size(a, b, r) if check else r
 
 
-def fill(size: int, value: float) -> Column:
-    """Constant vector of ``size`` copies of ``value``."""
-    return F.array_repeat(F.lit(float(value)), size)
+def fill(size: int, value: ColumnOrName | float) -> Column:
+    """Vector of ``size`` copies of ``value`` (a number or a column)."""
+    v = F.lit(float(value)) if isinstance(value, (int, float)) else _c(value)
+    return F.array_repeat(v.cast("double"), size)
 
 
 def slice_indices(a: ColumnOrName, indices: list[int]) -> Column:

@@ -32,13 +32,20 @@ def _bounds(weights: list[float], buckets: int) -> list[int]:
     return out
 
 
+def _in_range(b: Column, lo: int, hi: int, buckets: int) -> Column:
+    # omit always-true bounds so the hash is evaluated once per row
+    if lo <= 0:
+        return b < hi if hi < buckets else F.lit(True)
+    return b >= lo if hi >= buckets else (b >= lo) & (b < hi)
+
+
 def hash_split(df: DataFrame, key_cols: list[str], weights: list[float] = (0.8, 0.2),
                salt: str = "", buckets: int = 100) -> list[DataFrame]:
     """Split into parts with the given weights (1/``buckets`` resolution).
     Parts are disjoint and together hold every row."""
     b = hash_bucket(key_cols, buckets, salt)
     lim = _bounds(list(weights), buckets)
-    return [df.filter((b >= lim[i]) & (b < lim[i + 1])) for i in range(len(weights))]
+    return [df.filter(_in_range(b, lim[i], lim[i + 1], buckets)) for i in range(len(weights))]
 
 
 def with_part(df: DataFrame, key_cols: list[str], weights: list[float] = (0.8, 0.2),
@@ -49,7 +56,7 @@ def with_part(df: DataFrame, key_cols: list[str], weights: list[float] = (0.8, 0
     lim = _bounds(list(weights), buckets)
     expr = None
     for i, name in enumerate(names):
-        cond = (b >= lim[i]) & (b < lim[i + 1])
+        cond = _in_range(b, lim[i], lim[i + 1], buckets)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     return df.withColumn(col, expr)
 

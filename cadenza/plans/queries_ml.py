@@ -137,9 +137,7 @@ def q_vector_add(spark, sf):
 
 @query("vector_fill")
 def q_vector_fill(spark, sf):
-    out = _featurized(spark, sf).select(
-        "song_id", V.fill(3, 1.0).alias("ones"), "label_shifted")
-    out = out.select("song_id", V.scale("ones", F.col("label_shifted")).alias("z"))
+    out = _featurized(spark, sf).select("song_id", V.fill(3, "label_shifted").alias("z"))
     return fe.unpack(out, "z", 3, "z")
 
 
