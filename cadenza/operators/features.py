@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -106,6 +108,34 @@ class ColumnFn(Transformer, _Stage):
         return self._copyValues(that, extra)
 
 
+class PandasArrayFn(Transformer, _Stage):
+    """Arbitrary Python over vectors, vectorised: ``fn`` receives a batch as a
+    2-D NumPy matrix (rows x size) and returns one double per row. Runs as an
+    Arrow-batched pandas UDF; prefer :class:`ColumnFn` when the function can
+    be written with column expressions."""
+
+    def __init__(self, fn: Callable, inputCol: str, outputCol: str):
+        super().__init__()
+        self.fn = fn
+        self._set(inputCol=inputCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        fn = self.fn
+
+        @F.pandas_udf("double")
+        def apply(s: pd.Series) -> pd.Series:
+            if len(s) == 0:
+                return pd.Series([], dtype="float64")
+            m = np.vstack([np.asarray(v, dtype=float) for v in s])
+            return pd.Series(np.asarray(fn(m), dtype=float))
+
+        return df.withColumn(self.getOutputCol(), apply(self._in()))
+
+    def copy(self, extra=None):
+        that = PandasArrayFn(self.fn, self.getInputCol(), self.getOutputCol())
+        return self._copyValues(that, extra)
+
+
 class ElementToDouble(Transformer, _Stage):
     """One vector element as a ``double`` column (default element 0)."""
 

@@ -22,6 +22,7 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasMaxIter, HasPredictionCol
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,7 +56,7 @@ def descend(G: np.ndarray, b: np.ndarray, yy: float, n: float, iters: int,
     return w, hist
 
 
-class GradientDescentRegression(Estimator, _GDParams):
+class GradientDescentRegression(Estimator, _GDParams, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
     def __init__(self, featuresCol="features", labelCol="label", predictionCol="prediction",
                  maxIter=100, stepSize=1.0, mode="gram"):
@@ -101,7 +102,7 @@ class GradientDescentRegression(Estimator, _GDParams):
             data.unpersist()
 
 
-class GradientDescentModel(Model, _GDParams):
+class GradientDescentModel(Model, _GDParams, DefaultParamsReadable, DefaultParamsWritable):
     weights = Param(Params._dummy(), "weights", "learned weights",
                     typeConverter=TypeConverters.toListFloat)
     trainingError = Param(Params._dummy(), "trainingError",

@@ -20,6 +20,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import (HasElasticNetParam, HasFeaturesCol, HasLabelCol,
                                      HasMaxIter, HasPredictionCol, HasRegParam, HasTol)
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,7 +77,7 @@ class _ENParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRegParam,
     pass
 
 
-class ElasticNet(Estimator, _ENParams):
+class ElasticNet(Estimator, _ENParams, DefaultParamsReadable, DefaultParamsWritable):
     """Elastic net on ``array<double>`` features. ``maxIter`` is kept for
     parameter grids; the solver always runs to convergence (``tol``)."""
 
@@ -99,7 +100,7 @@ class ElasticNet(Estimator, _ENParams):
         return self.fit_moments(moments(df, fc, lc, d)[None])
 
 
-class LinearModel(Model, _ENParams):
+class LinearModel(Model, _ENParams, DefaultParamsReadable, DefaultParamsWritable):
     coefficients = Param(Params._dummy(), "coefficients", "coefficients",
                          typeConverter=TypeConverters.toListFloat)
     intercept = Param(Params._dummy(), "intercept", "intercept", typeConverter=TypeConverters.toFloat)

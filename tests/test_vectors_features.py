@@ -110,3 +110,50 @@ def test_pipeline_is_one_projection(spark, sf):
     plan = f.select("label_shifted", "features")._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert "WholeStageCodegen" in plan or "*(" in plan
+
+
+def test_pandas_array_fn_stage(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([3.0, 5.0],)], "v array<double>")
+    st = fe.PandasArrayFn(lambda m: m[:, 0] * 10 + m[:, 1], "v", "y")
+    assert sorted(r["y"] for r in st.transform(df).collect()) == [12.0, 35.0]
+
+
+def test_pipeline_model_save_load(spark, sf, tmp_path):
+    from pyspark.ml import PipelineModel
+    from cadenza.operators.gd import GradientDescentRegression
+    from cadenza.operators.linreg import ElasticNet
+    lines = fx.song_lines(spark, sf)
+    stages = fe.song_stages([1, 2, 3]) + [
+        fe.PolyExpansion(inputCol="features", outputCol="poly", degree=2, numFeatures=3),
+        ElasticNet(featuresCol="poly", labelCol="label_shifted", regParam=0.9,
+                   elasticNetParam=0.1, predictionCol="p_en"),
+        GradientDescentRegression(featuresCol="features", labelCol="label_shifted",
+                                  predictionCol="p_gd")]
+    pm = Pipeline(stages=stages).fit(lines)
+    path = str(tmp_path / "model")
+    pm.write().overwrite().save(path)
+    back = PipelineModel.load(path)
+    a = pm.transform(lines).select("p_en", "p_gd").collect()
+    b = back.transform(lines).select("p_en", "p_gd").collect()
+    assert a == b
+    assert back.stages[4].getOrDefault("offset") == pm.stages[4].getOrDefault("offset")
+
+
+def test_schema_and_show(spark, sf, capsys):
+    from cadenza.operators import songs
+    s = songs.parse_songs(fx.song_lines(spark, sf))
+    s.printSchema()
+    s.show(3)
+    out = capsys.readouterr().out
+    assert "|-- year: integer" in out and "|-- f3: double" in out and "only showing top 3 rows" in out
+    assert [f.name for f in s.schema.fields] == ["song_id", "year", "f1", "f2", "f3"]
+
+
+def test_parquet_songs_get_pushed_filters(spark, sf, tmp_path):
+    from cadenza.operators import profile, songs
+    path = str(tmp_path / "songs.parquet")
+    songs.parse_songs(fx.song_lines(spark, sf)).write.parquet(path)
+    q = profile.count_between(spark.read.parquet(path), "year", 1998, 2000)
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(year), GreaterThanOrEqual(year,1998), LessThanOrEqual(year,2000)]" in plan
+    assert "ReadSchema: struct<year:int>" in plan
