@@ -263,25 +263,44 @@ def q_poly_enet_test_rmse(spark, sf):
 
 # --- cross-validation ----------------------------------------------------------
 
-def _cv(spark, sf):
-    train, _ = _train_test(spark, sf)
+def _cv(spark, sf, poly: bool = False):
+    """Grid x 3-fold CV on the training rows, featurised once."""
+    train, _ = _train_test(spark, sf, poly=poly)
     train = sp.with_fold(train, KEY, FOLDS)
-    est = ElasticNet(featuresCol="features", labelCol="label_shifted", elasticNetParam=ALPHA)
+    est = ElasticNet(featuresCol="polyfeatures" if poly else "features",
+                     labelCol="label_shifted", elasticNetParam=ALPHA)
     return cross_validate(train, est, param_grid(GRID_MAX_ITER, GRID_REG), fold_col="fold")
 
 
-@query("cv_metrics")
-def q_cv_metrics(spark, sf):
-    res = _cv(spark, sf)
-    m = res.metrics_frame(spark)
+def _cv_metrics(spark, sf, poly=False):
+    m = _cv(spark, sf, poly).metrics_frame(spark)
     return m.select("max_iter", "reg_param", _round(F.col("avg_rmse"), "avg_rmse"))
 
 
-@query("cv_best")
-def q_cv_best(spark, sf):
-    res = _cv(spark, sf)
+def _cv_best(spark, sf, poly=False):
+    res = _cv(spark, sf, poly)
     m = res.metrics_frame(spark)
     best = res.best_params
     return (m.filter((F.col("max_iter") == best["maxIter"])
                      & (F.col("reg_param") == best["regParam"]))
              .select("max_iter", "reg_param", _round(F.col("avg_rmse"), "avg_rmse")))
+
+
+@query("cv_metrics")
+def q_cv_metrics(spark, sf):
+    return _cv_metrics(spark, sf)
+
+
+@query("cv_best")
+def q_cv_best(spark, sf):
+    return _cv_best(spark, sf)
+
+
+@query("poly_cv_metrics")
+def q_poly_cv_metrics(spark, sf):
+    return _cv_metrics(spark, sf, poly=True)
+
+
+@query("poly_cv_best")
+def q_poly_cv_best(spark, sf):
+    return _cv_best(spark, sf, poly=True)

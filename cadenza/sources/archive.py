@@ -100,13 +100,10 @@ def read_archives_streaming(spark: SparkSession, paths: list[str], suffix: str |
     pdf = pdf.repartition(max(1, len(plist)), "path")
 
     def unpack(batches):
-        from pyarrow import fs as pafs
-
         def rows():
             for b in batches:
                 for path in b["path"]:
-                    fsys, inner = pafs.FileSystem.from_uri(path) if "://" in path else (
-                        pafs.LocalFileSystem(), path)
+                    fsys, inner = _fs_and_path(path)
                     with fsys.open_input_stream(inner) as stream:
                         with tarfile.open(fileobj=stream, mode="r|*") as tar:
                             yield from _members(tar, path, suffix, max_members)
@@ -116,6 +113,18 @@ def read_archives_streaming(spark: SparkSession, paths: list[str], suffix: str |
     return out.repartition(repartition) if repartition else out
 
 
+def _fs_and_path(uri: str):
+    """A ``pyarrow.fs`` file system and the path inside it, for plain local
+    paths, ``file:`` URIs and scheme URIs (``hdfs://``, ``s3://``, ...)."""
+    from pyarrow import fs as pafs
+    if uri.startswith("file:"):
+        rest = uri[len("file:"):]
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    if "://" in uri:
+        return pafs.FileSystem.from_uri(uri)
+    return pafs.LocalFileSystem(), uri
+
+
 # --- building archives (fixtures and tests) ------------------------------------
 
 ARCHIVE_SCHEMA = "path string, content binary"
@@ -164,9 +173,7 @@ def write_files(files: DataFrame, out_dir: str) -> int:
     out_dir = out_dir.rstrip("/")
 
     def write(batches):
-        from pyarrow import fs as pafs
-        fsys, root = pafs.FileSystem.from_uri(out_dir) if "://" in out_dir else (
-            pafs.LocalFileSystem(), out_dir)
+        fsys, root = _fs_and_path(out_dir)
         fsys.create_dir(root, recursive=True)
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):

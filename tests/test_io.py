@@ -85,3 +85,12 @@ def test_flatten_records(spark, sf):
     assert known.filter(F.col("year") == 0).count() == 0 and known.count() < flat.count()
     vec = records.as_vector(known).first()["value"]
     assert len(vec) == 16 and not any(math.isnan(v) for v in vec)
+
+
+def test_fs_uri_forms(tmp_path):
+    fsys, p = archive._fs_and_path("file:" + str(tmp_path))
+    assert p == str(tmp_path) and fsys.get_file_info(p).type.name == "Directory"
+    fsys, p = archive._fs_and_path("file:///" + str(tmp_path).lstrip("/"))
+    assert p == str(tmp_path)
+    fsys, p = archive._fs_and_path(str(tmp_path))
+    assert p == str(tmp_path)
