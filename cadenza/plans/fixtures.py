@@ -63,6 +63,17 @@ def derive_song_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("song_id", value.alias("value"))
 
 
+def input_tag(sf_dir: str, *derivations) -> str:
+    """Short tag of an input folder and the source code of the functions that
+    derive a table from it: stable across runs, new whenever either changes."""
+    import hashlib
+    import inspect
+    h = hashlib.md5(sf_dir.rstrip("/").encode())
+    for fn in derivations:
+        h.update(inspect.getsource(fn).encode())
+    return h.hexdigest()[:12]
+
+
 def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True,
                materialize: bool = True) -> DataFrame:
     """The song lines as an input table. With ``materialize`` (default) Spark
@@ -70,17 +81,18 @@ def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True,
     query scans that table, like a text file of songs already in storage;
     otherwise the lines are derived lazily on every use. The id rides along
     so splits can hash a stable key."""
+    derived = derive_song_lines(spark, sf_dir)
     if materialize:
         from ..session import checkpoint_root
         from ..sources import storage
-        import hashlib
-        tag = hashlib.md5(sf_dir.rstrip("/").encode()).hexdigest()[:10]
+        # keyed by input and derivation code: a changed derivation never reuses old files
+        tag = input_tag(sf_dir, _mod_feature, _song_exprs, song, derive_song_lines)
         path = f"{checkpoint_root(spark)}/cadenza/song_lines_{tag}.parquet"
         if not storage.exists(spark, path + "/_SUCCESS"):
-            derive_song_lines(spark, sf_dir).write.mode("overwrite").parquet(path)
+            derived.write.mode("overwrite").parquet(path)
         df = spark.read.parquet(path)
     else:
-        df = derive_song_lines(spark, sf_dir)
+        df = derived
     return df if with_id else df.select("value")
 
 

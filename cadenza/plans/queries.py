@@ -36,10 +36,6 @@ def _typed(spark: SparkSession, sf: str, n_features: int = 3) -> DataFrame:
     return songs.parse_songs(fx.song_lines(spark, sf), n_features=n_features)
 
 
-def _sf_tag(sf: str) -> str:
-    import hashlib
-    return hashlib.md5(sf.rstrip("/").encode()).hexdigest()[:10]
-
 
 # --- scans, parsing, profiling ------------------------------------------------
 
@@ -47,8 +43,10 @@ def _sf_tag(sf: str) -> str:
 def q_text_scan_count(spark, sf):
     """Song lines written once as text files in the shared folder, then
     scanned back with the line source and counted."""
-    path = f"{checkpoint_root(spark)}/cadenza/song_lines_{_sf_tag(sf)}"
-    text.materialize_lines(spark, fx.song_lines(spark, sf, with_id=False), path)
+    lines = fx.song_lines(spark, sf, with_id=False)
+    tag = fx.input_tag(sf, fx._mod_feature, fx._song_exprs, fx.song, fx.derive_song_lines)
+    path = f"{checkpoint_root(spark)}/cadenza/song_text_{tag}"
+    text.materialize_lines(spark, lines, path)
     return profile.count_rows(text.read_lines(spark, path))
 
 

@@ -14,7 +14,7 @@ from ..operators import split as sp
 from ..operators.linreg import ElasticNet
 from ..session import checkpoint_root
 from ..sources import archive, records, storage
-from .queries import R, _sf_tag, query
+from .queries import R, query
 
 # Fixed values of the archive program.
 PAGES_PER_ARCHIVE = 100
@@ -27,9 +27,10 @@ ALPHA = 0.1
 
 def _page_archives(spark, sf) -> str:
     """Pack ``pages`` into tar.gz files under the shared folder (once)."""
-    out = f"{checkpoint_root(spark)}/cadenza/page_archives_{_sf_tag(sf)}"
+    pages = fx.table(spark, sf, "pages")
+    tag = f"{fx.input_tag(sf, archive.pack_archives, archive.write_files)}_{PAGES_PER_ARCHIVE}"
+    out = f"{checkpoint_root(spark)}/cadenza/page_archives_{tag}"
     if not storage.exists(spark, out + "/_SUCCESS"):
-        pages = fx.table(spark, sf, "pages")
         packed = archive.pack_archives(
             pages.withColumn("g", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE)),
             "g", F.concat(F.col("page_id").cast("string"), F.lit(".html")), "html",
