@@ -12,6 +12,7 @@ from . import fixtures as fx
 from ..operators import features as fe
 from ..operators import split as sp
 from ..operators.linreg import ElasticNet
+from ..functions.parse import nan_to_zero
 from ..session import checkpoint_root
 from ..sources import archive, records, storage
 from .queries import R, query
@@ -68,14 +69,13 @@ def q_flatten_record(spark, sf):
 
 @query("nan_to_zero")
 def q_nan_to_zero(spark, sf):
+    # one pass over the raw values: NaN counts and sums after NaN -> 0
     raw = records.flatten_records(fx.song_record(spark, sf), nan_zero=False)
-    clean = records.flatten_records(fx.song_record(spark, sf))
-    nans = raw.agg(F.count(F.lit(1)).alias("n"),
+    return raw.agg(F.count(F.lit(1)).alias("n"),
                    F.count_if(F.isnan("danceability")).alias("nan_danceability"),
-                   F.count_if(F.isnan("artist_latitude")).alias("nan_latitude"))
-    sums = clean.agg(F.round(F.sum("danceability"), R).alias("sum_danceability"),
-                     F.round(F.sum("artist_longitude"), R).alias("sum_longitude"))
-    return nans.crossJoin(sums)  # two one-row aggregates side by side
+                   F.count_if(F.isnan("artist_latitude")).alias("nan_latitude"),
+                   F.round(F.sum(nan_to_zero("danceability")), R).alias("sum_danceability"),
+                   F.round(F.sum(nan_to_zero("artist_longitude")), R).alias("sum_longitude"))
 
 
 @query("known_year")
