@@ -24,6 +24,16 @@ from pyspark.sql import functions as F
 from ..functions.parse import _regex_literal
 
 
+SIZE_KEY = "vector_size"  # column metadata: fixed length of an array<double> vector
+
+
+def with_vector(df: DataFrame, name: str, expr: Column, size: int | None) -> DataFrame:
+    """Add a vector column, recording its length in the column metadata so
+    estimators need no job to discover it."""
+    out = df.withColumn(name, expr)
+    return out.withMetadata(name, {SIZE_KEY: size}) if size is not None else out
+
+
 class _Stage(HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
     def _in(self) -> Column:
         return F.col(self.getInputCol())
@@ -87,8 +97,8 @@ class VectorSlicer(Transformer, _Stage):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         v = self._in()
-        return df.withColumn(self.getOutputCol(),
-                             F.array(*[F.get(v, i) for i in self.getOrDefault(self.indices)]))
+        idx = self.getOrDefault(self.indices)
+        return with_vector(df, self.getOutputCol(), F.array(*[F.get(v, i) for i in idx]), len(idx))
 
 
 class ColumnFn(Transformer, _Stage):
@@ -232,7 +242,7 @@ class PolyExpansion(Transformer, _Stage):
                 for _ in range(t[j]):
                     expr = F.get(v, j) if expr is None else expr * F.get(v, j)
             terms.append(expr)
-        return df.withColumn(self.getOutputCol(), F.array(*terms))
+        return with_vector(df, self.getOutputCol(), F.array(*terms), len(terms))
 
 
 class ToMLVector(Transformer, _Stage):

@@ -61,17 +61,26 @@ def _vars(features: str, label: str, d: int) -> list[Column]:
 
 
 def feature_size(df: DataFrame, features: str) -> int:
-    """Vector size from the first row (a one-row job)."""
+    """Vector size from the column metadata written by the feature stages,
+    else from the first row (a one-row job). Every row's size is checked
+    again inside the moments aggregate."""
+    meta = df.schema[features].metadata if features in df.columns else {}
+    if meta.get("vector_size"):
+        return int(meta["vector_size"])
     row = df.select(F.size(features)).first()
     if row is None:
         raise ValueError("empty training set: no rows to learn from")
     return int(row[0])
 
 
+MAX_GROUPS = 10_000
+
+
 def moments(df: DataFrame, features: str, label: str, d: int | None = None,
-            by: str | None = None) -> dict:
+            by: str | None = None, max_groups: int = MAX_GROUPS) -> dict:
     """Moments of ``[features..., label]``, keyed by the ``by`` column's value
-    (key ``None`` when ``by`` is not given)."""
+    (key ``None`` when ``by`` is not given). ``by`` must have few values
+    (folds, segments): at most ``max_groups`` result rows reach the driver."""
     if d is None:
         d = feature_size(df, features)
     if d > WIDE_D:
@@ -82,7 +91,10 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
             F.min(F.size(features)).alias("dmin"), F.max(F.size(features)).alias("dmax")]
     aggs += [F.avg(xs[i]).alias(f"m{i}") for i in range(p)]
     aggs += [F.covar_pop(xs[i], xs[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i, p)]
-    rows = (df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)).collect()
+    grouped = df.groupBy(by).agg(*aggs).limit(max_groups + 1) if by else df.agg(*aggs)
+    rows = grouped.collect()
+    if len(rows) > max_groups:
+        raise ValueError(f"more than {max_groups} groups in '{by}'")
     out = {}
     for r in rows:
         if r["n"] == 0:
@@ -96,6 +108,12 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
             for j in range(i, p):
                 cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
         out[r[by] if by else None] = Moments(float(r["n"]), mean, cov)
+    return _non_empty(out)
+
+
+def _non_empty(out: dict) -> dict:
+    if not out:
+        raise ValueError("empty training set: no rows to learn from")
     return out
 
 
@@ -142,7 +160,7 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
         mean = s / n
         cov = ss / n - np.outer(mean, mean)
         out[g if by else None] = Moments(float(n), mean, cov)
-    return out
+    return _non_empty(out)
 
 
 def total(ms: dict) -> Moments:

@@ -164,3 +164,36 @@ def test_cv_label_offset_parity_mode(data):
     est = ElasticNet(featuresCol="features", labelCol="label_shifted", elasticNetParam=0.1)
     off = cross_validate(tr, est, param_grid([20], [0.4, 1.4]), eval_label_offset=1922.0)
     assert all(1900 < m < 1950 for m in off.avg_metrics)
+
+
+def test_vector_size_from_metadata_without_a_job(spark, sf):
+    from cadenza.plans.queries_ml import _train_test
+    train, _ = _train_test(spark, sf, poly=True)
+    assert train.schema["features"].metadata.get("vector_size") == 3
+    assert train.schema["polyfeatures"].metadata.get("vector_size") == 9
+    sc = spark.sparkContext
+    sc.setJobGroup("size-probe", "size-probe")
+    assert stats.feature_size(train, "polyfeatures") == 9
+    assert len(sc.statusTracker().getJobIdsForGroup("size-probe")) == 0
+    sc.setJobGroup("", "")
+
+
+def test_moments_rejects_wrong_size_and_too_many_groups(spark):
+    df = spark.createDataFrame([([1.0, 2.0], 1.0, 0), ([1.0], 2.0, 1)],
+                               "features array<double>, label double, g int")
+    with pytest.raises(ValueError):
+        stats.moments(df, "features", "label", d=2)
+    ok = spark.createDataFrame([([1.0, 2.0], 1.0, i) for i in range(5)],
+                               "features array<double>, label double, g int")
+    with pytest.raises(ValueError):
+        stats.moments(ok, "features", "label", d=2, by="g", max_groups=3)
+
+
+def test_empty_training_set_after_pipeline_raises(spark, sf):
+    from cadenza.plans.queries_ml import _train_test
+    train, _ = _train_test(spark, sf)
+    empty = train.filter(F.lit(False))
+    with pytest.raises(ValueError):
+        GradientDescentRegression(featuresCol="features", labelCol="label_shifted").fit(empty)
+    with pytest.raises(ValueError):
+        ElasticNet(featuresCol="features", labelCol="label_shifted", regParam=0.1).fit(empty)
