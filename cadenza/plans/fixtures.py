@@ -22,6 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Round-robin over ``defaultParallelism`` partitions when the input has
+    fewer (a small file with one row group is read by a single task). Large
+    inputs already have many splits and pass through unchanged."""
+    target = spark.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def _mod_feature(a: str, ka: int, b: str, kb: int) -> Column:
     return ((F.col(a) * ka + F.col(b) * kb) % 1000) / F.lit(1000.0)
 
@@ -86,10 +94,11 @@ def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True,
         from ..session import checkpoint_root
         from ..sources import storage
         # keyed by input and derivation code: a changed derivation never reuses old files
-        tag = input_tag(sf_dir, _mod_feature, _song_exprs, song, derive_song_lines)
+        tag = input_tag(sf_dir, _mod_feature, _song_exprs, song, derive_song_lines, spread,
+                        song_lines)
         path = f"{checkpoint_root(spark)}/cadenza/song_lines_{tag}.parquet"
         if not storage.exists(spark, path + "/_SUCCESS"):
-            derived.write.mode("overwrite").parquet(path)
+            spread(spark, derived).write.mode("overwrite").parquet(path)
         df = spark.read.parquet(path)
     else:
         df = derived
