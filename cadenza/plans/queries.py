@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from ..operators import profile, songs
-from ..sources import delimited, text
+from ..sources import delimited, storage, text
 from ..session import checkpoint_root
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,19 @@ def q_bank_age_counts(spark, sf):
     return profile.counts_by(bank, "age", where=F.col("age") < 70, name="cnt", order=True)
 
 
+@query("bank_csv_age_counts")
+def q_bank_csv_age_counts(spark, sf):
+    """Bank records written once as delimited files (header in each part,
+    all fields quoted) in the shared folder, read back with the CSV reader."""
+    tag = fx.input_tag(sf, fx.bank_lines, fx._q, delimited.write_delimited)
+    path = f"{checkpoint_root(spark)}/cadenza/bank_csv_{tag}"
+    if not storage.exists(spark, path + "/_SUCCESS"):
+        full = delimited.parse_delimited(fx.bank_lines(spark, sf), columns=None)
+        delimited.write_delimited(full, path)
+    bank = delimited.read_delimited(spark, path)
+    return profile.counts_by(bank, "age", where=F.col("age") < 70, name="cnt", order=True)
+
+
 # --- the same questions as SQL text over temp views ---------------------------
 
 # Fixed SQL texts of the profiling questions (run against the "song" and

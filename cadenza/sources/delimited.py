@@ -37,6 +37,15 @@ def read_delimited(spark: SparkSession, paths: str | list[str],
     return df.select(*columns) if columns else df
 
 
+def write_delimited(df: DataFrame, path: str, sep: str = ";", quote_all: bool = True) -> str:
+    """Write delimited files with a header line in every part file (so each
+    file reads back on its own), quoting like the source format."""
+    (df.write.mode("overwrite")
+       .options(sep=sep, header=True, quote='"', escape='"', quoteAll=quote_all)
+       .csv(path))
+    return path
+
+
 def parse_delimited(lines: DataFrame, schema: T.StructType = BANK_FILE_SCHEMA,
                     value_col: str = "value", sep: str = ";",
                     header_first_field: str | None = "age",
