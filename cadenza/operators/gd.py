@@ -38,6 +38,12 @@ class _GDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter):
                  typeConverter=TypeConverters.toString)
 
 
+def rmse_at(G: np.ndarray, b: np.ndarray, yy: float, n: float, w: np.ndarray) -> float:
+    """Training RMSE of weights ``w`` from the statistics."""
+    sse = float(w @ G @ w - 2.0 * w @ b + yy)
+    return math.sqrt(max(sse, 0.0) / n)
+
+
 def descend(G: np.ndarray, b: np.ndarray, yy: float, n: float, iters: int,
             step: float) -> tuple[np.ndarray, list[float]]:
     """The iteration on sufficient statistics. Returns final weights and the
@@ -74,10 +80,12 @@ class GradientDescentRegression(Estimator, _GDParams, DefaultParamsReadable, Def
             m = moments(data, fc, lc, d)[None]
             G, b, yy = m.gram()
             w, hist = descend(G, b, yy, m.n, iters, step)
+            final = rmse_at(G, b, yy, m.n, w)
         else:
-            w, hist = self._fit_iterative(data, fc, lc, d, iters, step)
+            w, hist, final = self._fit_iterative(data, fc, lc, d, iters, step)
         model = GradientDescentModel(weights=[float(x) for x in w],
-                                     trainingError=[float(x) for x in hist])
+                                     trainingError=[float(x) for x in hist],
+                                     finalError=float(final))
         return self._copyValues(model)
 
     @staticmethod
@@ -97,7 +105,9 @@ class GradientDescentRegression(Estimator, _GDParams, DefaultParamsReadable, Def
                 w = w - (step / (n * math.sqrt(i + 1))) * g
                 if not np.all(np.isfinite(w)):
                     raise FloatingPointError(f"gradient descent diverged at iteration {i}")
-            return w, hist
+            r = dot_const(fc, list(w)) - F.col(lc)
+            final = math.sqrt(max(data.agg(F.sum(r * r)).first()[0], 0.0) / n)
+            return w, hist, final
         finally:
             data.unpersist()
 
@@ -107,9 +117,11 @@ class GradientDescentModel(Model, _GDParams, DefaultParamsReadable, DefaultParam
                     typeConverter=TypeConverters.toListFloat)
     trainingError = Param(Params._dummy(), "trainingError",
                           "training RMSE before each update", typeConverter=TypeConverters.toListFloat)
+    finalError = Param(Params._dummy(), "finalError", "training RMSE of the returned weights",
+                       typeConverter=TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, weights=None, trainingError=None):
+    def __init__(self, weights=None, trainingError=None, finalError=None):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
@@ -118,8 +130,13 @@ class GradientDescentModel(Model, _GDParams, DefaultParamsReadable, DefaultParam
         return self.getOrDefault(self.weights)
 
     def getTrainingError(self) -> list[float]:
+        """RMSE before update i; the last entry is the error before the final
+        update, not of the returned weights (see :meth:`getFinalError`)."""
         return self.getOrDefault(self.trainingError)
 
+    def getFinalError(self) -> float:
+        return self.getOrDefault(self.finalError)
+
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.getPredictionCol(),
                              dot_const(self.getFeaturesCol(), self.getWeights()))

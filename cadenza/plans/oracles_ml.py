@@ -111,6 +111,9 @@ SELECT CAST(j AS INTEGER) AS i, round(w, {R}) AS weight FROM (
   SELECT unnest([0, 1, 2]) AS j, unnest([w0, w1, w2]) AS w FROM it WHERE i = 100)"""))
 oracle("gd_history", with_ctes(SONG_CTE, SPLIT_CTE, GD, body=f"""
 SELECT CAST(i AS INTEGER) AS iteration, {rd('rmse', 'rmse')} FROM hist WHERE i < 100"""))
+oracle("gd_final_rmse", with_ctes(SONG_CTE, SPLIT_CTE, GD, body=f"""
+SELECT {rd('max(rmse) FILTER (WHERE i = 99)', 'last_history')},
+       {rd('max(rmse) FILTER (WHERE i = 100)', 'final')} FROM hist"""))
 oracle("gd_gradient", with_ctes(SONG_CTE, SPLIT_CTE, body=f"""
 SELECT {rd('avg((f1 + f2 + f3 - y)*f1)', 'g1')}, {rd('avg((f1 + f2 + f3 - y)*f2)', 'g2')},
        {rd('avg((f1 + f2 + f3 - y)*f3)', 'g3')} FROM train"""))

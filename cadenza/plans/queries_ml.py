@@ -190,6 +190,16 @@ def q_gd_history(spark, sf):
     return h.select("iteration", _round(F.col("rmse"), "rmse"))
 
 
+@query("gd_final_rmse")
+def q_gd_final_rmse(spark, sf):
+    """Training RMSE before the last update (the history's last entry) and of
+    the returned weights."""
+    model, _, _ = _gd(spark, sf)
+    row = [(float(model.getTrainingError()[-1]), float(model.getFinalError()))]
+    return spark.createDataFrame(row, "last_history double, final double").select(
+        _round(F.col("last_history"), "last_history"), _round(F.col("final"), "final"))
+
+
 @query("gd_gradient")
 def q_gd_gradient(spark, sf):
     train, _ = _train_test(spark, sf)

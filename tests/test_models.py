@@ -197,3 +197,38 @@ def test_empty_training_set_after_pipeline_raises(spark, sf):
         GradientDescentRegression(featuresCol="features", labelCol="label_shifted").fit(empty)
     with pytest.raises(ValueError):
         ElasticNet(featuresCol="features", labelCol="label_shifted", regParam=0.1).fit(empty)
+
+
+def test_gd_final_error_is_rmse_of_returned_weights(data):
+    train, _ = data
+    m = GradientDescentRegression(featuresCol="features", labelCol="label_shifted").fit(train)
+    rows = train.select("features", "label_shifted").collect()
+    X = np.array([r[0] for r in rows]); y = np.array([r[1] for r in rows])
+    direct = math.sqrt(np.mean((y - X @ np.array(m.getWeights())) ** 2))
+    assert m.getFinalError() == pytest.approx(direct, rel=1e-9)
+    assert m.getFinalError() < m.getTrainingError()[-1]
+    it = GradientDescentRegression(featuresCol="features", labelCol="label_shifted",
+                                   mode="iterative", maxIter=5).fit(train)
+    g = GradientDescentRegression(featuresCol="features", labelCol="label_shifted",
+                                  maxIter=5).fit(train)
+    assert it.getFinalError() == pytest.approx(g.getFinalError(), rel=1e-9)
+
+
+def test_cv_best_model_carries_its_params(data):
+    train, _ = data
+    tr = sp.with_fold(train, ["song_id"], 3)
+    est = ElasticNet(featuresCol="features", labelCol="label_shifted", elasticNetParam=0.1)
+    res = cross_validate(tr, est, param_grid([20, 30], [0.4, 1.4]))
+    assert res.best_model.getRegParam() == res.best_params["regParam"]
+    assert res.best_model.getMaxIter() == res.best_params["maxIter"]
+
+
+def test_cv_wide_statistics_path_matches(data, monkeypatch):
+    train, _ = data
+    tr = sp.with_fold(train, ["song_id"], 3)
+    est = ElasticNet(featuresCol="features", labelCol="label_shifted", elasticNetParam=0.1)
+    grid = param_grid([20], [0.4, 1.4])
+    narrow = cross_validate(tr, est, grid).avg_metrics
+    monkeypatch.setattr(stats, "WIDE_D", 1)
+    wide = cross_validate(tr, est, grid).avg_metrics
+    np.testing.assert_allclose(wide, narrow, rtol=1e-7)
