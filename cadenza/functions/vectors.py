@@ -25,10 +25,19 @@ def dot(a: ColumnOrName, b: ColumnOrName, check: bool = True) -> Column:
     return _same_size(a, b, r) if check else r
 
 
+UNROLL_MAX = 64
+
+
 def dot_const(a: ColumnOrName, w: list[float]) -> Column:
-    """Inner product with a fixed weight vector, unrolled into
-    ``w0*a[0] + w1*a[1] + ...`` (pure arithmetic, fully codegen'd)."""
+    """Inner product with a fixed weight vector. Up to ``UNROLL_MAX`` weights
+    it is unrolled into ``w0*a[0] + w1*a[1] + ...`` (plain arithmetic, fully
+    code-generated); longer vectors use one ``aggregate(zip_with(...))`` over
+    an array literal so the expression stays small."""
     a = _c(a)
+    if len(w) > UNROLL_MAX:
+        wv = F.array(*[F.lit(float(x)) for x in w])
+        return F.aggregate(F.zip_with(a, wv, lambda x, y: x * y), F.lit(0.0),
+                           lambda s, x: s + x)
     expr = F.lit(0.0)
     for i, wi in enumerate(w):
         expr = expr + F.lit(float(wi)) * F.get(a, i)

@@ -157,3 +157,14 @@ def test_parquet_songs_get_pushed_filters(spark, sf, tmp_path):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(year), GreaterThanOrEqual(year,1998), LessThanOrEqual(year,2000)]" in plan
     assert "ReadSchema: struct<year:int>" in plan
+
+
+def test_dot_const_long_vectors_use_one_expression(spark):
+    rng = np.random.default_rng(7)
+    x = list(map(float, rng.normal(size=200)))
+    w = list(map(float, rng.normal(size=200)))
+    df = spark.createDataFrame([(x,)], "a array<double>")
+    got = df.select(V.dot_const("a", w).alias("d")).first()["d"]
+    assert got == pytest.approx(float(np.dot(x, w)), rel=1e-12)
+    got3 = df.select(V.dot_const(F.slice("a", 1, 3), w[:3]).alias("d")).first()["d"]
+    assert got3 == pytest.approx(float(np.dot(x[:3], w[:3])), rel=1e-12)
