@@ -232,3 +232,19 @@ def test_cv_wide_statistics_path_matches(data, monkeypatch):
     monkeypatch.setattr(stats, "WIDE_D", 1)
     wide = cross_validate(tr, est, grid).avg_metrics
     np.testing.assert_allclose(wide, narrow, rtol=1e-7)
+
+
+def test_models_invariant_to_partitioning(data):
+    train, _ = data
+    tr = sp.with_fold(train, ["song_id"], 3)
+    out = []
+    for parts in (1, 8):
+        t = tr.repartition(parts)
+        gd = GradientDescentRegression(featuresCol="features", labelCol="label_shifted").fit(t)
+        en = ElasticNet(featuresCol="features", labelCol="label_shifted", regParam=0.9,
+                        elasticNetParam=0.1).fit(t)
+        cv = cross_validate(t, ElasticNet(featuresCol="features", labelCol="label_shifted",
+                                          elasticNetParam=0.1), param_grid([20], [0.4, 0.9]))
+        out.append((gd.getWeights(), en.getCoefficients() + [en.getIntercept()], cv.avg_metrics))
+    for a, b in zip(out[0], out[1]):
+        np.testing.assert_allclose(a, b, rtol=1e-9)
