@@ -97,8 +97,9 @@ def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True,
         tag = input_tag(sf_dir, _mod_feature, _song_exprs, song, derive_song_lines, spread,
                         song_lines)
         path = f"{checkpoint_root(spark)}/cadenza/song_lines_{tag}.parquet"
-        if not storage.exists(spark, path + "/_SUCCESS"):
-            spread(spark, derived).write.mode("overwrite").parquet(path)
+        with storage.MATERIALIZE_LOCK:
+            if not storage.exists(spark, path + "/_SUCCESS"):
+                spread(spark, derived).write.mode("overwrite").parquet(path)
         df = spark.read.parquet(path)
     else:
         df = derived

@@ -46,7 +46,8 @@ def q_text_scan_count(spark, sf):
     lines = fx.song_lines(spark, sf, with_id=False)
     tag = fx.input_tag(sf, fx._mod_feature, fx._song_exprs, fx.song, fx.derive_song_lines)
     path = f"{checkpoint_root(spark)}/cadenza/song_text_{tag}"
-    text.materialize_lines(spark, lines, path)
+    with storage.MATERIALIZE_LOCK:
+        text.materialize_lines(spark, lines, path)
     return profile.count_rows(text.read_lines(spark, path))
 
 
@@ -103,9 +104,10 @@ def q_bank_csv_age_counts(spark, sf):
     all fields quoted) in the shared folder, read back with the CSV reader."""
     tag = fx.input_tag(sf, fx.bank_lines, fx._q, delimited.write_delimited)
     path = f"{checkpoint_root(spark)}/cadenza/bank_csv_{tag}"
-    if not storage.exists(spark, path + "/_SUCCESS"):
-        full = delimited.parse_delimited(fx.bank_lines(spark, sf), columns=None)
-        delimited.write_delimited(full, path)
+    with storage.MATERIALIZE_LOCK:
+        if not storage.exists(spark, path + "/_SUCCESS"):
+            full = delimited.parse_delimited(fx.bank_lines(spark, sf), columns=None)
+            delimited.write_delimited(full, path)
     bank = delimited.read_delimited(spark, path)
     return profile.counts_by(bank, "age", where=F.col("age") < 70, name="cnt", order=True)
 

@@ -31,13 +31,14 @@ def _page_archives(spark, sf) -> str:
     pages = fx.table(spark, sf, "pages")
     tag = f"{fx.input_tag(sf, archive.pack_archives, archive.write_files)}_{PAGES_PER_ARCHIVE}"
     out = f"{checkpoint_root(spark)}/cadenza/page_archives_{tag}"
-    if not storage.exists(spark, out + "/_SUCCESS"):
-        packed = archive.pack_archives(
-            pages.withColumn("g", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE)),
-            "g", F.concat(F.col("page_id").cast("string"), F.lit(".html")), "html",
-            prefix="pages")
-        archive.write_files(packed, out)
-        storage.touch(spark, out + "/_SUCCESS")
+    with storage.MATERIALIZE_LOCK:
+        if not storage.exists(spark, out + "/_SUCCESS"):
+            packed = archive.pack_archives(
+                pages.withColumn("g", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE)),
+                "g", F.concat(F.col("page_id").cast("string"), F.lit(".html")), "html",
+                prefix="pages")
+            archive.write_files(packed, out)
+            storage.touch(spark, out + "/_SUCCESS")
     return out
 
 

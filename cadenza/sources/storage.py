@@ -3,8 +3,13 @@ they work for whatever shared storage the cluster uses."""
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import SparkSession
 
+# One-time materialisations in this process run one at a time.
+MATERIALIZE_LOCK = threading.RLock()
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
