@@ -47,6 +47,12 @@ def solve(m: Moments, reg: float, alpha: float, tol: float = 1e-15,
     r = m.cov[idx, d] / (sx[idx] * sy)
     lam = reg / sy
     l1, l2 = lam * alpha, lam * (1.0 - alpha)
+    if l1 == 0.0:
+        # no L1 term: the ridge normal equations have a closed form
+        A = R + l2 * np.eye(len(idx))
+        w = np.linalg.lstsq(A, r, rcond=None)[0]
+        coef[idx] = w * sy / sx[idx]
+        return coef, float(m.mean[d] - coef @ m.mean[:d])
     w = np.zeros(len(idx))
     for _ in range(max_rounds):
         delta = 0.0

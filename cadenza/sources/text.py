@@ -26,9 +26,7 @@ def materialize_lines(spark: SparkSession, df: DataFrame, path: str,
     """Write ``df`` as text once; reuse the files when a finished write
     (``_SUCCESS`` marker) is already there. Safe to re-run after a failure:
     an unfinished write has no marker and is overwritten."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
+    from .storage import exists
+    if not exists(spark, path + "/_SUCCESS"):
         write_lines(df, path, value_col)
     return path

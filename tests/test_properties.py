@@ -83,3 +83,17 @@ def test_gram_descent_equals_per_row_recursion(seed, d, iters):
         assert abs(hist[i] - math.sqrt(np.mean((y - p) ** 2))) < 1e-8
         wr = wr - 1.0 / (len(y) * math.sqrt(i + 1)) * ((p - y) @ X)
     np.testing.assert_allclose(w, wr, rtol=1e-8, atol=1e-10)
+
+
+@settings(max_examples=20, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 5), st.floats(0.0, 2.0))
+def test_ridge_closed_form_equals_coordinate_descent(seed, d, reg):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(100, d))
+    y = x @ rng.normal(size=d) + rng.normal(size=100)
+    m = _moments(np.column_stack([x, y]))
+    closed, b_closed = solve(m, reg, 0.0)
+    # a tiny L1 weight forces the iterative path
+    cd, b_cd = solve(m, reg, 1e-12)
+    np.testing.assert_allclose(closed, cd, rtol=1e-6, atol=1e-8)
+    assert abs(b_closed - b_cd) < 1e-6
