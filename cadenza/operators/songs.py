@@ -38,3 +38,16 @@ def field_count(lines: DataFrame, value_col: str = "value", sep: str = ",") -> D
     keep = [c for c in lines.columns if c != value_col]
     return lines.select(*keep, F.size(toks).alias("n_fields"),
                         to_double(field(toks, 0)).alias("label"))
+
+
+def land(songs: DataFrame, path: str, partition_col: str = "year",
+         max_records_per_file: int = 5_000_000) -> str:
+    """Write typed songs as parquet partitioned by ``partition_col`` so later
+    range filters on it prune whole directories (``PartitionFilters``) and
+    the text is parsed once. No shuffle: each task writes its own rows into
+    the partitions it holds, so a year with a third of all rows is still
+    written by every task in parallel; files are capped in size."""
+    (songs.write.mode("overwrite")
+          .option("maxRecordsPerFile", max_records_per_file)
+          .partitionBy(partition_col).parquet(path))
+    return path

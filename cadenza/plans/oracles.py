@@ -71,6 +71,7 @@ SELECT age, count(1) AS cnt FROM bank WHERE age < 70 GROUP BY age ORDER BY age""
 
 
 oracle("bank_csv_age_counts", ORACLES["bank_age_counts"])
+oracle("landed_songs_per_year", ORACLES["songs_per_year"])
 for _n in ("song_count", "songs_1998_2000", "songs_per_year", "bank_age_counts"):
     oracle("sql_" + _n, ORACLES[_n])
 oracle("sql_year_profile", with_ctes(SONG_CTE, body="""
