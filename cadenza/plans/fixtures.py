@@ -138,7 +138,24 @@ def bank_lines(spark: SparkSession, sf_dir: str, header: bool = True) -> DataFra
     return head.unionByName(rows)
 
 
-def song_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+def song_record(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
+    """Nested song records as an input table (written once as parquet into the
+    shared folder and scanned from there, like :func:`song_lines`; nested
+    fields are pruned at the scan). See :func:`derive_song_record`."""
+    derived = derive_song_record(spark, sf_dir)
+    if not materialize:
+        return derived
+    from ..session import checkpoint_root
+    from ..sources import storage
+    tag = input_tag(sf_dir, _mod_feature, _song_exprs, derive_song_record, spread, song_record)
+    path = f"{checkpoint_root(spark)}/cadenza/song_record_{tag}.parquet"
+    with storage.MATERIALIZE_LOCK:
+        if not storage.exists(spark, path + "/_SUCCESS"):
+            spread(spark, derived).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def derive_song_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested song records: ``song_id``, ``musicbrainz struct<year int>``,
     ``analysis struct<10 doubles>``, ``metadata struct<5 doubles>``.
 
