@@ -219,22 +219,30 @@ def poly_terms(n: int, degree: int) -> list[tuple[int, ...]]:
 
 
 class PolyExpansion(Transformer, _Stage):
-    """Degree-``d`` polynomial expansion of an ``array<double>`` of fixed
-    size ``numFeatures`` (constant term dropped)."""
+    """Degree-``d`` polynomial expansion of an ``array<double>`` vector
+    (constant term dropped). The input size comes from ``numFeatures``, else
+    from the input column's metadata (set by the slicer stages), else from
+    the first row."""
 
     degree = Param(Params._dummy(), "degree", "polynomial degree", typeConverter=TypeConverters.toInt)
     numFeatures = Param(Params._dummy(), "numFeatures", "input vector size",
                         typeConverter=TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCol="features", outputCol="polyfeatures", degree=2, numFeatures=3):
+    def __init__(self, inputCol="features", outputCol="polyfeatures", degree=2, numFeatures=None):
         super().__init__()
         self._setDefault(degree=2)
-        self._set(**self._input_kwargs)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def _size(self, df: DataFrame) -> int:
+        if self.isSet(self.numFeatures):
+            return self.getOrDefault(self.numFeatures)
+        from .stats import feature_size
+        return feature_size(df, self.getInputCol())
 
     def _transform(self, df: DataFrame) -> DataFrame:
         v = self._in()
-        n = self.getOrDefault(self.numFeatures)
+        n = self._size(df)
         terms = []
         for t in poly_terms(n, self.getOrDefault(self.degree)):
             expr = None

@@ -118,14 +118,23 @@ def _non_empty(out: dict) -> dict:
 
 
 def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | None) -> dict:
-    """Per-partition NumPy sums of ``[x, y]`` and ``[x, y][x, y]^T`` emitted
-    as matrix cells, summed by cell. Rows never leave their partition."""
+    """Per-partition NumPy sums of ``z - c`` and ``(z - c)(z - c)^T`` for
+    ``z = [x, y]`` emitted as matrix cells and summed by cell; rows never
+    leave their partition. The shift ``c`` is one sample row, which keeps the
+    cancellation in ``cov = E[(z-c)(z-c)^T] - (mean-c)(mean-c)^T`` at the
+    scale of the spread instead of the means."""
     import pandas as pd
 
     p = d + 1
     key = by or "_g"
     src = df.select((F.col(by) if by else F.lit(0)).alias(key),
                     F.col(features).alias("_x"), F.col(label).cast("double").alias("_y"))
+    pilot = src.select("_x", "_y").first()
+    if pilot is None:
+        raise ValueError("empty training set: no rows to learn from")
+    c = np.array(list(pilot["_x"]) + [pilot["_y"]], dtype=float)
+    if c.shape[0] != p or not np.all(np.isfinite(c)):
+        c = np.zeros(p)
 
     def partial(batches):
         acc: dict = {}
@@ -134,7 +143,7 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
                 x = np.vstack(part["_x"].to_numpy())
                 if x.shape[1] != d:
                     raise ValueError(f"feature vectors must all have size {d}")
-                z = np.column_stack([x, part["_y"].to_numpy()])
+                z = np.column_stack([x, part["_y"].to_numpy()]) - c
                 n, s, ss = acc.get(g, (0, np.zeros(p), np.zeros((p, p))))
                 acc[g] = (n + len(z), s + z.sum(axis=0), ss + z.T @ z)
         for g, (n, s, ss) in acc.items():
@@ -157,9 +166,9 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
             ss[r["i"], r["j"]] = ss[r["j"], r["i"]] = r["v"]
     out = {}
     for g, (n, s, ss) in acc.items():
-        mean = s / n
-        cov = ss / n - np.outer(mean, mean)
-        out[g if by else None] = Moments(float(n), mean, cov)
+        shifted_mean = s / n
+        cov = ss / n - np.outer(shifted_mean, shifted_mean)
+        out[g if by else None] = Moments(float(n), shifted_mean + c, cov)
     return _non_empty(out)
 
 

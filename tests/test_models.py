@@ -248,3 +248,27 @@ def test_models_invariant_to_partitioning(data):
         out.append((gd.getWeights(), en.getCoefficients() + [en.getIntercept()], cv.avg_metrics))
     for a, b in zip(out[0], out[1]):
         np.testing.assert_allclose(a, b, rtol=1e-9)
+
+
+def test_wide_moments_stable_with_large_means(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = rng.normal(1e6, 1.0, size=(500, 2))
+    y = x @ np.array([1.0, -1.0]) + rng.normal(size=500)
+    df = spark.createDataFrame([(list(map(float, a)), float(b)) for a, b in zip(x, y)],
+                               "features array<double>, label double")
+    narrow = stats.moments(df, "features", "label", d=2)[None]
+    monkeypatch.setattr(stats, "WIDE_D", 1)
+    wide = stats.moments(df, "features", "label", d=2)[None]
+    np.testing.assert_allclose(wide.cov, narrow.cov, rtol=1e-6, atol=1e-8)
+    np.testing.assert_allclose(wide.cov[:2, :2], np.cov(x.T, bias=True), rtol=1e-6)
+
+
+def test_poly_size_from_metadata(spark, sf):
+    from cadenza.operators import features as fe
+    from cadenza.plans import fixtures as fx
+    from pyspark.ml import Pipeline
+    lines = fx.song_lines(spark, sf)
+    stages = fe.song_stages([1, 2, 3, 4]) + [fe.PolyExpansion(inputCol="features", outputCol="p")]
+    out = Pipeline(stages=stages).fit(lines).transform(lines)
+    assert out.schema["p"].metadata["vector_size"] == 14
+    assert len(out.select("p").first()[0]) == 14
