@@ -75,3 +75,12 @@ def sum_agg(a: ColumnOrName, size: int) -> list[Column]:
     (partial/final aggregation, no per-row arrays shipped)."""
     a = _c(a)
     return [F.sum(F.get(a, i)).alias(f"s{i}") for i in range(size)]
+
+
+def sum_by(df, a: str, size: int, keys: list[str]):
+    """Element-wise vector sums per key as long rows ``(keys..., i, s)``:
+    ``size`` partial/final sums per key, then one row per element."""
+    v = F.col(a)
+    wide = df.groupBy(*keys).agg(*[F.sum(F.get(v, i)).alias(f"s{i}") for i in range(size)])
+    return wide.select(*keys, F.posexplode(F.array(*[F.col(f"s{i}") for i in range(size)]))
+                       .alias("i", "s"))

@@ -79,5 +79,5 @@ SELECT max(year) AS max_year, min(year) AS min_year, avg(year) AS avg_year FROM
 
 
 def oracle_sql() -> dict[str, str]:
-    from . import oracles_io, oracles_ml  # noqa: F401
+    from . import oracles_io, oracles_ml, oracles_vec  # noqa: F401
     return dict(ORACLES)

@@ -81,8 +81,20 @@ SELECT part, count(*) AS n FROM part GROUP BY part"""))
 
 # --- gradient descent ----------------------------------------------------------
 
-def gd_sql(d: int, iters: int = 100, step: float = 1.0) -> str:
-    xs = [f"f{j + 1}" for j in range(d)]
+def bsum(terms: list[str]) -> str:
+    """Sum written as a balanced tree (keeps the SQL expression depth
+    logarithmic for wide vectors)."""
+    if len(terms) == 1:
+        return terms[0]
+    mid = len(terms) // 2
+    return f"({bsum(terms[:mid])} + {bsum(terms[mid:])})"
+
+
+def gd_sql(d: int, iters: int = 100, step: float = 1.0, xs: list[str] | None = None,
+           src: str = "train") -> str:
+    """CTEs ``g`` (Gram sums), ``it`` (weights per iteration) and ``hist``
+    (RMSE per iteration) for features ``xs`` (default f1..fd) of ``src``."""
+    xs = xs or [f"f{j + 1}" for j in range(d)]
     g_cols = ["count(*) AS n", "sum(y*y) AS yy"]
     g_cols += [f"sum({xs[i]}*{xs[j]}) AS a{i}_{j}" for i in range(d) for j in range(d) if i <= j]
     g_cols += [f"sum({xs[i]}*y) AS b{i}" for i in range(d)]
@@ -91,12 +103,12 @@ def gd_sql(d: int, iters: int = 100, step: float = 1.0) -> str:
         return f"a{min(i, j)}_{max(i, j)}"
 
     ws = [f"w{j}" for j in range(d)]
-    upd = [f"w{j} - {step}E0 * ({' + '.join(f'{a(j, k)}*w{k}' for k in range(d))} - b{j})"
+    upd = [f"w{j} - {step}E0 * ({bsum([f'{a(j, k)}*w{k}' for k in range(d)])} - b{j})"
            f" / (n * sqrt(i + 1))" for j in range(d)]
-    quad = " + ".join(f"w{i}*w{j}*{a(i, j)}" for i in range(d) for j in range(d))
-    lin = " + ".join(f"w{j}*b{j}" for j in range(d))
+    quad = bsum([f"w{i}*w{j}*{a(i, j)}" for i in range(d) for j in range(d)])
+    lin = bsum([f"w{j}*b{j}" for j in range(d)])
     return f"""
-g AS MATERIALIZED (SELECT {', '.join(g_cols)} FROM train),
+g AS MATERIALIZED (SELECT {', '.join(g_cols)} FROM {src}),
 it(i, {', '.join(ws)}) AS (
   SELECT 0, {', '.join('0.0E0' for _ in ws)}
   UNION ALL

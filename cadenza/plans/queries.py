@@ -160,5 +160,5 @@ for _name in SQL_TEXTS:
 
 def queries() -> dict[str, QueryFn]:
     # Import the modules that register more queries.
-    from . import queries_io, queries_ml  # noqa: F401
+    from . import queries_io, queries_ml, queries_vec  # noqa: F401
     return dict(REGISTRY)
