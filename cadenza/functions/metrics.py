@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark import keyword_only
+from pyspark.ml.evaluation import Evaluator
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasLabelCol, HasPredictionCol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,3 +33,27 @@ def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "p
 
 def rmse(df: DataFrame, label: str = "label", prediction: str = "prediction") -> float:
     return regression_metrics(df, label, prediction)["rmse"]
+
+
+class RegressionEvaluator(Evaluator, HasLabelCol, HasPredictionCol):
+    """``rmse`` / ``mse`` / ``mae`` of a scored frame in one aggregate,
+    usable wherever a ``pyspark.ml`` evaluator is (smaller is better)."""
+
+    metricName = Param(Params._dummy(), "metricName", "rmse, mse or mae",
+                       typeConverter=TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, metricName="rmse", labelCol="label", predictionCol="prediction"):
+        super().__init__()
+        self._setDefault(metricName="rmse", labelCol="label", predictionCol="prediction")
+        self._set(**self._input_kwargs)
+
+    def _evaluate(self, dataset):
+        name = self.getOrDefault(self.metricName)
+        if name not in ("rmse", "mse", "mae"):
+            raise ValueError(f"unknown metric {name}")
+        return float(regression_metrics(dataset, self.getLabelCol(),
+                                        self.getPredictionCol())[name])
+
+    def isLargerBetter(self) -> bool:
+        return False

@@ -272,3 +272,17 @@ def test_poly_size_from_metadata(spark, sf):
     out = Pipeline(stages=stages).fit(lines).transform(lines)
     assert out.schema["p"].metadata["vector_size"] == 14
     assert len(out.select("p").first()[0]) == 14
+
+
+@pytest.mark.parametrize("metric", ["rmse", "mse", "mae"])
+def test_regression_evaluator_matches_mllib(data, metric):
+    from pyspark.ml.evaluation import RegressionEvaluator as MLEval
+    from cadenza.functions.metrics import RegressionEvaluator
+    train, test = data
+    m = ElasticNet(featuresCol="features", labelCol="label_shifted", regParam=0.9,
+                   elasticNetParam=0.1).fit(train)
+    scored = m.transform(test)
+    ours = RegressionEvaluator(metricName=metric, labelCol="label_shifted").evaluate(scored)
+    theirs = MLEval(metricName=metric, labelCol="label_shifted").evaluate(scored)
+    assert ours == pytest.approx(theirs, rel=1e-9)
+    assert not RegressionEvaluator().isLargerBetter()
