@@ -17,6 +17,7 @@ import itertools
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -81,7 +82,6 @@ def cross_validate(df: DataFrame, estimator: ElasticNet, grid: list[dict],
 
 
 def _arr(xs):
-    import numpy as np
     return np.array(xs, dtype=float)
 
 
@@ -92,19 +92,18 @@ def _to_params(est: ElasticNet, g: dict) -> dict:
 def mllib_cross_validate(df: DataFrame, features: str, label: str, grid: list[dict],
                          fold_col: str = "fold", alpha: float = 0.1, parallelism: int = 4):
     """The same search with MLlib's ``CrossValidator`` (one fit per fold and
-    grid point), for comparison. Returns the fitted ``CrossValidatorModel``."""
+    grid point), for comparison. Returns the fitted ``CrossValidatorModel``;
+    its ``avgMetrics`` follow the order of ``grid``."""
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import LinearRegression
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from pyspark.ml.tuning import CrossValidator
     from pyspark.sql import functions as F
 
     data = df.select(array_to_vector(features).alias("_fv"), F.col(label).alias("_y"),
                      F.col(fold_col).cast("int").alias(fold_col))
     lr = LinearRegression(featuresCol="_fv", labelCol="_y", elasticNetParam=alpha)
-    maps = (ParamGridBuilder()
-            .addGrid(lr.maxIter, sorted({g["maxIter"] for g in grid}))
-            .addGrid(lr.regParam, sorted({g["regParam"] for g in grid})).build())
+    maps = [{lr.maxIter: int(g["maxIter"]), lr.regParam: float(g["regParam"])} for g in grid]
     ev = RegressionEvaluator(metricName="rmse", labelCol="_y", predictionCol="prediction")
     cv = CrossValidator(estimator=lr, estimatorParamMaps=maps, evaluator=ev,
                         foldCol=fold_col, parallelism=parallelism)

@@ -37,7 +37,7 @@ def _page_archives(spark, sf) -> str:
                 pages.withColumn("g", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE)),
                 "g", F.concat(F.col("page_id").cast("string"), F.lit(".html")), "html",
                 prefix="pages")
-            archive.write_files(packed, out)
+            archive.write_files(packed, storage.qualify(spark, out))
             storage.touch(spark, out + "/_SUCCESS")
     return out
 

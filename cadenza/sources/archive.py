@@ -94,8 +94,10 @@ def read_archives_streaming(spark: SparkSession, paths: list[str], suffix: str |
                             max_members: int | None = None,
                             repartition: int | None = None) -> DataFrame:
     """Like :func:`read_archives` for very large archives: each task opens
-    its path through ``pyarrow.fs`` (local, HDFS, S3, ...) and streams it."""
-    plist = list(dict.fromkeys(paths))
+    its path through ``pyarrow.fs`` (local, HDFS, S3, ...) and streams it.
+    Paths are qualified against the session's default file system first."""
+    from .storage import qualify
+    plist = list(dict.fromkeys(qualify(spark, p) for p in paths))
     pdf = spark.createDataFrame([(p,) for p in plist], "path string")
     pdf = pdf.repartition(max(1, len(plist)), "path")
 
@@ -168,7 +170,8 @@ def pack_archives(df: DataFrame, group_col, name_col, content_col,
 
 def write_files(files: DataFrame, out_dir: str) -> int:
     """Write each ``(path, content)`` row as a file named ``basename(path)``
-    under ``out_dir`` (any ``pyarrow.fs`` URI). A retried task rewrites the
+    under ``out_dir`` (any ``pyarrow.fs`` URI; pass a qualified one, see
+    :func:`cadenza.sources.storage.qualify`). A retried task rewrites the
     same names, so the result is idempotent. Returns the number of files."""
     out_dir = out_dir.rstrip("/")
 

@@ -25,3 +25,11 @@ def exists(spark: SparkSession, path: str) -> bool:
 def touch(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.create(p, True).close()
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified URI of ``path`` under the session's default file system
+    (``/x`` becomes ``hdfs://nn:8020/x`` on HDFS, ``file:/x`` locally), so
+    code outside the JVM (pyarrow in tasks) resolves it to the same place."""
+    fs, p = _fs(spark, path)
+    return str(fs.makeQualified(p).toString())

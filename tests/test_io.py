@@ -94,3 +94,11 @@ def test_fs_uri_forms(tmp_path):
     assert p == str(tmp_path)
     fsys, p = archive._fs_and_path(str(tmp_path))
     assert p == str(tmp_path)
+
+
+def test_qualify_paths(spark, tmp_path):
+    from cadenza.sources import storage
+    q = storage.qualify(spark, str(tmp_path))
+    assert q.startswith("file:") and q.endswith(str(tmp_path))
+    fsys, p = archive._fs_and_path(q)
+    assert p == str(tmp_path)

@@ -124,3 +124,9 @@ def test_landed_songs_prune_partitions(spark, sf):
     assert "ReadSchema: struct<>" in plan  # counting needs no data columns
     direct = E.queries()["songs_per_year"](spark, sf)
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_typed_songs_match_declared_schema(spark, sf):
+    s = songs.parse_songs(fx.song_lines(spark, sf)).drop("song_id")
+    assert [(f.name, f.dataType) for f in s.schema.fields] == \
+        [(f.name, f.dataType) for f in songs.SONG_SCHEMA.fields]
