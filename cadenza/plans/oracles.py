@@ -64,7 +64,7 @@ oracle("songs_per_year", with_ctes(SONG_CTE, body="""
 SELECT year, count(*) AS numberSongs FROM typed
 WHERE year BETWEEN 2000 AND 2010 GROUP BY year"""))
 oracle("first_rows", with_ctes(SONG_CTE, body="""
-SELECT * FROM typed ORDER BY song_id LIMIT 5"""))
+SELECT * FROM typed ORDER BY song_id, year, f1, f2, f3 LIMIT 5"""))
 oracle("bank_parse", with_ctes(BANK_CTE, body="SELECT * FROM bank"))
 oracle("bank_age_counts", with_ctes(BANK_CTE, body="""
 SELECT age, count(1) AS cnt FROM bank WHERE age < 70 GROUP BY age ORDER BY age"""))

@@ -130,3 +130,14 @@ def test_typed_songs_match_declared_schema(spark, sf):
     s = songs.parse_songs(fx.song_lines(spark, sf)).drop("song_id")
     assert [(f.name, f.dataType) for f in s.schema.fields] == \
         [(f.name, f.dataType) for f in songs.SONG_SCHEMA.fields]
+
+
+def test_counts_pre_aggregate_before_the_shuffle(spark):
+    # one key holds a third of the rows: the map side combines it before the exchange
+    df = spark.range(0, 30000).select((F.when(F.col("id") % 3 == 0, F.lit(2000))
+                                       .otherwise(F.col("id") % 50)).alias("year"))
+    out = profile.counts_by(df, "year", name="c")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
+    got = {r["year"]: r["c"] for r in out.collect()}
+    assert got[2000] == 10000 and sum(got.values()) == 30000
