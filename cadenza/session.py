@@ -44,25 +44,24 @@ def _is_local(spark: SparkSession) -> bool:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir``. Only a local session (tests, bench)
-    gets a private temporary folder when the setting is absent; a cluster
-    session without the setting is an error, because a machine-local folder
-    would not be visible to other executors.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint folder).
+    Only a local session (tests, bench) gets a private temporary folder when
+    neither is set; a cluster session without the setting is an error,
+    because a machine-local folder would not be visible to other executors.
     """
     conf = spark.sparkContext.getConf()
-    path = spark.conf.get(_CKPT_KEY, None) or conf.get(_CKPT_KEY, None)
-    if not path:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = jdir.get() if jdir.isDefined() else None
+    path = conf.get(_CKPT_KEY, None) or spark.conf.get(_CKPT_KEY, None)
+    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if not path and jdir.isDefined():
+        path = jdir.get()
     if not path:
         if not _is_local(spark):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder "
                 "(HDFS/S3/NFS) visible to every executor")
-        path = tempfile.mkdtemp(prefix="cadenza-ckpt-", dir="/tmp")
-        spark.conf.set(_CKPT_KEY, path)
-    # Keep RDD checkpointing (DataFrame.checkpoint) on the same folder.
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not jdir.isDefined():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cadenza-ckpt-", dir="/tmp"))
+        path = spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    elif not jdir.isDefined():
+        # keep DataFrame.checkpoint() on the same shared folder
         spark.sparkContext.setCheckpointDir(path)
     return path.rstrip("/")
