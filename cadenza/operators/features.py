@@ -63,10 +63,17 @@ class Tokenizer(Transformer, _Stage):
         if self.getOrDefault(self.toLowercase):
             s = F.lower(s)
         k = self.getOrDefault(self.minTokenLength)
-        parts = F.split(s, self.getOrDefault(self.pattern), -1)
-        if k <= 1:
+        pattern = self.getOrDefault(self.pattern)
+        parts = F.split(s, pattern, -1)
+        if k == 1:
             # dropping only empty tokens: a code-generated built-in
-            toks = parts if k <= 0 else F.array_remove(parts, "")
+            toks = F.array_remove(parts, "")
+        elif k <= 0:
+            # keep empty tokens except trailing ones, like a JVM regex split
+            # (a line of only separators has no tokens)
+            stripped = F.regexp_replace(s, f"(?:{pattern})+$", "")
+            toks = F.when((stripped == "") & (s != ""), F.array().cast("array<string>")) \
+                    .otherwise(F.split(stripped, pattern, -1))
         else:
             toks = F.filter(parts, lambda t: F.length(t) >= k)
         return df.withColumn(self.getOutputCol(), toks)

@@ -168,3 +168,16 @@ def test_dot_const_long_vectors_use_one_expression(spark):
     assert got == pytest.approx(float(np.dot(x, w)), rel=1e-12)
     got3 = df.select(V.dot_const(F.slice("a", 1, 3), w[:3]).alias("d")).first()["d"]
     assert got3 == pytest.approx(float(np.dot(x[:3], w[:3])), rel=1e-12)
+
+
+@pytest.mark.parametrize("min_len", [0, 1, 2])
+def test_tokenizer_token_lengths_match_mllib(spark, min_len):
+    from pyspark.ml.feature import RegexTokenizer
+    lines = ["a,,b,,", ",,", "", "x", ",lead,,mid,", "AB,cd,,e,fgh,,,"]
+    df = memory.from_lines(spark, lines)
+    ours = fe.Tokenizer(inputCol="value", outputCol="a", pattern=",",
+                        minTokenLength=min_len).transform(df)
+    both = RegexTokenizer(inputCol="value", outputCol="b", pattern=",",
+                          minTokenLength=min_len).transform(ours)
+    for r in both.collect():
+        assert r["a"] == r["b"], (r["value"], r["a"], r["b"])
