@@ -9,3 +9,18 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Pickle functions from this package by value when Spark ships them to
+    Python workers (mapInPandas/applyInPandas/pandas UDFs), so executors do
+    not need the package on their import path."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except (ImportError, AttributeError, ValueError):
+        pass
+
+
+_ship_by_value()
