@@ -44,10 +44,15 @@ def land(songs: DataFrame, path: str, partition_col: str = "year",
          max_records_per_file: int = 5_000_000) -> str:
     """Write typed songs as parquet partitioned by ``partition_col`` so later
     range filters on it prune whole directories (``PartitionFilters``) and
-    the text is parsed once. No shuffle: each task writes its own rows into
-    the partitions it holds, so a year with a third of all rows is still
-    written by every task in parallel; files are capped in size."""
-    (songs.write.mode("overwrite")
+    the text is parsed once.
+
+    The rows are rebalanced by ``partition_col`` first (a ``REBALANCE``
+    hint): one shuffle after which adaptive execution splits a hot year
+    (say a third of all rows) over several tasks and merges small ones, so
+    each year gets a few files of the advisory size instead of one file per
+    input task and year. ``max_records_per_file`` caps file size."""
+    (songs.hint("rebalance", partition_col)
+          .write.mode("overwrite")
           .option("maxRecordsPerFile", max_records_per_file)
           .partitionBy(partition_col).parquet(path))
     return path
