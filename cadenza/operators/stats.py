@@ -84,7 +84,7 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
     if d is None:
         d = feature_size(df, features)
     if d > WIDE_D:
-        return _moments_wide(df, features, label, d, by)
+        return _moments_wide(df, features, label, d, by, max_groups)
     xs = _vars(features, label, d)
     p = d + 1
     aggs = [F.count(F.lit(1)).alias("n"),
@@ -117,7 +117,8 @@ def _non_empty(out: dict) -> dict:
     return out
 
 
-def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | None) -> dict:
+def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | None,
+                  max_groups: int = MAX_GROUPS) -> dict:
     """Per-partition NumPy sums of ``z - c`` and ``(z - c)(z - c)^T`` for
     ``z = [x, y]`` emitted as matrix cells and summed by cell; rows never
     leave their partition. The shift ``c`` is one sample row, which keeps the
@@ -153,8 +154,10 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
                                 "v": np.concatenate([[n], s, ss[i, j]])})
 
     kt = src.schema[key].dataType.simpleString()
+    per_group = 1 + p + p * (p + 1) // 2
     cells = (src.mapInPandas(partial, f"{key} {kt}, i long, j long, v double")
-             .groupBy(key, "i", "j").agg(F.sum("v").alias("v")).collect())
+             .groupBy(key, "i", "j").agg(F.sum("v").alias("v"))
+             .limit((max_groups + 1) * per_group).collect())
     acc: dict = {}
     for r in cells:
         n, s, ss = acc.setdefault(r[key], [0.0, np.zeros(p), np.zeros((p, p))])
@@ -164,6 +167,8 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
             s[r["i"]] = r["v"]
         else:
             ss[r["i"], r["j"]] = ss[r["j"], r["i"]] = r["v"]
+    if len(acc) > max_groups:
+        raise ValueError(f"more than {max_groups} groups in '{by}'")
     out = {}
     for g, (n, s, ss) in acc.items():
         shifted_mean = s / n
