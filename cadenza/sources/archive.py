@@ -3,9 +3,10 @@
 gzip is not splittable, so one archive is one unit of work. Archives are
 spread over tasks by Spark's file scan (``binaryFile``) and unpacked in
 ``mapInPandas`` with the standard ``tarfile`` module; members are read in
-full (no short reads) and emitted in bounded Arrow batches, and the member
-rows are repartitioned afterwards so later stages are not limited to one
-task per archive.
+full (no short reads) and emitted in bounded Arrow batches. Unpacking one
+archive is inherently one task; pass ``repartition=n`` to spread the member
+rows afterwards, so per-member work downstream is not held in the task of
+an archive that holds a large share of all members.
 
 For archives above the 2 GB cell limit of ``binaryFile``,
 :func:`read_archives_streaming` opens each path inside its task through
@@ -99,7 +100,9 @@ def read_archives_streaming(spark: SparkSession, paths: list[str], suffix: str |
     from .storage import qualify
     plist = list(dict.fromkeys(qualify(spark, p) for p in paths))
     pdf = spark.createDataFrame([(p,) for p in plist], "path string")
-    pdf = pdf.repartition(max(1, len(plist)), "path")
+    # range partitioning over distinct paths: about one archive per task
+    # (hash partitioning could put two large archives into one task)
+    pdf = pdf.repartitionByRange(max(1, len(plist)), "path")
 
     def unpack(batches):
         def rows():
