@@ -2,9 +2,11 @@
 
 The workloads expect song lines (13 comma-separated numbers, field 0 the
 release year), bank lines (``;``-separated, quoted, with a header) and
-nested song records. They are derived lazily from ``lineitem`` and
-``customer`` with column expressions, so their size grows with the data and
-Catalyst prunes the unused columns at the scan.
+nested song records. They are derived from ``lineitem`` and ``customer``
+with column expressions, so their size grows with the data and Catalyst
+prunes unused columns at the scan. The song lines and records are written
+once into the shared checkpoint folder (keyed by input and derivation code)
+and scanned from there, like input files already in storage.
 """
 
 from __future__ import annotations
