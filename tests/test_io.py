@@ -102,3 +102,17 @@ def test_qualify_paths(spark, tmp_path):
     assert q.startswith("file:") and q.endswith(str(tmp_path))
     fsys, p = archive._fs_and_path(q)
     assert p == str(tmp_path)
+
+
+def test_pack_splits_a_hot_group_of_copies(spark, tmp_path):
+    # 1200 identical copies in one group: split into several archives, none lost
+    rows = [(0, "same.h5", "x" * 10)] * 1200 + [(1, f"m{i}.h5", "y") for i in range(5)]
+    df = spark.createDataFrame(rows, "g int, name string, body string")
+    packed = archive.pack_archives(df, "g", "name", "body", prefix="p", max_members=100)
+    names = sorted(r["path"] for r in packed.select("path").collect())
+    assert "p-1.tar.gz" in names and len([n for n in names if n.startswith("p-0-")]) >= 8
+    out = str(tmp_path / "hot")
+    archive.write_files(packed, out)
+    m = archive.read_archives(spark, out + "/*.tar.gz", suffix=".h5")
+    per = {r["path"].rsplit("/", 1)[-1]: r["count"] for r in m.groupBy("path").count().collect()}
+    assert sum(per.values()) == 1205 and max(per.values()) < 300
