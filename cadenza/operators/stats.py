@@ -87,7 +87,11 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
         return _moments_wide(df, features, label, d, by, max_groups)
     xs = _vars(features, label, d)
     p = d + 1
-    aggs = [F.count(F.lit(1)).alias("n"),
+    bad = None
+    for x in xs:  # a null or NaN anywhere would make the moments inconsistent
+        b = x.isNull() | F.isnan(x)
+        bad = b if bad is None else bad | b
+    aggs = [F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad"),
             F.min(F.size(features)).alias("dmin"), F.max(F.size(features)).alias("dmax")]
     aggs += [F.avg(xs[i]).alias(f"m{i}") for i in range(p)]
     aggs += [F.covar_pop(xs[i], xs[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i, p)]
@@ -99,6 +103,9 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
     for r in rows:
         if r["n"] == 0:
             continue
+        if r["bad"]:
+            raise ValueError(f"{r['bad']} rows with null or NaN features/label; "
+                             "clean or impute them first (e.g. nan_to_zero)")
         if r["dmin"] != d or r["dmax"] != d:
             raise ValueError(f"feature vectors must all have size {d}, "
                              f"found {r['dmin']}..{r['dmax']}")
@@ -144,7 +151,9 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
                 x = np.vstack(part["_x"].to_numpy())
                 if x.shape[1] != d:
                     raise ValueError(f"feature vectors must all have size {d}")
-                z = np.column_stack([x, part["_y"].to_numpy()]) - c
+                z = np.column_stack([x, part["_y"].to_numpy()]).astype(float) - c
+                if not np.all(np.isfinite(z)):
+                    raise ValueError("null or NaN features/label; clean or impute them first")
                 n, s, ss = acc.get(g, (0, np.zeros(p), np.zeros((p, p))))
                 acc[g] = (n + len(z), s + z.sum(axis=0), ss + z.T @ z)
         for g, (n, s, ss) in acc.items():

@@ -286,3 +286,16 @@ def test_regression_evaluator_matches_mllib(data, metric):
     theirs = MLEval(metricName=metric, labelCol="label_shifted").evaluate(scored)
     assert ours == pytest.approx(theirs, rel=1e-9)
     assert not RegressionEvaluator().isLargerBetter()
+
+
+def test_moments_reject_null_or_nan(spark, monkeypatch):
+    for rows in ([([1.0, 2.0], None), ([1.0, 3.0], 2.0)],
+                 [([1.0, float("nan")], 1.0), ([1.0, 3.0], 2.0)]):
+        df = spark.createDataFrame(rows, "features array<double>, label double")
+        with pytest.raises(ValueError):
+            stats.moments(df, "features", "label", d=2)
+    monkeypatch.setattr(stats, "WIDE_D", 1)
+    df = spark.createDataFrame([([1.0, float("nan")], 1.0), ([1.0, 3.0], 2.0)],
+                               "features array<double>, label double")
+    with pytest.raises(Exception):
+        stats.moments(df, "features", "label", d=2)
