@@ -131,8 +131,6 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
     leave their partition. The shift ``c`` is one sample row, which keeps the
     cancellation in ``cov = E[(z-c)(z-c)^T] - (mean-c)(mean-c)^T`` at the
     scale of the spread instead of the means."""
-    import pandas as pd
-
     p = d + 1
     key = by or "_g"
     src = df.select((F.col(by) if by else F.lit(0)).alias(key),
@@ -145,26 +143,42 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
         c = np.zeros(p)
 
     def partial(batches):
+        # Arrow batches: the list column flattens to one contiguous matrix,
+        # with no Python object per row
+        import pyarrow as pa
+        import pyarrow.compute as pc
         acc: dict = {}
-        for pdf in batches:
-            for g, part in pdf.groupby(key):
-                x = np.vstack(part["_x"].to_numpy())
-                if x.shape[1] != d:
-                    raise ValueError(f"feature vectors must all have size {d}")
-                z = np.column_stack([x, part["_y"].to_numpy()]).astype(float) - c
-                if not np.all(np.isfinite(z)):
-                    raise ValueError("null or NaN features/label; clean or impute them first")
-                n, s, ss = acc.get(g, (0, np.zeros(p), np.zeros((p, p))))
-                acc[g] = (n + len(z), s + z.sum(axis=0), ss + z.T @ z)
-        for g, (n, s, ss) in acc.items():
-            i, j = np.triu_indices(p)
-            yield pd.DataFrame({key: g, "i": np.concatenate([[-1], np.arange(p), i]),
-                                "j": np.concatenate([[-1], np.full(p, -1), j]),
-                                "v": np.concatenate([[n], s, ss[i, j]])})
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            xs = batch.column("_x")
+            if pc.any(pc.is_null(xs)).as_py() or \
+                    pc.min(pc.list_value_length(xs)).as_py() != d or \
+                    pc.max(pc.list_value_length(xs)).as_py() != d:
+                raise ValueError(f"feature vectors must all be non-null with size {d}")
+            x = xs.flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            y = batch.column("_y").to_numpy(zero_copy_only=False)
+            z = np.column_stack([x, y]).astype(float) - c
+            if not np.all(np.isfinite(z)):
+                raise ValueError("null or NaN features/label; clean or impute them first")
+            keys = batch.column(key).to_numpy(zero_copy_only=False)
+            for g in np.unique(keys):
+                zg = z[keys == g]
+                n, s_, ss = acc.get(g, (0, np.zeros(p), np.zeros((p, p))))
+                acc[g] = (n + len(zg), s_ + zg.sum(axis=0), ss + zg.T @ zg)
+        i, j = np.triu_indices(p)
+        for g, (n, s_, ss) in acc.items():
+            m = 1 + p + len(i)
+            yield pa.RecordBatch.from_pydict({
+                key: pa.array([g] * m).cast(out_key_type),
+                "i": np.concatenate([[-1], np.arange(p), i]).astype(np.int64),
+                "j": np.concatenate([[-1], np.full(p, -1), j]).astype(np.int64),
+                "v": np.concatenate([[n], s_, ss[i, j]]).astype(float)})
 
     kt = src.schema[key].dataType.simpleString()
+    out_key_type = _arrow_type(src.schema[key].dataType)
     per_group = 1 + p + p * (p + 1) // 2
-    cells = (src.mapInPandas(partial, f"{key} {kt}, i long, j long, v double")
+    cells = (src.mapInArrow(partial, f"{key} {kt}, i long, j long, v double")
              .groupBy(key, "i", "j").agg(F.sum("v").alias("v"))
              .limit((max_groups + 1) * per_group).collect())
     acc: dict = {}
@@ -186,6 +200,19 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
     return _non_empty(out)
 
 
+def _arrow_type(dt):
+    """Arrow type for a Spark key column of the per-group statistics."""
+    import pyarrow as pa
+    from pyspark.sql import types as T
+    mapping = {T.IntegerType: pa.int32(), T.LongType: pa.int64(), T.ShortType: pa.int16(),
+               T.ByteType: pa.int8(), T.StringType: pa.string(), T.DoubleType: pa.float64(),
+               T.BooleanType: pa.bool_()}
+    for cls, at in mapping.items():
+        if isinstance(dt, cls):
+            return at
+    raise TypeError(f"unsupported group key type {dt.simpleString()}")
+
+
 def total(ms: dict) -> Moments:
     it = iter(ms.values())
     acc = next(it)
