@@ -2,7 +2,7 @@
 
 gzip is not splittable, so one archive is one unit of work. Archives are
 spread over tasks by Spark's file scan (``binaryFile``) and unpacked in
-``mapInPandas`` with the standard ``tarfile`` module; members are read in
+``mapInArrow`` with the standard ``tarfile`` module; members are read in
 full (no short reads) and emitted in bounded Arrow batches. Unpacking one
 archive is inherently one task; pass ``repartition=n`` to spread the member
 rows afterwards, so per-member work downstream is not held in the task of
@@ -51,16 +51,26 @@ def _members(tar: tarfile.TarFile, path: str, suffix: str | None, max_members: i
         yield path, info.name, info.size, data
 
 
+def _arrow_batch(buf):
+    import pyarrow as pa
+    cols = list(zip(*buf))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
+         pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())],
+        names=["path", "member", "size", "content"])
+
+
 def _batched(rows):
+    """Member rows as Arrow record batches of bounded rows and bytes."""
     buf, nbytes = [], 0
     for r in rows:
         buf.append(r)
         nbytes += r[2]
         if len(buf) >= _BATCH_ROWS or nbytes >= _BATCH_BYTES:
-            yield pd.DataFrame(buf, columns=["path", "member", "size", "content"])
+            yield _arrow_batch(buf)
             buf, nbytes = [], 0
     if buf:
-        yield pd.DataFrame(buf, columns=["path", "member", "size", "content"])
+        yield _arrow_batch(buf)
 
 
 def extract_members(archives: DataFrame, suffix: str | None = ".h5",
@@ -73,13 +83,16 @@ def extract_members(archives: DataFrame, suffix: str | None = ".h5",
 
     def unpack(batches):
         def rows():
-            for pdf in batches:
-                for path, content in zip(pdf["path"], pdf["content"]):
+            for batch in batches:
+                paths = batch.column("path").to_pylist()
+                contents = batch.column("content")
+                for k, path in enumerate(paths):
+                    content = contents[k].as_py()
                     with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
                         yield from _members(tar, path, suffix, max_members)
         yield from _batched(rows())
 
-    out = src.mapInPandas(unpack, MEMBER_SCHEMA)
+    out = src.mapInArrow(unpack, MEMBER_SCHEMA)
     return out.repartition(repartition) if repartition else out
 
 
@@ -107,14 +120,14 @@ def read_archives_streaming(spark: SparkSession, paths: list[str], suffix: str |
     def unpack(batches):
         def rows():
             for b in batches:
-                for path in b["path"]:
+                for path in b.column("path").to_pylist():
                     fsys, inner = _fs_and_path(path)
                     with fsys.open_input_stream(inner) as stream:
                         with tarfile.open(fileobj=stream, mode="r|*") as tar:
                             yield from _members(tar, path, suffix, max_members)
         yield from _batched(rows())
 
-    out = pdf.mapInPandas(unpack, MEMBER_SCHEMA)
+    out = pdf.mapInArrow(unpack, MEMBER_SCHEMA)
     return out.repartition(repartition) if repartition else out
 
 
