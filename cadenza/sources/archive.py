@@ -146,6 +146,7 @@ def _fs_and_path(uri: str):
 # --- building archives (fixtures and tests) ------------------------------------
 
 ARCHIVE_SCHEMA = "path string, content binary"
+BROADCAST_MAX_GROUPS = 200_000  # size bound for broadcasting the group counts
 
 
 def pack_archives(df: DataFrame, group_col, name_col, content_col,
@@ -169,8 +170,14 @@ def pack_archives(df: DataFrame, group_col, name_col, content_col,
                     col(content_col).alias("data"),
                     F.monotonically_increasing_id().alias("_rid"))
     counts = src.groupBy("g").agg(F.count(F.lit(1)).alias("_n"))
+    # the counts have one row per group: broadcast them when that is checked
+    # to be small (no shuffle of the content for the join), else a shuffle
+    # join whose hot partition adaptive skew handling splits
+    n_groups = counts.count()
+    if n_groups <= BROADCAST_MAX_GROUPS:
+        counts = F.broadcast(counts)
     parts = F.ceil(F.col("_n") / F.lit(max_members))
-    src = (src.join(counts, "g")  # adaptive skew-join handling splits a hot group
+    src = (src.join(counts, "g")
               .withColumn("s", F.when(parts <= 1, F.lit(0))
                           .otherwise(F.pmod(F.xxhash64("_rid"), parts).cast("int")))
               .select("g", "s", "name", "data"))

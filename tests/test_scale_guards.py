@@ -17,8 +17,14 @@ def _hits(pattern):
             if rx.search(line) and not line.lstrip().startswith("#")]
 
 
-def test_no_local_checkpoint_cross_join_or_broadcast():
-    assert _hits(r"localCheckpoint|crossJoin|\bbroadcast\(") == []
+def test_no_local_checkpoint_or_cross_join():
+    assert _hits(r"localCheckpoint|crossJoin") == []
+
+
+def test_broadcasts_are_behind_a_size_check():
+    for f, line in _hits(r"\bbroadcast\("):
+        text = SOURCES[LIB / f]
+        assert f == "sources/archive.py" and "BROADCAST_MAX_GROUPS" in text, (f, line)
 
 
 def test_rdd_api_only_for_partition_counts():
