@@ -17,7 +17,8 @@ def squared_error(label: ColumnOrName, prediction: ColumnOrName) -> Column:
     return e * e
 
 
-def error_aggs(label: ColumnOrName = "label", prediction: ColumnOrName = "prediction") -> list[Column]:
+def error_aggs(label: ColumnOrName = "label",
+               prediction: ColumnOrName = "prediction") -> list[Column]:
     """``rmse``, ``mse``, ``mae``, ``n`` as aggregate columns."""
     e = _c(label) - _c(prediction)
     mse = F.avg(e * e)

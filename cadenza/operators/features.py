@@ -231,7 +231,8 @@ class PolyExpansion(Transformer, _Stage):
     from the input column's metadata (set by the slicer stages), else from
     the first row."""
 
-    degree = Param(Params._dummy(), "degree", "polynomial degree", typeConverter=TypeConverters.toInt)
+    degree = Param(Params._dummy(), "degree", "polynomial degree",
+                   typeConverter=TypeConverters.toInt)
     numFeatures = Param(Params._dummy(), "numFeatures", "input vector size",
                         typeConverter=TypeConverters.toInt)
 

@@ -116,7 +116,8 @@ class GradientDescentModel(Model, _GDParams, DefaultParamsReadable, DefaultParam
     weights = Param(Params._dummy(), "weights", "learned weights",
                     typeConverter=TypeConverters.toListFloat)
     trainingError = Param(Params._dummy(), "trainingError",
-                          "training RMSE before each update", typeConverter=TypeConverters.toListFloat)
+                          "training RMSE before each update",
+                          typeConverter=TypeConverters.toListFloat)
     finalError = Param(Params._dummy(), "finalError", "training RMSE of the returned weights",
                        typeConverter=TypeConverters.toFloat)
 

@@ -109,7 +109,8 @@ class ElasticNet(Estimator, _ENParams, DefaultParamsReadable, DefaultParamsWrita
 class LinearModel(Model, _ENParams, DefaultParamsReadable, DefaultParamsWritable):
     coefficients = Param(Params._dummy(), "coefficients", "coefficients",
                          typeConverter=TypeConverters.toListFloat)
-    intercept = Param(Params._dummy(), "intercept", "intercept", typeConverter=TypeConverters.toFloat)
+    intercept = Param(Params._dummy(), "intercept", "intercept",
+                      typeConverter=TypeConverters.toFloat)
 
     @keyword_only
     def __init__(self, coefficients=None, intercept=0.0):

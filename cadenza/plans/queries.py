@@ -135,7 +135,8 @@ def q_bank_csv_age_counts(spark, sf):
 SQL_TEXTS = {
     "sql_song_count": "select count(*) as n from song",
     "sql_songs_1998_2000": "select count(*) as n from song where year>=1998 and year<=2000",
-    "sql_year_profile": "select max(year) as max_year, min(year) as min_year, avg(year) as avg_year from song",
+    "sql_year_profile": ("select max(year) as max_year, min(year) as min_year, "
+                         "avg(year) as avg_year from song"),
     "sql_songs_per_year": ("select year, count(*) as numberSongs from song "
                            "where year between 2000 and 2010 group by year"),
     "sql_bank_age_counts": ("select age, count(1) as cnt from bank where age < 70 "
