@@ -119,6 +119,13 @@ hist AS (SELECT i, sqrt(greatest(({quad}) - 2*({lin}) + yy, 0) / n) AS rmse FROM
 
 GD = gd_sql(3)
 oracle("gd_weights", with_ctes(SONG_CTE, SPLIT_CTE, GD, body=f"""
+SELECT CAST(j AS INTEGER) AS i, round(w, {R}) AS weight FROM (
+  SELECT unnest([0, 1, 2]) AS j, unnest([w0, w1, w2]) AS w FROM it WHERE i = 100)"""))
+# parity: label shifted by the minimum over all rows (before the split)
+SPLIT_ALLMIN_CTE = SPLIT_CTE.replace(
+    "mn AS (SELECT min(year) AS m FROM part WHERE part = 'train')",
+    "mn AS (SELECT min(year) AS m FROM part)")
+oracle("gd_weights_parity", with_ctes(SONG_CTE, SPLIT_ALLMIN_CTE, GD, body=f"""
 SELECT CAST(j AS INTEGER) AS i, round(w, {R}) AS weight FROM (
   SELECT unnest([0, 1, 2]) AS j, unnest([w0, w1, w2]) AS w FROM it WHERE i = 100)"""))
 oracle("gd_history", with_ctes(SONG_CTE, SPLIT_CTE, GD, body=f"""

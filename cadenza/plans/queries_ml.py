@@ -176,6 +176,21 @@ def _gd(spark, sf):
     return pm.stages[-1], pm.transform(train_l), pm.transform(test_l)
 
 
+@query("gd_weights_parity")
+def q_gd_weights_parity(spark, sf):
+    """The reference's order: label minimum over ALL rows before the split
+    (fixed-offset MinShift), then gradient descent on the training rows.
+    Without an intercept this changes the weights."""
+    lines = fx.song_lines(spark, sf)
+    labels = Pipeline(stages=fe.song_stages(FEATURES_3)[:4]).fit(lines).transform(lines)
+    all_min = fe.MinShift(inputCol="label", outputCol="s").fit(labels).getOrDefault("offset")
+    train_l, _ = sp.hash_split(lines, KEY, [0.8, 0.2])
+    stages = fe.song_stages(FEATURES_3, label_offset=all_min) + [GradientDescentRegression(
+        featuresCol="features", labelCol="label_shifted", maxIter=GD_ITERS, stepSize=GD_STEP)]
+    model = Pipeline(stages=stages).fit(train_l).stages[-1]
+    return model.weights_frame(spark).select(F.col("i"), _round(F.col("weight"), "weight"))
+
+
 @query("gd_weights")
 def q_gd_weights(spark, sf):
     model, _, _ = _gd(spark, sf)

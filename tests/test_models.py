@@ -299,3 +299,21 @@ def test_moments_reject_null_or_nan(spark, monkeypatch):
                                "features array<double>, label double")
     with pytest.raises(Exception):
         stats.moments(df, "features", "label", d=2)
+
+
+def test_min_over_all_rows_changes_gd_weights_without_intercept(spark):
+    # the smallest label sits in the test rows: learning the minimum on the
+    # training rows vs on all rows shifts the labels differently, and GD
+    # (no intercept) ends at different weights
+    from pyspark.ml import Pipeline
+    from cadenza.operators import features as fe
+    rows = [([0.2, 0.4], 10.0), ([0.5, 0.1], 12.0), ([0.9, 0.3], 15.0), ([0.3, 0.8], 11.0)]
+    train = spark.createDataFrame(rows, "features array<double>, label double")
+    all_min = 5.0  # e.g. from a held-out row
+    def fit(offset):
+        stages = [fe.MinShift(inputCol="label", outputCol="y", offset=offset),
+                  GradientDescentRegression(featuresCol="features", labelCol="y")]
+        return Pipeline(stages=stages).fit(train).stages[-1].getWeights()
+    learned = Pipeline(stages=[fe.MinShift(inputCol="label", outputCol="y")]).fit(train)
+    assert learned.stages[0].getOrDefault("offset") == 10.0
+    assert not np.allclose(fit(all_min), fit(10.0))
