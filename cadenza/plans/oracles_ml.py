@@ -194,6 +194,14 @@ coef AS (SELECT {kq}cd.reg, {c0}, {', '.join(unscale)}
          FROM cd JOIN st ON {on2} WHERE cd.i = {rounds})"""
 
 
+def enet_sql_named(prefix: str, *args, **kwargs) -> str:
+    """:func:`enet_sql` with its CTEs renamed ``{prefix}st``/``cd``/``coef``,
+    so several fits can share one statement."""
+    import re
+    sql = enet_sql(*args, **kwargs)
+    return re.sub(r"\b(st|cd|coef)\b", lambda m: prefix + m.group(1), sql)
+
+
 def _pred(xs: list[str]) -> str:
     return "c0 + " + " + ".join(f"c{j + 1}*{e}" for j, e in enumerate(xs))
 
@@ -252,3 +260,17 @@ ORDER BY avg_rmse, max_iter, reg_param LIMIT 1"""))
 _en, _body = cv_sql(X3, CD_ROUNDS[3], label_offset="(SELECT m FROM mn)")
 oracle("cv_parity_metrics", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, body=f"""
 SELECT max_iter, reg_param, {rd('avg_rmse', 'avg_rmse')} FROM grid"""))
+
+
+# best CV setting refitted on all training rows: training summary and test RMSE
+_en, _body = cv_sql(X3, CD_ROUNDS[3])
+_full = enet_sql_named("full_", X3, "train", [], "unnest([" + ", ".join(
+    f"{r}E0" for r in GRID_REG) + "])", CD_ROUNDS[3])
+_BEST = """
+best AS (SELECT reg_param AS reg FROM grid ORDER BY avg_rmse, max_iter, reg_param LIMIT 1),
+best_coef AS (SELECT f.* FROM full_coef f JOIN best b ON f.reg = b.reg)"""
+oracle("cv_best_train_metrics", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, _full, _BEST, body=f"""
+SELECT {rd('sqrt(avg(e*e))', 'rmse')}, {rd('avg(e*e)', 'mse')}, {rd('avg(abs(e))', 'mae')}
+FROM (SELECT y - ({_pred(X3)}) AS e FROM train, best_coef)"""))
+oracle("cv_best_test_rmse", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, _full, _BEST, body=f"""
+SELECT {rd('sqrt(avg((y - (' + _pred(X3) + '))^2))', 'rmse')} FROM test, best_coef"""))

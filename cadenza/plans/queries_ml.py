@@ -288,10 +288,11 @@ def q_poly_enet_test_rmse(spark, sf):
 
 # --- cross-validation ----------------------------------------------------------
 
-def _cv(spark, sf, poly: bool = False, parity: bool = False):
+def _cv(spark, sf, poly: bool = False, parity: bool = False, with_test: bool = False):
     """Grid x 3-fold CV on the training rows, featurised once. ``parity``
     scores against the unshifted year, like an evaluator left on the
-    default label column."""
+    default label column. ``with_test`` also returns the featurised
+    training and test rows."""
     lines = fx.song_lines(spark, sf)
     train_l, _ = sp.hash_split(lines, KEY, [0.8, 0.2])
     stages = fe.song_stages(FEATURES_3)
@@ -303,8 +304,12 @@ def _cv(spark, sf, poly: bool = False, parity: bool = False):
     offset = pm.stages[4].getOrDefault("offset") if parity else 0.0
     est = ElasticNet(featuresCol="polyfeatures" if poly else "features",
                      labelCol="label_shifted", elasticNetParam=ALPHA)
-    return cross_validate(train, est, param_grid(GRID_MAX_ITER, GRID_REG), fold_col="fold",
-                          eval_label_offset=offset)
+    res = cross_validate(train, est, param_grid(GRID_MAX_ITER, GRID_REG), fold_col="fold",
+                         eval_label_offset=offset)
+    if with_test:
+        _, test_l = sp.hash_split(lines, KEY, [0.8, 0.2])
+        return res, train, pm.transform(test_l)
+    return res
 
 
 def _cv_metrics(spark, sf, poly=False, parity=False):
@@ -344,3 +349,19 @@ def q_poly_cv_metrics(spark, sf):
 @query("poly_cv_best")
 def q_poly_cv_best(spark, sf):
     return _cv_best(spark, sf, poly=True)
+
+
+@query("cv_best_train_metrics")
+def q_cv_best_train_metrics(spark, sf):
+    """Training summary (rmse, mse, mae) of the best CV setting refitted on
+    all training rows."""
+    res, train, _ = _cv(spark, sf, with_test=True)
+    m = res.best_model.evaluate(train)
+    return m.select(*[_round(F.col(c), c) for c in ("rmse", "mse", "mae")])
+
+
+@query("cv_best_test_rmse")
+def q_cv_best_test_rmse(spark, sf):
+    """Hold-out RMSE of the best CV model."""
+    res, _, test = _cv(spark, sf, with_test=True)
+    return res.best_model.evaluate(test).select(_round(F.col("rmse"), "rmse"))
