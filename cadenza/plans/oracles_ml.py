@@ -274,3 +274,10 @@ SELECT {rd('sqrt(avg(e*e))', 'rmse')}, {rd('avg(e*e)', 'mse')}, {rd('avg(abs(e))
 FROM (SELECT y - ({_pred(X3)}) AS e FROM train, best_coef)"""))
 oracle("cv_best_test_rmse", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, _full, _BEST, body=f"""
 SELECT {rd('sqrt(avg((y - (' + _pred(X3) + '))^2))', 'rmse')} FROM test, best_coef"""))
+
+_pen, _pbody = cv_sql(POLY_EXPR, CD_ROUNDS[9])
+_pfull = enet_sql_named("full_", POLY_EXPR, "train", [], "unnest([" + ", ".join(
+    f"{r}E0" for r in GRID_REG) + "])", CD_ROUNDS[9])
+oracle("poly_cv_best_test_rmse", with_ctes(SONG_CTE, SPLIT_CTE, _pen, _pbody, _pfull, _BEST,
+                                           body=f"""
+SELECT {rd('sqrt(avg((y - (' + _pred(POLY_EXPR) + '))^2))', 'rmse')} FROM test, best_coef"""))

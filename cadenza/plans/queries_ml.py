@@ -365,3 +365,10 @@ def q_cv_best_test_rmse(spark, sf):
     """Hold-out RMSE of the best CV model."""
     res, _, test = _cv(spark, sf, with_test=True)
     return res.best_model.evaluate(test).select(_round(F.col("rmse"), "rmse"))
+
+
+@query("poly_cv_best_test_rmse")
+def q_poly_cv_best_test_rmse(spark, sf):
+    """Hold-out RMSE of the best CV model on degree-2 polynomial features."""
+    res, _, test = _cv(spark, sf, poly=True, with_test=True)
+    return res.best_model.evaluate(test).select(_round(F.col("rmse"), "rmse"))
