@@ -124,6 +124,10 @@ class ColumnFn(Transformer, _Stage):
         that = ColumnFn(self.fn, self.getInputCol(), self.getOutputCol())
         return self._copyValues(that, extra)
 
+    def write(self):
+        raise NotImplementedError("ColumnFn holds a Python function and cannot be saved; "
+                                  "rebuild it in code after loading the other stages")
+
 
 class PandasArrayFn(Transformer, _Stage):
     """Arbitrary Python over vectors, vectorised: ``fn`` receives a batch as a
@@ -152,6 +156,10 @@ class PandasArrayFn(Transformer, _Stage):
         that = PandasArrayFn(self.fn, self.getInputCol(), self.getOutputCol())
         return self._copyValues(that, extra)
 
+    def write(self):
+        raise NotImplementedError("PandasArrayFn holds a Python function and cannot be "
+                                  "saved; rebuild it in code after loading the other stages")
+
 
 class ElementToDouble(Transformer, _Stage):
     """One vector element as a ``double`` column (default element 0)."""

@@ -181,3 +181,9 @@ def test_tokenizer_token_lengths_match_mllib(spark, min_len):
                           minTokenLength=min_len).transform(ours)
     for r in both.collect():
         assert r["a"] == r["b"], (r["value"], r["a"], r["b"])
+
+
+def test_function_stages_refuse_to_save(tmp_path):
+    for st in (fe.ColumnFn(lambda c: c, "x", "y"), fe.PandasArrayFn(lambda m: m[:, 0], "v", "y")):
+        with pytest.raises(NotImplementedError):
+            st.write().save(str(tmp_path / "s"))
