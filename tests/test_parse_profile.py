@@ -141,3 +141,13 @@ def test_counts_pre_aggregate_before_the_shuffle(spark):
     assert "partial_count" in plan
     got = {r["year"]: r["c"] for r in out.collect()}
     assert got[2000] == 10000 and sum(got.values()) == 30000
+
+
+def test_text_lines_gzip_round_trip(spark, sf, tmp_path):
+    lines = fx.song_lines(spark, sf, with_id=False)
+    path = text.write_lines(lines, str(tmp_path / "gz"), compression="gzip")
+    import glob
+    assert glob.glob(path + "/*.txt.gz")
+    back = text.read_lines(spark, path)
+    assert back.count() == lines.count()
+    assert back.exceptAll(lines).count() == 0
