@@ -37,18 +37,59 @@ def _typed(spark: SparkSession, sf: str, n_features: int = 3) -> DataFrame:
 
 
 
-# --- scans, parsing, profiling ------------------------------------------------
+# --- input tables written once into the shared folder ------------------------
 
-@query("text_scan_count")
-def q_text_scan_count(spark, sf):
-    """Song lines written once as text files in the shared folder, then
-    scanned back with the line source and counted."""
+def song_text_path(spark: SparkSession, sf: str) -> str:
+    """The song lines as text files (for the line scan)."""
     lines = fx.song_lines(spark, sf, with_id=False)
     tag = fx.input_tag(sf, fx._mod_feature, fx._song_exprs, fx.song, fx.derive_song_lines)
     path = f"{checkpoint_root(spark)}/cadenza/song_text_{tag}"
     with storage.MATERIALIZE_LOCK:
         text.materialize_lines(spark, lines, path)
-    return profile.count_rows(text.read_lines(spark, path))
+    return path
+
+
+def landed_songs_path(spark: SparkSession, sf: str) -> str:
+    """Typed songs as year-partitioned parquet."""
+    tag = fx.input_tag(sf, fx._mod_feature, fx._song_exprs, fx.song, fx.derive_song_lines,
+                       songs.parse_songs, songs.land)
+    path = f"{checkpoint_root(spark)}/cadenza/landed_songs_{tag}"
+    with storage.MATERIALIZE_LOCK:
+        if not storage.exists(spark, path + "/_SUCCESS"):
+            songs.land(_typed(spark, sf), path)
+    return path
+
+
+def bank_csv_path(spark: SparkSession, sf: str) -> str:
+    """Bank records as delimited files (header in each part, fields quoted)."""
+    tag = fx.input_tag(sf, fx.bank_lines, fx._q, delimited.write_delimited)
+    path = f"{checkpoint_root(spark)}/cadenza/bank_csv_{tag}"
+    with storage.MATERIALIZE_LOCK:
+        if not storage.exists(spark, path + "/_SUCCESS"):
+            full = delimited.parse_delimited(fx.bank_lines(spark, sf), columns=None)
+            delimited.write_delimited(full, path)
+    return path
+
+
+def prepare_inputs(spark: SparkSession, sf: str) -> None:
+    """Write every derived input table once (a no-op when they exist), so
+    query timings do not include this one-time setup."""
+    from .queries_io import _page_archives
+    fx.song_lines(spark, sf)
+    fx.song_record(spark, sf)
+    song_text_path(spark, sf)
+    landed_songs_path(spark, sf)
+    bank_csv_path(spark, sf)
+    _page_archives(spark, sf)
+
+
+# --- scans, parsing, profiling ------------------------------------------------
+
+@query("text_scan_count")
+def q_text_scan_count(spark, sf):
+    """Song lines written once as text files in the shared folder, then
+    scanned back with the line source and counted."""
+    return profile.count_rows(text.read_lines(spark, song_text_path(spark, sf)))
 
 
 @query("split_line")
@@ -86,13 +127,7 @@ def q_songs_per_year(spark, sf):
 def q_landed_songs_per_year(spark, sf):
     """Songs per year 2000-2010 from typed songs landed once as parquet
     partitioned by year: the year filter prunes partitions at the scan."""
-    tag = fx.input_tag(sf, fx._mod_feature, fx._song_exprs, fx.song, fx.derive_song_lines,
-                       songs.parse_songs, songs.land)
-    path = f"{checkpoint_root(spark)}/cadenza/landed_songs_{tag}"
-    with storage.MATERIALIZE_LOCK:
-        if not storage.exists(spark, path + "/_SUCCESS"):
-            songs.land(_typed(spark, sf), path)
-    landed = spark.read.parquet(path)
+    landed = spark.read.parquet(landed_songs_path(spark, sf))
     return profile.counts_by(landed, "year", where=F.col("year").between(2000, 2010),
                              name="numberSongs")
 
@@ -118,13 +153,7 @@ def q_bank_age_counts(spark, sf):
 def q_bank_csv_age_counts(spark, sf):
     """Bank records written once as delimited files (header in each part,
     all fields quoted) in the shared folder, read back with the CSV reader."""
-    tag = fx.input_tag(sf, fx.bank_lines, fx._q, delimited.write_delimited)
-    path = f"{checkpoint_root(spark)}/cadenza/bank_csv_{tag}"
-    with storage.MATERIALIZE_LOCK:
-        if not storage.exists(spark, path + "/_SUCCESS"):
-            full = delimited.parse_delimited(fx.bank_lines(spark, sf), columns=None)
-            delimited.write_delimited(full, path)
-    bank = delimited.read_delimited(spark, path)
+    bank = delimited.read_delimited(spark, bank_csv_path(spark, sf))
     return profile.counts_by(bank, "age", where=F.col("age") < 70, name="cnt", order=True)
 
 
