@@ -1,10 +1,12 @@
 import pytest
 
 import __spark_entry__ as E
+from cadenza.plans.oracles import oracle_sql
+from cadenza.plans.queries import queries
 
 
 def test_every_query_has_an_oracle():
-    q, o = E.queries(), E.oracle_sql()
+    q, o = queries(), oracle_sql()
     assert set(q) == set(o)
     assert len(q) >= 40
 
@@ -28,13 +30,13 @@ def duck(sf):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle_small(spark, sf, duck, name):
     """Every registered query against its SQL oracle at sf0.001: same
     column names and the same multiset of rows (the gate, in the suite)."""
-    sdf = E.queries()[name](spark, sf)
+    sdf = queries()[name](spark, sf)
     srows = sorted(repr(tuple(r[c] for c in sorted(sdf.columns))) for r in sdf.collect())
-    rel = duck.execute(E.oracle_sql()[name])
+    rel = duck.execute(oracle_sql()[name])
     cols = [d[0] for d in rel.description]
     assert sorted(cols) == sorted(sdf.columns)
     order = sorted(range(len(cols)), key=lambda i: cols[i])
