@@ -44,7 +44,8 @@ def checkpoint_ready(spark: SparkSession) -> None:
 
 def with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
     """``docs`` (``keyed``) joined with one row of lists per (id, t32). The
-    lists are the build side, so the texts are shuffled once and never sorted."""
+    lists are the build side, so the texts are never sorted, and two joins of
+    the same ``docs`` share one shuffle of them."""
     return docs.join(lists.hint("shuffle_hash"), ["id", "t32"], how)
 
 

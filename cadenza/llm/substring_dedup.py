@@ -67,8 +67,35 @@ def _anchor_blobs(docs: DataFrame, block: int) -> DataFrame:
     return docs.select("id", "t32", "text").mapInArrow(run, blobs.PROBED)
 
 
-#: kind 0: occurrences to compare; kind 1: occurrences a slice has marked itself.
-_OCCURRENCES = "p int, kind int, h1 binary, h2 binary, id binary, t32 binary, pos binary"
+#: Occurrences of windows, by stretches of consecutive starts in one row: ``id``,
+#: ``t32``, ``start`` and ``size`` per stretch, ``h1`` and ``h2`` per window.
+#: kind 0: to compare; kind 1 (no hashes): a slice has marked them itself.
+_OCCURRENCES = "p int, kind int, h1 binary, h2 binary, id binary, t32 binary, start binary, size binary"
+
+
+def _stretches(p, kind, a, b, ids, t32, pos, row, n):
+    """Rows of _OCCURRENCES for windows sorted by (row, pos)."""
+    order = np.argsort(p, kind="stable")
+    p, a, b, ids, t32, pos, row = (x[order] for x in (p, a, b, ids, t32, pos, row))
+    new = np.ones(len(p), dtype=bool)
+    new[1:] = (p[1:] != p[:-1]) | (row[1:] != row[:-1]) | (pos[1:] != pos[:-1] + 1)
+    first = np.nonzero(new)[0]
+    size = np.diff(np.append(first, len(p))).astype(np.int32)
+    at = np.searchsorted(p, np.arange(n + 1, dtype=p.dtype))
+    at_first = np.searchsorted(first, at)
+    for i in np.nonzero(np.diff(at))[0]:
+        s, e, f = at[i], at[i + 1], slice(at_first[i], at_first[i + 1])
+        hashes = (a[s:e].tobytes(), b[s:e].tobytes()) if kind == 0 else (b"", b"")
+        lead = first[f]
+        yield (int(i), kind, *hashes, *(blobs.planes(x) for x in (ids[lead], t32[lead], pos[lead], size[f])))
+
+
+def _read_stretches(row):
+    """(id, t32, pos) per window."""
+    ids, t32, start, size = (blobs.unplaned(row[k], t) for k, t in (
+        ("id", np.int64), ("t32", np.int32), ("start", np.int32), ("size", np.int32)))
+    inner = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    return np.repeat(ids, size), np.repeat(t32, size), (np.repeat(start, size) + inner).astype(np.int32)
 
 
 def _window_blobs(hit: DataFrame, window: int, block: int) -> DataFrame:
@@ -78,7 +105,6 @@ def _window_blobs(hit: DataFrame, window: int, block: int) -> DataFrame:
         import pyarrow as pa
         for chunk in text_chunks(batches, 4 << 20):
             h, offsets = word_hashes(as_bytes(chunk.column("text")))
-            first, second = blobs.rolled(h, window), blobs.rolled(blobs.mixed(h ^ np.uint64(0x5851F42D4C957F2D)), window)
             found, rows = [], []
             for r, packed in enumerate(chunk.column("found").to_pylist()):
                 size = int(offsets[r + 1] - offsets[r])
@@ -94,37 +120,38 @@ def _window_blobs(hit: DataFrame, window: int, block: int) -> DataFrame:
             at, row = np.concatenate(found), np.concatenate(rows)
             if not len(at):
                 continue
-            a, b = blobs.mixed(first[at]), blobs.mixed(second[at])
+            # a window goes where its least word hash says: equal windows meet,
+            # and most neighbours go together
+            p = blobs.ranges(blobs.mixed(blobs.least_of(h, window)[at]), n)
+            a = blobs.mixed(blobs.rolled(h, window)[at])
+            b = blobs.rolled(blobs.mixed(h ^ np.uint64(0x5851F42D4C957F2D)), window)[at]
             pos = (at - offsets[row]).astype(np.int32)
             ids, t32 = chunk.column("id").to_numpy()[row], chunk.column("t32").to_numpy()[row]
             order = np.lexsort((pos, row, ids, b, a))
-            a, b, ids, t32, pos, row = (x[order] for x in (a, b, ids, t32, pos, row))
             same = np.zeros(len(a), dtype=bool)  # as the one before
-            same[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
+            same[1:] = (a[order][1:] == a[order][:-1]) & (b[order][1:] == b[order][:-1])
             lead = np.maximum.accumulate(np.where(same, 0, np.arange(len(a))))
-            late = ids != ids[lead]
-            late[1:] |= same[1:] & (row[1:] == row[:-1])
+            later = ids[order] != ids[order][lead]
+            later[1:] |= same[1:] & (row[order][1:] == row[order][:-1])
+            late = np.zeros(len(a), dtype=bool)
+            late[order] = later
             out = []
             for kind, on in ((0, ~late), (1, late)):
-                x = [v[on] for v in (a, b, ids, t32, pos)]
-                for p, s, e in blobs.cut(x[0], n):
-                    sent = [v[s:e].tobytes() for v in x]
-                    out.append((p, kind, *(sent if kind == 0 else [b"", b"", *sent[2:]])))
-            types = [pa.int32(), pa.int32()] + [pa.binary()] * 5
+                out += _stretches(*([p[on], kind] + [v[on] for v in (a, b, ids, t32, pos, row)]), n)
+            types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
-                names=["p", "kind", "h1", "h2", "id", "t32", "pos"])
+                names=["p", "kind", "h1", "h2", "id", "t32", "start", "size"])
 
-    return hit.select("id", "t32", "text", "found").mapInArrow(run, _OCCURRENCES)
+    return hit.mapInArrow(run, _OCCURRENCES)
 
 
 def _later(occurrences: DataFrame) -> DataFrame:
     """``id, t32, late``: window starts whose sequence starts in a smaller doc_id,
     and those that a slice has marked itself."""
     def settle(rows):
-        a, b, ids, t32, pos = (np.concatenate([np.frombuffer(r[k], t) for r in rows])
-                               for k, t in (("h1", np.uint64), ("h2", np.uint64), ("id", np.int64),
-                                            ("t32", np.int32), ("pos", np.int32)))
+        a, b = (np.concatenate([np.frombuffer(r[k], np.uint64) for r in rows]) for k in ("h1", "h2"))
+        ids, t32, pos = (np.concatenate(x) for x in zip(*map(_read_stretches, rows), strict=True))
         order = np.lexsort((ids, b, a))
         a, b, ids, t32, pos = (x[order] for x in (a, b, ids, t32, pos))
         new = np.ones(len(a), dtype=bool)
@@ -135,10 +162,12 @@ def _later(occurrences: DataFrame) -> DataFrame:
 
     def run(batches):
         open_p, rows, done = None, [], []
+
         def flush():
             if rows:
                 done.append(settle(rows))
                 rows.clear()
+
         for batch in batches:
             for row in batch.to_pylist():
                 if row["p"] != open_p:
@@ -147,8 +176,7 @@ def _later(occurrences: DataFrame) -> DataFrame:
                 if row["kind"] == 0:
                     rows.append(row)
                 else:
-                    done.append(tuple(np.frombuffer(row[k], t) for k, t in
-                                      (("id", np.int64), ("t32", np.int32), ("pos", np.int32))))
+                    done.append(_read_stretches(row))
                 if sum(len(x[0]) for x in done) > 1 << 20:
                     yield blobs.per_row(*(np.concatenate(x) for x in zip(*done, strict=True)), "late")
                     done.clear()
@@ -189,7 +217,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int | None = N
                  pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64())],
                 names=["doc_id", "text", "n_words", "n_removed", "n_spans"])
 
-    return with_lists(texts, late, "left").select("doc_id", "text", "late").mapInArrow(
+    return with_lists(texts, late, "left").mapInArrow(
         run, "doc_id long, text string, n_words long, n_removed long, n_spans long")
 
 
