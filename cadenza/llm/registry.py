@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import exact_dedup, packing, simhash, substring_dedup
+from cadenza.llm import exact_dedup, packing, simhash, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [packing.op3_packing, exact_dedup.op5_exact_dedup, simhash.op8_simhash_dedup,
+    found = [toxicity.op2_toxicity, packing.op3_packing, exact_dedup.op5_exact_dedup, simhash.op8_simhash_dedup,
              substring_dedup.op10_substring_dedup]
     return {f.__name__: f for f in found}
 
