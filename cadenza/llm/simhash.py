@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.common import as_bytes, body, checkpoint_ready, partitions, table, text_chunks
 from cadenza.llm.graph import components
+from cadenza.llm.tiles import runs, stars
 
 SHINGLE, MAX_BITS, SEED, BLOCKS = 3, 3, 42, 6
 #: Members of a part of a list; a tile compares two parts.
@@ -83,45 +84,6 @@ def block_keys(fp: Column, max_bits: int, blocks: int) -> list[Column]:
     return keys
 
 
-def stars(values: np.ndarray, close) -> tuple[np.ndarray, np.ndarray]:
-    """Links from each value to the first one of its group, where ``close`` is
-    the boolean matrix of direct links."""
-    label = np.arange(len(values))
-    while True:
-        new = np.where(close, label[None, :], len(values)).min(axis=1)
-        new = np.minimum(new, label)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    leaf = np.nonzero(label != np.arange(len(values)))[0]
-    return values[label[leaf]], values[leaf]
-
-
-def runs(batches, keys: list[str]):
-    """Whole runs of equal keys from sorted Arrow batches, as (batch, starts, ends)."""
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    rest = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        if rest is not None:
-            batch = pa.concat_batches([rest, batch])
-        n = batch.num_rows
-        new = np.zeros(n, dtype=bool)
-        new[0] = True
-        for k in keys:
-            col = batch.column(k)
-            new[1:] |= pc.not_equal(col.slice(1), col.slice(0, n - 1)).to_numpy(zero_copy_only=False)
-        starts = np.nonzero(new)[0]
-        if len(starts) > 1:
-            yield batch.slice(0, starts[-1]), starts[:-1], starts[1:]
-        rest = batch.slice(starts[-1])
-    if rest is not None:
-        yield rest, np.array([0]), np.array([rest.num_rows])
-
-
 def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, part: int = PART) -> DataFrame:
     """``a, b``: links between distinct fingerprints (column ``fp``) whose
     components are those of all links."""
