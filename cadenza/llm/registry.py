@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import bpe, embedding_dedup, exact_dedup, packing, quality, simhash, substring_dedup, toxicity
+from cadenza.llm import bpe, embedding_dedup, exact_dedup, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [toxicity.op2_toxicity, packing.op3_packing, embedding_dedup.op4_embedding_dedup,
-             exact_dedup.op5_exact_dedup, quality.op6_quality, simhash.op8_simhash_dedup, bpe.op9_bpe,
+    found = [suffix_dedup.op1_suffix_dedup, toxicity.op2_toxicity, packing.op3_packing,
+             embedding_dedup.op4_embedding_dedup, exact_dedup.op5_exact_dedup, quality.op6_quality, simhash.op8_simhash_dedup, bpe.op9_bpe,
              substring_dedup.op10_substring_dedup]
     return {f.__name__: f for f in found}
 
