@@ -26,14 +26,23 @@ def body(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
     """``doc_id, id, t32, text``: the id (null: ``LAST_ID``) and a 32-bit hash
-    of the text together name a row, also where ids repeat."""
+    of the text together name a row, also where ids repeat. With ``carry``, a
+    struct ``rest`` of all the other columns too."""
     text = body(F.col("text"))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] if carry else []
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.hash(text).alias("t32"), text.alias("text"))
+        F.hash(text).alias("t32"), text.alias("text"), *([F.struct(*rest).alias("rest")] if rest else []))
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not use."""
+    while name.lower() in (c.lower() for c in docs.columns):
+        name = f"_{name}"
+    return name
 
 
 def checkpoint_ready(spark: SparkSession) -> None:

@@ -100,6 +100,17 @@ def _disambiguated(recipes: DataFrame, cut: DataFrame, lexicon: DataFrame,
                         & (recipes["text_sha256"] == lists["m_sha"]), "left").drop("m_id", "m_sha")
 
 
+def without_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay; of repeated rows one."""
+    kept = (exact_dedup(docs).where("kept").groupBy(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
+            .agg(F.count("*").alias("rows")).checkpoint())
+    sha = F.sha2(normalised(F.col("text")), 256)
+    out = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("k_id"))
+                    & (sha == F.col("k_sha")), "left_semi")
+    # rows that repeat an id and a text are rare: only then do whole rows move again
+    return out if kept.where("rows > 1").isEmpty() else out.dropDuplicates(["doc_id", "text"])
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 

@@ -14,7 +14,7 @@
 Defined cases: null and empty texts and texts of white space only have
 fingerprint zero, which links like any other; a text shorter than a shingle is
 one shingle; null ids take part and give a null component only if no member has
-an id; repeated rows share a fingerprint; an empty table gives no rows.
+an id; repeated rows share a fingerprint (and stay together); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -136,5 +136,11 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def without_near_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, whose id names its group: the least of it."""
+    kept = (simhash_dedup(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct())
+    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(table(spark, sf_dir, "documents"))

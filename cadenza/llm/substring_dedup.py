@@ -26,6 +26,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from cadenza.llm import blobs
 from cadenza.llm.common import as_bytes, keyed, partitions, table, text_chunks, with_lists
@@ -189,13 +190,16 @@ def _later(occurrences: DataFrame) -> DataFrame:
             .mapInArrow(run, "id long, t32 int, late binary"))
 
 
-def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int | None = None) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int | None = None,
+                    carry: bool = False) -> DataFrame:
     """``doc_id, text, n_words, n_removed, n_spans``: ``text`` is the kept words
-    joined by one space, ``n_spans`` counts the maximal removed runs."""
+    joined by one space, ``n_spans`` counts the maximal removed runs. With
+    ``carry``, a struct ``rest`` of the other columns of ``docs`` too."""
     block = block or (window + 1) // 2
     if block < 1 or window < 2 * block - 1:
         raise ValueError("a window must hold a whole aligned block")
-    texts = keyed(docs)
+    texts = keyed(docs, carry)
+    rest = [f for f in texts.schema.fields if f.name == "rest"]
     hits = blobs.gathered(blobs.repeated(_anchor_blobs(texts, block)), "found")
     late = blobs.gathered(_later(_window_blobs(with_lists(texts, hits, "inner"), window, block)), "late")
 
@@ -214,11 +218,24 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int | None = N
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [chunk.column("doc_id"), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n_words, pa.int64()),
-                 pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64())],
-                names=["doc_id", "text", "n_words", "n_removed", "n_spans"])
-
-    return with_lists(texts, late, "left").mapInArrow(
-        run, "doc_id long, text string, n_words long, n_removed long, n_spans long")
+                 pa.array(n_removed, pa.int64()), pa.array(n_spans, pa.int64()),
+                 *(chunk.column(f.name) for f in rest)],
+                names=["doc_id", "text", "n_words", "n_removed", "n_spans", *(f.name for f in rest)])
+
+    schema = StructType([StructField("doc_id", LongType()), StructField("text", StringType()),
+                         *(StructField(c, LongType()) for c in ("n_words", "n_removed", "n_spans")), *rest])
+    return with_lists(texts, late, "left").mapInArrow(run, schema)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """All rows and columns of ``docs`` with the repeated words removed from
+    ``text`` (``n_chars``, where there is such a column, is the new length)."""
+    done = substring_dedup(docs, carry=True)
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.length("text")
+    return done.select(*(columns.get(c, F.col(f"rest.`{c}`")).cast(docs.schema[c].dataType).alias(c)
+                         for c in docs.columns))
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,15 +28,18 @@ import re
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from cadenza.llm import labelled
 from cadenza.llm.blobs import mixed, rolled
-from cadenza.llm.common import body, table, text_chunks
+from cadenza.llm.common import body, free_name, table, text_chunks
 
 PASSAGE, BUCKETS, DIM, GRAMS = 32, 1 << 18, 4, (3, 4, 5, 6)
 STEPS, RATE, COMMON = 30, 1e5, 1.0
 #: A subword is learned if it is in this share of the sample's documents, and in three at least.
 RARE = 0.01
+#: A document of this score or more is toxic.
+THRESHOLD = 0.5
 #: Words whose scores a task remembers; then it starts afresh.
 MEMORY = 200_000
 
@@ -166,24 +169,39 @@ class Scorer:
         return self.slope * out + self.bias
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = labelled.FIT_ROWS) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` for every row."""
-    weights, slope, bias = train(labelled.sample(docs, labels, "toxic", fit_rows), labelled.share(labels, "toxic"))
-    weights = docs.sparkSession.sparkContext.broadcast(weights)  # BUCKETS floats, 1 MB
+def _scored(texts: DataFrame, model: tuple[np.ndarray, float, float], score: str) -> DataFrame:
+    """``texts`` (with a string column ``text``) and each row's score."""
+    table, slope, bias = model
+    table = texts.sparkSession.sparkContext.broadcast(table)  # BUCKETS floats, 1 MB
 
     def run(batches):
         import pyarrow as pa
-        scorer = Scorer(weights.value, slope, bias)
+        scorer = Scorer(table.value, slope, bias)
         for chunk in text_chunks(batches):
-            z = scorer.logits(chunk.column("text").to_pylist())
-            score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(score, pa.float64())],
-                                             names=["doc_id", "score"])
+            z = scorer.logits([t or "" for t in chunk.column("text").to_pylist()])
+            p = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+            yield pa.RecordBatch.from_arrays([*chunk.columns, pa.array(p, pa.float64())],
+                                             names=[*chunk.schema.names, score])
+
+    return texts.mapInArrow(run, StructType([*texts.schema.fields, StructField(score, DoubleType())]))
+
+
+def fitted(docs: DataFrame, labels: DataFrame, fit_rows: int = labelled.FIT_ROWS):
+    return train(labelled.sample(docs, labels, "toxic", fit_rows), labelled.share(labels, "toxic"))
 
+
+def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = labelled.FIT_ROWS) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` for every row."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body(F.col("text")).alias("text"))
-    return texts.mapInArrow(run, "doc_id long, score double").select(
+    return _scored(texts, fitted(docs, labels, fit_rows), "score").select(
         "doc_id", labelled.held_out(F.col("doc_id")).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, fit_rows: int = labelled.FIT_ROWS) -> DataFrame:
+    """The rows of ``docs``, all columns, that the classifier does not reject."""
+    score = free_name(docs, "score")
+    return _scored(docs, fitted(docs, labels, fit_rows), score).where(F.col(score) < THRESHOLD).drop(score)
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
