@@ -68,9 +68,9 @@ class Vocabulary:
         self.pieces = {i: p for p, i in (self.ids | self.special).items()}
         self.bytes = byte_symbols()
         self.split = regex.compile(SPLIT.replace(r"\s", SPACE))
-        # the same for texts of Latin letters, signs and decimal digits only
+        # the same for Latin-1 texts, but for fractions, raised digits and separators
         self.plain = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
-        self.other = re.compile("[\x1c-\x1f\xb2\xb3\xb9\xbc-\xbeɐ-\U0010ffff]")
+        self.simple = bytes(set(range(256)) - {0x1c, 0x1d, 0x1e, 0x1f, 0xb2, 0xb3, 0xb9, 0xbc, 0xbd, 0xbe})
         self.cut = re.compile("|".join(f"({re.escape(s)})" for s in self.special)) if self.special else None
 
     @classmethod
@@ -80,7 +80,7 @@ class Vocabulary:
 
     def words(self, text: str) -> list[str]:
         """The words of a text; special tokens stay whole."""
-        if self.cut is None or not self.cut.search(text):
+        if not any(s in text for s in self.special):
             return self._words(text)
         out = []
         for part in self.cut.split(text):
@@ -95,7 +95,11 @@ class Vocabulary:
             # lower case letter by letter: a final sigma is not special
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
-        return (self.split if self.other.search(text) else self.plain).findall(text)
+        try:
+            simple = not text.encode("latin-1").translate(None, self.simple)
+        except UnicodeEncodeError:
+            simple = False
+        return (self.plain if simple else self.split).findall(text)
 
     def merged(self, word: str) -> list[int]:
         """The ids of one word, by merging the pair of least rank, leftmost first."""
@@ -105,17 +109,18 @@ class Vocabulary:
         parts[-1] += self.suffix
         if len(parts) > 40:
             return self._merged_long(parts)
-        ranks, none = self.ranks, len(self.ranks)
-        while len(parts) > 1:
-            best, at = none, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get((parts[i], parts[i + 1]), none)
-                if rank < best:
-                    best, at = rank, i
-            if at < 0:
-                break
+        get, none = self.ranks.get, len(self.ranks)
+        ranks = [get(pair, none) for pair in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ids[p] for p in parts]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = get((parts[at - 1], parts[at]), none)
+            if at < len(ranks):
+                ranks[at] = get((parts[at], parts[at + 1]), none)
+        ids = self.ids
+        return [ids[p] for p in parts]
 
     def _merged_long(self, parts: list) -> list[int]:
         """The same with a heap and a linked list, for words of any length."""
@@ -153,32 +158,29 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.unseen: dict[str, list[int]] = {}
+        self.ids = memoryview(lexicon.ids).cast("B")  # still in the mapped file
+        self.unseen: dict[str, bytes] = {}
 
-    def table(self, words: list[str]) -> dict[str, list[int]]:
-        """The ids of distinct words."""
+    def table(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of distinct words, as little-endian 32-bit integers."""
         numbers = self.lexicon.find([w.encode() for w in words])
-        ids, offsets = self.lexicon.ids, self.lexicon.offsets
         if len(self.unseen) > MEMORY:
             self.unseen = {}
-        out = {}
-        starts = offsets[numbers].tolist()
-        ends = offsets[numbers + 1].tolist()
-        flat = ids.tolist() if len(words) > len(ids) else None
-        for word, number, s, e in zip(words, numbers.tolist(), starts, ends, strict=True):
-            if number >= 0:
-                out[word] = (flat or ids)[s:e] if flat else ids[s:e].tolist()
-            else:
-                found = self.unseen.get(word)
-                if found is None:
-                    found = self.unseen[word] = self.vocabulary.merged(word)
-                out[word] = found
+        starts = (4 * self.lexicon.offsets[numbers]).tolist()
+        ends = (4 * self.lexicon.offsets[numbers + 1]).tolist()
+        ids = self.ids
+        out = {w: bytes(ids[s:e]) for w, s, e in zip(words, starts, ends, strict=True)}
+        for at in np.nonzero(numbers < 0)[0].tolist():
+            word = words[at]
+            found = self.unseen.get(word)
+            if found is None:
+                found = self.unseen[word] = np.array(self.vocabulary.merged(word), "<u4").tobytes()
+            out[word] = found
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         found = [self.vocabulary.words(t) for t in texts]
-        known = {w: np.array(ids, "<u4").tobytes()
-                 for w, ids in self.table(list({w for ws in found for w in ws})).items()}
+        known = self.table(list(set().union(*found)))
         return [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4") for ws in found]
 
 
