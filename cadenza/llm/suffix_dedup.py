@@ -34,7 +34,7 @@ WIDTH = 200
 #: Bytes of an anchor; a factor holds ``width - GRAM + 1`` of them.
 GRAM = 64
 #: Bytes of text in a suffix array.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def _symbols() -> np.ndarray:
