@@ -26,11 +26,11 @@ def labelled_docs(make_docs):
         text = " ".join(words)
         rows.append((i, text.upper().replace(" ", "!! ") if i % 3 == 0 else text.capitalize() + "."))
     return make_docs(rows + [(900, None), (901, ""), (902, "\n \t"), (903, "river " * 20_000), (904, "日本 🙂"),
-                             (None, "the river"), (5, "the river"), (5, "the river")])
+                             (None, "the river"), (905, "the river"), (905, "the river")])
 
 
 def accuracy(out, column):
-    rows = [r for r in out.collect() if r.held_out and r.doc_id is not None and r.doc_id < 400 and r.doc_id != 5]
+    rows = [r for r in out.collect() if r.held_out and r.doc_id is not None and r.doc_id < 400]
     truth = {"toxic": lambda i: int(i % 4 == 0), "quality": lambda i: int(i % 3 != 0)}[column]
     return np.mean([r.predicted == truth(r.doc_id) for r in rows])
 
@@ -48,7 +48,7 @@ def test_filters(labelled_docs, labels, column):
     by = {}
     for r in rows:
         by.setdefault(r.doc_id, set()).add(r.score)
-    assert len(by[5]) == 1 and len({s for i in (900, 901) for s in by[i]}) == 1
+    assert len(by[905]) == 1 and len({s for i in (900, 901) for s in by[i]}) == 1
     assert accuracy(out, column) >= 0.9
     out.unpersist()
 
@@ -80,7 +80,7 @@ def test_sample_is_bounded_and_not_held_out(labelled_docs, labels):
     got = labelled.sample(labelled_docs, labels, "toxic", rows=20)
     assert sum(y for _, y in got) == 20 and len(got) == 40
     held = {i for i in range(400) if zlib.crc32(str(i).encode()) % 5 == 0}
-    texts = {r.text for r in labelled_docs.collect() if r.doc_id in held and r.doc_id != 5}
+    texts = {r.text for r in labelled_docs.collect() if r.doc_id in held}
     assert not texts & {t for t, _ in got}
 
 

@@ -144,7 +144,11 @@ def test_embeddings_empty(spark):
 
 PAGE = ("<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t=\"</p>\";</script></head><body>"
         "<nav><ul><li><a href=/a>Home</a></li><li><a href=/b>News</a></li></ul></nav><!-- ad --><div class=\"ad\">Buy this now.</div>"
-        "{}<footer>&copy; example.org &middot; all rights</footer></body></html>")
+        "MAIN<footer>&copy; example.org &middot; all rights</footer></body></html>")
+
+
+def page(main):
+    return PAGE.replace("MAIN", main)
 
 
 @pytest.fixture(scope="module")
@@ -155,11 +159,11 @@ def model():
 def test_pages(model):
     long = "A paragraph of some length, with commas, that tells a story. " * 3
     cases = {
-        PAGE.format(f"<article><h1>Head &amp; line</h1><p><b>{long}<br><p>Second&nbsp;one\n here, and more of it.</p></article>"):
+        page(f"<article><h1>Head &amp; line</h1><p><b>{long}<br><p>Second&nbsp;one\n here, and more of it.</p></article>"):
             "Head & line\n" + long.strip() + "\nSecond one here, and more of it.",
-        PAGE.format(f"<article><h1>Head line</h1><p>{long}</p><div class=ad>Advert text</div><p>{long}x</p></article>"):
+        page(f"<article><h1>Head line</h1><p>{long}</p><div class=ad>Advert text</div><p>{long}x</p></article>"):
             f"Head line\n{long.strip()}\n{long}x",
-        PAGE.format(f"<main><article><h1>Head line</h1><p>{long}</p></article></main><section class=comments><h3>Comments</h3>"
+        page(f"<main><article><h1>Head line</h1><p>{long}</p></article></main><section class=comments><h3>Comments</h3>"
                     "<div class=comment><p>bob</p><p>I do not agree with this at all, not one bit.</p></div></section>"):
             f"Head line\n{long.strip()}",
         "": "", "   ": "", "<nav><a href=x>": "",
