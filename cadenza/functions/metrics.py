@@ -19,11 +19,18 @@ def squared_error(label: ColumnOrName, prediction: ColumnOrName) -> Column:
 
 def error_aggs(label: ColumnOrName = "label",
                prediction: ColumnOrName = "prediction") -> list[Column]:
-    """``rmse``, ``mse``, ``mae``, ``n`` as aggregate columns."""
+    """``rmse``, ``mse``, ``mae``, ``n`` as aggregate columns. A row without a
+    label or a prediction cannot be scored and raises."""
     e = _c(label) - _c(prediction)
+    lost = F.count_if(e.isNull())
+
+    def whole(c: Column) -> Column:
+        return F.when(lost == 0, c).otherwise(F.raise_error(F.concat(
+            lost.cast("string"), F.lit(" rows have no label or no prediction"))))
+
     mse = F.avg(e * e)
-    return [F.sqrt(mse).alias("rmse"), mse.alias("mse"),
-            F.avg(F.abs(e)).alias("mae"), F.count(F.lit(1)).alias("n")]
+    return [whole(F.sqrt(mse)).alias("rmse"), whole(mse).alias("mse"),
+            whole(F.avg(F.abs(e))).alias("mae"), F.count(e).alias("n")]
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> dict:

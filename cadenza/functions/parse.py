@@ -16,14 +16,15 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def split_fields(line: ColumnOrName, sep: str = ",") -> Column:
-    """Split a line into an ``array<string>``.
+def split_fields(line: ColumnOrName, sep: str = ",", fields: int | None = None) -> Column:
+    """Split a line into an ``array<string>``; with ``fields``, only that many
+    are cut and one last element holds the rest of the line.
 
     Unlike a JVM ``String.split``, trailing empty fields are kept, so a
     missing last value stays visible as an empty string (null after
     :func:`field`).
     """
-    return F.split(_c(line), _regex_literal(sep), -1)
+    return F.split(_c(line), _regex_literal(sep), -1 if fields is None else fields + 1)
 
 
 def _regex_literal(sep: str) -> str:

@@ -32,16 +32,18 @@ def dot_const(a: ColumnOrName, w: list[float]) -> Column:
     """Inner product with a fixed weight vector. Up to ``UNROLL_MAX`` weights
     it is unrolled into ``w0*a[0] + w1*a[1] + ...`` (plain arithmetic, fully
     code-generated); longer vectors use one ``aggregate(zip_with(...))`` over
-    an array literal so the expression stays small."""
+    an array literal so the expression stays small. A null vector gives null,
+    one of another size raises."""
     a = _c(a)
+    expr = F.lit(0.0)
     if len(w) > UNROLL_MAX:
         wv = F.array(*[F.lit(float(x)) for x in w])
-        return F.aggregate(F.zip_with(a, wv, lambda x, y: x * y), F.lit(0.0),
-                           lambda s, x: s + x)
-    expr = F.lit(0.0)
-    for i, wi in enumerate(w):
-        expr = expr + F.lit(float(wi)) * F.get(a, i)
-    return expr
+        expr = F.aggregate(F.zip_with(a, wv, lambda x, y: x * y), expr, lambda s, x: s + x)
+    else:
+        for i, wi in enumerate(w):
+            expr = expr + F.lit(float(wi)) * F.get(a, i)
+    return F.when(a.isNull(), None).when(F.size(a) == len(w), expr).otherwise(
+        F.raise_error(F.lit("vector sizes differ")))
 
 
 def scale(a: ColumnOrName, s: ColumnOrName | float) -> Column:

@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -92,7 +93,9 @@ class ArrayToVector(Transformer, _Stage):
 
 
 class VectorSlicer(Transformer, _Stage):
-    """Pick vector elements by 0-based index, in the order given."""
+    """Pick vector elements by 0-based index, in the order given. An index
+    outside a vector raises (at once where the column's size is known, else
+    per row); a null vector gives a null one."""
 
     indices = Param(Params._dummy(), "indices", "0-based indices",
                     typeConverter=TypeConverters.toListInt)
@@ -105,7 +108,13 @@ class VectorSlicer(Transformer, _Stage):
     def _transform(self, df: DataFrame) -> DataFrame:
         v = self._in()
         idx = self.getOrDefault(self.indices)
-        return with_vector(df, self.getOutputCol(), F.array(*[F.get(v, i) for i in idx]), len(idx))
+        size = df.schema[self.getInputCol()].metadata.get(SIZE_KEY)
+        if any(i < 0 or (size is not None and i >= int(size)) for i in idx):
+            raise ValueError(f"indices {idx} are outside a vector of size {size}")
+        picked = F.array(*[F.get(v, i) for i in idx])
+        out = F.when(v.isNull(), None).when(F.size(v) > max(idx, default=-1), picked).otherwise(
+            F.raise_error(F.lit(f"a vector has no element {max(idx, default=-1)}")))
+        return with_vector(df, self.getOutputCol(), out, len(idx))
 
 
 class ColumnFn(Transformer, _Stage):
@@ -132,7 +141,7 @@ class ColumnFn(Transformer, _Stage):
 class PandasArrayFn(Transformer, _Stage):
     """Arbitrary Python over vectors, vectorised: ``fn`` receives a batch as a
     2-D NumPy matrix (rows x size) and returns one double per row. Runs as an
-    Arrow-batched pandas UDF; prefer :class:`ColumnFn` when the function can
+    Arrow UDF; prefer :class:`ColumnFn` when the function can
     be written with column expressions."""
 
     def __init__(self, fn: Callable, inputCol: str, outputCol: str):
@@ -143,12 +152,14 @@ class PandasArrayFn(Transformer, _Stage):
     def _transform(self, df: DataFrame) -> DataFrame:
         fn = self.fn
 
-        @F.pandas_udf("double")
-        def apply(s: pd.Series) -> pd.Series:
-            if len(s) == 0:
-                return pd.Series([], dtype="float64")
-            m = np.vstack([np.asarray(v, dtype=float) for v in s])
-            return pd.Series(np.asarray(fn(m), dtype=float))
+        @F.arrow_udf("double")
+        def apply(a: pa.Array) -> pa.Array:
+            # the list column flattens to one matrix, with no Python object per row
+            sizes = pc.unique(pc.list_value_length(a)).to_pylist()
+            if len(sizes) > 1 or None in sizes:
+                raise ValueError(f"vectors must be non-null and of one size, found sizes {sizes}")
+            m = a.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(a), -1)
+            return pa.array(np.asarray(fn(m), dtype=float)) if len(a) else pa.array([], pa.float64())
 
         return df.withColumn(self.getOutputCol(), apply(self._in()))
 

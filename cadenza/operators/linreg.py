@@ -14,6 +14,9 @@ scoring metrics and cross-validation never rescan the data per iteration.
 
 from __future__ import annotations
 
+import warnings
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
@@ -30,17 +33,28 @@ from ..functions.vectors import dot_const
 from .stats import Moments, feature_size, moments
 
 
+@dataclass
+class Solution:
+    """``rounds`` coordinate-descent rounds were made; ``converged`` says whether
+    the last one changed no standardised coefficient by more than the tolerance."""
+
+    coef: np.ndarray
+    intercept: float
+    rounds: int
+    converged: bool
+
+
 def solve(m: Moments, reg: float, alpha: float, tol: float = 1e-15,
-          max_rounds: int = 200_000) -> tuple[np.ndarray, float]:
-    """Coefficients and intercept from moments (standardised coordinate
-    descent, run to convergence)."""
+          max_rounds: int = 200_000) -> Solution:
+    """Standardised coordinate descent on moments, until it converges and at
+    most ``max_rounds`` rounds."""
     d = m.d
     var = np.diag(m.cov)
     sx = np.sqrt(np.maximum(var[:d], 0.0))
     sy = float(np.sqrt(max(var[d], 0.0)))
     coef = np.zeros(d)
     if sy == 0.0:
-        return coef, float(m.mean[d])
+        return Solution(coef, float(m.mean[d]), 0, True)
     live = sx > 0
     idx = np.flatnonzero(live)
     R = m.cov[np.ix_(idx, idx)] / np.outer(sx[idx], sx[idx])
@@ -52,21 +66,21 @@ def solve(m: Moments, reg: float, alpha: float, tol: float = 1e-15,
         A = R + l2 * np.eye(len(idx))
         w = np.linalg.lstsq(A, r, rcond=None)[0]
         coef[idx] = w * sy / sx[idx]
-        return coef, float(m.mean[d] - coef @ m.mean[:d])
+        return Solution(coef, float(m.mean[d] - coef @ m.mean[:d]), 0, True)
     w = np.zeros(len(idx))
-    for _ in range(max_rounds):
+    rounds, converged = 0, len(idx) == 0
+    while rounds < max_rounds and not converged:
+        rounds += 1
         delta = 0.0
         for j in range(len(idx)):
             z = r[j] - (R[j] @ w - R[j, j] * w[j])
             new = np.sign(z) * max(abs(z) - l1, 0.0) / (R[j, j] + l2)
             delta = max(delta, abs(new - w[j]))
             w[j] = new
-        if delta <= tol:
-            break
+        converged = bool(delta <= tol)
     coef[idx] = w * sy / sx[idx]
     coef[coef == 0.0] = 0.0  # no signed zeros from the soft threshold
-    intercept = float(m.mean[d] - coef @ m.mean[:d])
-    return coef, intercept
+    return Solution(coef, float(m.mean[d] - coef @ m.mean[:d]), rounds, converged)
 
 
 def mse_on(m: Moments, coef: np.ndarray, intercept: float, label_offset: float = 0.0) -> float:
@@ -78,14 +92,19 @@ def mse_on(m: Moments, coef: np.ndarray, intercept: float, label_offset: float =
     return float(max(var_e, 0.0) + mean_e * mean_e)
 
 
+#: A fit whose next round would move a coefficient by more than this share warns.
+WARN_TOL = 1e-6
+
+
 class _ENParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRegParam,
                 HasElasticNetParam, HasMaxIter, HasTol):
     pass
 
 
 class ElasticNet(Estimator, _ENParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Elastic net on ``array<double>`` features. ``maxIter`` is kept for
-    parameter grids; the solver always runs to convergence (``tol``)."""
+    """Elastic net on ``array<double>`` features: at most ``maxIter`` rounds of
+    coordinate descent, fewer when it converges (``tol``). The model records
+    both; a fit that has not come within ``WARN_TOL`` of converging warns."""
 
     @keyword_only
     def __init__(self, featuresCol="features", labelCol="label", predictionCol="prediction",
@@ -96,8 +115,13 @@ class ElasticNet(Estimator, _ENParams, DefaultParamsReadable, DefaultParamsWrita
         self._set(**self._input_kwargs)
 
     def fit_moments(self, m: Moments) -> "LinearModel":
-        coef, b0 = solve(m, self.getRegParam(), self.getElasticNetParam(), self.getTol())
-        model = LinearModel(coefficients=[float(c) for c in coef], intercept=b0)
+        found = solve(m, self.getRegParam(), self.getElasticNetParam(), self.getTol(), self.getMaxIter())
+        if not found.converged:
+            settled = solve(m, self.getRegParam(), self.getElasticNetParam(), self.getTol(), self.getMaxIter() + 1)
+            if np.abs(settled.coef - found.coef).max() > WARN_TOL * max(1.0, np.abs(found.coef).max()):
+                warnings.warn(f"elastic net has not converged in maxIter={self.getMaxIter()} rounds", stacklevel=2)
+        model = LinearModel(coefficients=[float(c) for c in found.coef], intercept=found.intercept,
+                            rounds=found.rounds, converged=found.converged)
         return self._copyValues(model)
 
     def _fit(self, df: DataFrame) -> "LinearModel":
@@ -112,8 +136,13 @@ class LinearModel(Model, _ENParams, DefaultParamsReadable, DefaultParamsWritable
     intercept = Param(Params._dummy(), "intercept", "intercept",
                       typeConverter=TypeConverters.toFloat)
 
+    rounds = Param(Params._dummy(), "rounds", "coordinate-descent rounds made",
+                   typeConverter=TypeConverters.toInt)
+    converged = Param(Params._dummy(), "converged", "whether they converged",
+                      typeConverter=TypeConverters.toBoolean)
+
     @keyword_only
-    def __init__(self, coefficients=None, intercept=0.0):
+    def __init__(self, coefficients=None, intercept=0.0, rounds=None, converged=None):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction",
                          intercept=0.0)
@@ -122,6 +151,12 @@ class LinearModel(Model, _ENParams, DefaultParamsReadable, DefaultParamsWritable
     def getCoefficients(self) -> list[float]:
         return self.getOrDefault(self.coefficients)
 
+    def getRounds(self) -> int:
+        return self.getOrDefault(self.rounds)
+
+    def hasConverged(self) -> bool:
+        return self.getOrDefault(self.converged)
+
     def getIntercept(self) -> float:
         return self.getOrDefault(self.intercept)
 

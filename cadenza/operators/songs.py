@@ -26,7 +26,7 @@ def parse_songs(lines: DataFrame, n_features: int = 3, value_col: str = "value",
     Columns named in ``keep`` (e.g. a row id) are carried through.
     """
     keep = keep if keep is not None else [c for c in lines.columns if c != value_col]
-    toks = split_fields(value_col, sep)
+    toks = split_fields(value_col, sep, n_features + 1)
     cols = [to_int_truncated(field(toks, 0), strict).alias("year")]
     cols += [to_double(field(toks, i), strict).alias(f"f{i}") for i in range(1, n_features + 1)]
     return lines.select(*keep, *cols)
@@ -40,6 +40,21 @@ def field_count(lines: DataFrame, value_col: str = "value", sep: str = ",") -> D
                         to_double(field(toks, 0)).alias("label"))
 
 
+def reject_counts(lines: DataFrame, n_features: int = 3, value_col: str = "value", sep: str = ",") -> DataFrame:
+    """One row: ``n`` lines, ``rejected`` lines with a bad field, and per column
+    the fields that are there but do not parse (``strict=False`` gives nulls
+    for them). An empty or missing field is a missing value and not bad."""
+    toks = split_fields(value_col, sep, n_features + 1)
+    names = ["year"] + [f"f{i}" for i in range(1, n_features + 1)]
+    bad = [(field(toks, i) != "") & to_double(field(toks, i), strict=False).isNull() for i in range(len(names))]
+    bad = [F.coalesce(b, F.lit(False)) for b in bad]
+    some = bad[0]
+    for b in bad[1:]:
+        some = some | b
+    return lines.agg(F.count(F.lit(1)).alias("n"), F.count_if(some).alias("rejected"),
+                     *[F.count_if(b).alias(f"bad_{name}") for b, name in zip(bad, names)])
+
+
 def land(songs: DataFrame, path: str, partition_col: str = "year",
          max_records_per_file: int = 5_000_000) -> str:
     """Write typed songs as parquet partitioned by ``partition_col`` so later

@@ -29,6 +29,9 @@ def _bounds(weights: list[float], buckets: int) -> list[int]:
         acc += w
         out.append(round(buckets * acc / total))
     out[-1] = buckets
+    for w, lo, hi in zip(weights, out, out[1:]):
+        if w > 0 and lo == hi:
+            raise ValueError(f"weight {w} of {total} rounds to none of {buckets} buckets; use more buckets")
     return out
 
 

@@ -30,6 +30,10 @@ def param_grid(max_iter: list[int], reg_param: list[float]) -> list[dict]:
     return [{"maxIter": m, "regParam": r} for m, r in itertools.product(max_iter, reg_param)]
 
 
+#: Averages that agree to so many decimals are ties (settings that have converged alike).
+TIE_DIGITS = 9
+
+
 @dataclass
 class CVResult:
     grid: list[dict]
@@ -76,7 +80,7 @@ def cross_validate(df: DataFrame, estimator: ElasticNet, grid: list[dict],
                                         model.getIntercept(), eval_label_offset)))
         fold_metrics.append(row)
     avg = [sum(col) / len(col) for col in zip(*fold_metrics)]
-    best = min(range(len(grid)), key=lambda i: (avg[i], i))
+    best = min(range(len(grid)), key=lambda i: (round(avg[i], TIE_DIGITS), i))
     best_model = estimator.copy(_to_params(estimator, grid[best])).fit_moments(total(per_fold))
     return CVResult(grid, avg, fold_metrics, best, best_model)
 

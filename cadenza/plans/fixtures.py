@@ -5,8 +5,8 @@ release year), bank lines (``;``-separated, quoted, with a header) and
 nested song records. They are derived from ``lineitem`` and ``customer``
 with column expressions, so their size grows with the data and Catalyst
 prunes unused columns at the scan. The song lines and records are written
-once into the shared checkpoint folder (keyed by input and derivation code)
-and scanned from there, like input files already in storage.
+once into the shared checkpoint folder (keyed by the input's files, the
+derivation code and its constants) and scanned from there, like input files already in storage.
 """
 
 from __future__ import annotations
@@ -73,15 +73,48 @@ def derive_song_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("song_id", value.alias("value"))
 
 
-def input_tag(sf_dir: str, *derivations) -> str:
-    """Short tag of an input folder and the source code of the functions that
-    derive a table from it: stable across runs, new whenever either changes."""
-    import hashlib
+def version() -> str:
+    """The code and the fixed values that derive tables: the source of the modules
+    involved, and the values of this module's constants as they are now."""
     import inspect
-    h = hashlib.md5(sf_dir.rstrip("/").encode())
-    for fn in derivations:
-        h.update(inspect.getsource(fn).encode())
-    return h.hexdigest()[:12]
+    import sys
+
+    from ..functions import parse
+    from ..operators import songs
+    from ..sources import archive, delimited, text
+    here = sys.modules[__name__]
+    parts = [inspect.getsource(m) for m in (here, parse, songs, archive, delimited, text)]
+    parts += [repr(v) for k, v in sorted(vars(here).items()) if k.isupper()]
+    return "\n".join(parts)
+
+
+def input_tag(spark: SparkSession, sf_dir: str, table_name: str, *more) -> str:
+    """Key of a table derived from an input table: the input's files (path,
+    length, modification time), :func:`version` and any ``more`` values. New
+    whenever the data, the code or a constant changes."""
+    import hashlib
+
+    from ..sources import storage
+    files = storage.listing(spark, f"{sf_dir.rstrip('/')}/{table_name}.parquet")
+    return hashlib.md5(repr((files, version(), more)).encode()).hexdigest()[:16]
+
+
+def written(spark: SparkSession, name: str, tag: str, write) -> str:
+    """The path of a derived table in the shared folder, written on first use."""
+    from ..session import checkpoint_root
+    from ..sources import storage
+    return storage.publish(spark, f"{checkpoint_root(spark)}/cadenza/{name}_{tag}", write)
+
+
+def _scanned(spark: SparkSession, sf_dir: str, name: str, derive, schema: str, materialize: bool) -> DataFrame:
+    """The derived table, written once and scanned; derived on every use where
+    there is no shared folder to write it to."""
+    from ..session import has_shared_folder
+    if not materialize or not has_shared_folder(spark):
+        return derive(spark, sf_dir)
+    path = written(spark, name, input_tag(spark, sf_dir, "lineitem"),
+                   lambda out: spread(spark, derive(spark, sf_dir)).write.parquet(out))
+    return spark.read.schema(schema).parquet(path)
 
 
 def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True,
@@ -91,23 +124,22 @@ def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True,
     query scans that table, like a text file of songs already in storage;
     otherwise the lines are derived lazily on every use. The id rides along
     so splits can hash a stable key."""
-    derived = derive_song_lines(spark, sf_dir)
-    if materialize:
-        from ..session import checkpoint_root
-        from ..sources import storage
-        # keyed by input and derivation code: a changed derivation never reuses old files
-        tag = input_tag(sf_dir, _mod_feature, _song_exprs, song, derive_song_lines, spread,
-                        song_lines)
-        path = f"{checkpoint_root(spark)}/cadenza/song_lines_{tag}.parquet"
-        with storage.MATERIALIZE_LOCK:
-            if not storage.exists(spark, path + "/_SUCCESS"):
-                spread(spark, derived).write.mode("overwrite").parquet(path)
-        df = spark.read.parquet(path)
-    else:
-        df = derived
+    df = _scanned(spark, sf_dir, "song_lines", derive_song_lines, "song_id string, value string", materialize)
     return df if with_id else df.select("value")
 
 
+def flawed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The song lines with bad fields: the year is ``n/a`` where the order key
+    is a multiple of 7, the first feature ``x`` where the line number is one of
+    5, and the second is empty where the part key is one of 11."""
+    key = F.split("song_id", "-")
+    parts = F.split("value", ",", 4)
+    bad = lambda i, n: F.get(key, i).cast("long") % n == 0
+    return song_lines(spark, sf_dir).select("song_id", F.concat_ws(
+        ",", F.when(bad(0, 7), "n/a").otherwise(F.get(parts, 0)), F.when(bad(1, 5), "x").otherwise(F.get(parts, 1)),
+        F.when(bad(2, 11), "").otherwise(F.get(parts, 2)), F.get(parts, 3)).alias("value"))
+
+
 # Fixed bank layout: the 17 header names of the delimited bank file.
 BANK_HEADER = ["age", "job", "marital", "education", "default", "balance", "housing",
                "loan", "contact", "day", "month", "duration", "campaign", "pdays",
@@ -144,17 +176,16 @@ def song_record(spark: SparkSession, sf_dir: str, materialize: bool = True) -> D
     """Nested song records as an input table (written once as parquet into the
     shared folder and scanned from there, like :func:`song_lines`; nested
     fields are pruned at the scan). See :func:`derive_song_record`."""
-    derived = derive_song_record(spark, sf_dir)
-    if not materialize:
-        return derived
-    from ..session import checkpoint_root
-    from ..sources import storage
-    tag = input_tag(sf_dir, _mod_feature, _song_exprs, derive_song_record, spread, song_record)
-    path = f"{checkpoint_root(spark)}/cadenza/song_record_{tag}.parquet"
-    with storage.MATERIALIZE_LOCK:
-        if not storage.exists(spark, path + "/_SUCCESS"):
-            spread(spark, derived).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return _scanned(spark, sf_dir, "song_record", derive_song_record, RECORD_SCHEMA, materialize)
+
+
+# The nested layout of a song record.
+RECORD_SCHEMA = (
+    "song_id string, musicbrainz struct<year: int>, analysis struct<danceability: double, duration: double, "
+    "end_of_fade_in: double, energy: double, key_confidence: double, loudness: double, mode_confidence: double, "
+    "start_of_fade_out: double, tempo: double, time_signature_confidence: double>, "
+    "metadata struct<artist_familiarity: double, artist_hotttnesss: double, artist_latitude: double, "
+    "artist_longitude: double, song_hotttnesss: double>")
 
 
 def derive_song_record(spark: SparkSession, sf_dir: str) -> DataFrame:

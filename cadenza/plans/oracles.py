@@ -78,6 +78,12 @@ oracle("sql_year_profile", with_ctes(SONG_CTE, body="""
 SELECT max(year) AS max_year, min(year) AS min_year, avg(year) AS avg_year FROM typed"""))
 
 
+oracle("reject_counts", """
+SELECT count(*) AS n, count(*) FILTER (WHERE y OR x) AS rejected, count(*) FILTER (WHERE y) AS bad_year,
+       count(*) FILTER (WHERE x) AS bad_f1, CAST(0 AS BIGINT) AS bad_f2, CAST(0 AS BIGINT) AS bad_f3
+FROM (SELECT l_orderkey % 7 = 0 AS y, l_linenumber % 5 = 0 AS x FROM lineitem)""")
+
+
 def oracle_sql() -> dict[str, str]:
     from . import oracles_io, oracles_ml, oracles_vec  # noqa: F401
     return dict(ORACLES)

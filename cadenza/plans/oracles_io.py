@@ -7,6 +7,7 @@ from .oracles_ml import R, enet_sql, rd
 
 oracle("archive_members", """
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS size FROM pages""")
+oracle("archive_content_hash", "SELECT page_id, md5(html) AS md5 FROM pages")
 oracle("archive_counts", """
 SELECT 'pages-' || CAST(page_id // 100 AS VARCHAR) || '.tar.gz' AS archive,
        count(*) AS n, CAST(sum(strlen(html)) AS BIGINT) AS bytes
@@ -55,7 +56,7 @@ rtest AS MATERIALIZED (
   SELECT *, year - 1922 AS y FROM rec
   WHERE year <> 0 AND ('0x' || substr(md5(song_id), 1, 8))::BIGINT % 100 >= 80)"""
 XR = ["danceability", "duration", "end_of_fade_in", "energy", "key_confidence"]
-ENR = enet_sql(XR, "rtrain", [], "1.2E0", 3000)
+ENR = enet_sql(XR, "rtrain", [], "1.2E0", 20)
 oracle("record_enet_coefficients", with_ctes(SONG_CTE, RAW_REC_CTE, REC_SPLIT_CTE, ENR, body=f"""
 SELECT term, CASE WHEN value = 0 THEN 0.0E0 ELSE round(value, {R}) END AS value FROM (
   SELECT unnest(['intercept', 'x1', 'x2', 'x3', 'x4', 'x5']) AS term,

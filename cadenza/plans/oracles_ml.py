@@ -9,13 +9,9 @@ objective). They are generated for any number of features ``d``.
 from __future__ import annotations
 
 from .oracles import SONG_CTE, oracle, with_ctes
+from .queries_ml import ALPHA, GRID_MAX_ITER, GRID_REG, MAX_ITER, REG
 
 R = 4
-ALPHA = 0.1
-REG = 0.9
-GRID_MAX_ITER = [20, 30, 40, 50, 60, 70, 80]
-GRID_REG = [0.4, 0.6, 0.8, 0.9, 1.0, 1.2, 1.4]
-CD_ROUNDS = {3: 1500, 9: 1500}
 
 # song rows with the 80/20 md5 split and the 3-fold assignment
 SPLIT_CTE = """
@@ -146,13 +142,15 @@ FROM test t, (SELECT * FROM it WHERE i = 100) w"""))
 
 # --- elastic net ---------------------------------------------------------------
 
-def enet_sql(xs: list[str], src: str, keys: list[str], reg_expr: str, rounds: int,
+def enet_sql(xs: list[str], src: str, keys: list[str], reg_expr: str, rounds: int | list[int],
              alpha: float = ALPHA, group_src: str | None = None) -> str:
     """CTEs ``st`` (per key statistics), ``cd`` (coordinate descent per key)
     and ``coef`` (unscaled coefficients c0..cd per key).
 
     ``src`` must expose the feature expressions' inputs, ``y`` and the key
     columns; ``reg_expr`` is the regParam column (or literal)."""
+    at = rounds if isinstance(rounds, list) else [rounds]  # the rounds whose coefficients count
+    rounds = max(at)
     d = len(xs)
     kcols = ", ".join(keys)
     kpre = (kcols + ", ") if keys else ""
@@ -190,8 +188,8 @@ cd({kpre}reg, i, {', '.join(ws)}) AS (
   UNION ALL
   SELECT * FROM ({level})
 ),
-coef AS (SELECT {kq}cd.reg, {c0}, {', '.join(unscale)}
-         FROM cd JOIN st ON {on2} WHERE cd.i = {rounds})"""
+coef AS (SELECT {kq}cd.reg, cd.i, {c0}, {', '.join(unscale)}
+         FROM cd JOIN st ON {on2} WHERE cd.i IN ({', '.join(str(x) for x in at)}))"""
 
 
 def enet_sql_named(prefix: str, *args, **kwargs) -> str:
@@ -207,7 +205,7 @@ def _pred(xs: list[str]) -> str:
 
 
 X3 = ["f1", "f2", "f3"]
-EN3 = enet_sql(X3, "train", [], f"{REG}E0", CD_ROUNDS[3])
+EN3 = enet_sql(X3, "train", [], f"{REG}E0", MAX_ITER)
 oracle("enet_coefficients", with_ctes(SONG_CTE, SPLIT_CTE, EN3, body=f"""
 SELECT term, CASE WHEN value = 0 THEN 0.0E0 ELSE round(value, {R}) END AS value FROM (
   SELECT unnest(['intercept', 'x1', 'x2', 'x3']) AS term, unnest([c0, c1, c2, c3]) AS value
@@ -220,64 +218,62 @@ SELECT song_id, {rd(_pred(X3), 'prediction')} FROM test, coef"""))
 oracle("enet_test_rmse", with_ctes(SONG_CTE, SPLIT_CTE, EN3, body=f"""
 SELECT {rd('sqrt(avg((y - (' + _pred(X3) + '))^2))', 'rmse')} FROM test, coef"""))
 
-EN9 = enet_sql(POLY_EXPR, "train", [], f"{REG}E0", CD_ROUNDS[9])
+EN9 = enet_sql(POLY_EXPR, "train", [], f"{REG}E0", MAX_ITER)
 oracle("poly_enet_test_rmse", with_ctes(SONG_CTE, SPLIT_CTE, EN9, body=f"""
 SELECT {rd('sqrt(avg((y - (' + _pred(POLY_EXPR) + '))^2))', 'rmse')} FROM test, coef"""))
 
 # cross-validation: statistics of the other folds per held-out fold k
 
 
-def cv_sql(xs: list[str], rounds: int, label_offset: str = "0") -> tuple[str, str]:
+def cv_sql(xs: list[str], label_offset: str = "0") -> tuple[str, str]:
     """CTE text for CV over the grid on features ``xs`` (column expressions
     over f1..f3): per held-out fold k, moments of the other folds, coordinate
-    descent per (k, reg), RMSE on fold k, mean over folds, crossed with the
-    maxIter axis."""
+    descent per (k, reg) stopped at each maxIter, RMSE on fold k, mean over folds."""
     regs = ", ".join(f"{r}E0" for r in GRID_REG)
     src = ("SELECT k.k, " + ", ".join(f"{e} AS x{j}" for j, e in enumerate(xs))
            + ", t.y FROM train t JOIN (SELECT unnest([0, 1, 2]) AS k) k ON t.fold <> k.k")
-    en = enet_sql(xs, "", ["k"], "unnest([" + regs + "])", rounds, group_src=src)
+    en = enet_sql(xs, "", ["k"], "unnest([" + regs + "])", GRID_MAX_ITER, group_src=src)
     qual = [e.replace("f1", "t.f1").replace("f2", "t.f2").replace("f3", "t.f3") for e in xs]
     body = f"""
 fold_rmse AS (
-  SELECT c.k, c.reg, sqrt(avg((t.y + {label_offset} - ({_pred(qual)}))^2)) AS rmse
-  FROM coef c JOIN train t ON t.fold = c.k GROUP BY c.k, c.reg
+  SELECT c.k, c.i, c.reg, sqrt(avg((t.y + {label_offset} - ({_pred(qual)}))^2)) AS rmse
+  FROM coef c JOIN train t ON t.fold = c.k GROUP BY c.k, c.i, c.reg
 ),
-avg_rmse AS (SELECT reg, avg(rmse) AS avg_rmse FROM fold_rmse GROUP BY reg),
-grid AS (SELECT CAST(m AS INTEGER) AS max_iter, reg AS reg_param, avg_rmse
-         FROM avg_rmse, (SELECT unnest({GRID_MAX_ITER}) AS m))"""
+grid AS (SELECT CAST(i AS INTEGER) AS max_iter, reg AS reg_param, avg(rmse) AS avg_rmse
+         FROM fold_rmse GROUP BY i, reg)"""
     return en, body
 
 
 for _pre, _xs in (("", X3), ("poly_", POLY_EXPR)):
-    _en, _body = cv_sql(_xs, CD_ROUNDS[len(_xs)])
+    _en, _body = cv_sql(_xs)
     oracle(_pre + "cv_metrics", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, body=f"""
 SELECT max_iter, reg_param, {rd('avg_rmse', 'avg_rmse')} FROM grid"""))
     oracle(_pre + "cv_best", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, body=f"""
 SELECT max_iter, reg_param, {rd('avg_rmse', 'avg_rmse')} FROM grid
-ORDER BY avg_rmse, max_iter, reg_param LIMIT 1"""))
+ORDER BY round(avg_rmse, 9), max_iter, reg_param LIMIT 1"""))
 
 # parity: scored against the unshifted year (label + the learned minimum)
-_en, _body = cv_sql(X3, CD_ROUNDS[3], label_offset="(SELECT m FROM mn)")
+_en, _body = cv_sql(X3, label_offset="(SELECT m FROM mn)")
 oracle("cv_parity_metrics", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, body=f"""
 SELECT max_iter, reg_param, {rd('avg_rmse', 'avg_rmse')} FROM grid"""))
 
 
 # best CV setting refitted on all training rows: training summary and test RMSE
-_en, _body = cv_sql(X3, CD_ROUNDS[3])
+_en, _body = cv_sql(X3)
 _full = enet_sql_named("full_", X3, "train", [], "unnest([" + ", ".join(
-    f"{r}E0" for r in GRID_REG) + "])", CD_ROUNDS[3])
+    f"{r}E0" for r in GRID_REG) + "])", GRID_MAX_ITER)
 _BEST = """
-best AS (SELECT reg_param AS reg FROM grid ORDER BY avg_rmse, max_iter, reg_param LIMIT 1),
-best_coef AS (SELECT f.* FROM full_coef f JOIN best b ON f.reg = b.reg)"""
+best AS (SELECT reg_param AS reg, max_iter FROM grid ORDER BY round(avg_rmse, 9), max_iter, reg_param LIMIT 1),
+best_coef AS (SELECT f.* FROM full_coef f JOIN best b ON f.reg = b.reg AND f.i = b.max_iter)"""
 oracle("cv_best_train_metrics", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, _full, _BEST, body=f"""
 SELECT {rd('sqrt(avg(e*e))', 'rmse')}, {rd('avg(e*e)', 'mse')}, {rd('avg(abs(e))', 'mae')}
 FROM (SELECT y - ({_pred(X3)}) AS e FROM train, best_coef)"""))
 oracle("cv_best_test_rmse", with_ctes(SONG_CTE, SPLIT_CTE, _en, _body, _full, _BEST, body=f"""
 SELECT {rd('sqrt(avg((y - (' + _pred(X3) + '))^2))', 'rmse')} FROM test, best_coef"""))
 
-_pen, _pbody = cv_sql(POLY_EXPR, CD_ROUNDS[9])
+_pen, _pbody = cv_sql(POLY_EXPR)
 _pfull = enet_sql_named("full_", POLY_EXPR, "train", [], "unnest([" + ", ".join(
-    f"{r}E0" for r in GRID_REG) + "])", CD_ROUNDS[9])
+    f"{r}E0" for r in GRID_REG) + "])", GRID_MAX_ITER)
 oracle("poly_cv_best_test_rmse", with_ctes(SONG_CTE, SPLIT_CTE, _pen, _pbody, _pfull, _BEST,
                                            body=f"""
 SELECT {rd('sqrt(avg((y - (' + _pred(POLY_EXPR) + '))^2))', 'rmse')} FROM test, best_coef"""))

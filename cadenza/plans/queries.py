@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from ..operators import profile, songs
-from ..sources import delimited, storage, text
-from ..session import checkpoint_root
+from ..sources import delimited, text
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -41,34 +40,21 @@ def _typed(spark: SparkSession, sf: str, n_features: int = 3) -> DataFrame:
 
 def song_text_path(spark: SparkSession, sf: str) -> str:
     """The song lines as text files (for the line scan)."""
-    lines = fx.song_lines(spark, sf, with_id=False)
-    tag = fx.input_tag(sf, fx._mod_feature, fx._song_exprs, fx.song, fx.derive_song_lines)
-    path = f"{checkpoint_root(spark)}/cadenza/song_text_{tag}"
-    with storage.MATERIALIZE_LOCK:
-        text.materialize_lines(spark, lines, path)
-    return path
+    return fx.written(spark, "song_text", fx.input_tag(spark, sf, "lineitem"),
+                      lambda out: text.write_lines(fx.song_lines(spark, sf, with_id=False), out))
 
 
 def landed_songs_path(spark: SparkSession, sf: str) -> str:
     """Typed songs as year-partitioned parquet."""
-    tag = fx.input_tag(sf, fx._mod_feature, fx._song_exprs, fx.song, fx.derive_song_lines,
-                       songs.parse_songs, songs.land)
-    path = f"{checkpoint_root(spark)}/cadenza/landed_songs_{tag}"
-    with storage.MATERIALIZE_LOCK:
-        if not storage.exists(spark, path + "/_SUCCESS"):
-            songs.land(_typed(spark, sf), path)
-    return path
+    return fx.written(spark, "landed_songs", fx.input_tag(spark, sf, "lineitem"),
+                      lambda out: songs.land(_typed(spark, sf), out))
 
 
 def bank_csv_path(spark: SparkSession, sf: str) -> str:
     """Bank records as delimited files (header in each part, fields quoted)."""
-    tag = fx.input_tag(sf, fx.bank_lines, fx._q, delimited.write_delimited)
-    path = f"{checkpoint_root(spark)}/cadenza/bank_csv_{tag}"
-    with storage.MATERIALIZE_LOCK:
-        if not storage.exists(spark, path + "/_SUCCESS"):
-            full = delimited.parse_delimited(fx.bank_lines(spark, sf), columns=None)
-            delimited.write_delimited(full, path)
-    return path
+    return fx.written(spark, "bank_csv", fx.input_tag(spark, sf, "customer"),
+                      lambda out: delimited.write_delimited(
+                          delimited.parse_delimited(fx.bank_lines(spark, sf), columns=None), out))
 
 
 def prepare_inputs(spark: SparkSession, sf: str) -> None:
@@ -157,6 +143,13 @@ def q_bank_csv_age_counts(spark, sf):
     return profile.counts_by(bank, "age", where=F.col("age") < 70, name="cnt", order=True)
 
 
+@query("reject_counts")
+def q_reject_counts(spark, sf):
+    """Rows and unparseable fields per column of lines that hold bad fields
+    (a fixed rule over all rows)."""
+    return songs.reject_counts(fx.flawed_lines(spark, sf))
+
+
 # --- the same questions as SQL text over temp views ---------------------------
 
 # Fixed SQL texts of the profiling questions (run against the "song" and

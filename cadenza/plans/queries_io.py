@@ -13,7 +13,6 @@ from ..operators import features as fe
 from ..operators import split as sp
 from ..operators.linreg import ElasticNet
 from ..functions.parse import nan_to_zero
-from ..session import checkpoint_root
 from ..sources import archive, records, storage
 from .queries import R, query
 
@@ -28,29 +27,32 @@ ALPHA = 0.1
 
 def _page_archives(spark, sf) -> str:
     """Pack ``pages`` into tar.gz files under the shared folder (once)."""
-    pages = fx.table(spark, sf, "pages")
-    tag = f"{fx.input_tag(sf, archive.pack_archives, archive.write_files)}_{PAGES_PER_ARCHIVE}"
-    out = f"{checkpoint_root(spark)}/cadenza/page_archives_{tag}"
-    with storage.MATERIALIZE_LOCK:
-        if not storage.exists(spark, out + "/_SUCCESS"):
-            packed = archive.pack_archives(
-                pages.withColumn("g", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE)),
-                "g", F.concat(F.col("page_id").cast("string"), F.lit(".html")), "html",
-                prefix="pages")
-            archive.write_files(packed, storage.qualify(spark, out))
-            storage.touch(spark, out + "/_SUCCESS")
-    return out
+    def write(out):
+        pages = fx.table(spark, sf, "pages")
+        packed = archive.pack_archives(
+            pages.withColumn("g", F.floor(F.col("page_id") / PAGES_PER_ARCHIVE)),
+            "g", F.concat(F.col("page_id").cast("string"), F.lit(".html")), "html", prefix="pages")
+        archive.write_files(packed, storage.qualify(spark, out))
 
+    return fx.written(spark, "page_archives", fx.input_tag(spark, sf, "pages", PAGES_PER_ARCHIVE), write)
 
-def _members(spark, sf):
-    return archive.read_archives(spark, _page_archives(spark, sf) + "/*.tar.gz", suffix=".html")
+
+def _members(spark, sf, content: bool = False):
+    return archive.read_archives(spark, _page_archives(spark, sf) + "/*.tar.gz", suffix=".html", content=content)
+
+
+def _page_id():
+    return F.regexp_extract("member", r"(\d+)\.html$", 1).cast("bigint").alias("page_id")
 
 
 @query("archive_members")
 def q_archive_members(spark, sf):
-    m = _members(spark, sf)
-    return m.select(F.regexp_extract("member", r"(\d+)\.html$", 1).cast("bigint").alias("page_id"),
-                    F.col("size"))
+    return _members(spark, sf).select(_page_id(), F.col("size"))
+
+
+@query("archive_content_hash")
+def q_archive_content_hash(spark, sf):
+    return _members(spark, sf, content=True).select(_page_id(), F.md5("content").alias("md5"))
 
 
 @query("archive_counts")

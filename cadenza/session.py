@@ -41,6 +41,12 @@ def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
 
+def has_shared_folder(spark: SparkSession) -> bool:
+    """Is there a folder for written tables? A local session always gets one."""
+    return (_is_local(spark) or bool(spark.sparkContext.getConf().get(_CKPT_KEY, None))
+            or spark.sparkContext._jsc.sc().getCheckpointDir().isDefined())
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables and checkpoints.
 

@@ -8,9 +8,10 @@ archive is inherently one task; pass ``repartition=n`` to spread the member
 rows afterwards, so per-member work downstream is not held in the task of
 an archive that holds a large share of all members.
 
-For archives above the 2 GB cell limit of ``binaryFile``,
-:func:`read_archives_streaming` opens each path inside its task through
-``pyarrow.fs`` and streams it.
+:func:`read_archives` takes archives of any size: those that fit a cell come
+through ``binaryFile``, larger ones are opened inside their task through
+``pyarrow.fs`` and streamed (:func:`read_archives_streaming`). With
+``content=False`` only names and sizes leave the task.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from __future__ import annotations
 import io
 import posixpath
 import tarfile
+import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +36,16 @@ _BATCH_ROWS = 256
 _BATCH_BYTES = 64 << 20
 
 
-def _members(tar: tarfile.TarFile, path: str, suffix: str | None, max_members: int | None):
+#: ``binaryFile`` holds a file in one cell, of 2 GB at most.
+CELL_BYTES = 1 << 30
+
+
+def _schema(content: bool) -> T.StructType:
+    return MEMBER_SCHEMA if content else T.StructType(MEMBER_SCHEMA.fields[:3])
+
+
+def _members(tar: tarfile.TarFile, path: str, suffix: str | None, max_members: int | None,
+             content: bool = True):
     taken = 0
     for info in tar:
         if max_members is not None and taken >= max_members:
@@ -43,6 +54,12 @@ def _members(tar: tarfile.TarFile, path: str, suffix: str | None, max_members: i
             continue
         if suffix is not None and not info.name.endswith(suffix):
             continue
+        if not content:
+            # the size of the header; the reader skips that many bytes and
+            # fails on an archive that ends before
+            taken += 1
+            yield path, info.name, info.size
+            continue
         f = tar.extractfile(info)
         data = f.read() if f is not None else b""
         if len(data) != info.size:
@@ -53,11 +70,10 @@ def _members(tar: tarfile.TarFile, path: str, suffix: str | None, max_members: i
 
 def _arrow_batch(buf):
     import pyarrow as pa
-    cols = list(zip(*buf))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()),
-         pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.binary())],
-        names=["path", "member", "size", "content"])
+    types = [pa.string(), pa.string(), pa.int64(), pa.binary()]
+    names = ["path", "member", "size", "content"]
+    cols = [pa.array(c, t) for c, t in zip(zip(*buf), types)]
+    return pa.RecordBatch.from_arrays(cols, names=names[:len(cols)])
 
 
 def _batched(rows):
@@ -65,7 +81,7 @@ def _batched(rows):
     buf, nbytes = [], 0
     for r in rows:
         buf.append(r)
-        nbytes += r[2]
+        nbytes += r[2] if len(r) > 3 else 0
         if len(buf) >= _BATCH_ROWS or nbytes >= _BATCH_BYTES:
             yield _arrow_batch(buf)
             buf, nbytes = [], 0
@@ -75,41 +91,54 @@ def _batched(rows):
 
 def extract_members(archives: DataFrame, suffix: str | None = ".h5",
                     max_members: int | None = None, path_col: str = "path",
-                    content_col: str = "content", repartition: int | None = None) -> DataFrame:
+                    content_col: str = "content", repartition: int | None = None,
+                    content: bool = True) -> DataFrame:
     """Unpack a ``(path, content)`` frame of tar.gz bytes. Keeps regular
     files whose name ends with ``suffix`` (all when ``None``), at most
-    ``max_members`` per archive."""
+    ``max_members`` per archive; with ``content=False`` without their bytes."""
     src = archives.select(F.col(path_col).alias("path"), F.col(content_col).alias("content"))
 
     def unpack(batches):
         def rows():
             for batch in batches:
                 paths = batch.column("path").to_pylist()
-                contents = batch.column("content")
+                packed = batch.column("content")
                 for k, path in enumerate(paths):
-                    content = contents[k].as_py()
-                    with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as tar:
-                        yield from _members(tar, path, suffix, max_members)
+                    with tarfile.open(fileobj=io.BytesIO(packed[k].as_py()), mode="r|*") as tar:
+                        yield from _members(tar, path, suffix, max_members, content)
         yield from _batched(rows())
 
-    out = src.mapInArrow(unpack, MEMBER_SCHEMA)
+    out = src.mapInArrow(unpack, _schema(content))
     return out.repartition(repartition) if repartition else out
 
 
 def read_archives(spark: SparkSession, paths: str | list[str], suffix: str | None = ".h5",
-                  max_members: int | None = None, repartition: int | None = None) -> DataFrame:
-    """Archive files (paths or globs; duplicates removed) -> member rows."""
+                  max_members: int | None = None, repartition: int | None = None,
+                  content: bool = True) -> DataFrame:
+    """Archive files (paths or globs; duplicates removed) of any size -> member rows."""
+    from .storage import glob
     plist = [paths] if isinstance(paths, str) else list(dict.fromkeys(paths))
-    files = spark.read.format("binaryFile").load(plist).select("path", "content")
-    return extract_members(files, suffix, max_members, repartition=repartition)
+    files = dict(f for p in plist for f in glob(spark, p))
+    if not files:
+        raise FileNotFoundError(f"no archive at {plist}")
+    small = [f for f, size in files.items() if size <= CELL_BYTES]
+    large = [f for f, size in files.items() if size > CELL_BYTES]
+    out = None
+    if small:
+        cells = spark.read.format("binaryFile").load(small).select("path", "content")
+        out = extract_members(cells, suffix, max_members, content=content)
+    if large:
+        streamed = read_archives_streaming(spark, large, suffix, max_members, content=content)
+        out = streamed if out is None else out.unionByName(streamed)
+    return out.repartition(repartition) if repartition else out
 
 
 def read_archives_streaming(spark: SparkSession, paths: list[str], suffix: str | None = ".h5",
                             max_members: int | None = None,
-                            repartition: int | None = None) -> DataFrame:
-    """Like :func:`read_archives` for very large archives: each task opens
-    its path through ``pyarrow.fs`` (local, HDFS, S3, ...) and streams it.
-    Paths are qualified against the session's default file system first."""
+                            repartition: int | None = None, content: bool = True) -> DataFrame:
+    """Like :func:`read_archives` with each path opened inside its task through
+    ``pyarrow.fs`` (local, HDFS, S3, ...) and streamed. Paths are qualified
+    against the session's default file system first."""
     from .storage import qualify
     plist = list(dict.fromkeys(qualify(spark, p) for p in paths))
     pdf = spark.createDataFrame([(p,) for p in plist], "path string")
@@ -122,12 +151,12 @@ def read_archives_streaming(spark: SparkSession, paths: list[str], suffix: str |
             for b in batches:
                 for path in b.column("path").to_pylist():
                     fsys, inner = _fs_and_path(path)
-                    with fsys.open_input_stream(inner) as stream:
+                    with fsys.open_input_stream(inner, compression=None) as stream:
                         with tarfile.open(fileobj=stream, mode="r|*") as tar:
-                            yield from _members(tar, path, suffix, max_members)
+                            yield from _members(tar, path, suffix, max_members, content)
         yield from _batched(rows())
 
-    out = pdf.mapInArrow(unpack, MEMBER_SCHEMA)
+    out = pdf.mapInArrow(unpack, _schema(content))
     return out.repartition(repartition) if repartition else out
 
 
@@ -205,11 +234,17 @@ def pack_archives(df: DataFrame, group_col, name_col, content_col,
     return src.groupBy("g", "s").applyInPandas(build, ARCHIVE_SCHEMA)
 
 
+def _is_there(fsys, path: str) -> bool:
+    from pyarrow import fs as pafs
+    return fsys.get_file_info(path).type == pafs.FileType.File
+
+
 def write_files(files: DataFrame, out_dir: str) -> int:
     """Write each ``(path, content)`` row as a file named ``basename(path)``
     under ``out_dir`` (any ``pyarrow.fs`` URI; pass a qualified one, see
-    :func:`cadenza.sources.storage.qualify`). A retried task rewrites the
-    same names, so the result is idempotent. Returns the number of files."""
+    :func:`cadenza.sources.storage.qualify`). Every attempt writes under a
+    name of its own and moves the finished file; of two attempts at one file
+    the first to finish stays. Returns the number of files."""
     out_dir = out_dir.rstrip("/")
 
     def write(batches):
@@ -218,10 +253,17 @@ def write_files(files: DataFrame, out_dir: str) -> int:
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 name = posixpath.basename(path)
-                tmp = f"{root}/.{name}.tmp"
-                with fsys.open_output_stream(tmp) as f:
+                final, tmp = f"{root}/{name}", f"{root}/.{name}.{uuid.uuid4().hex}.tmp"
+                with fsys.open_output_stream(tmp, compression=None) as f:
                     f.write(content)
-                fsys.move(tmp, f"{root}/{name}")
+                try:
+                    if not _is_there(fsys, final):
+                        fsys.move(tmp, final)
+                        continue
+                except OSError:  # another attempt finished in between
+                    if not _is_there(fsys, final):
+                        raise
+                fsys.delete_file(tmp)
             yield pd.DataFrame({"n": [len(pdf)]})
 
     return int(files.mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0)

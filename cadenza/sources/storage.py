@@ -4,6 +4,8 @@ they work for whatever shared storage the cluster uses."""
 from __future__ import annotations
 
 import threading
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
@@ -33,3 +35,39 @@ def qualify(spark: SparkSession, path: str) -> str:
     code outside the JVM (pyarrow in tasks) resolves it to the same place."""
     fs, p = _fs(spark, path)
     return str(fs.makeQualified(p).toString())
+
+
+def listing(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every file at or below ``path``."""
+    fs, p = _fs(spark, path)
+    found, out = fs.listFiles(p, True), []
+    while found.hasNext():
+        f = found.next()
+        out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(out)
+
+
+def glob(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """(path, length) of the files that a path or glob names."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p) or []
+    return sorted((f.getPath().toString(), f.getLen()) for f in found if f.isFile())
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], object]) -> str:
+    """``path``, written once: ``write`` fills a hidden folder of its own name,
+    which is renamed when complete. A reader never sees a part of it, and of
+    two drivers that write the same path one wins and the other's is dropped."""
+    with MATERIALIZE_LOCK:
+        if exists(spark, path):
+            return path
+        parent, name = path.rsplit("/", 1)
+        own = f"{parent}/_writing-{uuid.uuid4().hex}-{name}"
+        write(own)
+        fs, final = _fs(spark, path)
+        temporary = _fs(spark, own)[1]
+        if fs.exists(final) or not fs.rename(temporary, final):
+            fs.delete(temporary, True)
+            if not fs.exists(final):
+                raise OSError(f"could not publish {path}")
+        return path
