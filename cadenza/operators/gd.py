@@ -9,8 +9,8 @@ The gradient is linear in ``w``: ``sum((w.x - y) x) = G w - b`` with
 So ``mode="gram"`` (default) makes ONE distributed aggregate pass for
 ``n, G, b, y^T y`` and runs the iterations on d x d numbers; the weights and
 history equal the per-row loop's up to rounding. ``mode="iterative"`` makes
-one aggregate pass per iteration over the (persisted) input instead, for
-vectors too wide for a d x d matrix on the driver.
+one pass per iteration over the (persisted) input instead, a NumPy partial per
+partition, for vectors too wide for a d x d matrix on the driver.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import dot_const
-from .stats import feature_size, moments
+from .stats import check_rows, feature_size, moments
 
 
 class _GDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter):
@@ -92,26 +92,64 @@ class GradientDescentRegression(Estimator, _GDParams, DefaultParamsReadable, Def
     def _fit_iterative(data, fc, lc, d, iters, step):
         data = data.persist()
         try:
-            n = data.count()
+            n, _, _ = gradient(data, fc, lc, np.zeros(d))
+            if n == 0:
+                raise ValueError("empty training set: no rows to learn from")
             w = np.zeros(d)
             hist = []
-            x = F.col(fc)
             for i in range(iters):
-                r = dot_const(fc, list(w)) - F.col(lc)
-                row = data.agg(F.sum(r * r).alias("sse"),
-                               *[F.sum(r * F.get(x, j)).alias(f"g{j}") for j in range(d)]).first()
-                hist.append(math.sqrt(max(row["sse"], 0.0) / n))
-                g = np.array([row[f"g{j}"] for j in range(d)])
+                _, sse, g = gradient(data, fc, lc, w)
+                hist.append(math.sqrt(sse / n))
                 w = w - (step / (n * math.sqrt(i + 1))) * g
                 if not np.all(np.isfinite(w)):
-                    raise FloatingPointError(f"gradient descent diverged at iteration {i}")
-            r = dot_const(fc, list(w)) - F.col(lc)
-            final = math.sqrt(max(data.agg(F.sum(r * r)).first()[0], 0.0) / n)
-            return w, hist, final
+                    raise FloatingPointError(f"gradient descent diverged at iteration {i}; scale the "
+                                             "features or lower stepSize")
+            _, sse, _ = gradient(data, fc, lc, w)
+            return w, hist, math.sqrt(sse / n)
         finally:
             data.unpersist()
 
 
+def gradient(data: DataFrame, features: str, label: str, w: np.ndarray) -> tuple[int, float, np.ndarray]:
+    """(rows, squared error, gradient) of ``sum((w . x - y)^2) / 2`` in one pass.
+
+    Each partition makes one NumPy partial over its Arrow batches and emits it
+    as d + 4 cells, which Spark sums by cell; d numbers reach the driver. The
+    rows are validated like those of :func:`cadenza.operators.stats.moments`.
+    """
+    d = len(w)
+
+    def partial(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        out = np.zeros(d + 4)  # gradient, squared error, rows, rows of another size, bad rows
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column("x")).to_numpy(zero_copy_only=False)
+            whole = sizes == d
+            missing = int(np.isnan(np.asarray(sizes, dtype=float)).sum())
+            out[d + 2] += (~whole).sum() - missing
+            batch = batch.filter(pa.array(whole))
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, d)
+            y = batch.column("y").to_numpy(zero_copy_only=False).astype(float)
+            finite = np.isfinite(x).all(axis=1) & np.isfinite(y)
+            out[d + 3] += missing + (~finite).sum()
+            x, y = x[finite], y[finite]
+            with np.errstate(over="ignore", invalid="ignore"):
+                r = x @ w - y
+                out[:d] += r @ x
+                out[d] += r @ r
+            out[d + 1] += len(y)
+        yield pa.RecordBatch.from_pydict({"i": np.arange(d + 4), "v": out})
+
+    cells = (data.select(F.col(features).alias("x"), F.col(label).cast("double").alias("y"))
+             .mapInArrow(partial, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect())
+    total = np.zeros(d + 4)
+    for r in cells:
+        total[r["i"]] = r["v"]
+    check_rows(d, total[d + 2], total[d + 3])
+    return int(total[d + 1]), float(total[d]), total[:d]
+
+
 class GradientDescentModel(Model, _GDParams, DefaultParamsReadable, DefaultParamsWritable):
     weights = Param(Params._dummy(), "weights", "learned weights",
                     typeConverter=TypeConverters.toListFloat)

@@ -107,7 +107,7 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
     for r in rows:
         if r["n"] == 0:
             continue
-        _check(d, r["sizes_off"], r["bad"])
+        check_rows(d, r["sizes_off"], r["bad"])
         mean = np.array([r[f"m{i}"] for i in range(p)], dtype=float)
         cov = np.zeros((p, p))
         for i in range(p):
@@ -117,7 +117,7 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
     return _non_empty(out)
 
 
-def _check(d: int, sizes_off: int, bad: int) -> None:
+def check_rows(d: int, sizes_off: int, bad: int) -> None:
     if sizes_off:
         raise ValueError(f"feature vectors must all have size {d}: {int(sizes_off)} rows have another")
     if bad:
@@ -196,7 +196,7 @@ def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | No
              .groupBy(key, "i", "j").agg(F.sum("v").alias("v"))
              .limit((max_groups + 1) * per_group + 2).collect())
     acc: dict = {}
-    _check(d, sum(r["v"] for r in cells if r["i"] == -2), sum(r["v"] for r in cells if r["i"] == -3))
+    check_rows(d, sum(r["v"] for r in cells if r["i"] == -2), sum(r["v"] for r in cells if r["i"] == -3))
     for r in cells:
         n, s, ss = acc.setdefault(r[key], [0.0, np.zeros(p), np.zeros((p, p))])
         if r["i"] == -1:

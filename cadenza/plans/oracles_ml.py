@@ -51,6 +51,10 @@ SELECT song_id, year AS label, y AS label_shifted, f1 AS x1, f2 AS x2, f3 AS x3
 oracle("poly_features", with_ctes(SONG_CTE, body="SELECT song_id, " + ", ".join(
     f"{e} AS p{i + 1}" for i, e in enumerate(POLY_EXPR)) + " FROM song"))
 oracle("min_label", with_ctes(SONG_CTE, body="SELECT min(year) AS min_label FROM song"))
+oracle("column_fn_stage", with_ctes(SONG_CTE, body="""
+SELECT song_id, CAST(floor(year / 10) * 10 AS BIGINT) AS decade FROM song"""))
+oracle("vector_fn_stage", with_ctes(SONG_CTE, body="""
+SELECT song_id, f1 * 2.0E0 - f3 AS y FROM song"""))
 oracle("top_row", with_ctes(SONG_CTE, body="""
 SELECT year AS label, year AS v0, f1 AS v1, f2 AS v2, f3 AS v3, f4 AS v4, f5 AS v5, f6 AS v6,
        f7 AS v7, f8 AS v8, f9 AS v9, f10 AS v10, f11 AS v11, f12 AS v12

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracles import oracle, with_ctes
+from .oracles import ORACLES, oracle, with_ctes
 from .oracles_ml import R, gd_sql, rd
 
 DIM = 64
@@ -21,3 +21,4 @@ oracle("embedding_gd_weights", with_ctes(EMB_CTE, _GD64, body=f"""
 SELECT CAST(j AS INTEGER) AS i, round(w, {R}) AS weight FROM (
   SELECT unnest(range({DIM})) AS j, unnest([{', '.join(f'w{j}' for j in range(DIM))}]) AS w
   FROM it WHERE i = 100)"""))
+oracle("embedding_gd_iterative", ORACLES["embedding_gd_weights"])

@@ -45,6 +45,12 @@ def _featurized(spark: SparkSession, sf: str, indices=FEATURES_3) -> DataFrame:
     return Pipeline(stages=fe.song_stages(indices)).fit(lines).transform(lines)
 
 
+def _unshifted(spark: SparkSession, sf: str, indices=FEATURES_3) -> DataFrame:
+    """The song features without the label shift: nothing to learn, so no job."""
+    stages = [s for s in fe.song_stages(indices) if not isinstance(s, fe.MinShift)]
+    return PipelineModel(stages=stages).transform(fx.song_lines(spark, sf))
+
+
 def _train_test(spark: SparkSession, sf: str, indices=FEATURES_3, poly: bool = False):
     lines = fx.song_lines(spark, sf)
     train_l, test_l = sp.hash_split(lines, KEY, [0.8, 0.2])
@@ -77,7 +83,7 @@ def q_tokens_to_features(spark, sf):
 
 @query("label_slice")
 def q_label_slice(spark, sf):
-    return _featurized(spark, sf).select("song_id", "label")
+    return _unshifted(spark, sf).select("song_id", "label")
 
 
 @query("label_shift")
@@ -94,27 +100,41 @@ def q_feature_frame(spark, sf):
 @query("poly_features")
 def q_poly_features(spark, sf):
     out = fe.PolyExpansion(inputCol="features", outputCol="poly", degree=2,
-                           numFeatures=3).transform(_featurized(spark, sf))
+                           numFeatures=3).transform(_unshifted(spark, sf))
     # element products are single IEEE operations: exact, no rounding needed
     return out.select("song_id", *[F.get("poly", i).alias(f"p{i + 1}") for i in range(9)])
 
 
 @query("min_label")
 def q_min_label(spark, sf):
-    return _featurized(spark, sf).agg(F.min("label").alias("min_label"))
+    return _unshifted(spark, sf).agg(F.min("label").alias("min_label"))
 
 
 @query("top_row")
 def q_top_row(spark, sf):
-    top = _featurized(spark, sf).orderBy("label", "tokens_vector").limit(1)
+    top = _unshifted(spark, sf).orderBy("label", "tokens_vector").limit(1)
     return fe.unpack(top.select("label", "tokens_vector"), "tokens_vector", 13, "v", start=0)
 
 
+@query("column_fn_stage")
+def q_column_fn_stage(spark, sf):
+    """A user function of a column as a stage: the decade of the label."""
+    stage = fe.ColumnFn(lambda c: F.floor(c / 10) * 10, "label", "decade")
+    return stage.transform(_unshifted(spark, sf)).select("song_id", "decade")
+
+
+@query("vector_fn_stage")
+def q_vector_fn_stage(spark, sf):
+    """A user function of whole vectors (a NumPy matrix per batch) as a stage."""
+    stage = fe.PandasArrayFn(lambda m: m[:, 0] * 2.0 - m[:, 2], "features", "y")
+    return stage.transform(_unshifted(spark, sf)).select("song_id", "y")
+
+
 # --- vector expressions ---------------------------------------------------------
 
 def _pairs(spark, sf):
-    df = _featurized(spark, sf)
-    return df.select("song_id", "label_shifted", "features",
+    df = _unshifted(spark, sf)
+    return df.select("song_id", "features",
                      V.slice_indices("tokens_vector", [4, 5, 6]).alias("other"))
 
 
@@ -143,7 +163,7 @@ def q_vector_fill(spark, sf):
 
 @query("vector_sum")
 def q_vector_sum(spark, sf):
-    sums = _featurized(spark, sf).agg(*V.sum_agg("features", 3))
+    sums = _unshifted(spark, sf).agg(*V.sum_agg("features", 3))
     return sums.select(*[_round(F.col(f"s{i}"), f"s{i + 1}") for i in range(3)])
 
 

@@ -38,6 +38,14 @@ def q_embedding_norm(spark, sf):
     return e.select("vec_id", F.round(V.dot("features", "features"), R).alias("norm2"))
 
 
+@query("embedding_gd_iterative")
+def q_embedding_gd_iterative(spark, sf):
+    """The same descent with one pass over the rows per step."""
+    model = GradientDescentRegression(featuresCol="features", labelCol="label", maxIter=100, stepSize=1.0,
+                                      mode="iterative").fit(embeddings(spark, sf))
+    return model.weights_frame(spark).select("i", F.round("weight", R).alias("weight"))
+
+
 @query("embedding_gd_weights")
 def q_embedding_gd_weights(spark, sf):
     model = GradientDescentRegression(featuresCol="features", labelCol="label",

@@ -16,6 +16,7 @@ through ``binaryFile``, larger ones are opened inside their task through
 
 from __future__ import annotations
 
+import gzip
 import io
 import posixpath
 import tarfile
@@ -104,7 +105,7 @@ def extract_members(archives: DataFrame, suffix: str | None = ".h5",
                 paths = batch.column("path").to_pylist()
                 packed = batch.column("content")
                 for k, path in enumerate(paths):
-                    with tarfile.open(fileobj=io.BytesIO(packed[k].as_py()), mode="r|*") as tar:
+                    with tarfile.open(fileobj=io.BytesIO(packed[k].as_py()), mode="r:*") as tar:
                         yield from _members(tar, path, suffix, max_members, content)
         yield from _batched(rows())
 
@@ -152,14 +153,28 @@ def read_archives_streaming(spark: SparkSession, paths: list[str], suffix: str |
                 for path in b.column("path").to_pylist():
                     fsys, inner = _fs_and_path(path)
                     with fsys.open_input_stream(inner, compression=None) as stream:
-                        with tarfile.open(fileobj=stream, mode="r|*") as tar:
-                            yield from _members(tar, path, suffix, max_members, content)
+                        yield from _streamed(stream, path, suffix, max_members, content)
         yield from _batched(rows())
 
     out = pdf.mapInArrow(unpack, _schema(content))
     return out.repartition(repartition) if repartition else out
 
 
+def _streamed(stream, path: str, suffix: str | None, max_members: int | None, content: bool):
+    """Members of an archive read front to back. A gzip archive that ends early
+    raises, which ``tarfile``'s own stream mode would pass over."""
+    raw = io.BufferedReader(stream, 1 << 20)
+    if raw.peek(2)[:2] == b"\x1f\x8b":
+        with gzip.GzipFile(fileobj=raw) as unzipped, tarfile.open(fileobj=unzipped, mode="r|") as tar:
+            yield from _members(tar, path, suffix, max_members, content)
+            if max_members is None:
+                while unzipped.read(1 << 20):  # up to the checksum
+                    pass
+    else:
+        with tarfile.open(fileobj=raw, mode="r|*") as tar:
+            yield from _members(tar, path, suffix, max_members, content)
+
+
 def _fs_and_path(uri: str):
     """A ``pyarrow.fs`` file system and the path inside it, for plain local
     paths, ``file:`` URIs and scheme URIs (``hdfs://``, ``s3://``, ...)."""
