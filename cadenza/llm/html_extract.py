@@ -198,14 +198,22 @@ def extract(sources: list[str], model: Boosted) -> list[str]:
     return ["\n".join(dom.chosen(t, p[a:b])) for t, a, b in zip(trees, at, at[1:], strict=False)]
 
 
+def _sample(rows: DataFrame, most: int) -> list[str]:
+    """The pages with the least hashes: the hashes are chosen first, so that no
+    task gathers more than ``most`` pages, however often one is repeated."""
+    hashed = rows.where(F.length("text") <= FIT_PAGE_CHARS).select("text", F.xxhash64("page_id", "text").alias("h"))
+    least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(most).collect()]
+    if not least:
+        return []
+    found = hashed.where(F.col("h").isin(least)).dropDuplicates(["h"]).collect()
+    return [r["text"] for r in sorted(found, key=lambda r: r["h"])]
+
+
 def html_extract(pages: DataFrame, fit_pages: int = FIT_PAGES) -> DataFrame:
     """``page_id, url, text, n_chars`` for every row."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         body(F.col("html")).alias("text"))
-    order = F.xxhash64("page_id", "text")
-    sample = [r["text"] for r in rows.where(F.length("text") <= FIT_PAGE_CHARS).orderBy(order)
-              .limit(fit_pages).select("text").collect()]
-    model = train(sample)
+    model = train(_sample(rows, fit_pages))
 
     def run(batches):
         import pyarrow as pa
