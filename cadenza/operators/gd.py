@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import dot_const
-from .stats import check_rows, feature_size, moments
+from .stats import Moments, check_rows, feature_size, moments
 
 
 class _GDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter):
@@ -71,22 +71,24 @@ class GradientDescentRegression(Estimator, _GDParams, DefaultParamsReadable, Def
                          maxIter=100, stepSize=1.0, mode="gram")
         self._set(**self._input_kwargs)
 
+    def fit_moments(self, m: Moments) -> "GradientDescentModel":
+        G, b, yy = m.gram()
+        w, hist = descend(G, b, yy, m.n, self.getMaxIter(), self.getOrDefault(self.stepSize))
+        return self._model(w, hist, rmse_at(G, b, yy, m.n, w))
+
+    def _model(self, w, hist, final) -> "GradientDescentModel":
+        model = GradientDescentModel(weights=[float(x) for x in w], trainingError=[float(x) for x in hist],
+                                     finalError=float(final))
+        return self._copyValues(model)
+
     def _fit(self, df: DataFrame) -> "GradientDescentModel":
         fc, lc = self.getFeaturesCol(), self.getLabelCol()
         iters, step = self.getMaxIter(), self.getOrDefault(self.stepSize)
         data = df.select(fc, F.col(lc).cast("double").alias(lc))
         d = feature_size(data, fc)
         if self.getOrDefault(self.mode) == "gram":
-            m = moments(data, fc, lc, d)[None]
-            G, b, yy = m.gram()
-            w, hist = descend(G, b, yy, m.n, iters, step)
-            final = rmse_at(G, b, yy, m.n, w)
-        else:
-            w, hist, final = self._fit_iterative(data, fc, lc, d, iters, step)
-        model = GradientDescentModel(weights=[float(x) for x in w],
-                                     trainingError=[float(x) for x in hist],
-                                     finalError=float(final))
-        return self._copyValues(model)
+            return self.fit_moments(moments(data, fc, lc, d)[None])
+        return self._model(*self._fit_iterative(data, fc, lc, d, iters, step))
 
     @staticmethod
     def _fit_iterative(data, fc, lc, d, iters, step):
@@ -168,6 +170,10 @@ class GradientDescentModel(Model, _GDParams, DefaultParamsReadable, DefaultParam
     def getWeights(self) -> list[float]:
         return self.getOrDefault(self.weights)
 
+    def linear_terms(self) -> tuple[np.ndarray, float]:
+        """(weights, intercept): the model has no intercept."""
+        return np.array(self.getWeights(), dtype=float), 0.0
+
     def getTrainingError(self) -> list[float]:
         """RMSE before update i; the last entry is the error before the final
         update, not of the returned weights (see :meth:`getFinalError`)."""

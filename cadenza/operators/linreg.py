@@ -151,6 +151,10 @@ class LinearModel(Model, _ENParams, DefaultParamsReadable, DefaultParamsWritable
     def getCoefficients(self) -> list[float]:
         return self.getOrDefault(self.coefficients)
 
+    def linear_terms(self) -> tuple[np.ndarray, float]:
+        """(coefficients, intercept)."""
+        return np.array(self.getCoefficients(), dtype=float), self.getIntercept()
+
     def getRounds(self) -> int:
         return self.getOrDefault(self.rounds)
 

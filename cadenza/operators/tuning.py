@@ -1,10 +1,14 @@
-"""Grid search with k-fold cross-validation for the elastic net.
+"""Grid search with k-fold cross-validation for models that fit on moments.
 
 :func:`cross_validate` computes moments per fold in ONE grouped aggregate
 (``groupBy(fold)``), then, for every (held-out fold, grid point), fits on
 the other folds' combined moments and scores the held-out fold from its own
 moments. The whole grid (e.g. 49 settings x 3 folds + refit) costs one
 scan of the data instead of ~150 fits with several scans each.
+:class:`CrossValidator` does so for a whole pipeline and gives a fitted one.
+
+A model stage takes part if it has ``fit_moments`` and its models have
+``linear_terms`` (elastic net and gradient descent do).
 
 Folds come from a row hash (:func:`cadenza.operators.split.with_fold`), so
 they are reproducible. The metric is RMSE averaged over folds; lowest wins;
@@ -17,11 +21,13 @@ import itertools
 import math
 from dataclasses import dataclass
 
-import numpy as np
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .linreg import ElasticNet, LinearModel, mse_on
+from .linreg import mse_on
+from .split import with_fold
 from .stats import feature_size, moments, total
 
 
@@ -40,22 +46,29 @@ class CVResult:
     avg_metrics: list[float]
     fold_metrics: list[list[float]]
     best_index: int
-    best_model: LinearModel
+    best_model: Model
 
     @property
     def best_params(self) -> dict:
         return self.grid[self.best_index]
 
     def metrics_frame(self, spark: SparkSession) -> DataFrame:
-        schema = T.StructType([T.StructField("max_iter", T.IntegerType(), False),
-                               T.StructField("reg_param", T.DoubleType(), False),
-                               T.StructField("avg_rmse", T.DoubleType(), False)])
-        rows = [(int(g["maxIter"]), float(g["regParam"]), float(m))
+        """One row per grid point: its parameters (``maxIter`` as ``max_iter``) and ``avg_rmse``."""
+        names = list(self.grid[0])
+        whole = {n: all(isinstance(g[n], int) for g in self.grid) for n in names}
+        schema = T.StructType(
+            [T.StructField(_snake(n), T.IntegerType() if whole[n] else T.DoubleType(), False) for n in names]
+            + [T.StructField("avg_rmse", T.DoubleType(), False)])
+        rows = [(*((int if whole[n] else float)(g[n]) for n in names), float(m))
                 for g, m in zip(self.grid, self.avg_metrics)]
         return spark.createDataFrame(rows, schema)
 
 
-def cross_validate(df: DataFrame, estimator: ElasticNet, grid: list[dict],
+def _snake(name: str) -> str:
+    return "".join("_" + c.lower() if c.isupper() else c for c in name)
+
+
+def cross_validate(df: DataFrame, estimator: Estimator, grid: list[dict],
                    fold_col: str = "fold", eval_label_offset: float = 0.0) -> CVResult:
     """k-fold CV over ``grid`` from one grouped aggregate.
 
@@ -76,8 +89,7 @@ def cross_validate(df: DataFrame, estimator: ElasticNet, grid: list[dict],
         row = []
         for g in grid:
             model = estimator.copy(_to_params(estimator, g)).fit_moments(train)
-            row.append(math.sqrt(mse_on(test, _arr(model.getCoefficients()),
-                                        model.getIntercept(), eval_label_offset)))
+            row.append(math.sqrt(mse_on(test, *model.linear_terms(), eval_label_offset)))
         fold_metrics.append(row)
     avg = [sum(col) / len(col) for col in zip(*fold_metrics)]
     best = min(range(len(grid)), key=lambda i: (round(avg[i], TIE_DIGITS), i))
@@ -85,12 +97,53 @@ def cross_validate(df: DataFrame, estimator: ElasticNet, grid: list[dict],
     return CVResult(grid, avg, fold_metrics, best, best_model)
 
 
-def _arr(xs):
-    return np.array(xs, dtype=float)
+def _to_params(est: Estimator, g: dict) -> dict:
+    return {est.getParam(k): v for k, v in g.items()}
 
 
-def _to_params(est: ElasticNet, g: dict) -> dict:
-    return {est.getParam(k): v for k, v in g.items()}
+class CrossValidator(Estimator):
+    """Cross-validation of a pipeline whose last stage fits on moments.
+
+    The stages before it are fitted once, on all the rows given; folds are row
+    hashes of ``key_cols``. ``label_col`` (default: the model's label column) is
+    scored, which must differ from the model's label by a constant only, as a
+    shifted label does. ``fit`` returns a :class:`CrossValidatedModel`, whose
+    ``transform`` runs the fitted stages and the best model.
+    """
+
+    def __init__(self, pipeline: Pipeline, grid: list[dict], key_cols: list[str], folds: int = 3,
+                 label_col: str | None = None):
+        super().__init__()
+        if not hasattr(pipeline.getStages()[-1], "fit_moments"):
+            raise TypeError("the last stage must fit on moments")
+        self.pipeline, self.grid, self.key_cols = pipeline, grid, key_cols
+        self.folds, self.label_col = folds, label_col
+
+    def _fit(self, df: DataFrame) -> CrossValidatedModel:
+        *stages, estimator = self.pipeline.getStages()
+        fitted = Pipeline(stages=stages).fit(df)
+        rows = with_fold(fitted.transform(df), self.key_cols, self.folds, col=FOLD)
+        offset = 0.0
+        if self.label_col and self.label_col != estimator.getLabelCol():
+            gap = F.col(self.label_col) - F.col(estimator.getLabelCol())
+            low, high = rows.agg(F.min(gap), F.max(gap)).first()
+            if low is None or abs(high - low) > 1e-9 * max(1.0, abs(high)):
+                raise ValueError(f"{self.label_col} is not {estimator.getLabelCol()} plus a constant")
+            offset = float(low)
+        result = cross_validate(rows, estimator, self.grid, FOLD, offset)
+        return CrossValidatedModel(PipelineModel(stages=[*fitted.stages, result.best_model]), result)
+
+
+class CrossValidatedModel(Model):
+    def __init__(self, best: PipelineModel, result: CVResult):
+        super().__init__()
+        self.best, self.result = best, result
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.best.transform(df)
+
+
+FOLD = "_cv_fold"
 
 
 def mllib_cross_validate(df: DataFrame, features: str, label: str, grid: list[dict],
@@ -101,14 +154,13 @@ def mllib_cross_validate(df: DataFrame, features: str, label: str, grid: list[di
     from pyspark.ml.evaluation import RegressionEvaluator
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.regression import LinearRegression
-    from pyspark.ml.tuning import CrossValidator
-    from pyspark.sql import functions as F
+    from pyspark.ml.tuning import CrossValidator as MLlibCrossValidator
 
     data = df.select(array_to_vector(features).alias("_fv"), F.col(label).alias("_y"),
                      F.col(fold_col).cast("int").alias(fold_col))
     lr = LinearRegression(featuresCol="_fv", labelCol="_y", elasticNetParam=alpha)
     maps = [{lr.maxIter: int(g["maxIter"]), lr.regParam: float(g["regParam"])} for g in grid]
     ev = RegressionEvaluator(metricName="rmse", labelCol="_y", predictionCol="prediction")
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=maps, evaluator=ev,
+    cv = MLlibCrossValidator(estimator=lr, estimatorParamMaps=maps, evaluator=ev,
                         foldCol=fold_col, parallelism=parallelism)
     return cv.fit(data)

@@ -9,7 +9,7 @@ objective). They are generated for any number of features ``d``.
 from __future__ import annotations
 
 from .oracles import SONG_CTE, oracle, with_ctes
-from .queries_ml import ALPHA, GRID_MAX_ITER, GRID_REG, MAX_ITER, REG
+from .queries_ml import ALPHA, GD_GRID_ITERS, GD_GRID_STEP, GRID_MAX_ITER, GRID_REG, MAX_ITER, REG
 
 R = 4
 
@@ -281,3 +281,22 @@ _pfull = enet_sql_named("full_", POLY_EXPR, "train", [], "unnest([" + ", ".join(
 oracle("poly_cv_best_test_rmse", with_ctes(SONG_CTE, SPLIT_CTE, _pen, _pbody, _pfull, _BEST,
                                            body=f"""
 SELECT {rd('sqrt(avg((y - (' + _pred(POLY_EXPR) + '))^2))', 'rmse')} FROM test, best_coef"""))
+
+
+def gd_cv_sql() -> str:
+    """Per step and held-out fold: descent on the other folds, RMSE on the fold
+    at each grid maxIter; averaged over folds."""
+    import re
+    ctes, scores = [], []
+    for s, step in enumerate(GD_GRID_STEP):
+        for k in range(3):
+            sql = gd_sql(3, max(GD_GRID_ITERS), step, src=f"(SELECT * FROM train WHERE fold <> {k})")
+            ctes.append(re.sub(r"\b(g|it|hist)\b", rf"\1_{s}_{k}", sql))
+            scores.append(f"SELECT i, {step}E0 AS step, sqrt(avg((y - (w0*f1 + w1*f2 + w2*f3))^2)) AS rmse "
+                          f"FROM train, it_{s}_{k} WHERE fold = {k} AND i IN ({', '.join(map(str, GD_GRID_ITERS))}) GROUP BY i")
+    return with_ctes(SONG_CTE, SPLIT_CTE, *ctes, body=f"""
+SELECT CAST(i AS INTEGER) AS max_iter, step AS step_size, {rd('avg(rmse)', 'avg_rmse')}
+FROM ({' UNION ALL '.join(scores)}) GROUP BY i, step""")
+
+
+oracle("gd_cv_metrics", gd_cv_sql())

@@ -19,7 +19,7 @@ from ..operators import features as fe
 from ..operators import split as sp
 from ..operators.gd import GradientDescentRegression
 from ..operators.linreg import ElasticNet
-from ..operators.tuning import cross_validate, param_grid
+from ..operators.tuning import CrossValidator, param_grid
 from .queries import R, query
 
 KEY = ["song_id"]
@@ -33,6 +33,7 @@ GRID_REG = [0.4, 0.6, 0.8, 0.9, 1.0, 1.2, 1.4]
 FOLDS = 3
 GD_ITERS = 100
 GD_STEP = 1.0
+GD_GRID_ITERS, GD_GRID_STEP = [20, 50, 100], [0.1, 0.5, 1.0]
 GD_PROBE_W = [1.0, 1.0, 1.0]  # weights at which gd_gradient is evaluated
 
 
@@ -308,37 +309,29 @@ def q_poly_enet_test_rmse(spark, sf):
 
 # --- cross-validation ----------------------------------------------------------
 
-def _cv(spark, sf, poly: bool = False, parity: bool = False, with_test: bool = False):
-    """Grid x 3-fold CV on the training rows, featurised once. ``parity``
-    scores against the unshifted year, like an evaluator left on the
-    default label column. ``with_test`` also returns the featurised
-    training and test rows."""
-    lines = fx.song_lines(spark, sf)
-    train_l, _ = sp.hash_split(lines, KEY, [0.8, 0.2])
+def _cv(spark, sf, poly: bool = False, parity: bool = False):
+    """Grid x 3-fold CV of the song pipeline on the training lines. ``parity``
+    scores against the unshifted year, like an evaluator left on the default
+    label column. Returns (fitted model, training lines, test lines)."""
+    train_l, test_l = sp.hash_split(fx.song_lines(spark, sf), KEY, [0.8, 0.2])
     stages = fe.song_stages(FEATURES_3)
     if poly:
         stages.append(fe.PolyExpansion(inputCol="features", outputCol="polyfeatures",
                                        degree=2, numFeatures=len(FEATURES_3)))
-    pm = Pipeline(stages=stages).fit(train_l)
-    train = sp.with_fold(pm.transform(train_l), KEY, FOLDS)
-    offset = pm.stages[4].getOrDefault("offset") if parity else 0.0
-    est = ElasticNet(featuresCol="polyfeatures" if poly else "features",
-                     labelCol="label_shifted", elasticNetParam=ALPHA)
-    res = cross_validate(train, est, param_grid(GRID_MAX_ITER, GRID_REG), fold_col="fold",
-                         eval_label_offset=offset)
-    if with_test:
-        _, test_l = sp.hash_split(lines, KEY, [0.8, 0.2])
-        return res, train, pm.transform(test_l)
-    return res
+    stages.append(ElasticNet(featuresCol="polyfeatures" if poly else "features",
+                             labelCol="label_shifted", elasticNetParam=ALPHA))
+    cv = CrossValidator(Pipeline(stages=stages), param_grid(GRID_MAX_ITER, GRID_REG), KEY, FOLDS,
+                        label_col="label" if parity else None)
+    return cv.fit(train_l), train_l, test_l
 
 
 def _cv_metrics(spark, sf, poly=False, parity=False):
-    m = _cv(spark, sf, poly, parity).metrics_frame(spark)
+    m = _cv(spark, sf, poly, parity)[0].result.metrics_frame(spark)
     return m.select("max_iter", "reg_param", _round(F.col("avg_rmse"), "avg_rmse"))
 
 
 def _cv_best(spark, sf, poly=False):
-    res = _cv(spark, sf, poly)
+    res = _cv(spark, sf, poly)[0].result
     m = res.metrics_frame(spark)
     best = res.best_params
     return (m.filter((F.col("max_iter") == best["maxIter"])
@@ -375,20 +368,30 @@ def q_poly_cv_best(spark, sf):
 def q_cv_best_train_metrics(spark, sf):
     """Training summary (rmse, mse, mae) of the best CV setting refitted on
     all training rows."""
-    res, train, _ = _cv(spark, sf, with_test=True)
-    m = res.best_model.evaluate(train)
+    model, train, _ = _cv(spark, sf)
+    m = model.transform(train).agg(*error_aggs("label_shifted", "prediction"))
     return m.select(*[_round(F.col(c), c) for c in ("rmse", "mse", "mae")])
 
 
 @query("cv_best_test_rmse")
 def q_cv_best_test_rmse(spark, sf):
     """Hold-out RMSE of the best CV model."""
-    res, _, test = _cv(spark, sf, with_test=True)
-    return res.best_model.evaluate(test).select(_round(F.col("rmse"), "rmse"))
+    model, _, test = _cv(spark, sf)
+    return model.transform(test).agg(*error_aggs("label_shifted", "prediction")).select(_round(F.col("rmse"), "rmse"))
 
 
 @query("poly_cv_best_test_rmse")
 def q_poly_cv_best_test_rmse(spark, sf):
     """Hold-out RMSE of the best CV model on degree-2 polynomial features."""
-    res, _, test = _cv(spark, sf, poly=True, with_test=True)
-    return res.best_model.evaluate(test).select(_round(F.col("rmse"), "rmse"))
+    model, _, test = _cv(spark, sf, poly=True)
+    return model.transform(test).agg(*error_aggs("label_shifted", "prediction")).select(_round(F.col("rmse"), "rmse"))
+
+
+@query("gd_cv_metrics")
+def q_gd_cv_metrics(spark, sf):
+    """Gradient descent tuned by the same cross-validation."""
+    train_l, _ = sp.hash_split(fx.song_lines(spark, sf), KEY, [0.8, 0.2])
+    stages = fe.song_stages(FEATURES_3) + [GradientDescentRegression(featuresCol="features", labelCol="label_shifted")]
+    grid = [{"maxIter": n, "stepSize": s} for n in GD_GRID_ITERS for s in GD_GRID_STEP]
+    m = CrossValidator(Pipeline(stages=stages), grid, KEY, FOLDS).fit(train_l).result.metrics_frame(spark)
+    return m.select("max_iter", "step_size", _round(F.col("avg_rmse"), "avg_rmse"))

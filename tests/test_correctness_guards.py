@@ -252,3 +252,24 @@ def test_feature_queries_learn_nothing(spark, sf):
         queries()[name](spark, sf)
         assert not sc.statusTracker().getJobIdsForGroup(f"lazy-{name}"), name
     sc.setJobGroup("", "")
+
+
+def test_pipeline_cross_validation(spark, sf):
+    """The fitted pipeline scores raw lines; a label that is not a shift is refused."""
+    from pyspark.ml import Pipeline
+
+    from cadenza.operators.tuning import CrossValidator, param_grid
+    train, test = split.hash_split(fx.song_lines(spark, sf), ["song_id"], [0.8, 0.2])
+    stages = fe.song_stages([1, 2, 3]) + [ElasticNet(featuresCol="features", labelCol="label_shifted", elasticNetParam=0.1)]
+    cv = CrossValidator(Pipeline(stages=stages), param_grid([20, 50], [0.4, 1.2]), ["song_id"])
+    model = cv.fit(train)
+    scored = model.transform(test)
+    assert scored.count() == test.count() and "prediction" in scored.columns
+    assert len(model.result.avg_metrics) == 4 and len(model.result.fold_metrics) == 3
+    shifted = CrossValidator(Pipeline(stages=stages), cv.grid, ["song_id"], label_col="label").fit(train).result
+    assert min(shifted.avg_metrics) > max(model.result.avg_metrics)
+    with pytest.raises(ValueError, match="plus a constant"):
+        odd = fe.ColumnFn(lambda c: c * 2, "label", "twice")
+        CrossValidator(Pipeline(stages=[*stages[:-1], odd, stages[-1]]), cv.grid, ["song_id"], label_col="twice").fit(train)
+    with pytest.raises(TypeError):
+        CrossValidator(Pipeline(stages=stages[:-1]), cv.grid, ["song_id"])
