@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import body
 
 #: Rows per class that a classifier is fitted on, at most.
-FIT_ROWS = 2000
+FIT_ROWS = 2500
 FOLDS = 5
 
 

@@ -40,31 +40,37 @@ STEPS, RATE, COMMON = 30, 1e5, 1.0
 RARE = 0.01
 #: A document of this score or more is toxic.
 THRESHOLD = 0.5
+#: A toxic document that passes counts as this many clean ones rejected.
+COST = 2.0
 #: Words whose scores a task remembers; then it starts afresh.
 MEMORY = 200_000
 
 
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return ((mixed(h) >> np.uint64(20)) % np.uint64(BUCKETS)).astype(np.int32)
+
+
 def subwords(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of the n-grams of each word, and the offset of each word's first.
     The n-grams include the word marks; a word always has one at least."""
     if not words:
-        return np.zeros(0, np.int64), np.zeros(1, np.int64)
+        return np.zeros(0, np.int32), np.zeros(1, np.int64)
     symbols = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
     sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
-    word = np.repeat(np.arange(len(words)), sizes)
-    left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(symbols))  # symbols to the word's end
+    word = np.repeat(np.arange(len(words), dtype=np.int32), sizes)
+    left = (np.repeat(np.cumsum(sizes), sizes) - np.arange(len(symbols))).astype(np.int32)  # symbols to the word's end
     owners, grams = [], []
     symbols = mixed(symbols + np.uint64(1))
     for n in GRAMS:
         at = np.nonzero(left >= n)[0]
         owners.append(word[at])
-        grams.append((mixed(rolled(symbols, n)[at] + np.uint64(n)) >> np.uint64(20)) % np.uint64(BUCKETS))
+        grams.append(_bucket(rolled(symbols, n)[at] + np.uint64(n)))
     # the whole word is a subword too
     end = np.cumsum(sizes)
     places = mixed(symbols + np.arange(len(symbols), dtype=np.uint64) - np.repeat(end - sizes, sizes).astype(np.uint64))
-    owners.append(np.arange(len(words)))
-    grams.append((mixed(np.add.reduceat(places, end - sizes)) >> np.uint64(20)) % np.uint64(BUCKETS))
-    owner, gram = np.concatenate(owners), np.concatenate(grams).astype(np.int64)
+    owners.append(np.arange(len(words), dtype=np.int32))
+    grams.append(_bucket(np.add.reduceat(places, end - sizes)))
+    owner, gram = np.concatenate(owners), np.concatenate(grams)
     order = np.argsort(owner, kind="stable")
     counts = np.bincount(owner, minlength=len(words))
     return gram[order], np.concatenate([[0], np.cumsum(counts)])
@@ -88,21 +94,22 @@ def train(sample: list[tuple[str, int]], prior: float = 0.5, seed: int = 7) -> t
     fit = place % 5 != 4
     y_fit = y[fit]
     names: dict[str, int] = {}
-    ids = [np.array([names.setdefault(w, len(names)) for w in dict.fromkeys(tokens(text)) or [""]])
+    ids = [np.array([names.setdefault(w, len(names)) for w in dict.fromkeys(tokens(text)) or [""]], np.int32)
            for (text, _), on in zip(sample, fit, strict=True) if on]
-    doc = np.repeat(np.arange(len(ids)), [len(x) for x in ids])
+    doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in ids])
     share = np.repeat([1 / len(x) for x in ids], [len(x) for x in ids])
     ids = np.concatenate(ids)
     gram, gram_at = subwords(list(names))
-    owner = np.repeat(np.arange(len(names)), np.diff(gram_at))
+    owner = np.repeat(np.arange(len(names), dtype=np.int32), np.diff(gram_at))
     size = np.diff(gram_at)
     # documents a subword is in, counting a document once per word
     uses = np.bincount(gram, np.bincount(ids, minlength=len(names))[owner], BUCKETS)
     used = np.nonzero(uses >= max(3, RARE * len(y_fit)))[0]
-    column = np.full(BUCKETS, -1)
+    column = np.full(BUCKETS, -1, np.int32)
     column[used] = np.arange(len(used))
     on = column[gram] >= 0
     owner, column = owner[on], column[gram[on]]
+    del gram, on
     rate = RATE * ((uses[used] / len(y_fit)) ** -COMMON)[:, None]  # a rare subword learns as fast as a common one
 
     rng = np.random.default_rng(seed)
@@ -187,7 +194,8 @@ def _scored(texts: DataFrame, model: tuple[np.ndarray, float, float], score: str
 
 
 def fitted(docs: DataFrame, labels: DataFrame, fit_rows: int = labelled.FIT_ROWS):
-    return train(labelled.sample(docs, labels, "toxic", fit_rows), labelled.share(labels, "toxic"))
+    share = labelled.share(labels, "toxic")
+    return train(labelled.sample(docs, labels, "toxic", fit_rows), COST * share / (COST * share + 1 - share))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = labelled.FIT_ROWS) -> DataFrame:
