@@ -7,7 +7,8 @@ Texts are UTF-8 bytes; a factor is ``width`` bytes of one document.
    a segment, and each document's segment anchors meet in packed hash ranges.
    A segment whose anchor occurs once in the corpus holds no repeat.
 2. The other segments' bytes go where their anchor says, so that all places of
-   a repeated factor are in one bucket. Identical segments are merged.
+   a repeated factor are in one bucket. Identical segments are merged, first per
+   slice: a hot passage sends its bytes once per slice.
 3. A suffix array (prefix doubling, in numpy, over slices of whole buckets) puts
    equal factors next to each other. In suffix order the previous and the next
    smaller position that share ``width`` bytes give the earlier match of a
@@ -112,10 +113,14 @@ def _anchor_blobs(docs: DataFrame, width: int, gram: int) -> DataFrame:
     return docs.select("id", "t32", "text").mapInArrow(run, blobs.PROBED)
 
 
-_SEGMENTS = "p int, h binary, size binary, text binary, id binary, t32 binary, start binary"
+#: kind 0: segments with their bytes; kind 1: stretches of matched factors that a
+#: slice has settled itself (no hashes, no bytes).
+_SEGMENTS = "p int, kind int, h binary, size binary, text binary, id binary, t32 binary, start binary"
 
 
-def _segment_blobs(hit: DataFrame, width: int, gram: int) -> DataFrame:
+def _segment_blobs(hit: DataFrame, width: int, gram: int, keep_first: bool) -> DataFrame:
+    """Segments by hash range. Of identical segments in a slice the first is sent;
+    the others, and with ``keep_first`` off the first too, are matched throughout."""
     n = partitions(hit.sparkSession) * blobs.SPREAD
 
     def run(batches):
@@ -130,17 +135,27 @@ def _segment_blobs(hit: DataFrame, width: int, gram: int) -> DataFrame:
             for r, packed in enumerate(chunk.column("found").to_pylist()):
                 on[first[r] + blobs.unpacked(packed)] = True
             row, start, size, h = (x[on] for x in (row, start, size, h))
-            order = np.argsort(h, kind="stable")
-            row, start, size, h = (x[order] for x in (row, start, size, h))
             ids, t32 = (chunk.column(c).to_numpy()[row] for c in ("id", "t32"))
+            order = np.lexsort((start, t32, ids, h))  # by hash, then document order
+            row, start, size, h, ids, t32 = (x[order] for x in (row, start, size, h, ids, t32))
+            start, size = start.astype(np.int32), size.astype(np.int32)
             out = []
             for p, s, e in blobs.cut(h, n):
-                text = b"".join(texts[r][a:a + k + width - 1] for r, a, k in
-                                zip(row[s:e].tolist(), start[s:e].tolist(), size[s:e].tolist(), strict=True))
-                out.append((p, h[s:e].tobytes(), blobs.planes(size[s:e].astype(np.int32)), text, *map(
-                    blobs.planes, (ids[s:e], t32[s:e], start[s:e].astype(np.int32)))))
+                first: dict[bytes, int] = {}
+                settled = set()
+                for i, r, a, k in zip(range(s, e), row[s:e].tolist(), start[s:e].tolist(), size[s:e].tolist(), strict=True):
+                    lead = first.setdefault(texts[r][a:a + k + width - 1], i)
+                    if lead != i:
+                        settled.add(i)
+                        if not keep_first:
+                            settled.add(lead)
+                for kind, at, sent in ((0, list(first.values()), True), (1, sorted(settled), False)):
+                    if at:
+                        refs = [blobs.planes(x[at]) for x in (size, ids, t32, start)]
+                        out.append((p, kind, h[at].tobytes() if sent else b"", refs[0],
+                                    b"".join(first) if sent else b"", *refs[1:]))
             if out:
-                types = [pa.int32()] + [pa.binary()] * 6
+                types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                     names=[c.split()[0] for c in _SEGMENTS.split(", ")])
@@ -211,6 +226,9 @@ def _stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - edge[::2]
 
 
+_REFS = (("id", np.int64), ("t32", np.int32), ("start", np.int32), ("size", np.int32))
+
+
 class Buckets:
     """Matches of the segments of one hash range."""
 
@@ -219,9 +237,14 @@ class Buckets:
         self.out: list[tuple[int, int, int, int]] = []  # id, t32, start, size
 
     def settle(self, rows: list[dict]) -> None:
+        for r in rows:
+            if r["kind"] == 1:
+                self.out.extend(zip(*(blobs.unplaned(r[c], k).tolist() for c, k in _REFS), strict=True))
+        rows = [r for r in rows if r["kind"] == 0]
+        if not rows:
+            return
         hashes = np.concatenate([np.frombuffer(r["h"], np.uint64) for r in rows])
-        size, ids, t32, start = (np.concatenate([blobs.unplaned(r[c], k) for r in rows]) for c, k in (
-            ("size", np.int32), ("id", np.int64), ("t32", np.int32), ("start", np.int32)))
+        ids, t32, start, size = (np.concatenate([blobs.unplaned(r[c], k) for r in rows]) for c, k in _REFS)
         text = b"".join(r["text"] for r in rows)
         length = size.astype(np.int64) + self.width - 1
         at = np.cumsum(length) - length
@@ -318,7 +341,8 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: str = "first") -> Da
     gram = min(GRAM, width // 2)
     texts = keyed(docs)
     found = blobs.gathered(blobs.repeated(_anchor_blobs(texts, width, gram)), "found")
-    hits = _matches(_segment_blobs(with_lists(texts, found, "inner"), width, gram), width, keep == "first")
+    hits = _matches(_segment_blobs(with_lists(texts, found, "inner"), width, gram, keep == "first"),
+                    width, keep == "first")
     hits = blobs.gathered(hits, "hits")
 
     def run(batches):
