@@ -108,6 +108,13 @@ def cut(sorted_hashes: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     return [(i, int(at[i]), int(at[i + 1])) for i in range(n) if at[i] < at[i + 1]]
 
 
+def rows_of(batch):
+    """The rows of an Arrow batch of blobs, one at a time as dicts."""
+    names = batch.schema.names
+    for i in range(batch.num_rows):
+        yield {c: batch.column(k)[i].as_py() for k, c in enumerate(names)}
+
+
 def probe_blobs(index: np.ndarray, ids: np.ndarray, t32: np.ndarray, pos: np.ndarray,
                 probes: np.ndarray, n: int):
     """One Arrow batch of the blobs of a slice: index entries and probe hashes."""
@@ -151,7 +158,7 @@ def repeated(blobs: DataFrame) -> DataFrame:
     def run(batches):
         held, keys, hits = [], None, None
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 high = np.uint64(row["p"]) << np.uint64(32)
                 h = high | summed(row["h"])
                 if row["kind"] == 0:

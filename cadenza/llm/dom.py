@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 
@@ -80,6 +81,7 @@ def parse(source: str) -> list[Node]:
     """The block elements of a page in document order, the root first."""
     root = Node("body", None, frozenset(), 0)
     nodes, stack, inline = [root], [root], []
+    opened = Counter()  # tags on the stack
     run: list[str] = []
     place = 0
 
@@ -93,6 +95,7 @@ def parse(source: str) -> list[Node]:
 
     def leave(depth):
         flush()
+        opened.subtract(x.tag for x in stack[depth:])
         del stack[depth:]
         inline.clear()
 
@@ -110,9 +113,8 @@ def parse(source: str) -> list[Node]:
             continue
         if m["close"]:
             if tag in BLOCKS:
-                at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-                if at:
-                    leave(at)
+                if opened[tag] > 0:
+                    leave(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             elif tag in inline:
                 del inline[len(inline) - 1 - inline[::-1].index(tag):]
             continue
@@ -129,7 +131,7 @@ def parse(source: str) -> list[Node]:
             leave(len(stack) - 1)
         elif tag in HEADINGS and stack[-1].tag in HEADINGS:
             leave(len(stack) - 1)
-        if tag in CLOSES:
+        if tag in CLOSES and any(opened[t] > 0 for t in CLOSES[tag]):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in CLOSES[tag]:
                     leave(i)
@@ -140,6 +142,7 @@ def parse(source: str) -> list[Node]:
         stack[-1].children.append(node)
         nodes.append(node)
         stack.append(node)
+        opened[tag] += 1
     flush()
     return nodes
 
@@ -152,7 +155,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     words = np.array([sum(t.count(" ") + 1 for _, t in x.pieces) for x in nodes], float)
     stops = np.array([sum(t.count(". ") + t.count(", ") + t.endswith((".", "!", "?")) for _, t in x.pieces)
                       for x in nodes], float)
-    upper = np.array([sum(c.isupper() for _, t in x.pieces for c in t[:200]) for x in nodes], float)
+    upper = np.array([sum(sum(map(str.isupper, t)) for _, t in x.pieces) for x in nodes], float)
     links = np.array([min(x.links, o) for x, o in zip(nodes, own, strict=True)], float)
     tags = np.array([1 + x.tags for x in nodes], float)
     pieces = np.array([len(x.pieces) for x in nodes], float)
@@ -177,11 +180,11 @@ def features(nodes: list[Node]) -> np.ndarray:
         if i:
             above[i] = above[parent[i]].union(kind[parent[i]])
             out[i, [width + k for k in above[i]]] = 1
+        tags_here = Counter(child.tag for child in x.children)
         for k, child in enumerate(x.children):
             c = child.order
             row = out[c, base:]
-            same = sum(s.tag == child.tag for s in x.children)
-            row[0], row[1], row[2] = k, len(x.children), same
+            row[0], row[1], row[2] = k, len(x.children), tags_here[child.tag]
             row[3] = k / len(x.children)
             row[4] = text[x.children[k - 1].order] if k else 0
             row[5] = text[x.children[k + 1].order] if k + 1 < len(x.children) else 0

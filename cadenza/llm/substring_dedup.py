@@ -170,7 +170,7 @@ def _later(occurrences: DataFrame) -> DataFrame:
                 rows.clear()
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in blobs.rows_of(batch):
                 if row["p"] != open_p:
                     flush()
                     open_p = row["p"]

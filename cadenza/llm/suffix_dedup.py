@@ -35,7 +35,7 @@ WIDTH = 200
 #: Bytes of an anchor; a factor holds ``width - GRAM + 1`` of them.
 GRAM = 64
 #: Bytes of text in a suffix array.
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 
 def _symbols() -> np.ndarray:
@@ -51,7 +51,7 @@ def segments(texts: list[bytes], width: int, gram: int):
     if not len(text) or sizes.max() < width:
         return none, none, none, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     ends = np.cumsum(sizes)
-    left = np.repeat(ends, sizes) - np.arange(len(text))
+    left = (np.repeat(ends, sizes) - np.arange(len(text))).astype(np.int32)
     h = blobs.mixed(blobs.rolled(_symbols()[text], gram))
     bits = np.uint64(max(1, len(text).bit_length()))
     low = (np.uint64(1) << bits) - np.uint64(1)
@@ -61,6 +61,7 @@ def segments(texts: list[bytes], width: int, gram: int):
     least = blobs.least_of(key, span)
     p = np.nonzero(left >= width)[0]  # factor starts
     anchor = (least[p] & low).astype(np.int64)
+    del key, least
     chosen, place = np.unique(anchor, return_inverse=True)
     everything = h[chosen]
     # of equal anchors close together (periodic text) keep enough that each
@@ -168,7 +169,7 @@ def ranks(keys: np.ndarray) -> np.ndarray:
     order = np.argsort(keys)
     new = np.ones(len(keys), dtype=np.int64)
     new[1:] = keys[order[1:]] != keys[order[:-1]]
-    out = np.empty(len(keys), np.int64)
+    out = np.empty(len(keys), np.int32)
     out[order] = np.cumsum(new)
     return out
 
@@ -176,7 +177,7 @@ def ranks(keys: np.ndarray) -> np.ndarray:
 def factor_matches(text: bytes, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """For factor starts in a text: has the factor an earlier, and a later, match
     among the starts? From the suffix order to depth ``width``."""
-    data = np.frombuffer(text + bytes(2 * width + 16), np.uint8).astype(np.uint64)
+    data = np.frombuffer(text + bytes(2 * width + 16), np.uint8)
     n = len(text)
     key = np.zeros(n + width, np.uint64)
     for j in range(8):
@@ -186,7 +187,7 @@ def factor_matches(text: bytes, starts: np.ndarray, width: int) -> tuple[np.ndar
     while 2 * depth <= width:
         after = np.zeros_like(rank)
         after[:-depth] = rank[depth:]
-        rank = ranks(rank << np.int64(32) | after)
+        rank = ranks(rank.astype(np.int64) << np.int64(32) | after)
         depth *= 2
         levels.append((depth, rank))
     # the factor is covered by blocks of the depths reached; the last may overlap
@@ -194,7 +195,7 @@ def factor_matches(text: bytes, starts: np.ndarray, width: int) -> tuple[np.ndar
     while done < width:
         size, rank = next((d, r) for d, r in reversed(levels) if d <= max(8, width - done))
         at = min(done, width - size) if width >= size else done
-        name = ranks(name << np.int64(32) | rank[starts + at])
+        name = ranks(name.astype(np.int64) << np.int64(32) | rank[starts + at])
         done = at + size
     order = np.lexsort((starts, name))  # suffix order to this depth, ties by position
     position, run = starts[order], name[order]
@@ -318,7 +319,7 @@ def _matches(blobs_df: DataFrame, width: int, first: bool) -> DataFrame:
                 names=["id", "t32", "hits"])
 
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in blobs.rows_of(batch):
                 if row["p"] != open_p:
                     if rows and (out := done()):
                         yield out
@@ -327,7 +328,7 @@ def _matches(blobs_df: DataFrame, width: int, first: bool) -> DataFrame:
         if rows and (out := done()):
             yield out
 
-    n = partitions(blobs_df.sparkSession)
+    n = 2 * partitions(blobs_df.sparkSession)  # these cells hold text, so smaller partitions
     return (blobs_df.repartition(n, "p").sortWithinPartitions("p")
             .mapInArrow(run, "id long, t32 int, hits binary"))
 

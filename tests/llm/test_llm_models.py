@@ -205,6 +205,10 @@ def test_broken_markup():
     assert text("<table><tr><td>1<td>2<tr><td>3</table>") == ["1", "2", "3"]
     assert text("<p>" * 3000 + "deep") == ["deep"]
     assert len(text("<div>" * 3000 + "deep")) == 1
+    # no quadratic time in wide or deep pages
+    wide = dom.parse("<article>" + "<p>x y</p>" * 60_000 + "</article>")
+    assert dom.features(wide).shape[0] == 60_002
+    assert len(dom.parse("<div>" * 30_000 + "</ul>" * 30_000 + "<li>z")) == 30_002
 
 
 def test_html_edge_cases(spark):
