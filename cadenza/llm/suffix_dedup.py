@@ -35,7 +35,7 @@ WIDTH = 200
 #: Bytes of an anchor; a factor holds ``width - GRAM + 1`` of them.
 GRAM = 64
 #: Bytes of text in a suffix array.
-SLICE = 1 << 19
+SLICE = 1 << 20
 
 
 def _symbols() -> np.ndarray:
@@ -87,7 +87,9 @@ def segments(texts: list[bytes], width: int, gram: int):
     first = np.nonzero(new)[0]
     size = np.diff(np.append(first, len(p)))
     row = np.searchsorted(ends, p[first], "right")
-    return row, p[first] - (ends - sizes)[row], size, h[anchor[first]], everything
+    # anchors are the least hashes around them: mixed again they fill all hash ranges
+    again = lambda x: blobs.mixed(x ^ np.uint64(0x2545F4914F6CDD1D))
+    return row, p[first] - (ends - sizes)[row], size, again(h[anchor[first]]), again(everything)
 
 
 def ordinals(row: np.ndarray) -> np.ndarray:
@@ -167,10 +169,11 @@ def _segment_blobs(hit: DataFrame, width: int, gram: int, keep_first: bool) -> D
 def ranks(keys: np.ndarray) -> np.ndarray:
     """Dense ranks of the keys."""
     order = np.argsort(keys)
-    new = np.ones(len(keys), dtype=np.int64)
-    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    keys = keys[order]
+    new = np.ones(len(keys), dtype=bool)
+    new[1:] = keys[1:] != keys[:-1]
     out = np.empty(len(keys), np.int32)
-    out[order] = np.cumsum(new)
+    out[order] = np.cumsum(new, dtype=np.int32)
     return out
 
 
@@ -183,6 +186,7 @@ def factor_matches(text: bytes, starts: np.ndarray, width: int) -> tuple[np.ndar
     for j in range(8):
         key = (key << np.uint64(8)) | data[j:j + n + width]
     depth, rank = 8, ranks(key)
+    del key
     levels = [(8, rank)]
     while 2 * depth <= width:
         after = np.zeros_like(rank)
@@ -328,7 +332,7 @@ def _matches(blobs_df: DataFrame, width: int, first: bool) -> DataFrame:
         if rows and (out := done()):
             yield out
 
-    n = 2 * partitions(blobs_df.sparkSession)  # these cells hold text, so smaller partitions
+    n = partitions(blobs_df.sparkSession)
     return (blobs_df.repartition(n, "p").sortWithinPartitions("p")
             .mapInArrow(run, "id long, t32 int, hits binary"))
 
