@@ -42,6 +42,8 @@ RARE = 0.01
 THRESHOLD = 0.5
 #: A toxic document that passes counts as this many clean ones rejected.
 COST = 2.0
+#: Words of the sample whose subwords are made at a time.
+WORDS = 20_000
 #: Words whose scores a task remembers; then it starts afresh.
 MEMORY = 200_000
 
@@ -99,17 +101,25 @@ def train(sample: list[tuple[str, int]], prior: float = 0.5, seed: int = 7) -> t
     doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in ids])
     share = np.repeat([1 / len(x) for x in ids], [len(x) for x in ids])
     ids = np.concatenate(ids)
-    gram, gram_at = subwords(list(names))
-    owner = np.repeat(np.arange(len(names), dtype=np.int32), np.diff(gram_at))
-    size = np.diff(gram_at)
-    # documents a subword is in, counting a document once per word
-    uses = np.bincount(gram, np.bincount(ids, minlength=len(names))[owner], BUCKETS)
+    # block by block, as only the subwords of several documents are kept
+    listed, freq = list(names), np.bincount(ids, minlength=len(names))
+    blocks, uses = [], np.zeros(BUCKETS)  # documents a subword is in, counting a document once per word
+    for first in range(0, len(listed), WORDS):
+        gram, at = subwords(listed[first:first + WORDS])
+        count = np.diff(at)
+        blocks.append((first, gram, count))
+        uses += np.bincount(gram, np.repeat(freq[first:first + WORDS], count), BUCKETS)
+    size = np.concatenate([count for _, _, count in blocks])
     used = np.nonzero(uses >= max(3, RARE * len(y_fit)))[0]
-    column = np.full(BUCKETS, -1, np.int32)
-    column[used] = np.arange(len(used))
-    on = column[gram] >= 0
-    owner, column = owner[on], column[gram[on]]
-    del gram, on
+    at_used = np.full(BUCKETS, -1, np.int32)
+    at_used[used] = np.arange(len(used))
+    owner, column = [], []
+    for first, gram, count in blocks:
+        at = at_used[gram]
+        owner.append(np.repeat(np.arange(first, first + len(count), dtype=np.int32), count)[at >= 0])
+        column.append(at[at >= 0])
+    del blocks, listed
+    owner, column = np.concatenate(owner), np.concatenate(column)
     rate = RATE * ((uses[used] / len(y_fit)) ** -COMMON)[:, None]  # a rare subword learns as fast as a common one
 
     rng = np.random.default_rng(seed)
