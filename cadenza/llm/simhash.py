@@ -14,7 +14,9 @@
 Defined cases: null and empty texts and texts of white space only have
 fingerprint zero, which links like any other; a text shorter than a shingle is
 one shingle; null ids take part and give a null component only if no member has
-an id; repeated rows share a fingerprint (and stay together); an empty table gives no rows.
+an id; repeated rows share a fingerprint; an empty table gives no rows.
+Of each group ``without_near_copies`` keeps one row, also where ids are null or
+repeat: the least by (id with null last, SHA-256 of the text).
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import as_bytes, body, checkpoint_ready, partitions, table, text_chunks
+from cadenza.llm.common import as_bytes, body, checkpoint_ready, free_name, partitions, table, text_chunks
 from cadenza.llm.graph import components
 from cadenza.llm.tiles import runs, stars
 
@@ -58,16 +60,23 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """``doc_id, fp`` (long) for every row."""
+def text_sha(docs: DataFrame) -> Column:
+    """With the id, names a row up to repeated rows."""
+    return F.unhex(F.sha2(body(docs["text"]), 256))
+
+
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED, sha: bool = False) -> DataFrame:
+    """``doc_id, fp`` (long) for every row; with ``sha``, its ``text_sha`` too."""
     def run(batches):
         import pyarrow as pa
         for chunk in text_chunks(batches):
             fps = [fingerprint(text_hashes(t, shingle, seed)) for t in as_bytes(chunk.column("text"))]
-            yield pa.RecordBatch.from_arrays([chunk.column("doc_id"), pa.array(fps, pa.int64())],
-                                             names=["doc_id", "fp"])
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body(F.col("text")).alias("text"))
-    return texts.mapInArrow(run, "doc_id long, fp long")
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column("doc_id"), pa.array(fps, pa.int64())] + ([chunk.column("sha")] if sha else []),
+                names=["doc_id", "fp"] + (["sha"] if sha else []))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body(F.col("text")).alias("text"),
+                        *([text_sha(docs).alias("sha")] if sha else []))
+    return texts.mapInArrow(run, "doc_id long, fp long" + (", sha binary" if sha else ""))
 
 
 def block_keys(fp: Column, max_bits: int, blocks: int) -> list[Column]:
@@ -121,15 +130,19 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, part:
             .mapInArrow(run, "a long, b long"))
 
 
+def rooted(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``fp, least, root``: the distinct fingerprints with a name of their group."""
+    groups = components(links(distinct, max_bits))
+    return distinct.join(groups, distinct["fp"] == groups["node"], "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("root"))
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS,
                   seed: int = SEED) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row."""
     checkpoint_ready(docs.sparkSession)
     marked = fingerprints(docs, shingle, seed).checkpoint()
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    groups = components(links(distinct, max_bits))
-    named = distinct.join(groups, distinct["fp"] == groups["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("root"))
+    named = rooted(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), max_bits)
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     names = named.join(least, "root").select("fp", "component_id")
     return marked.join(names, "fp").select(
@@ -137,9 +150,20 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_B
 
 
 def without_near_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose id names its group: the least of it."""
-    kept = (simhash_dedup(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept_id")).distinct())
-    return docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of ``docs``, all columns, of each group."""
+    checkpoint_ready(docs.sparkSession)
+    marked = fingerprints(docs, sha=True).checkpoint()
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")
+    named = rooted(marked.groupBy("fp").agg(F.min(row).alias("least")))
+    kept = named.groupBy("root").agg(F.min("least").alias("least")).select(
+        F.col("least.doc_id").alias("k_id"), F.col("least.sha").alias("k_sha"))
+    out = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("k_id"))
+                    & (text_sha(docs) == F.col("k_sha")), "left_semi")
+    # only where rows repeat an id and a text do whole rows move again
+    if marked.groupBy("doc_id", "sha").count().where("count > 1").isEmpty():
+        return out
+    sha = free_name(docs, "sha")
+    return out.withColumn(sha, text_sha(docs)).dropDuplicates(["doc_id", sha]).drop(sha)
 
 
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -132,6 +132,21 @@ def test_simhash_edge_cases(empty_docs, make_docs):
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
+def test_simhash_keeps_one_row_of_each_group(make_docs):
+    """Null-only groups, null with an id, repeated ids in one and in several groups, repeated rows."""
+    near = lambda words: [words, words.upper(), words.replace(" ", "  ")]
+    nulls, mixed, repeated, twice = (near(x) for x in ("a b c d e", "f g h i j k", "l m n o p q", "r s t u v w"))
+    rows = [(None, t) for t in nulls] + [(None, mixed[0]), (None, mixed[1]), (4, mixed[2])]
+    rows += [(9, t) for t in repeated] + [(9, "some words in a group of their own")]
+    rows += [(11, twice[0]), (11, twice[0]), (12, twice[1])] + [(None, None), (None, ""), (None, " ")]
+    docs = make_docs(rows)
+    out = simhash.without_near_copies(docs)
+    assert out.columns == docs.columns
+    got = sorted((r.doc_id or 0, " ".join((r.text or "").lower().split())) for r in out.collect())
+    assert got == [(0, ""), (0, "a b c d e"), (4, "f g h i j k"), (9, "l m n o p q"),
+                   (9, "some words in a group of their own"), (11, "r s t u v w")]
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "cycles"])
 def test_components(spark, shape):
     from cadenza.llm.graph import components
