@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import WHITE, body, checkpoint_ready, table
+from cadenza.llm.common import WHITE, body, checkpoint_ready, free_name, table
 
 MIN_CHUNK, MAX_CHUNK = 256, 4096
 #: A cut follows two letters of these classes and a blank: about one word in ten.
@@ -107,8 +107,11 @@ def without_copies(docs: DataFrame) -> DataFrame:
     sha = F.sha2(normalised(F.col("text")), 256)
     out = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("k_id"))
                     & (sha == F.col("k_sha")), "left_semi")
-    # rows that repeat an id and a text are rare: only then do whole rows move again
-    return out if kept.where("rows > 1").isEmpty() else out.dropDuplicates(["doc_id", "text"])
+    # rows that repeat an id and a normalised text are rare: only then do whole rows move again
+    if kept.where("rows > 1").isEmpty():
+        return out
+    name = free_name(docs, "text_sha256")
+    return out.withColumn(name, sha).dropDuplicates(["doc_id", name]).drop(name)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

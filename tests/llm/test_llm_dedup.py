@@ -58,6 +58,13 @@ def test_exact_rows_that_stay(make_docs):
     assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == [(0, "d"), (1, "a  b"), (2, "c")]
 
 
+def test_exact_rows_of_one_id_equal_after_normalisation(make_docs):
+    docs = make_docs([(1, "a b"), (1, "a  b"), (1, "a\tb"), (None, "c d"), (None, "c \n d"), (None, None), (None, ""), (2, "e")])
+    out = exact_dedup.without_copies(docs)
+    assert out.columns == docs.columns
+    assert sorted((r.doc_id or 0, " ".join((r.text or "").split())) for r in out.collect()) == [(0, ""), (0, "c d"), (1, "a b"), (2, "e")]
+
+
 def fingerprints(rows, shingle=3):
     import xxhash
     out = {}
