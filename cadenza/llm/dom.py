@@ -1,7 +1,8 @@
 """HTML to a tree of block elements, with features per element.
 
-A small tree builder for main-text extraction: raw-text elements and comments
-are skipped, paragraphs and list items close as browsers close them, stray end
+A small tree builder for main-text extraction: raw-text elements, drawings and
+comments are skipped (an unclosed drawing ends where browsers leave it), formulas
+are inline text, paragraphs and list items close as browsers close them, stray end
 tags are ignored, an unfinished tag at the end is dropped. Inline markup belongs
 to the block around it; a run of text between block boundaries is one piece.
 """
@@ -16,9 +17,13 @@ import numpy as np
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|iframe|svg|math|textarea|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|iframe|textarea|title)(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(?P<unquoted>svg|math|annotation(?:-xml)?)(?=[\s/>])[^>]*>"
     r"|<(?:[!?/][^>]*>|[a-zA-Z/!?][^>]*\Z)|[^<]+|<", re.S | re.I)
+_FOREIGN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -31,6 +36,11 @@ BLOCKS = frozenset((
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table select menu".split())
+#: Elements without text of the page: drawings, and the sources of formulas.
+SKIPPED = frozenset(("svg", "annotation", "annotation-xml"))
+#: Start tags that end a drawing (HTML's list, and blocks), but not inside its HTML parts.
+BREAKS = BLOCKS | frozenset("b big body br code em embed hr i img nobr ruby s small span strong strike sub sup tt u var".split())
+HTML_PARTS = ("foreignobject", "desc", "title")
 NO_PARAGRAPH = BLOCKS - {"html", "body", "label", "button", "option"}
 
 #: Tag groups, one feature each.
@@ -77,6 +87,35 @@ def attribute_tokens(attrs: str) -> frozenset[int]:
     return frozenset(found)
 
 
+def skipped(source: str, at: int, name: str, outside) -> int:
+    """Where an element of ``SKIPPED`` ends whose start tag ends at ``at``: behind
+    its end tag, or before a tag that browsers take out of it. ``outside`` tells
+    whether a tag is open around it."""
+    stack, held = [name], Counter([name])
+    for m in _FOREIGN.finditer(source, at):
+        tag = m["tag"]
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if m["close"]:
+            if held[tag] > 0:
+                while True:
+                    last = stack.pop()
+                    held[last] -= 1
+                    if last == tag:
+                        break
+                if not stack:
+                    return m.end()
+            elif tag in ("p", "br") or outside(tag):
+                return m.start()
+        elif tag in BREAKS and not any(held[x] > 0 for x in HTML_PARTS):
+            return m.start()
+        elif tag not in VOID and not m["attrs"].endswith("/"):
+            stack.append(tag)
+            held[tag] += 1
+    return len(source)
+
+
 def parse(source: str) -> list[Node]:
     """The block elements of a page in document order, the root first."""
     root = Node("body", None, frozenset(), 0)
@@ -99,8 +138,11 @@ def parse(source: str) -> list[Node]:
         del stack[depth:]
         inline.clear()
 
-    for m in _TOKEN.finditer(source):
-        tag = m["tag"]
+    at = 0
+    while at < len(source):
+        m = _TOKEN.match(source, at)
+        at = m.end()
+        tag = m["tag"] or m["unquoted"]
         if tag is None:
             token = m[0]
             if token[0] != "<" or token == "<":
@@ -118,11 +160,16 @@ def parse(source: str) -> list[Node]:
             elif tag in inline:
                 del inline[len(inline) - 1 - inline[::-1].index(tag):]
             continue
+        closed = (m["attrs"] or "").endswith("/")
+        if tag in SKIPPED:
+            if not closed:
+                at = skipped(source, at, tag, lambda t: opened[t] > 0 or t in inline)
+            continue
         if tag not in BLOCKS:
-            stack[-1].tags += 1
+            stack[-1].tags += "math" not in inline  # a formula is one tag
             if tag == "br" or tag == "hr":
                 run.append(" ")
-            elif tag not in VOID and not m["attrs"].endswith("/"):
+            elif tag not in VOID and not closed:
                 inline.append(tag)
             continue
         flush()

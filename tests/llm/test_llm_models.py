@@ -211,6 +211,24 @@ def test_broken_markup():
     assert len(dom.parse("<div>" * 30_000 + "</ul>" * 30_000 + "<li>z")) == 30_002
 
 
+def test_drawings_and_formulas_in_pages():
+    text = lambda s: [t for _, t in sorted(t for x in dom.parse(s) for t in x.pieces)]
+    for name in ("svg-icon", "title-bar", "template-part", "math-field", "script-note"):
+        assert text(f"<p>a <{name}>b</{name}> c</p><p>d</p>") == ["a b c", "d"]
+    assert text("<p>a<svg class='x' /> b</p><p>c</p><svg><text>no</text></svg>") == ["a b", "c"]
+    assert text("<p>a<svg><path d='M0'></path><title>no</title><style/><svg><g/></svg><text>no</text></svg> b</p>") == ["a b"]
+    assert text("<div><svg viewBox='0 0 1 1'><path d='M0'><p>a</p></div><p>b</p><svg>no</svg>c") == ["a", "b", "c"]
+    assert text("<div><a href='#'><svg><path d='M0'></a>a</div><p>b") == ["a", "b"]
+    assert text("<svg><foreignObject><div>no</div></foreignObject><text>no</text></svg><p>a") == ["a"]
+    assert text("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == ["so x=2 holds"]
+    assert text("<p>a <math/>b</p><p>c <math><mi>x<p>d</p>") == ["a b", "c x", "d"]
+    assert text("<p><math><semantics><mi>y</mi><annotation encoding='tex'>no</annotation></semantics></math> b</p>") == ["y b"]
+    assert text("<p><math><semantics><mi>y</mi><annotation>no</semantics></math> b</p><p>c") == ["y b", "c"]
+    assert text("<p>a <svg class=\"x><path/></svg>b</p>") == ["a b"]
+    assert text("<script data-a='1'>no</script><title>no</title><style>no</style >a") == ["a"]
+    assert text("<svg>" * 30_000 + "</g>" * 30_000 + "<p>a") == ["a"]
+
+
 def test_html_edge_cases(spark):
     rows = [(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "just words, no markup at all.", "x"), (3, "u", "just words, no markup at all.", "x"),
             (None, "u", "<article><h1>T</h1>" + "<p>Some words are here, they go on.</p>" * 4000 + "</article>", "x")]
