@@ -116,15 +116,16 @@ def rows_of(batch):
 
 
 def probe_blobs(index: np.ndarray, ids: np.ndarray, t32: np.ndarray, pos: np.ndarray,
-                probes: np.ndarray, n: int):
-    """One Arrow batch of the blobs of a slice: index entries and probe hashes."""
+                probes: np.ndarray, n: int, content: np.ndarray | None = None):
+    """One Arrow batch of the blobs of a slice: index entries and probe hashes.
+    ``content`` (32 bits an entry) goes into the entries' unused ``twice``."""
     import pyarrow as pa
     rows = []
     order = np.argsort(index)
     index, ids, t32, pos = index[order], ids[order], t32[order], pos[order]
     low = within(index, n)
     for p, s, e in cut(index, n):
-        rows.append((p, 0, steps(low[s:e]), b"", planes(ids[s:e]), planes(t32[s:e]), planes(pos[s:e])))
+        rows.append((p, 0, steps(low[s:e]), b"" if content is None else planes(content[order[s:e]]), planes(ids[s:e]), planes(t32[s:e]), planes(pos[s:e])))
     values, counts = np.unique(probes, return_counts=True)
     low = within(values, n)
     for p, s, e in cut(values, n):
@@ -149,14 +150,16 @@ def per_row(ids: np.ndarray, t32: np.ndarray, values: np.ndarray, name: str):
                                        pa.array(packed, pa.binary())], names=["id", "t32", name])
 
 
-def repeated(blobs: DataFrame) -> DataFrame:
+def repeated(blobs: DataFrame, many: int | None = None) -> DataFrame:
     """``id, t32, found``: per row and hash range, the positions of the index
     entries whose hash was probed at least twice in the corpus (an entry's own
     probe counts once). 32 bits within a range may collide, so a hit is a
-    candidate that the caller verifies; no repeat is missed.
+    candidate that the caller verifies; no repeat is missed. With ``many``,
+    entries whose hash has more than that many contents go to a list ``hot``.
     """
     def run(batches):
-        held, keys, hits = [], None, None
+        import pyarrow as pa
+        held, keys, hits, contents = [], None, None, []
         for batch in batches:
             for row in rows_of(batch):
                 high = np.uint64(row["p"]) << np.uint64(32)
@@ -164,6 +167,7 @@ def repeated(blobs: DataFrame) -> DataFrame:
                 if row["kind"] == 0:
                     held.append((h, unplaned(row["id"], np.int64), unplaned(row["t32"], np.int32),
                                  unplaned(row["pos"], np.int32)))
+                    contents.append(row["twice"])
                     continue
                 if keys is None:
                     keys = np.unique(np.concatenate([x[0] for x in held])) if held else np.zeros(0, np.uint64)
@@ -177,19 +181,32 @@ def repeated(blobs: DataFrame) -> DataFrame:
                     hits[at] += hits[at] < 2
         if keys is None:
             return
+        hot = np.zeros(len(keys), dtype=bool)
+        if many is not None and held:
+            pairs = [np.searchsorted(keys, x[0]).astype(np.uint64) << np.uint64(32) | unplaned(c, np.uint32)
+                     for x, c in zip(held, contents, strict=True)]
+            pairs = np.unique(np.concatenate(pairs)) >> np.uint64(32)
+            hot = np.bincount(pairs.astype(np.int64), minlength=len(keys)) > many
         for h, ids, t32, pos in held:
-            on = hits[np.searchsorted(keys, h)] > 1
-            if on.any():
-                yield per_row(ids[on], t32[on], pos[on], "found")
+            at = np.searchsorted(keys, h)
+            for name, on in (("found", (hits[at] > 1) & ~hot[at]), ("hot", (hits[at] > 1) & hot[at])):
+                if on.any():
+                    batch = per_row(ids[on], t32[on], pos[on], name)
+                    if many is None:
+                        yield batch
+                        continue
+                    none = pa.nulls(batch.num_rows, pa.binary())
+                    both = [batch.column(2), none] if name == "found" else [none, batch.column(2)]
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *both], names=["id", "t32", "found", "hot"])
 
     n = partitions(blobs.sparkSession)
     return (blobs.repartition(n, "p").sortWithinPartitions("kind")
-            .mapInArrow(run, "id long, t32 int, found binary"))
+            .mapInArrow(run, "id long, t32 int, found binary" + ("" if many is None else ", hot binary")))
 
 
-def gathered(lists: DataFrame, name: str) -> DataFrame:
-    """One row per (id, t32) with the array of its packed lists."""
-    return lists.groupBy("id", "t32").agg(F.collect_list(name).alias(name))
+def gathered(lists: DataFrame, *names: str) -> DataFrame:
+    """One row per (id, t32) with the arrays of its packed lists."""
+    return lists.groupBy("id", "t32").agg(*(F.collect_list(name).alias(name) for name in names))
 
 
 def unpacked(packed) -> np.ndarray:

@@ -13,7 +13,11 @@ Texts are UTF-8 bytes; a factor is ``width`` bytes of one document.
    equal factors next to each other. In suffix order the previous and the next
    smaller position that share ``width`` bytes give the earlier match of a
    longest-previous-factor array; the previous and next larger ones the later.
-4. ``keep="first"`` removes factors with an earlier match, so the first copy
+4. An anchor with more distinct segments than fill a slice (a passage that very
+   many documents share has other flanks in each) is no bucket: its factors go
+   one by one where their own hash says, first as hashes, then, if met twice,
+   with their bytes. Equal factors meet, different flanks part.
+5. ``keep="first"`` removes factors with an earlier match, so the first copy
    stays; ``keep="none"`` also those with a later match, so no copy stays.
 
 Earlier means a smaller doc_id, or an earlier byte of the same document.
@@ -29,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import blobs
-from cadenza.llm.common import as_bytes, keyed, partitions, table, text_chunks, with_lists
+from cadenza.llm.common import as_bytes, checkpoint_ready, keyed, partitions, table, text_chunks, with_lists
 
 WIDTH = 200
 #: Bytes of an anchor; a factor holds ``width - GRAM + 1`` of them.
@@ -97,12 +101,28 @@ def ordinals(row: np.ndarray) -> np.ndarray:
     return np.arange(len(row)) - np.searchsorted(row, row)
 
 
+def factor_hashes(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of ``width`` bytes from each place of the joined texts, and where each text starts."""
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    text = np.frombuffer(b"".join(texts), np.uint8)
+    return blobs.mixed(blobs.rolled(_symbols()[text], width)), np.cumsum(sizes) - sizes
+
+
+def contents(texts: list[bytes], row: np.ndarray, start: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
+    """32 bits of each segment's bytes: its first and last factor cover it."""
+    h, offset = factor_hashes(texts, width)
+    at = offset[row] + start
+    both = h[at] * np.uint64(0x9E3779B97F4A7C15) + h[at + size - 1] + size.astype(np.uint64)
+    return (blobs.mixed(both) >> np.uint64(32)).astype(np.uint32)
+
+
 def _anchor_blobs(docs: DataFrame, width: int, gram: int) -> DataFrame:
     n = partitions(docs.sparkSession) * blobs.SPREAD
 
     def run(batches):
         for chunk in text_chunks(batches, 1 << 20):
-            row, _, _, h, everything = segments(as_bytes(chunk.column("text")), width, gram)
+            texts = as_bytes(chunk.column("text"))
+            row, start, size, h, everything = segments(texts, width, gram)
             if len(row):
                 ids, t32 = (chunk.column(c).to_numpy()[row] for c in ("id", "t32"))
                 # a segment's own anchor counts once per segment, a thinned one once more
@@ -111,13 +131,14 @@ def _anchor_blobs(docs: DataFrame, width: int, gram: int) -> DataFrame:
                 if extra:
                     values, counts = np.unique(everything, return_counts=True)
                     probes = np.concatenate([probes, values[counts > 1]])
-                yield blobs.probe_blobs(h, ids, t32, ordinals(row).astype(np.int32), probes, n)
+                yield blobs.probe_blobs(h, ids, t32, ordinals(row).astype(np.int32), probes, n,
+                                        contents(texts, row, start, size, width))
 
     return docs.select("id", "t32", "text").mapInArrow(run, blobs.PROBED)
 
 
 #: kind 0: segments with their bytes; kind 1: stretches of matched factors that a
-#: slice has settled itself (no hashes, no bytes).
+#: slice has settled itself (no hashes, no bytes); kind 2: factors of hot anchors with their bytes.
 _SEGMENTS = "p int, kind int, h binary, size binary, text binary, id binary, t32 binary, start binary"
 
 
@@ -166,6 +187,71 @@ def _segment_blobs(hit: DataFrame, width: int, gram: int, keep_first: bool) -> D
     return hit.mapInArrow(run, _SEGMENTS)
 
 
+def _hot_factor_blobs(hit: DataFrame, width: int, gram: int) -> DataFrame:
+    """Index entries and probes of the factors in the segments listed by ``hot``."""
+    n = partitions(hit.sparkSession) * blobs.SPREAD
+
+    def run(batches):
+        for chunk in text_chunks(batches, 1 << 20):
+            texts = as_bytes(chunk.column("text"))
+            row, start, size, _, _ = segments(texts, width, gram)
+            on = np.zeros(len(row), dtype=bool)
+            first = np.searchsorted(row, np.arange(len(texts)))
+            for r, packed in enumerate(chunk.column("hot").to_pylist()):
+                on[first[r] + blobs.unpacked(packed)] = True
+            row, start, size = (x[on] for x in (row, start, size))
+            if not len(row):
+                continue
+            h, offset = factor_hashes(texts, width)
+            at = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            row = np.repeat(row, size)
+            h = h[offset[row] + at]
+            ids, t32 = (chunk.column(c).to_numpy()[row] for c in ("id", "t32"))
+            yield blobs.probe_blobs(h, ids, t32, at.astype(np.int32), h, n)
+
+    return hit.select("id", "t32", "text", "hot").mapInArrow(run, blobs.PROBED)
+
+
+def _factor_blobs(hit: DataFrame, width: int, keep_first: bool) -> DataFrame:
+    """The factors at the starts ``found``, by hash range, merged per slice like segments."""
+    n = partitions(hit.sparkSession) * blobs.SPREAD
+
+    def run(batches):
+        import pyarrow as pa
+        for chunk in text_chunks(batches, 1 << 20):
+            texts = as_bytes(chunk.column("text"))
+            starts = [np.unique(blobs.unpacked(x)) for x in chunk.column("found").to_pylist()]
+            row = np.repeat(np.arange(len(texts)), list(map(len, starts)))
+            start = np.concatenate(starts)
+            h, offset = factor_hashes(texts, width)
+            h = h[offset[row] + start]
+            ids, t32 = (chunk.column(c).to_numpy()[row] for c in ("id", "t32"))
+            order = np.lexsort((start, t32, ids, h))
+            row, start, h, ids, t32 = (x[order] for x in (row, start, h, ids, t32))
+            size = np.ones(len(row), np.int32)
+            out = []
+            for p, s, e in blobs.cut(h, n):
+                first: dict[bytes, int] = {}
+                settled = set()
+                for i, r, a in zip(range(s, e), row[s:e].tolist(), start[s:e].tolist(), strict=True):
+                    lead = first.setdefault(texts[r][a:a + width], i)
+                    if lead != i:
+                        settled.add(i)
+                        if not keep_first:
+                            settled.add(lead)
+                for kind, at, text in ((2, list(first.values()), b"".join(first)), (1, sorted(settled), b"")):
+                    if at:
+                        refs = [blobs.planes(x[at]) for x in (size, ids, t32, start)]
+                        out.append((p, kind, b"", refs[0], text, *refs[1:]))
+            if out:
+                types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
+                    names=[c.split()[0] for c in _SEGMENTS.split(", ")])
+
+    return hit.select("id", "t32", "text", "found").mapInArrow(run, _SEGMENTS)
+
+
 def ranks(keys: np.ndarray) -> np.ndarray:
     """Dense ranks of the keys."""
     order = np.argsort(keys)
@@ -245,6 +331,7 @@ class Buckets:
         for r in rows:
             if r["kind"] == 1:
                 self.out.extend(zip(*(blobs.unplaned(r[c], k).tolist() for c, k in _REFS), strict=True))
+        self.settle_factors([r for r in rows if r["kind"] == 2])
         rows = [r for r in rows if r["kind"] == 0]
         if not rows:
             return
@@ -275,6 +362,17 @@ class Buckets:
                 held, total = [], 0
         self.flush(held)
 
+    def settle_factors(self, rows: list[dict]) -> None:
+        """Factors alone: equal bytes are a match."""
+        places: dict[bytes, list] = {}
+        for r in rows:
+            refs = zip(*(blobs.unplaned(r[c], k).tolist() for c, k in _REFS), strict=True)
+            for i, ref in enumerate(refs):
+                places.setdefault(r["text"][i * self.width:(i + 1) * self.width], []).append(ref)
+        for copies in places.values():
+            if len(copies) > 1:
+                self.out.extend(sorted(copies)[1:] if self.first else copies)
+
     def flush(self, held: list[tuple[bytes, list]]) -> None:
         """Matches in the segments of whole buckets (variants in order of their first copies)."""
         if not held:
@@ -337,18 +435,34 @@ def _matches(blobs_df: DataFrame, width: int, first: bool) -> DataFrame:
             .mapInArrow(run, "id long, t32 int, hits binary"))
 
 
-def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: str = "first") -> DataFrame:
-    """``doc_id, kept, n_bytes, n_removed, n_spans``: ``kept`` is the remaining bytes."""
+def _sent(texts: DataFrame, width: int, gram: int, keep_first: bool, many: int) -> DataFrame:
+    """Segments, and the factors of hot anchors, by hash range."""
+    checkpoint_ready(texts.sparkSession)
+    lists = blobs.gathered(blobs.repeated(_anchor_blobs(texts, width, gram), many), "found", "hot").checkpoint()
+    found, hot = (lists.where(F.size(c) > 0).select("id", "t32", c) for c in ("found", "hot"))
+    sent = _segment_blobs(with_lists(texts, found, "inner"), width, gram, keep_first)
+    if hot.isEmpty():
+        return sent
+    met = blobs.repeated(_hot_factor_blobs(with_lists(texts, hot, "inner"), width, gram))
+    met = with_lists(texts, blobs.gathered(met, "found"), "inner")
+    return sent.union(_factor_blobs(met, width, keep_first))
+
+
+def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: str = "first", many: int | None = None) -> DataFrame:
+    """``doc_id, kept, n_bytes, n_removed, n_spans``: ``kept`` is the remaining bytes.
+
+    An anchor with more than ``many`` distinct segments is hot; as many as fill
+    a slice if not given. The result does not depend on it.
+    """
     if keep not in ("first", "none"):
         raise ValueError("keep must be 'first' or 'none'")
     if width < 16:
         raise ValueError("width must be at least 16")
     gram = min(GRAM, width // 2)
     texts = keyed(docs)
-    found = blobs.gathered(blobs.repeated(_anchor_blobs(texts, width, gram)), "found")
-    hits = _matches(_segment_blobs(with_lists(texts, found, "inner"), width, gram, keep == "first"),
-                    width, keep == "first")
-    hits = blobs.gathered(hits, "hits")
+    many = SLICE // (2 * width) if many is None else many
+    sent = _sent(texts, width, gram, keep == "first", many)
+    hits = blobs.gathered(_matches(sent, width, keep == "first"), "hits")
 
     def run(batches):
         import pyarrow as pa

@@ -234,6 +234,34 @@ def test_suffix(odd_docs, odd_rows, width, keep):
     assert got == suffix_expected(rows, width, keep == "first")
 
 
+@pytest.mark.parametrize("width,keep,many", [(200, "none", 0), (200, "first", 2), (40, "none", 2), (40, "first", 0)])
+def test_suffix_with_hot_anchors(odd_docs, odd_rows, width, keep, many):
+    rows = [(i, t) for i, t in odd_rows if len(t or "") < 6_000]
+    docs = odd_docs.where(F.length(F.coalesce("text", F.lit(""))) < 6_000)
+    out = suffix_dedup.suffix_dedup(docs, width, keep, many)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()}
+    assert got == suffix_expected(rows, width, keep == "first")
+
+
+def test_suffix_flanks_of_a_hot_passage_part(make_docs):
+    """One passage between other flanks in each document, a few of them shared."""
+    import random
+
+    from cadenza.llm.common import keyed
+    r = random.Random(7)
+    text = lambda n: "".join(r.choice("abcdefghijklmnop ") for _ in range(n))
+    passage, shared = text(400), text(250)
+    rows = [(i, (shared if i % 40 == 0 else text(250)) + passage + text(250)) for i in range(300)]
+    docs = make_docs(rows)
+    largest = {many: suffix_dedup._sent(keyed(docs), 200, 64, False, many).where("kind <> 1").groupBy("p").agg(
+        F.sum(F.length("text")).alias("n")).agg(F.max("n")).first()[0] for many in (20, 10**9)}
+    assert largest[10**9] > 250 * 200 and largest[20] < 20 * 336 * 2
+    for keep in ("none", "first"):
+        out = suffix_dedup.suffix_dedup(docs, keep=keep, many=20)
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()}
+        assert got == suffix_expected(rows, 200, keep == "first")
+
+
 def test_suffix_edge_cases(empty_docs, make_docs):
     assert suffix_dedup.suffix_dedup(empty_docs).collect() == []
     p = "".join(chr(97 + i * i % 26) + str(i) for i in range(100))
