@@ -43,12 +43,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, rows: int = FIT_ROWS)
         picked = part if picked is None else picked.union(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), body(F.col("text")).alias("text"))
     # 2 * rows ids of 16 bytes: a broadcast of a proven size
-    got = texts.join(F.broadcast(picked), "doc_id").collect()
-    least: dict[int, tuple[str, int]] = {}
-    for r in got:
-        now = (r["text"], r["y"])
-        least[r["doc_id"]] = min(least.get(r["doc_id"], now), now)
-    return [least[i] for i in sorted(least)]
+    got = texts.join(F.broadcast(picked), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text")).collect()
+    return [(r["text"], r["y"]) for r in sorted(got, key=lambda r: r["doc_id"])]
 
 
 def share(labels: DataFrame, label: str) -> float:

@@ -53,6 +53,18 @@ def test_filters(labelled_docs, labels, column):
     out.unpersist()
 
 
+def test_sample_brings_one_text_per_id_to_the_driver(spark, make_docs, monkeypatch):
+    docs = make_docs([(i, f"text {k}") for i in range(20) for k in range(300 if i == 3 else 1)] + [(3, None)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    sizes, frame = [], type(docs)
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda self: sizes.append(len(out := collect(self))) or out)
+    got = labelled.sample(docs, labels, "toxic")
+    ids = [i for i in range(20) if zlib.crc32(str(i).encode()) % 5]
+    assert 3 in ids and got == [("" if i == 3 else "text 0", i % 2) for i in ids]
+    assert max(sizes) <= len(ids)
+
+
 def test_misspellings_share_subwords(labelled_docs, labels):
     model = toxicity.fitted(labelled_docs, labels)
     z = toxicity.Scorer(*model).logits(["you gronkhed", "the blarfnoze garden", "gronkheads", "the garden", ""])
@@ -140,6 +152,14 @@ def test_packing(odd_docs, odd_rows):
         assert r.bucket_tokens == min(e for e in ends if e >= r.n_tokens)
 
 
+def test_bucket_ends_are_lengths_that_occur(make_docs):
+    """Lengths over 256 are counted in cells; a bucket still ends at the largest length in it."""
+    sizes = [1001] * 5 + [1003] * 5 + [3000, 3001, 40_001]
+    rows = packing.pack(make_docs([(i, "w " * n) for i, n in enumerate(sizes)]), n_buckets=3).collect()
+    assert {(r.n_tokens, r.bucket_tokens) for r in rows} == {
+        (1001, 1003), (1003, 1003), (3000, 3001), (3001, 3001), (40_001, 40_001)}
+
+
 def test_packing_edge_cases(empty_docs, make_docs):
     assert packing.pack(empty_docs).collect() == []
     rows = packing.pack(make_docs([(None, None), (1, ""), (1, ""), (2, "a")]), n_buckets=1, length_col="t32").collect()
