@@ -2,9 +2,12 @@
 
 1. The global histogram of lengths, aggregated by Spark. Lengths are rounded up
    to cells (exact up to 256, then 64 cells per doubling), so the histogram has
-   a fixed bound of cells however large the corpus is.
+   a fixed bound of cells however large the corpus is. A cell counts as the
+   largest length in it.
 2. Dynamic programming over the cells chooses at most ``n_buckets`` boundaries
-   that minimise the padding summed over all documents. It is exact.
+   that minimise the padding summed over all documents. It is exact for
+   boundaries that are the largest length of a cell; against any boundaries a
+   document loses less than 1/64 of its bucket's length.
 3. Each bucket is cut into shards of bounded size by a hash of the row, and each
    shard into batches of ``token_budget // boundary`` documents (one at least),
    so a hot bucket spreads over many tasks.
@@ -83,9 +86,9 @@ def pack(docs: DataFrame, n_buckets: int = N_BUCKETS, token_budget: int = TOKEN_
               else words(F.col("text")))
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), length.alias("n_tokens"),
                         F.xxhash64("doc_id", body(F.col("text"))).alias("spread"))
-    hist = sorted((r["cell"], r["n"]) for r in
+    hist = sorted((r["top"], r["n"]) for r in
                   sized.groupBy(cell(F.col("n_tokens")).alias("cell"))
-                  .agg(F.count("*").alias("n")).collect())
+                  .agg(F.max("n_tokens").alias("top"), F.count("*").alias("n")).collect())
     at = np.array([h[0] for h in hist], dtype=np.int64)
     n = np.array([h[1] for h in hist], dtype=np.int64)
     ends = boundaries(at, n, n_buckets) or [0]
