@@ -13,8 +13,6 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import partitions
-
 #: Hash ranges per shuffle partition, so that hashing ranges to partitions is even.
 SPREAD = 8
 
@@ -40,7 +38,7 @@ def summed(data: bytes) -> np.ndarray:
 
 #: kind 0: ``h`` are 32-bit hashes of index entries, with references to their rows;
 #: kind 1: ``h`` are distinct 32-bit probe hashes, ``twice`` those seen twice in the slice.
-PROBED = "p int, kind int, h binary, twice binary, id binary, t32 binary, pos binary"
+PROBED = "p int, kind int, h binary, twice binary, id binary, sub binary, pos binary"
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -115,17 +113,17 @@ def rows_of(batch):
         yield {c: batch.column(k)[i].as_py() for k, c in enumerate(names)}
 
 
-def probe_blobs(index: np.ndarray, ids: np.ndarray, t32: np.ndarray, pos: np.ndarray,
+def probe_blobs(index: np.ndarray, ids: np.ndarray, sub: np.ndarray, pos: np.ndarray,
                 probes: np.ndarray, n: int, content: np.ndarray | None = None):
     """One Arrow batch of the blobs of a slice: index entries and probe hashes.
     ``content`` (32 bits an entry) goes into the entries' unused ``twice``."""
     import pyarrow as pa
     rows = []
     order = np.argsort(index)
-    index, ids, t32, pos = index[order], ids[order], t32[order], pos[order]
+    index, ids, sub, pos = index[order], ids[order], sub[order], pos[order]
     low = within(index, n)
     for p, s, e in cut(index, n):
-        rows.append((p, 0, steps(low[s:e]), b"" if content is None else planes(content[order[s:e]]), planes(ids[s:e]), planes(t32[s:e]), planes(pos[s:e])))
+        rows.append((p, 0, steps(low[s:e]), b"" if content is None else planes(content[order[s:e]]), planes(ids[s:e]), planes(sub[s:e]), planes(pos[s:e])))
     values, counts = np.unique(probes, return_counts=True)
     low = within(values, n)
     for p, s, e in cut(values, n):
@@ -133,80 +131,84 @@ def probe_blobs(index: np.ndarray, ids: np.ndarray, t32: np.ndarray, pos: np.nda
     columns = list(zip(*rows, strict=True)) or [[]] * 7
     types = [pa.int32(), pa.int32()] + [pa.binary()] * 5
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                                      names=["p", "kind", "h", "twice", "id", "t32", "pos"])
+                                      names=["p", "kind", "h", "twice", "id", "sub", "pos"])
 
 
-def per_row(ids: np.ndarray, t32: np.ndarray, values: np.ndarray, name: str):
-    """One Arrow row per (id, t32) with its values packed as int32."""
+def per_row(ids: np.ndarray, sub: np.ndarray, values: np.ndarray, name: str):
+    """One Arrow row per (id, sub) with its values packed as int32."""
     import pyarrow as pa
-    order = np.lexsort((values, t32, ids))
-    ids, t32, values = ids[order], t32[order], values[order].astype(np.int32)
+    order = np.lexsort((values, sub, ids))
+    ids, sub, values = ids[order], sub[order], values[order].astype(np.int32)
     new = np.ones(len(ids), dtype=bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (t32[1:] != t32[:-1])
-    starts = np.nonzero(new)[0]
-    ends = np.append(starts[1:], len(ids))
-    packed = [values[s:e].tobytes() for s, e in zip(starts, ends, strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(ids[starts], pa.int64()), pa.array(t32[starts], pa.int32()),
-                                       pa.array(packed, pa.binary())], names=["id", "t32", name])
+    new[1:] = (ids[1:] != ids[:-1]) | (sub[1:] != sub[:-1])
+    edges = np.append(np.nonzero(new)[0], len(ids))
+    packed = [values[s:e].tobytes() for s, e in zip(edges[:-1], edges[1:], strict=True)]
+    starts = edges[:-1]
+    return pa.RecordBatch.from_arrays([pa.array(ids[starts], pa.int64()), pa.array(sub[starts], pa.int64()),
+                                       pa.array(packed, pa.binary())], names=["id", "sub", name])
 
 
-def repeated(blobs: DataFrame, many: int | None = None) -> DataFrame:
-    """``id, t32, found``: per row and hash range, the positions of the index
+def repeated(blobs: DataFrame, n: int, many: int | None = None) -> DataFrame:
+    """``id, sub, found``: per row and hash range, the positions of the index
     entries whose hash was probed at least twice in the corpus (an entry's own
     probe counts once). 32 bits within a range may collide, so a hit is a
     candidate that the caller verifies; no repeat is missed. With ``many``,
     entries whose hash has more than that many contents go to a list ``hot``.
+    One of ``n`` tasks holds one hash range at a time.
     """
-    def run(batches):
+    def settled(held, keys, hits, contents):
         import pyarrow as pa
-        held, keys, hits, contents = [], None, None, []
-        for batch in batches:
-            for row in rows_of(batch):
-                high = np.uint64(row["p"]) << np.uint64(32)
-                h = high | summed(row["h"])
-                if row["kind"] == 0:
-                    held.append((h, unplaned(row["id"], np.int64), unplaned(row["t32"], np.int32),
-                                 unplaned(row["pos"], np.int32)))
-                    contents.append(row["twice"])
-                    continue
-                if keys is None:
-                    keys = np.unique(np.concatenate([x[0] for x in held])) if held else np.zeros(0, np.uint64)
-                    hits = np.zeros(len(keys), dtype=np.uint8)
-                if not len(keys):
-                    continue
-                twice = high | summed(row["twice"])
-                for x in (h, twice):
-                    at = np.searchsorted(keys, x)
-                    at = at[keys[np.minimum(at, len(keys) - 1)] == x]
-                    hits[at] += hits[at] < 2
-        if keys is None:
-            return
         hot = np.zeros(len(keys), dtype=bool)
         if many is not None and held:
             pairs = [np.searchsorted(keys, x[0]).astype(np.uint64) << np.uint64(32) | unplaned(c, np.uint32)
                      for x, c in zip(held, contents, strict=True)]
             pairs = np.unique(np.concatenate(pairs)) >> np.uint64(32)
             hot = np.bincount(pairs.astype(np.int64), minlength=len(keys)) > many
-        for h, ids, t32, pos in held:
+        for h, ids, sub, pos in held:
             at = np.searchsorted(keys, h)
             for name, on in (("found", (hits[at] > 1) & ~hot[at]), ("hot", (hits[at] > 1) & hot[at])):
                 if on.any():
-                    batch = per_row(ids[on], t32[on], pos[on], name)
+                    batch = per_row(ids[on], sub[on], pos[on], name)
                     if many is None:
                         yield batch
                         continue
                     none = pa.nulls(batch.num_rows, pa.binary())
                     both = [batch.column(2), none] if name == "found" else [none, batch.column(2)]
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *both], names=["id", "t32", "found", "hot"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *both], names=["id", "sub", "found", "hot"])
+
+    def run(batches):
+        open_p, held, keys, hits, contents = None, [], None, None, []
+        for batch in batches:
+            for row in rows_of(batch):
+                if row["p"] != open_p:
+                    if keys is not None:
+                        yield from settled(held, keys, hits, contents)
+                    open_p, held, keys, hits, contents = row["p"], [], None, None, []
+                h = summed(row["h"])
+                if row["kind"] == 0:
+                    held.append((h, unplaned(row["id"], np.int64), unplaned(row["sub"], np.int64),
+                                 unplaned(row["pos"], np.int32)))
+                    contents.append(row["twice"])
+                    continue
+                if keys is None:
+                    keys = np.unique(np.concatenate([x[0] for x in held])) if held else np.zeros(0, np.uint64)
+                    hits = np.zeros(len(keys), dtype=np.uint8)
+                if not len(keys):
+                    continue
+                for x in (h, summed(row["twice"])):
+                    at = np.searchsorted(keys, x)
+                    at = at[keys[np.minimum(at, len(keys) - 1)] == x]
+                    hits[at] += hits[at] < 2
+        if keys is not None:
+            yield from settled(held, keys, hits, contents)
 
-    n = partitions(blobs.sparkSession)
-    return (blobs.repartition(n, "p").sortWithinPartitions("kind")
-            .mapInArrow(run, "id long, t32 int, found binary" + ("" if many is None else ", hot binary")))
+    return (blobs.repartition(n, "p").sortWithinPartitions("p", "kind")
+            .mapInArrow(run, "id long, sub long, found binary" + ("" if many is None else ", hot binary")))
 
 
 def gathered(lists: DataFrame, *names: str) -> DataFrame:
-    """One row per (id, t32) with the arrays of its packed lists."""
-    return lists.groupBy("id", "t32").agg(*(F.collect_list(name).alias(name) for name in names))
+    """One row per (id, sub) with the arrays of its packed lists."""
+    return lists.groupBy("id", "sub").agg(*(F.collect_list(name).alias(name) for name in names))
 
 
 def unpacked(packed) -> np.ndarray:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +18,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def partitions(spark: SparkSession) -> int:
-    """Partitions of an explicit exchange: the session's shuffle setting."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+#: Input bytes for which an explicit exchange has a partition.
+PART_BYTES = 16 << 20
+
+
+def partitions(df: DataFrame) -> int:
+    """Partitions of an explicit exchange of what ``df`` holds: the session's
+    shuffle setting, more where the input is large, so that a task's share does
+    not grow with it. An input of unknown size takes the setting."""
+    setting = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    known = sum(int(leaf.stats().sizeInBytes()) for leaf in _leaves(df._jdf.queryExecution().optimizedPlan()))
+    return max(setting, -(-known // PART_BYTES)) if known < 1 << 60 else setting
+
+
+def _leaves(plan):
+    found = plan.collectLeaves()
+    return [found.apply(i) for i in range(found.size())]
 
 
 def body(text: Column) -> Column:
@@ -26,16 +41,52 @@ def body(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit(""))
 
 
-def keyed(docs: DataFrame, carry: bool = False) -> DataFrame:
-    """``doc_id, id, t32, text``: the id (null: ``LAST_ID``) and a 32-bit hash
-    of the text together name a row, also where ids repeat. With ``carry``, a
-    struct ``rest`` of all the other columns too."""
-    text = body(F.col("text"))
+def sub_hash(text: Column, seed: int) -> Column:
+    """64 bits of a text under a seed."""
+    return F.xxhash64(text, F.lit(seed))
+
+
+@dataclass
+class Named:
+    """Documents whose rows have names.
+
+    ``rows`` has ``doc_id, id, sub, text`` (and ``rest``) for every row: ``id`` is
+    the doc_id (null: ``LAST_ID``), and two rows have the same (id, sub) only if
+    their ids and texts are equal. ``unique`` has one row per name. Where ids
+    repeat, ``copies`` says how many rows each name has; else it is None, as
+    every name is one row's.
+    """
+
+    rows: DataFrame
+    unique: DataFrame
+    copies: DataFrame | None
+
+
+def named(docs: DataFrame, carry: bool = False, sub=sub_hash) -> Named:
+    """Name the rows of ``docs``; with ``carry``, a struct ``rest`` of all the other
+    columns is kept. Where no id repeats, the id alone is the name. Else ``sub``
+    is a hash of the text under the first seed that separates all texts of each
+    id, which is checked against their SHA-256.
+    """
     rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] if carry else []
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.hash(text).alias("t32"), text.alias("text"), *([F.struct(*rest).alias("rest")] if rest else []))
+    doc_id = F.col("doc_id").cast("long")
+    texts = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(LAST_ID)).alias("id"),
+                        body(F.col("text")).alias("text"), *([F.struct(*rest).alias("rest")] if rest else []))
+    columns = ["doc_id", "id", "sub", "text"] + (["rest"] if rest else [])
+    if texts.groupBy("id").count().where("count > 1").isEmpty():
+        rows = texts.withColumn("sub", F.lit(0).cast("long")).select(columns)
+        return Named(rows, rows.drop("rest"), None)
+    checkpoint_ready(docs.sparkSession)
+    seed = 0
+    while True:
+        rows = texts.withColumn("sub", sub(F.col("text"), seed)).select(columns)
+        sha = F.sha2("text", 256)
+        names = (rows.groupBy("id", "sub").agg(F.count("*").alias("copies"), F.min(sha).alias("low"), F.max(sha).alias("high"))
+                 .checkpoint())
+        if names.where("low <> high").isEmpty():
+            break
+        seed += 1
+    return Named(rows, rows.drop("rest").dropDuplicates(["id", "sub"]), names.select("id", "sub", "copies"))
 
 
 def free_name(docs: DataFrame, name: str) -> str:
@@ -52,10 +103,34 @@ def checkpoint_ready(spark: SparkSession) -> None:
 
 
 def with_lists(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """``docs`` (``keyed``) joined with one row of lists per (id, t32). The
-    lists are the build side, so the texts are never sorted, and two joins of
-    the same ``docs`` share one shuffle of them."""
-    return docs.join(lists.hint("shuffle_hash"), ["id", "t32"], how)
+    """Rows with names joined with one row of lists per name. The lists are the
+    build side, so the texts are never sorted, and two joins of the same ``docs``
+    share one shuffle of them."""
+    return docs.join(lists.hint("shuffle_hash"), ["id", "sub"], how)
+
+
+#: Rows of one name that meet its lists in one task.
+SAME = 1000
+
+
+def spread_lists(texts: Named, lists: DataFrame) -> DataFrame:
+    """All rows of ``texts`` left-joined with their lists; a name that very many
+    rows share is salted, so they do not meet in one task."""
+    if texts.copies is None:
+        return with_lists(texts.rows, lists, "left")
+    hot = texts.copies.where(F.col("copies") > SAME)
+    salts = F.ceil(F.col("copies") / SAME).cast("int")
+    hot = hot.join(lists, ["id", "sub"]).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    hot = hot.withColumn("salts", salts).checkpoint()
+    if hot.isEmpty():
+        return with_lists(texts.rows, lists, "left")
+    # one row per hot name with lists: where there are many such names, rows find them by a shuffle
+    keys = hot.where("salt = 0").select("id", "sub", "salts")
+    salted = texts.rows.join(keys, ["id", "sub"], "left").withColumn(
+        "salt", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col("salts")).cast("int"), F.lit(0))).drop("salts")
+    cold = lists.join(keys.select("id", "sub"), ["id", "sub"], "left_anti").withColumn("salt", F.lit(0))
+    both = cold.unionByName(hot.drop("copies", "salts"))
+    return salted.join(both.hint("shuffle_hash"), ["id", "sub", "salt"], "left").drop("salt")
 
 
 def text_chunks(batches, limit: int = 2 << 20, column: str = "text"):

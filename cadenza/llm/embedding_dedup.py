@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import checkpoint_ready, partitions, table
+from cadenza.llm.common import checkpoint_ready, table
 from cadenza.llm.graph import components
 from cadenza.llm.tiles import forest, runs
 
@@ -214,7 +214,7 @@ def _compared(tiled: DataFrame, index: Index | None, kind, threshold: float) ->
                  pa.array(np.concatenate([node, leaf]), mask=np.concatenate([~none, np.zeros(len(leaf), bool)])),
                  pa.array(np.concatenate([links, np.zeros(len(leaf), np.int64)]))], names=["a", "b", "n"])
 
-    n = partitions(tiled.sparkSession)
+    n = int(tiled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return tiled.repartition(n, *keys).sortWithinPartitions(*keys, "query", "node").mapInArrow(
         run, "a long, b long, n long")
 

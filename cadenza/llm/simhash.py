@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import as_bytes, body, checkpoint_ready, free_name, partitions, table, text_chunks
+from cadenza.llm.common import as_bytes, body, checkpoint_ready, free_name, table, text_chunks
 from cadenza.llm.graph import components
 from cadenza.llm.tiles import runs, stars
 
@@ -125,7 +125,7 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOCKS, part:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))],
                                              names=["a", "b"])
 
-    n = partitions(fps.sparkSession)
+    n = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (tiled.repartition(n, *keys).sortWithinPartitions(*keys, "fp")
             .mapInArrow(run, "a long, b long"))
 

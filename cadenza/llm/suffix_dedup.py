@@ -23,7 +23,7 @@ Texts are UTF-8 bytes; a factor is ``width`` bytes of one document.
 Earlier means a smaller doc_id, or an earlier byte of the same document.
 Defined cases: a null or empty text has no factors; a null doc_id comes last;
 rows that share a doc_id are separate documents whose order is that of their
-texts' hashes; an empty table gives no rows.
+texts' hashes; of repeated rows one is the first; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm import blobs
-from cadenza.llm.common import as_bytes, checkpoint_ready, keyed, partitions, table, text_chunks, with_lists
+from cadenza.llm.common import as_bytes, checkpoint_ready, named, partitions, sub_hash, table, text_chunks, with_lists
 
 WIDTH = 200
 #: Bytes of an anchor; a factor holds ``width - GRAM + 1`` of them.
@@ -116,37 +116,33 @@ def contents(texts: list[bytes], row: np.ndarray, start: np.ndarray, size: np.nd
     return (blobs.mixed(both) >> np.uint64(32)).astype(np.uint32)
 
 
-def _anchor_blobs(docs: DataFrame, width: int, gram: int) -> DataFrame:
-    n = partitions(docs.sparkSession) * blobs.SPREAD
-
+def _anchor_blobs(docs: DataFrame, width: int, gram: int, n: int) -> DataFrame:
     def run(batches):
         for chunk in text_chunks(batches, 1 << 20):
             texts = as_bytes(chunk.column("text"))
             row, start, size, h, everything = segments(texts, width, gram)
             if len(row):
-                ids, t32 = (chunk.column(c).to_numpy()[row] for c in ("id", "t32"))
+                ids, sub = (chunk.column(c).to_numpy()[row] for c in ("id", "sub"))
                 # a segment's own anchor counts once per segment, a thinned one once more
                 probes = np.concatenate([h, np.setdiff1d(everything, h)])
                 extra = len(everything) - len(np.unique(everything))
                 if extra:
                     values, counts = np.unique(everything, return_counts=True)
                     probes = np.concatenate([probes, values[counts > 1]])
-                yield blobs.probe_blobs(h, ids, t32, ordinals(row).astype(np.int32), probes, n,
+                yield blobs.probe_blobs(h, ids, sub, ordinals(row).astype(np.int32), probes, n,
                                         contents(texts, row, start, size, width))
 
-    return docs.select("id", "t32", "text").mapInArrow(run, blobs.PROBED)
+    return docs.select("id", "sub", "text").mapInArrow(run, blobs.PROBED)
 
 
 #: kind 0: segments with their bytes; kind 1: stretches of matched factors that a
 #: slice has settled itself (no hashes, no bytes); kind 2: factors of hot anchors with their bytes.
-_SEGMENTS = "p int, kind int, h binary, size binary, text binary, id binary, t32 binary, start binary"
+_SEGMENTS = "p int, kind int, h binary, size binary, text binary, id binary, sub binary, start binary"
 
 
-def _segment_blobs(hit: DataFrame, width: int, gram: int, keep_first: bool) -> DataFrame:
+def _segment_blobs(hit: DataFrame, width: int, gram: int, keep_first: bool, n: int) -> DataFrame:
     """Segments by hash range. Of identical segments in a slice the first is sent;
     the others, and with ``keep_first`` off the first too, are matched throughout."""
-    n = partitions(hit.sparkSession) * blobs.SPREAD
-
     def run(batches):
         import pyarrow as pa
         for chunk in text_chunks(batches, 1 << 20):
@@ -159,9 +155,9 @@ def _segment_blobs(hit: DataFrame, width: int, gram: int, keep_first: bool) -> D
             for r, packed in enumerate(chunk.column("found").to_pylist()):
                 on[first[r] + blobs.unpacked(packed)] = True
             row, start, size, h = (x[on] for x in (row, start, size, h))
-            ids, t32 = (chunk.column(c).to_numpy()[row] for c in ("id", "t32"))
-            order = np.lexsort((start, t32, ids, h))  # by hash, then document order
-            row, start, size, h, ids, t32 = (x[order] for x in (row, start, size, h, ids, t32))
+            ids, sub = (chunk.column(c).to_numpy()[row] for c in ("id", "sub"))
+            order = np.lexsort((start, sub, ids, h))  # by hash, then document order
+            row, start, size, h, ids, sub = (x[order] for x in (row, start, size, h, ids, sub))
             start, size = start.astype(np.int32), size.astype(np.int32)
             out = []
             for p, s, e in blobs.cut(h, n):
@@ -175,7 +171,7 @@ def _segment_blobs(hit: DataFrame, width: int, gram: int, keep_first: bool) -> D
                             settled.add(lead)
                 for kind, at, sent in ((0, list(first.values()), True), (1, sorted(settled), False)):
                     if at:
-                        refs = [blobs.planes(x[at]) for x in (size, ids, t32, start)]
+                        refs = [blobs.planes(x[at]) for x in (size, ids, sub, start)]
                         out.append((p, kind, h[at].tobytes() if sent else b"", refs[0],
                                     b"".join(first) if sent else b"", *refs[1:]))
             if out:
@@ -187,10 +183,8 @@ def _segment_blobs(hit: DataFrame, width: int, gram: int, keep_first: bool) -> D
     return hit.mapInArrow(run, _SEGMENTS)
 
 
-def _hot_factor_blobs(hit: DataFrame, width: int, gram: int) -> DataFrame:
+def _hot_factor_blobs(hit: DataFrame, width: int, gram: int, n: int) -> DataFrame:
     """Index entries and probes of the factors in the segments listed by ``hot``."""
-    n = partitions(hit.sparkSession) * blobs.SPREAD
-
     def run(batches):
         for chunk in text_chunks(batches, 1 << 20):
             texts = as_bytes(chunk.column("text"))
@@ -206,16 +200,14 @@ def _hot_factor_blobs(hit: DataFrame, width: int, gram: int) -> DataFrame:
             at = np.repeat(start, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             row = np.repeat(row, size)
             h = h[offset[row] + at]
-            ids, t32 = (chunk.column(c).to_numpy()[row] for c in ("id", "t32"))
-            yield blobs.probe_blobs(h, ids, t32, at.astype(np.int32), h, n)
+            ids, sub = (chunk.column(c).to_numpy()[row] for c in ("id", "sub"))
+            yield blobs.probe_blobs(h, ids, sub, at.astype(np.int32), h, n)
 
-    return hit.select("id", "t32", "text", "hot").mapInArrow(run, blobs.PROBED)
+    return hit.select("id", "sub", "text", "hot").mapInArrow(run, blobs.PROBED)
 
 
-def _factor_blobs(hit: DataFrame, width: int, keep_first: bool) -> DataFrame:
+def _factor_blobs(hit: DataFrame, width: int, keep_first: bool, n: int) -> DataFrame:
     """The factors at the starts ``found``, by hash range, merged per slice like segments."""
-    n = partitions(hit.sparkSession) * blobs.SPREAD
-
     def run(batches):
         import pyarrow as pa
         for chunk in text_chunks(batches, 1 << 20):
@@ -225,9 +217,9 @@ def _factor_blobs(hit: DataFrame, width: int, keep_first: bool) -> DataFrame:
             start = np.concatenate(starts)
             h, offset = factor_hashes(texts, width)
             h = h[offset[row] + start]
-            ids, t32 = (chunk.column(c).to_numpy()[row] for c in ("id", "t32"))
-            order = np.lexsort((start, t32, ids, h))
-            row, start, h, ids, t32 = (x[order] for x in (row, start, h, ids, t32))
+            ids, sub = (chunk.column(c).to_numpy()[row] for c in ("id", "sub"))
+            order = np.lexsort((start, sub, ids, h))
+            row, start, h, ids, sub = (x[order] for x in (row, start, h, ids, sub))
             size = np.ones(len(row), np.int32)
             out = []
             for p, s, e in blobs.cut(h, n):
@@ -241,7 +233,7 @@ def _factor_blobs(hit: DataFrame, width: int, keep_first: bool) -> DataFrame:
                             settled.add(lead)
                 for kind, at, text in ((2, list(first.values()), b"".join(first)), (1, sorted(settled), b"")):
                     if at:
-                        refs = [blobs.planes(x[at]) for x in (size, ids, t32, start)]
+                        refs = [blobs.planes(x[at]) for x in (size, ids, sub, start)]
                         out.append((p, kind, b"", refs[0], text, *refs[1:]))
             if out:
                 types = [pa.int32(), pa.int32()] + [pa.binary()] * 6
@@ -249,7 +241,7 @@ def _factor_blobs(hit: DataFrame, width: int, keep_first: bool) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)],
                     names=[c.split()[0] for c in _SEGMENTS.split(", ")])
 
-    return hit.select("id", "t32", "text", "found").mapInArrow(run, _SEGMENTS)
+    return hit.select("id", "sub", "text", "found").mapInArrow(run, _SEGMENTS)
 
 
 def ranks(keys: np.ndarray) -> np.ndarray:
@@ -317,7 +309,7 @@ def _stretches(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2] - edge[::2]
 
 
-_REFS = (("id", np.int64), ("t32", np.int32), ("start", np.int32), ("size", np.int32))
+_REFS = (("id", np.int64), ("sub", np.int64), ("start", np.int32), ("size", np.int32))
 
 
 class Buckets:
@@ -325,7 +317,7 @@ class Buckets:
 
     def __init__(self, width: int, first: bool):
         self.width, self.first = width, first
-        self.out: list[tuple[int, int, int, int]] = []  # id, t32, start, size
+        self.out: list[tuple[int, int, int, int]] = []  # id, sub, start, size
 
     def settle(self, rows: list[dict]) -> None:
         for r in rows:
@@ -336,15 +328,15 @@ class Buckets:
         if not rows:
             return
         hashes = np.concatenate([np.frombuffer(r["h"], np.uint64) for r in rows])
-        ids, t32, start, size = (np.concatenate([blobs.unplaned(r[c], k) for r in rows]) for c, k in _REFS)
+        ids, sub, start, size = (np.concatenate([blobs.unplaned(r[c], k) for r in rows]) for c, k in _REFS)
         text = b"".join(r["text"] for r in rows)
         length = size.astype(np.int64) + self.width - 1
         at = np.cumsum(length) - length
-        order = np.lexsort((start, t32, ids, hashes))
+        order = np.lexsort((start, sub, ids, hashes))
         new = np.ones(len(order), dtype=bool)
         new[1:] = hashes[order[1:]] != hashes[order[:-1]]
         edges = np.append(np.nonzero(new)[0], len(order)).tolist()
-        refs = list(zip(ids.tolist(), t32.tolist(), start.tolist(), size.tolist(), strict=True))
+        refs = list(zip(ids.tolist(), sub.tolist(), start.tolist(), size.tolist(), strict=True))
         at, length, order = at.tolist(), length.tolist(), order.tolist()
         held: list[tuple[bytes, list]] = []
         total = 0
@@ -397,8 +389,8 @@ class Buckets:
                 self.out.append((copies[0][0], copies[0][1], whole[0] + int(a), int(n)))
 
 
-def _matches(blobs_df: DataFrame, width: int, first: bool) -> DataFrame:
-    """``id, t32, hits``: packed (start, size) stretches of matched factors."""
+def _matches(blobs_df: DataFrame, width: int, first: bool, n: int) -> DataFrame:
+    """``id, sub, hits``: packed (start, size) stretches of matched factors."""
     def run(batches):
         import pyarrow as pa
         open_p, rows = None, []
@@ -417,8 +409,8 @@ def _matches(blobs_df: DataFrame, width: int, first: bool) -> DataFrame:
             pairs = x[:, 2:].astype(np.int32)
             packed = [pairs[s:e].tobytes() for s, e in zip(starts, np.append(starts[1:], len(x)), strict=True)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(x[starts, 0]), pa.array(x[starts, 1].astype(np.int32)), pa.array(packed, pa.binary())],
-                names=["id", "t32", "hits"])
+                [pa.array(x[starts, 0]), pa.array(x[starts, 1]), pa.array(packed, pa.binary())],
+                names=["id", "sub", "hits"])
 
         for batch in batches:
             for row in blobs.rows_of(batch):
@@ -430,25 +422,41 @@ def _matches(blobs_df: DataFrame, width: int, first: bool) -> DataFrame:
         if rows and (out := done()):
             yield out
 
-    n = partitions(blobs_df.sparkSession)
     return (blobs_df.repartition(n, "p").sortWithinPartitions("p")
-            .mapInArrow(run, "id long, t32 int, hits binary"))
+            .mapInArrow(run, "id long, sub long, hits binary"))
 
 
-def _sent(texts: DataFrame, width: int, gram: int, keep_first: bool, many: int) -> DataFrame:
+def _sent(texts: DataFrame, width: int, gram: int, keep_first: bool, many: int, n: int) -> DataFrame:
     """Segments, and the factors of hot anchors, by hash range."""
     checkpoint_ready(texts.sparkSession)
-    lists = blobs.gathered(blobs.repeated(_anchor_blobs(texts, width, gram), many), "found", "hot").checkpoint()
-    found, hot = (lists.where(F.size(c) > 0).select("id", "t32", c) for c in ("found", "hot"))
-    sent = _segment_blobs(with_lists(texts, found, "inner"), width, gram, keep_first)
+    ranges = n * blobs.SPREAD
+    lists = blobs.gathered(blobs.repeated(_anchor_blobs(texts, width, gram, ranges), n, many), "found", "hot").checkpoint()
+    found, hot = (lists.where(F.size(c) > 0).select("id", "sub", c) for c in ("found", "hot"))
+    sent = _segment_blobs(with_lists(texts, found, "inner"), width, gram, keep_first, ranges)
     if hot.isEmpty():
         return sent
-    met = blobs.repeated(_hot_factor_blobs(with_lists(texts, hot, "inner"), width, gram))
+    met = blobs.repeated(_hot_factor_blobs(with_lists(texts, hot, "inner"), width, gram, ranges), n)
     met = with_lists(texts, blobs.gathered(met, "found"), "inner")
-    return sent.union(_factor_blobs(met, width, keep_first))
+    return sent.union(_factor_blobs(met, width, keep_first, ranges))
+
+
+#: Repeated rows that one row of the result is multiplied to in one step.
+COPIES = 1000
+
 
+def _with_copies(unique: DataFrame, copies: DataFrame) -> DataFrame:
+    """``unique`` with ``copies``, the rows it stands for; a row that stands for
+    very many is spread, the first of them marked ``lead``."""
+    counted = unique.join(copies.hint("shuffle_hash"), ["id", "sub"])
+    parts = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES).cast("long"))
+    split = counted.withColumn("part", F.explode(parts))
+    left = F.least(F.col("copies") - F.col("part") * COPIES, F.lit(COPIES))
+    split = split.withColumn("n", left).withColumn("lead", F.col("part") == 0)
+    return split.repartition("id", "sub", "part")
 
-def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: str = "first", many: int | None = None) -> DataFrame:
+
+def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: str = "first", many: int | None = None,
+                 sub=sub_hash) -> DataFrame:
     """``doc_id, kept, n_bytes, n_removed, n_spans``: ``kept`` is the remaining bytes.
 
     An anchor with more than ``many`` distinct segments is hot; as many as fill
@@ -459,32 +467,50 @@ def suffix_dedup(docs: DataFrame, width: int = WIDTH, keep: str = "first", many:
     if width < 16:
         raise ValueError("width must be at least 16")
     gram = min(GRAM, width // 2)
-    texts = keyed(docs)
+    texts = named(docs, sub=sub)
+    n = partitions(docs)
     many = SLICE // (2 * width) if many is None else many
-    sent = _sent(texts, width, gram, keep == "first", many)
-    hits = blobs.gathered(_matches(sent, width, keep == "first"), "hits")
+    sent = _sent(texts.unique, width, gram, keep == "first", many, n)
+    hits = blobs.gathered(_matches(sent, width, keep == "first", n), "hits")
+    done = with_lists(texts.unique, hits, "left")
+    if texts.copies is None:
+        done = done.withColumn("copies", F.lit(1)).withColumn("n", F.lit(1)).withColumn("lead", F.lit(True))
+    else:
+        done = _with_copies(done, texts.copies)
 
     def run(batches):
         import pyarrow as pa
         for chunk in text_chunks(batches):
-            out = []
-            for text, packed in zip(as_bytes(chunk.column("text")), chunk.column("hits").to_pylist(), strict=True):
+            ids, out = [], []
+            columns = [chunk.column(c).to_pylist() for c in ("doc_id", "hits", "copies", "n", "lead")]
+            for text, doc_id, packed, copies, n, lead in zip(as_bytes(chunk.column("text")), *columns, strict=True):
                 pairs = blobs.unpacked(packed).reshape(-1, 2).astype(np.int64)
-                if not len(pairs):
-                    out.append((text, len(text), 0, 0))
-                    continue
-                step = np.zeros(len(text) + 1, np.int64)
-                np.add.at(step, pairs[:, 0], 1)
-                np.add.at(step, pairs[:, 0] + pairs[:, 1] + width - 1, -1)
-                off = np.cumsum(step[:-1]) > 0
-                kept = np.frombuffer(text, np.uint8)[~off].tobytes()
-                out.append((kept, len(text), int(off.sum()), len(_stretches(off)[0])))
-            kept, *counts = zip(*out, strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [chunk.column("doc_id"), pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in counts)],
-                names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
-
-    return with_lists(texts, hits, "left").mapInArrow(
+                row = (text, len(text), 0, 0)
+                again = (b"", len(text), len(text), 1) if len(text) >= width else row  # a repeated row
+                if copies > 1 and (keep == "none" or not lead):
+                    row = again
+                elif len(pairs):
+                    step = np.zeros(len(text) + 1, np.int64)
+                    np.add.at(step, pairs[:, 0], 1)
+                    np.add.at(step, pairs[:, 0] + pairs[:, 1] + width - 1, -1)
+                    off = np.cumsum(step[:-1]) > 0
+                    row = (np.frombuffer(text, np.uint8)[~off].tobytes(), len(text), int(off.sum()), len(_stretches(off)[0]))
+                for i in range(n):
+                    ids.append(doc_id)
+                    out.append(again if i else row)
+                    if len(out) >= COPIES:
+                        yield _result(pa, ids, out)
+                        ids, out = [], []
+            if out:
+                yield _result(pa, ids, out)
+
+    def _result(pa, ids, out):
+        kept, *counts = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in counts)],
+            names=["doc_id", "kept", "n_bytes", "n_removed", "n_spans"])
+
+    return done.select("doc_id", "text", "hits", "copies", "n", "lead").mapInArrow(
         run, "doc_id long, kept binary, n_bytes long, n_removed long, n_spans long")
 
 

@@ -207,6 +207,108 @@ def test_substring_stage_keeps_rows_and_columns(make_docs):
         (1, p, len(p), "k", "r"), (2, "new", 3, "k", "r"), (3, "", 0, "k", "r")]
 
 
+def ragged(rows):
+    """(doc_id, n_words, n_removed, kept) by brute force, also where ids repeat:
+    rows of one id do not remove each other's words."""
+    first, out = {}, []
+    key = lambda i: 2**63 if i is None else i
+    split = [(key(i), i, (t or "").encode().split()) for i, t in rows]
+    for k, _, w in split:
+        for s in range(len(w) - 19):
+            q = tuple(w[s:s + 20])
+            first[q] = min(first.get(q, k), k)
+    for k, i, w in split:
+        off, own = [False] * len(w), set()
+        for s in range(len(w) - 19):
+            q = tuple(w[s:s + 20])
+            if first[q] < k or q in own:
+                off[s:s + 20] = [True] * 20
+            own.add(q)
+        out.append((i or 0, len(w), sum(off), b" ".join(x for x, o in zip(w, off, strict=True) if not o).decode()))
+    return sorted(out)
+
+
+def shared_runs():
+    """Pairs of documents that share 1 to 40 words, at every offset in a block."""
+    rows = []
+    for size in range(1, 41):
+        for lead in range(0, 12, 1 + size % 4):
+            run = [f"s{size}.{lead}.{k}" for k in range(size)]
+            n = len(rows)
+            rows.append((n + 1, " ".join([f"a{size}.{lead}.{k}" for k in range(10)] + run + [f"a{k}.{size}.{lead}" for k in range(30)])))
+            rows.append((n + 2, " ".join([f"b{size}.{lead}.{k}" for k in range(lead)] + run + [f"b{k}.{size}.{lead}" for k in range(25)])))
+    return rows
+
+
+def got_substring(out):
+    return sorted((r.doc_id or 0, r.n_words, r.n_removed, r.text) for r in out.collect())
+
+
+@pytest.mark.parametrize("parts", [1, 2, 211])
+def test_substring_shared_runs(spark, make_docs, parts):
+    rows = shared_runs()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        assert got_substring(substring_dedup.substring_dedup(make_docs(rows))) == ragged(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+FIFTEEN = ["a0 a1 a2 a3 a4 a5 a6 a7 a8 a9 " + " ".join(f"s{k}" for k in range(15)) + " x" + str(d) for d in range(2)]
+PASSAGE = " ".join(f"v{k}" for k in range(35))
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, FIFTEEN[0]), (2, FIFTEEN[1])], [(1, PASSAGE), (1, PASSAGE)], [(7, PASSAGE)] * 20, [(None, PASSAGE)] * 20,
+    [(7, PASSAGE + " " + PASSAGE)] * 1200 + [(3, PASSAGE), (9, "z")],
+    [(None, PASSAGE + f" t{k}") for k in range(30)] + [(None, PASSAGE + " t1")] * 3 + [(4, PASSAGE + " q")],
+    [(i % 3, f"{PASSAGE} u{i % 5}") for i in range(40)]], ids=range(7))
+def test_substring_repeated_ids(make_docs, rows):
+    assert got_substring(substring_dedup.substring_dedup(make_docs(rows))) == ragged(rows)
+    docs = make_docs(rows)
+    out = substring_dedup.without_repeats(docs)
+    assert out.schema.simpleString() == docs.schema.simpleString()
+    assert sorted((r.doc_id or 0, r.text) for r in out.collect()) == sorted((i, t) for i, _, _, t in ragged(rows))
+
+
+def narrow(text, seed):
+    """A hash that separates nothing under the first two seeds."""
+    return F.xxhash64(text, F.lit(seed)) if seed > 1 else F.lit(5).cast("long")
+
+
+def test_names_of_rows_are_unique_where_hashes_clash(make_docs):
+    long = "".join(chr(97 + i * i % 26) + str(i) for i in range(300))
+    rows = [(None, PASSAGE + " a"), (None, "b " + PASSAGE), (7, PASSAGE), (7, "c"), (None, PASSAGE + " a"), (8, long), (8, long + "y"), (7, long)]
+    assert got_substring(substring_dedup.substring_dedup(make_docs(rows), sub=narrow)) == ragged(rows)
+    out = suffix_dedup.suffix_dedup(make_docs(rows), keep="none", sub=narrow).collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in out) == suffix_any(rows)
+
+
+def suffix_any(rows, width=200):
+    """(doc_id, n_bytes, n_removed) where rows are told apart by their place."""
+    from collections import Counter
+    texts = [(t or "").encode() for _, t in rows]
+    count = Counter(b[k:k + width] for b in texts for k in range(len(b) - width + 1))
+    out = []
+    for (i, _), b in zip(rows, texts, strict=True):
+        off = bytearray(len(b))
+        for k in range(len(b) - width + 1):
+            if count[b[k:k + width]] > 1:
+                off[k:k + width] = b"\1" * width
+        out.append((i or 0, len(b), sum(off)))
+    return sorted(out)
+
+
+def test_suffix_repeated_ids(make_docs):
+    long = "".join(chr(97 + i * i % 26) + str(i) for i in range(300))
+    rows = [(None, long)] * 2500 + [(7, "short")] * 3 + [(7, long[:300] + "x"), (9, long[500:] * 2)]
+    out = suffix_dedup.suffix_dedup(make_docs(rows), keep="none").collect()
+    assert sorted((r.doc_id or 0, r.n_bytes, r.n_removed) for r in out) == suffix_any(rows)
+    first = suffix_dedup.suffix_dedup(make_docs([(None, long)] * 2500 + [(None, "z")])).collect()
+    assert sorted((r.n_bytes - r.n_removed for r in first), reverse=True)[:3] == [len(long), 1, 0] and len(first) == 2501
+
+
 def suffix_expected(rows, width, first):
     from collections import Counter
     texts = {i: (t or "").encode() for i, t in sorted(rows)}
@@ -247,13 +349,13 @@ def test_suffix_flanks_of_a_hot_passage_part(make_docs):
     """One passage between other flanks in each document, a few of them shared."""
     import random
 
-    from cadenza.llm.common import keyed
+    from cadenza.llm.common import named
     r = random.Random(7)
     text = lambda n: "".join(r.choice("abcdefghijklmnop ") for _ in range(n))
     passage, shared = text(400), text(250)
     rows = [(i, (shared if i % 40 == 0 else text(250)) + passage + text(250)) for i in range(300)]
     docs = make_docs(rows)
-    largest = {many: suffix_dedup._sent(keyed(docs), 200, 64, False, many).where("kind <> 1").groupBy("p").agg(
+    largest = {many: suffix_dedup._sent(named(docs).unique, 200, 64, False, many, 8).where("kind <> 1").groupBy("p").agg(
         F.sum(F.length("text")).alias("n")).agg(F.max("n")).first()[0] for many in (20, 10**9)}
     assert largest[10**9] > 250 * 200 and largest[20] < 20 * 336 * 2
     for keep in ("none", "first"):
