@@ -102,20 +102,21 @@ def _disambiguated(recipes: DataFrame, cut: DataFrame, lexicon: DataFrame,
 
 def without_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that stay; of repeated rows one."""
-    kept = (exact_dedup(docs).where("kept").groupBy(F.col("doc_id").alias("k_id"), F.col("text_sha256").alias("k_sha"))
-            .agg(F.count("*").alias("rows")).checkpoint())
+    k_id, k_sha = free_name(docs, "k_id"), free_name(docs, "k_sha")
+    kept = (exact_dedup(docs).where("kept").groupBy(F.col("doc_id").alias(k_id), F.col("text_sha256").alias(k_sha))
+            .agg(F.count("*").alias("uses")).checkpoint())
     sha = F.sha2(normalised(F.col("text")), 256)
-    out = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("k_id"))
-                    & (sha == F.col("k_sha")), "left_semi")
+    out = docs.join(kept.drop("uses").hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col(k_id))
+                    & (sha == F.col(k_sha)), "left_semi")
     # rows that repeat an id and a normalised text are rare: only then do whole rows move again
-    if kept.where("rows > 1").isEmpty():
+    if kept.where("uses > 1").isEmpty():
         return out
     name = free_name(docs, "text_sha256")
     return out.withColumn(name, sha).dropDuplicates(["doc_id", name]).drop(name)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks")
 
 
 ORACLE_SQL = r"""

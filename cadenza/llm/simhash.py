@@ -155,10 +155,11 @@ def without_near_copies(docs: DataFrame) -> DataFrame:
     marked = fingerprints(docs, sha=True).checkpoint()
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "sha")
     named = rooted(marked.groupBy("fp").agg(F.min(row).alias("least")))
+    k_id, k_sha = free_name(docs, "k_id"), free_name(docs, "k_sha")
     kept = named.groupBy("root").agg(F.min("least").alias("least")).select(
-        F.col("least.doc_id").alias("k_id"), F.col("least.sha").alias("k_sha"))
-    out = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col("k_id"))
-                    & (text_sha(docs) == F.col("k_sha")), "left_semi")
+        F.col("least.doc_id").alias(k_id), F.col("least.sha").alias(k_sha))
+    out = docs.join(kept.hint("shuffle_hash"), F.col("doc_id").cast("long").eqNullSafe(F.col(k_id))
+                    & (text_sha(docs) == F.col(k_sha)), "left_semi")
     # only where rows repeat an id and a text do whole rows move again
     if marked.groupBy("doc_id", "sha").count().where("count > 1").isEmpty():
         return out

@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from cadenza.llm import exact_dedup, simhash, substring_dedup, suffix_dedup
+from cadenza.llm import exact_dedup, packing, simhash, substring_dedup, suffix_dedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -65,6 +65,23 @@ def test_exact_rows_of_one_id_equal_after_normalisation(make_docs):
     assert sorted((r.doc_id or 0, " ".join((r.text or "").split())) for r in out.collect()) == [(0, ""), (0, "c d"), (1, "a b"), (2, "e")]
 
 
+#: Names that the stages use inside, each given to an extra column.
+INNER = ("id sub t32 k_id k_sha text_sha256 sha salt salts copies uses rows norm chunks chunk key recipe ordinals kept found hot "
+         "late hits lead part fp least root node component k table bits spread bucket b shard row n_tokens score y p kind").split()
+
+
+@pytest.mark.parametrize("stage", [exact_dedup.without_copies, simhash.without_near_copies, substring_dedup.without_repeats, packing.pack])
+def test_stages_with_inner_names_as_columns(spark, stage):
+    rows = [(1, "a b c d " + PASSAGE), (2, "a b  c d " + PASSAGE), (3, "z " + PASSAGE), (None, None), (3, "z " + PASSAGE)]
+    docs = spark.createDataFrame([(i, t, *("x" for _ in INNER)) for i, t in rows],
+                                 "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in INNER))
+    plain = docs.select("doc_id", "text")
+    got, want = stage(docs), stage(plain)
+    if stage is not packing.pack:
+        assert got.columns == docs.columns
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+
+
 def fingerprints(rows, shingle=3):
     import xxhash
     out = {}
