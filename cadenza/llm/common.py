@@ -153,3 +153,13 @@ def as_bytes(column) -> list[bytes]:
     """The UTF-8 bytes of an Arrow string column without nulls."""
     import pyarrow as pa
     return column.cast(pa.binary()).to_pylist()
+
+
+def worker_held(key: str, make):
+    """What ``make`` gives, made once in a Python worker and kept for its later tasks."""
+    import sys
+    import types
+    held = sys.modules.setdefault("_cadenza_worker", types.ModuleType("_cadenza_worker"))
+    if getattr(held, "key", None) != key:
+        held.key, held.value = key, make()
+    return held.value

@@ -6,16 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadenza.llm import bpe, embedding_dedup, exact_dedup, html_extract, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity
+from cadenza.llm import bpe, embedding_dedup, exact_dedup, html_extract, importance, packing, quality, simhash, substring_dedup, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [suffix_dedup.op1_suffix_dedup, toxicity.op2_toxicity, packing.op3_packing,
              embedding_dedup.op4_embedding_dedup, exact_dedup.op5_exact_dedup, quality.op6_quality,
              html_extract.op7_html_extract, simhash.op8_simhash_dedup, bpe.op9_bpe,
-             substring_dedup.op10_substring_dedup]
+             substring_dedup.op10_substring_dedup, importance.op12_importance_resampling]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_dedup": exact_dedup.ORACLE_SQL}
+    return {"op5_exact_dedup": exact_dedup.ORACLE_SQL, "op12_importance_resampling": importance.ORACLE_SQL}
