@@ -128,9 +128,12 @@ def _least_range(h, at, window: int, n: int):
 
 #: A range with so many times the mean of its windows is split.
 SPLIT = 4
+#: One document in so many, by a hash of its id, shows which ranges are hot. Only
+#: the layout of the exchange depends on it.
+SHOWN = 16
 
 
-def _hot_ranges(hit: DataFrame, window: int, block: int, n: int) -> np.ndarray:
+def _hot_ranges(texts: DataFrame, hits: DataFrame, window: int, block: int, n: int) -> np.ndarray:
     """The hash ranges that hold more than ``SPLIT`` times the mean number of
     windows: a frequent word is the least of many windows, and the windows that
     straddle an end of a frequent passage share its least word but not their
@@ -138,23 +141,26 @@ def _hot_ranges(hit: DataFrame, window: int, block: int, n: int) -> np.ndarray:
     def run(batches):
         import pyarrow as pa
         counts = np.zeros(n, np.int64)
-        for chunk in text_chunks(batches, 4 << 20):
+        for chunk in text_chunks(batches):
             h, offsets = word_hashes(as_bytes(chunk.column("text")))
             at, _ = _windows(h, offsets, chunk.column("found").to_pylist(), window, block)
             counts += np.bincount(_least_range(h, at, window, n).astype(np.int64), minlength=n)
         on = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.array(counts[on])], names=["p", "n"])
 
-    counts = hit.mapInArrow(run, "p int, n long").groupBy("p").agg(F.sum("n").alias("n")).checkpoint()
+    shown = F.pmod(F.xxhash64("id"), F.lit(SHOWN)) == 0
+    counts = (with_lists(texts.where(shown), hits.where(shown), "inner").mapInArrow(run, "p int, n long")
+              .groupBy("p").agg(F.sum("n").alias("n")).checkpoint())
     total = counts.agg(F.sum("n")).first()[0] or 0
-    return np.array(sorted(r["p"] for r in counts.where(F.col("n") > SPLIT * total / n).collect()), dtype=np.uint64)
+    hot = counts.where((F.col("n") > SPLIT * total / n) & (F.col("n") >= 64))
+    return np.array(sorted(r["p"] for r in hot.collect()), dtype=np.uint64)
 
 
 def _window_blobs(hit: DataFrame, window: int, block: int, n: int, hot: np.ndarray) -> DataFrame:
     """Windows by hash range: those of ``hot`` ranges by their own hash."""
     def run(batches):
         import pyarrow as pa
-        for chunk in text_chunks(batches, 4 << 20):
+        for chunk in text_chunks(batches):
             texts = as_bytes(chunk.column("text"))
             h, offsets = word_hashes(texts)
             at, row = _windows(h, offsets, chunk.column("found").to_pylist(), window, block)
@@ -241,9 +247,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int | None = N
     rest = [f for f in texts.rows.schema.fields if f.name == "rest"]
     n = partitions(docs)
     ranges = n * blobs.SPREAD
-    hits = blobs.gathered(blobs.repeated(_anchor_blobs(texts.unique, block, ranges), n), "found")
+    hits = blobs.gathered(blobs.repeated(_anchor_blobs(texts.unique, block, ranges), n), "found").checkpoint()
     hit = with_lists(texts.unique, hits, "inner")
-    hot = _hot_ranges(hit, window, block, ranges)
+    hot = _hot_ranges(texts.unique, hits, window, block, ranges)
     late = blobs.gathered(_later(_window_blobs(hit, window, block, ranges, hot), n), "late")
 
     def run(batches):
