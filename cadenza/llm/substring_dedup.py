@@ -181,6 +181,8 @@ def _window_blobs(hit: DataFrame, window: int, block: int, n: int, hot: np.ndarr
             later[1:] |= same[1:] & (row[order][1:] == row[order][:-1])
             late = np.zeros(len(a), dtype=bool)
             late[order] = later
+            # settled windows need not meet others: those of a document stay together
+            p[late] = blobs.ranges(blobs.mixed((ids[late] ^ sub[late]).view(np.uint64)), n)
             out = []
             for kind, on in ((0, ~late), (1, late)):
                 out += _stretches(*([p[on], kind] + [v[on] for v in (a, b, ids, sub, pos, row)]), n)
