@@ -194,9 +194,27 @@ def _window_blobs(hit: DataFrame, window: int, block: int, n: int, hot: np.ndarr
     return hit.mapInArrow(run, _OCCURRENCES)
 
 
+#: Window starts of many rows, by ranges of the rows' names.
+_STARTS = "q int, id binary, sub binary, pos binary"
+
+
+def _packed_starts(ids, sub, pos, n):
+    """One Arrow batch of _STARTS."""
+    import pyarrow as pa
+    q = blobs.ranges(blobs.mixed((ids ^ sub).view(np.uint64)), n).astype(np.int64)
+    order = np.lexsort((pos, sub, ids, q))
+    q, ids, sub, pos = q[order], ids[order], sub[order], pos[order]
+    edges = np.append(np.flatnonzero(np.diff(q, prepend=-1)), len(q))
+    cells = [[blobs.planes(x[s:e]) for s, e in zip(edges[:-1], edges[1:], strict=True)] for x in (ids, sub, pos)]
+    return pa.RecordBatch.from_arrays([pa.array(q[edges[:-1]], pa.int32()), *(pa.array(c, pa.binary()) for c in cells)],
+                                      names=["q", "id", "sub", "pos"])
+
+
 def _later(occurrences: DataFrame, n: int) -> DataFrame:
-    """``id, sub, late``: window starts whose sequence starts in a smaller doc_id,
-    and those that a slice has marked itself."""
+    """``id, sub, late``: per row the window starts whose sequence starts in a
+    smaller doc_id, and those that a slice has marked itself."""
+    ranges = n * blobs.SPREAD
+
     def settle(rows):
         a, b = (np.concatenate([np.frombuffer(r[k], np.uint64) for r in rows]) for k in ("h1", "h2"))
         ids, sub, pos = (np.concatenate(x) for x in zip(*map(_read_stretches, rows), strict=True))
@@ -216,6 +234,12 @@ def _later(occurrences: DataFrame, n: int) -> DataFrame:
                 done.append(settle(rows))
                 rows.clear()
 
+        def out():
+            found = [np.concatenate(x) for x in zip(*done, strict=True)]
+            done.clear()
+            if len(found[0]):
+                yield _packed_starts(*found, ranges)
+
         for batch in batches:
             for row in blobs.rows_of(batch):
                 if row["p"] != open_p:
@@ -226,14 +250,30 @@ def _later(occurrences: DataFrame, n: int) -> DataFrame:
                 else:
                     done.append(_read_stretches(row))
                 if sum(len(x[0]) for x in done) > 1 << 20:
-                    yield blobs.per_row(*(np.concatenate(x) for x in zip(*done, strict=True)), "late")
-                    done.clear()
+                    yield from out()
         flush()
         if done:
-            yield blobs.per_row(*(np.concatenate(x) for x in zip(*done, strict=True)), "late")
+            yield from out()
+
+    def by_row(batches):
+        open_q, held = None, []
+
+        def out():
+            found = [np.concatenate(x) for x in zip(*held, strict=True)]
+            held.clear()
+            yield blobs.per_row(*found, "late")
+
+        for batch in batches:
+            for row in blobs.rows_of(batch):
+                if held and row["q"] != open_q:
+                    yield from out()
+                open_q = row["q"]
+                held.append([blobs.unplaned(row[k], t) for k, t in (("id", np.int64), ("sub", np.int64), ("pos", np.int32))])
+        if held:
+            yield from out()
 
-    return (occurrences.repartition(n, "p").sortWithinPartitions("p", "kind")
-            .mapInArrow(run, "id long, sub long, late binary"))
+    packed = occurrences.repartition(n, "p").sortWithinPartitions("p", "kind").mapInArrow(run, _STARTS)
+    return packed.repartition(n, "q").sortWithinPartitions("q").mapInArrow(by_row, "id long, sub long, late binary")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int | None = None,
@@ -252,7 +292,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int | None = N
     hits = blobs.gathered(blobs.repeated(_anchor_blobs(texts.unique, block, ranges), n), "found").checkpoint()
     hit = with_lists(texts.unique, hits, "inner")
     hot = _hot_ranges(texts.unique, hits, window, block, ranges)
-    late = blobs.gathered(_later(_window_blobs(hit, window, block, ranges, hot), n), "late")
+    late = _later(_window_blobs(hit, window, block, ranges, hot), n)
 
     def run(batches):
         import pyarrow as pa
@@ -260,7 +300,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, block: int | None = N
             kept, n_words, n_removed, n_spans = [], [], [], []
             for text, packed in zip(as_bytes(chunk.column("text")), chunk.column("late").to_pylist(), strict=True):
                 words = text.split()
-                off = blobs.marked(len(words), blobs.unpacked(packed), window)
+                off = blobs.marked(len(words), blobs.unpacked([packed] if packed else []), window)
                 n_words.append(len(words))
                 n_removed.append(int(off.sum()))
                 n_spans.append(int(off[:1].sum() + (off[1:] & ~off[:-1]).sum()))
