@@ -203,17 +203,21 @@ class MinShift(Estimator, _MinShiftParams):
         super().__init__()
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
-    def _fit(self, df: DataFrame) -> "MinShiftModel":
-        if self.isSet(self.offset):
-            m = self.getOrDefault(self.offset)
-        else:
-            m = df.agg(F.min(self._in())).first()[0]
-            if m is None:
-                raise ValueError("MinShift: empty input, no minimum to learn")
+    def isFixed(self) -> bool:
+        """Is the constant given, so that nothing is learned?"""
+        return self.isSet(self.offset)
+
+    def learned(self, minimum: float | None) -> "MinShiftModel":
+        """The fitted stage, given the minimum of its input."""
+        if minimum is None:
+            raise ValueError("MinShift: empty input, no minimum to learn")
         model = MinShiftModel(inputCol=self.getInputCol(), outputCol=self.getOutputCol(),
-                              offset=float(m))
+                              offset=float(minimum))
         return self._copyValues(model)
 
+    def _fit(self, df: DataFrame) -> "MinShiftModel":
+        return self.learned(self.getOrDefault(self.offset) if self.isFixed() else df.agg(F.min(self._in())).first()[0])
+
 
 class MinShiftModel(Model, _MinShiftParams):
     @keyword_only

@@ -71,6 +71,9 @@ class GradientDescentRegression(Estimator, _GDParams, DefaultParamsReadable, Def
                          maxIter=100, stepSize=1.0, mode="gram")
         self._set(**self._input_kwargs)
 
+    def fitsOnMoments(self) -> bool:
+        return self.getOrDefault(self.mode) == "gram"
+
     def fit_moments(self, m: Moments) -> "GradientDescentModel":
         G, b, yy = m.gram()
         w, hist = descend(G, b, yy, m.n, self.getMaxIter(), self.getOrDefault(self.stepSize))

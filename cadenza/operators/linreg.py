@@ -6,8 +6,8 @@ deviation and the label scaled by its deviation,
 ``1/(2n) sum (y - w0 - w.x)^2 + lambda (a |w|_1 + (1-a)/2 |w|^2)`` with
 ``lambda = regParam / sigma_y``.
 
-:class:`ElasticNet` solves it exactly by coordinate descent on the
-correlation matrix from ONE aggregate pass (:mod:`.stats`), so fitting,
+:class:`ElasticNet` solves it exactly, by coordinate descent and active-set steps
+on the correlation matrix from ONE aggregate pass (:mod:`.stats`), so fitting,
 scoring metrics and cross-validation never rescan the data per iteration.
 :func:`mllib_fit` runs MLlib's own estimator for comparison.
 """
@@ -35,8 +35,8 @@ from .stats import Moments, feature_size, moments
 
 @dataclass
 class Solution:
-    """``rounds`` coordinate-descent rounds were made; ``converged`` says whether
-    the last one changed no standardised coefficient by more than the tolerance."""
+    """``rounds`` were made; ``converged`` says whether the optimality conditions
+    hold to the tolerance at the end."""
 
     coef: np.ndarray
     intercept: float
@@ -44,10 +44,58 @@ class Solution:
     converged: bool
 
 
-def solve(m: Moments, reg: float, alpha: float, tol: float = 1e-15,
-          max_rounds: int = 200_000) -> Solution:
-    """Standardised coordinate descent on moments, until it converges and at
-    most ``max_rounds`` rounds."""
+#: Optimality conditions of a standardised problem count as met within this.
+KKT_TOL = 1e-12
+
+
+def violation(R: np.ndarray, r: np.ndarray, l1: float, l2: float, w: np.ndarray) -> float:
+    """By how much ``w`` misses the optimality conditions of
+    ``w.R.w / 2 - r.w + l1 |w|_1 + l2 |w|^2 / 2``."""
+    if not len(w):
+        return 0.0
+    g = R @ w - r + l2 * w
+    return float(np.where(w != 0, np.abs(g + l1 * np.sign(w)), np.maximum(np.abs(g) - l1, 0.0)).max())
+
+
+def _sweep(R: np.ndarray, r: np.ndarray, l1: float, l2: float, w: np.ndarray) -> np.ndarray:
+    """One round of coordinate descent with covariance updates."""
+    w, g = w.copy(), R @ w
+    for j in range(len(w)):
+        z = r[j] - g[j] + R[j, j] * w[j]
+        new = np.sign(z) * max(abs(z) - l1, 0.0) / (R[j, j] + l2)
+        if new != w[j]:
+            g += R[:, j] * (new - w[j])
+            w[j] = new
+    return w
+
+
+def _active_step(R: np.ndarray, r: np.ndarray, l1: float, l2: float, w: np.ndarray) -> np.ndarray:
+    """The minimum over the coefficients that are not zero, signs held; where a
+    sign would change, the best point on the way there."""
+    on = np.flatnonzero(w)
+    if not len(on):
+        return w
+    A, sign = R[np.ix_(on, on)] + l2 * np.eye(len(on)), np.sign(w[on])
+    target = np.linalg.lstsq(A, r[on] - l1 * sign, rcond=None)[0]
+    step = target - w[on]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        crossing = -w[on] / step
+    stops = np.append(np.sort(crossing[(crossing > 0) & (crossing < 1)]), 1.0)
+    best, least = w, np.inf
+    for t in stops:
+        x = np.zeros_like(w)
+        x[on] = w[on] + t * step
+        x[on[np.abs(crossing - t) < 1e-15]] = 0.0
+        value = 0.5 * x @ R @ x - r @ x + l1 * np.abs(x).sum() + 0.5 * l2 * x @ x
+        if value < least:
+            best, least = x, value
+    return best
+
+
+def solve(m: Moments, reg: float, alpha: float, tol: float = KKT_TOL, max_rounds: int = 1000) -> Solution:
+    """The elastic net on moments, at most ``max_rounds`` rounds. A round is a sweep
+    of coordinate descent, which finds the coefficients that are not zero, and an
+    exact step over those (their number of rounds does not grow with collinearity)."""
     d = m.d
     var = np.diag(m.cov)
     sx = np.sqrt(np.maximum(var[:d], 0.0))
@@ -68,19 +116,15 @@ def solve(m: Moments, reg: float, alpha: float, tol: float = 1e-15,
         coef[idx] = w * sy / sx[idx]
         return Solution(coef, float(m.mean[d] - coef @ m.mean[:d]), 0, True)
     w = np.zeros(len(idx))
-    rounds, converged = 0, len(idx) == 0
+    tol = max(tol, KKT_TOL)
+    rounds, converged = 0, violation(R, r, l1, l2, w) <= tol
     while rounds < max_rounds and not converged:
         rounds += 1
-        delta = 0.0
-        for j in range(len(idx)):
-            z = r[j] - (R[j] @ w - R[j, j] * w[j])
-            new = np.sign(z) * max(abs(z) - l1, 0.0) / (R[j, j] + l2)
-            delta = max(delta, abs(new - w[j]))
-            w[j] = new
-        converged = bool(delta <= tol)
+        w = _active_step(R, r, l1, l2, _sweep(R, r, l1, l2, w))
+        converged = violation(R, r, l1, l2, w) <= tol
     coef[idx] = w * sy / sx[idx]
     coef[coef == 0.0] = 0.0  # no signed zeros from the soft threshold
-    return Solution(coef, float(m.mean[d] - coef @ m.mean[:d]), rounds, converged)
+    return Solution(coef, float(m.mean[d] - coef @ m.mean[:d]), rounds, bool(converged))
 
 
 def mse_on(m: Moments, coef: np.ndarray, intercept: float, label_offset: float = 0.0) -> float:
@@ -92,10 +136,6 @@ def mse_on(m: Moments, coef: np.ndarray, intercept: float, label_offset: float =
     return float(max(var_e, 0.0) + mean_e * mean_e)
 
 
-#: A fit whose next round would move a coefficient by more than this share warns.
-WARN_TOL = 1e-6
-
-
 class _ENParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRegParam,
                 HasElasticNetParam, HasMaxIter, HasTol):
     pass
@@ -103,23 +143,24 @@ class _ENParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRegParam,
 
 class ElasticNet(Estimator, _ENParams, DefaultParamsReadable, DefaultParamsWritable):
     """Elastic net on ``array<double>`` features: at most ``maxIter`` rounds of
-    coordinate descent, fewer when it converges (``tol``). The model records
-    both; a fit that has not come within ``WARN_TOL`` of converging warns."""
+    :func:`solve`, fewer when it converges (``tol``). The model records both; a
+    fit that has not converged warns."""
 
     @keyword_only
     def __init__(self, featuresCol="features", labelCol="label", predictionCol="prediction",
-                 regParam=0.0, elasticNetParam=0.0, maxIter=100, tol=1e-15):
+                 regParam=0.0, elasticNetParam=0.0, maxIter=100, tol=KKT_TOL):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction",
-                         regParam=0.0, elasticNetParam=0.0, maxIter=100, tol=1e-15)
+                         regParam=0.0, elasticNetParam=0.0, maxIter=100, tol=KKT_TOL)
         self._set(**self._input_kwargs)
 
+    def fitsOnMoments(self) -> bool:
+        return True
+
     def fit_moments(self, m: Moments) -> "LinearModel":
         found = solve(m, self.getRegParam(), self.getElasticNetParam(), self.getTol(), self.getMaxIter())
         if not found.converged:
-            settled = solve(m, self.getRegParam(), self.getElasticNetParam(), self.getTol(), self.getMaxIter() + 1)
-            if np.abs(settled.coef - found.coef).max() > WARN_TOL * max(1.0, np.abs(found.coef).max()):
-                warnings.warn(f"elastic net has not converged in maxIter={self.getMaxIter()} rounds", stacklevel=2)
+            warnings.warn(f"elastic net has not converged in maxIter={self.getMaxIter()} rounds", stacklevel=2)
         model = LinearModel(coefficients=[float(c) for c in found.coef], intercept=found.intercept,
                             rounds=found.rounds, converged=found.converged)
         return self._copyValues(model)
@@ -136,7 +177,7 @@ class LinearModel(Model, _ENParams, DefaultParamsReadable, DefaultParamsWritable
     intercept = Param(Params._dummy(), "intercept", "intercept",
                       typeConverter=TypeConverters.toFloat)
 
-    rounds = Param(Params._dummy(), "rounds", "coordinate-descent rounds made",
+    rounds = Param(Params._dummy(), "rounds", "rounds made",
                    typeConverter=TypeConverters.toInt)
     converged = Param(Params._dummy(), "converged", "whether they converged",
                       typeConverter=TypeConverters.toBoolean)

@@ -6,31 +6,36 @@ aggregation (``covar_pop`` merges partial centred moments, so it stays
 numerically stable at very large row counts), optionally per group (per
 fold), and only ``O(groups * d^2)`` numbers reach the driver.
 
-Wider vectors (``d > WIDE_D``) use a per-partition NumPy Gram over Arrow
-batches (``mapInArrow``) reduced by a ``groupBy`` over matrix cells: the
-``d^2`` separate aggregate expressions would grow past codegen limits, and
-above a handful of features the vectorised partials are already faster.
+Wider vectors (``d > WIDE_D``) use a user aggregate (:mod:`.aggregate`): each
+task keeps count, means and centred products of its Arrow batches in NumPy, and
+the states are merged in a tree. The ``d^2`` separate aggregate expressions would
+grow past codegen limits, and above a handful of features the vectorised
+partials are already faster. Both paths can take the minima of more columns in
+the same pass.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .aggregate import Aggregator, aggregate
+
 WIDE_D = 4  # a plan choice, both validate alike; measured: aggregates win at d=3, Arrow batches from d=5
 
 
 @dataclass
 class Moments:
     """Count, mean and population covariance of ``p`` variables (the last
-    one is the label)."""
+    one is the label), and the minima of the columns asked for."""
 
     n: float
     mean: np.ndarray
     cov: np.ndarray
+    mins: tuple = ()
 
     @property
     def d(self) -> int:
@@ -46,7 +51,13 @@ class Moments:
         mean = self.mean + delta * (other.n / n)
         cov = (self.n * self.cov + other.n * other.cov
                + np.outer(delta, delta) * (self.n * other.n / n)) / n
-        return Moments(n, mean, cov)
+        return Moments(n, mean, cov, tuple(map(_least, self.mins, other.mins)))
+
+    def with_label_minus(self, offset: float) -> "Moments":
+        """The moments of the same rows with ``offset`` subtracted from the label."""
+        mean = self.mean.copy()
+        mean[-1] -= offset
+        return replace(self, mean=mean)
 
     def gram(self) -> tuple[np.ndarray, np.ndarray, float]:
         """Uncentred ``X^T X``, ``X^T y`` and ``y^T y``."""
@@ -55,6 +66,15 @@ class Moments:
         d = self.d
         return s[:d, :d], s[:d, d], float(s[d, d])
 
+    def gradient(self, w: np.ndarray) -> np.ndarray:
+        """The mean over the rows of ``(w . x - y) x``."""
+        G, b, _ = self.gram()
+        return (G @ w - b) / self.n
+
+
+def _least(a, b):
+    return b if a is None else a if b is None else min(a, b)
+
 
 def _vars(features: str, label: str, d: int) -> list[Column]:
     v = F.col(features)
@@ -78,14 +98,16 @@ MAX_GROUPS = 10_000
 
 
 def moments(df: DataFrame, features: str, label: str, d: int | None = None,
-            by: str | None = None, max_groups: int = MAX_GROUPS) -> dict:
+            by: str | None = None, max_groups: int = MAX_GROUPS, mins: list[Column] | None = None) -> dict:
     """Moments of ``[features..., label]``, keyed by the ``by`` column's value
     (key ``None`` when ``by`` is not given). ``by`` must have few values
-    (folds, segments): at most ``max_groups`` result rows reach the driver."""
+    (folds, segments): at most ``max_groups`` result rows reach the driver.
+    The same pass takes the minima of the columns ``mins``, nulls left out."""
+    mins = mins or []
     if d is None:
         d = feature_size(df, features)
     if d > WIDE_D:
-        return _moments_wide(df, features, label, d, by, max_groups)
+        return _moments_wide(df, features, label, d, by, max_groups, mins)
     xs = _vars(features, label, d)
     p = d + 1
     bad = None
@@ -99,6 +121,7 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
             F.count_if(off).alias("sizes_off")]
     aggs += [F.avg(xs[i]).alias(f"m{i}") for i in range(p)]
     aggs += [F.covar_pop(xs[i], xs[j]).alias(f"c{i}_{j}") for i in range(p) for j in range(i, p)]
+    aggs += [F.min(c.cast("double")).alias(f"low{i}") for i, c in enumerate(mins)]
     grouped = df.groupBy(by).agg(*aggs).limit(max_groups + 1) if by else df.agg(*aggs)
     rows = grouped.collect()
     if len(rows) > max_groups:
@@ -113,7 +136,7 @@ def moments(df: DataFrame, features: str, label: str, d: int | None = None,
         for i in range(p):
             for j in range(i, p):
                 cov[i, j] = cov[j, i] = r[f"c{i}_{j}"]
-        out[r[by] if by else None] = Moments(float(r["n"]), mean, cov)
+        out[r[by] if by else None] = Moments(float(r["n"]), mean, cov, tuple(r[f"low{i}"] for i in range(len(mins))))
     return _non_empty(out)
 
 
@@ -131,101 +154,70 @@ def _non_empty(out: dict) -> dict:
     return out
 
 
-def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | None,
-                  max_groups: int = MAX_GROUPS) -> dict:
-    """Per-partition NumPy sums of ``z - c`` and ``(z - c)(z - c)^T`` for
-    ``z = [x, y]`` emitted as matrix cells and summed by cell; rows never
-    leave their partition. The shift ``c`` is one sample row, which keeps the
-    cancellation in ``cov = E[(z-c)(z-c)^T] - (mean-c)(mean-c)^T`` at the
-    scale of the spread instead of the means."""
-    p = d + 1
-    key = by or "_g"
-    src = df.select((F.col(by) if by else F.lit(0)).alias(key),
-                    F.col(features).alias("_x"), F.col(label).cast("double").alias("_y"))
-    pilot = src.select("_x", "_y").first()
-    if pilot is None:
-        raise ValueError("empty training set: no rows to learn from")
-    c = np.array(list(pilot["_x"]) + [pilot["_y"]], dtype=float)
-    if c.shape[0] != p or not np.all(np.isfinite(c)):
-        c = np.zeros(p)
+class MomentsAggregator(Aggregator):
+    """Count, means, centred products and minima of ``[x, y]`` rows. Rows of another
+    size and rows with missing or infinite values are counted and left out."""
+
+    schema = "state binary"
 
-    def partial(batches):
-        # Arrow batches: the list column flattens to one contiguous matrix,
-        # with no Python object per row
+    def __init__(self, d: int, mins: int = 0):
+        self.d, self.mins = d, mins
+        self.state_bytes = 8 * (d + 2) * (d + 3) + 64 * mins + 4096
+
+    def zero(self):
+        p = self.d + 1
+        return 0, 0, 0, np.zeros(p), np.zeros((p, p)), (None,) * self.mins
+
+    def update(self, state, rows):
         import pyarrow as pa
         import pyarrow.compute as pc
-        acc: dict = {}
+        sizes = pc.list_value_length(rows.column("x")).to_numpy(zero_copy_only=False)
+        low = tuple(pc.min(rows.column(f"low{i}")).as_py() for i in range(self.mins))
+        whole = sizes == self.d
         off = bad = 0
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            sizes = pc.list_value_length(batch.column("_x")).to_numpy(zero_copy_only=False)
-            whole = sizes == d
-            if not whole.all():  # counted, and reported by the driver
-                missing = int(np.isnan(np.asarray(sizes, dtype=float)).sum())
-                bad, off = bad + missing, off + int((~whole).sum()) - missing
-                batch = batch.filter(pa.array(whole))
-            x = batch.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-            y = batch.column("_y").to_numpy(zero_copy_only=False)
-            z = np.column_stack([x, y]).astype(float)
-            finite = np.isfinite(z).all(axis=1)
-            bad += int((~finite).sum())
-            z = z[finite] - c
-            keys = batch.column(key).to_numpy(zero_copy_only=False)[finite]
-            for g in np.unique(keys):
-                zg = z[keys == g]
-                n, s_, ss = acc.get(g, (0, np.zeros(p), np.zeros((p, p))))
-                acc[g] = (n + len(zg), s_ + zg.sum(axis=0), ss + zg.T @ zg)
-        i, j = np.triu_indices(p)
-        if off or bad:
-            yield pa.RecordBatch.from_pydict({
-                key: pa.nulls(2, out_key_type), "i": np.array([-2, -3], np.int64),
-                "j": np.array([-2, -3], np.int64), "v": np.array([off, bad], float)})
-        for g, (n, s_, ss) in acc.items():
-            m = 1 + p + len(i)
-            yield pa.RecordBatch.from_pydict({
-                key: pa.array([g] * m).cast(out_key_type),
-                "i": np.concatenate([[-1], np.arange(p), i]).astype(np.int64),
-                "j": np.concatenate([[-1], np.full(p, -1), j]).astype(np.int64),
-                "v": np.concatenate([[n], s_, ss[i, j]]).astype(float)})
-
-    kt = src.schema[key].dataType.simpleString()
-    out_key_type = _arrow_type(src.schema[key].dataType)
-    per_group = 1 + p + p * (p + 1) // 2
-    cells = (src.mapInArrow(partial, f"{key} {kt}, i long, j long, v double")
-             .groupBy(key, "i", "j").agg(F.sum("v").alias("v"))
-             .limit((max_groups + 1) * per_group + 2).collect())
-    acc: dict = {}
-    check_rows(d, sum(r["v"] for r in cells if r["i"] == -2), sum(r["v"] for r in cells if r["i"] == -3))
-    for r in cells:
-        n, s, ss = acc.setdefault(r[key], [0.0, np.zeros(p), np.zeros((p, p))])
-        if r["i"] == -1:
-            acc[r[key]][0] = r["v"]
-        elif r["j"] == -1:
-            s[r["i"]] = r["v"]
-        else:
-            ss[r["i"], r["j"]] = ss[r["j"], r["i"]] = r["v"]
-    if len(acc) > max_groups:
-        raise ValueError(f"more than {max_groups} groups in '{by}'")
-    out = {}
-    for g, (n, s, ss) in acc.items():
-        shifted_mean = s / n
-        cov = ss / n - np.outer(shifted_mean, shifted_mean)
-        out[g if by else None] = Moments(float(n), shifted_mean + c, cov)
-    return _non_empty(out)
+        if not whole.all():
+            bad = int(np.isnan(np.asarray(sizes, dtype=float)).sum())
+            off = int((~whole).sum()) - bad
+            rows = rows.filter(pa.array(whole))
+        x = rows.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, self.d)
+        y = rows.column("y").to_numpy(zero_copy_only=False)
+        z = np.column_stack([x, y]).astype(float)
+        finite = np.isfinite(z).all(axis=1)
+        bad += int((~finite).sum())
+        z = z[finite]
+        mean = z.mean(axis=0) if len(z) else np.zeros(self.d + 1)
+        z = z - mean
+        return self.merge(state, (len(z), off, bad, mean, z.T @ z, low))
+
+    def merge(self, a, b):
+        n = a[0] + b[0]
+        low = tuple(map(_least, a[5], b[5]))
+        if not a[0] or not b[0]:
+            full = b if b[0] else a
+            return n, a[1] + b[1], a[2] + b[2], full[3], full[4], low
+        delta = b[3] - a[3]
+        return (n, a[1] + b[1], a[2] + b[2], a[3] + delta * (b[0] / n),
+                a[4] + b[4] + np.outer(delta, delta) * (a[0] * b[0] / n), low)
+
+    def finish(self, state):
+        return (self.dump(state),)
 
 
-def _arrow_type(dt):
-    """Arrow type for a Spark key column of the per-group statistics."""
-    import pyarrow as pa
-    from pyspark.sql import types as T
-    mapping = {T.IntegerType: pa.int32(), T.LongType: pa.int64(), T.ShortType: pa.int16(),
-               T.ByteType: pa.int8(), T.StringType: pa.string(), T.DoubleType: pa.float64(),
-               T.BooleanType: pa.bool_()}
-    for cls, at in mapping.items():
-        if isinstance(dt, cls):
-            return at
-    raise TypeError(f"unsupported group key type {dt.simpleString()}")
+def _moments_wide(df: DataFrame, features: str, label: str, d: int, by: str | None,
+                  max_groups: int = MAX_GROUPS, mins: list[Column] | None = None) -> dict:
+    """The moments as one user aggregate: rows never leave their task, and a
+    group's states are merged in a tree."""
+    mins = mins or []
+    agg = MomentsAggregator(d, len(mins))
+    src = df.select(*([F.col(by).alias("g")] if by else []), F.col(features).alias("x"), F.col(label).cast("double").alias("y"),
+                    *(c.cast("double").alias(f"low{i}") for i, c in enumerate(mins)))
+    columns = ["x", "y", *(f"low{i}" for i in range(len(mins)))]
+    rows = aggregate(src, agg, columns, ["g"] if by else None).limit(max_groups + 1).collect()
+    if len(rows) > max_groups:
+        raise ValueError(f"more than {max_groups} groups in '{by}'")
+    states = {r["g"] if by else None: agg.load(bytes(r["state"])) for r in rows}
+    check_rows(d, sum(s[1] for s in states.values()), sum(s[2] for s in states.values()))
+    return _non_empty({g: Moments(float(n), mean, products / n, low) for g, (n, _, _, mean, products, low) in states.items() if n})
 
 
 def total(ms: dict) -> Moments:

@@ -5,13 +5,13 @@ regression with the fixed year offset."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
 from ..operators import features as fe
 from ..operators import split as sp
 from ..operators.linreg import ElasticNet
+from ..operators.pipeline import Pipeline
 from ..functions.parse import nan_to_zero
 from ..sources import archive, records, storage
 from .queries import R, query

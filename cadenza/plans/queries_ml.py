@@ -8,7 +8,8 @@ rounded to ``R`` decimals.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+import numpy as np
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +20,9 @@ from ..operators import features as fe
 from ..operators import split as sp
 from ..operators.gd import GradientDescentRegression
 from ..operators.linreg import ElasticNet
+from ..operators.aggregate import Aggregator, aggregate, reduce_by
+from ..operators.pipeline import Pipeline, fold
+from ..operators.stats import moments, total
 from ..operators.tuning import CrossValidator, param_grid
 from .queries import R, query
 
@@ -176,6 +180,56 @@ def q_rmse_metric(spark, sf):
     return m.select(*[_round(F.col(c), c) for c in ("rmse", "mse", "mae")])
 
 
+# --- user aggregates -------------------------------------------------------------
+
+def _era():
+    """A key that most songs share: the decade of the label, all but each fourth in one."""
+    decade = F.floor(F.col("label") / 10).cast("int")
+    return F.when(decade % 4 == 0, decade * 10).otherwise(-1).alias("era")
+
+
+@query("user_reduce")
+def q_user_reduce(spark, sf):
+    """A user function of two vectors folded over each key: their elementwise maximum."""
+    rows = _unshifted(spark, sf).select(_era(), "features")
+    top = reduce_by(rows, "features", lambda a, b: [max(x, y) for x, y in zip(a, b)], ["era"])
+    return fe.unpack(top, "value", 3, "top")
+
+
+class Spread(Aggregator):
+    """Count, mean and variance of one column and a histogram of another in tenths."""
+
+    schema = "n long, mean double, variance double, tenths array<long>"
+    state_bytes = 1024
+
+    def zero(self):
+        return 0, 0.0, 0.0, np.zeros(11, np.int64)
+
+    def update(self, state, rows):
+        x, y = (rows.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        mean = x.mean()
+        tenths = np.bincount(np.floor(y * 10).astype(np.int64), minlength=11)
+        return self.merge(state, (len(x), mean, ((x - mean) ** 2).sum(), tenths))
+
+    def merge(self, a, b):
+        n, gap = a[0] + b[0], b[1] - a[1]
+        if not a[0] or not b[0]:
+            return b if b[0] else a
+        return n, a[1] + gap * b[0] / n, a[2] + b[2] + gap * gap * a[0] * b[0] / n, a[3] + b[3]
+
+    def finish(self, state):
+        return state[0], float(state[1]), float(state[2] / state[0]), state[3].tolist()
+
+
+@query("user_aggregate")
+def q_user_aggregate(spark, sf):
+    """A user aggregate with a state of its own, per key."""
+    rows = _unshifted(spark, sf).select(_era(), F.get("features", 0).alias("a"), F.get("features", 1).alias("b"))
+    out = aggregate(rows, Spread(), ["a", "b"], ["era"])
+    return out.select("era", "n", _round(F.col("mean"), "mean"), _round(F.col("variance"), "variance"),
+                      *(F.get("tenths", i).alias(f"t{i}") for i in range(11)))
+
+
 # --- split ---------------------------------------------------------------------
 
 @query("split_counts")
@@ -202,13 +256,11 @@ def q_gd_weights_parity(spark, sf):
     """The reference's order: label minimum over ALL rows before the split
     (fixed-offset MinShift), then gradient descent on the training rows.
     Without an intercept this changes the weights."""
-    lines = fx.song_lines(spark, sf)
-    labels = Pipeline(stages=fe.song_stages(FEATURES_3)[:4]).fit(lines).transform(lines)
-    all_min = fe.MinShift(inputCol="label", outputCol="s").fit(labels).getOrDefault("offset")
-    train_l, _ = sp.hash_split(lines, KEY, [0.8, 0.2])
-    stages = fe.song_stages(FEATURES_3, label_offset=all_min) + [GradientDescentRegression(
-        featuresCol="features", labelCol="label_shifted", maxIter=GD_ITERS, stepSize=GD_STEP)]
-    model = Pipeline(stages=stages).fit(train_l).stages[-1]
+    rows = sp.with_part(fx.song_lines(spark, sf), KEY, [0.8, 0.2], ["train", "test"])
+    gd = GradientDescentRegression(featuresCol="features", labelCol="label_shifted", maxIter=GD_ITERS, stepSize=GD_STEP)
+    folded = fold(fe.song_stages(FEATURES_3), gd, rows)
+    parts = moments(folded.rows, "features", folded.label, by="part", mins=folded.low)  # one pass over both parts
+    model = gd.fit_moments(folded.shifted(parts["train"], total(parts).mins))
     return model.weights_frame(spark).select(F.col("i"), _round(F.col("weight"), "weight"))
 
 
@@ -238,10 +290,14 @@ def q_gd_final_rmse(spark, sf):
 
 @query("gd_gradient")
 def q_gd_gradient(spark, sf):
-    train, _ = _train_test(spark, sf)
-    r = V.dot_const("features", GD_PROBE_W) - F.col("label_shifted")
-    g = train.agg(*[F.avg(r * F.get("features", j)).alias(f"g{j}") for j in range(3)])
-    return g.select(*[_round(F.col(f"g{j}"), f"g{j + 1}") for j in range(3)])
+    """The gradient at given weights, from the moments of one pass."""
+    train_l, _ = sp.hash_split(fx.song_lines(spark, sf), KEY, [0.8, 0.2])
+    gd = GradientDescentRegression(featuresCol="features", labelCol="label_shifted")
+    folded = fold(fe.song_stages(FEATURES_3), gd, train_l)
+    m = moments(folded.rows, "features", folded.label, mins=folded.low)[None]
+    g = folded.shifted(m, m.mins).gradient(np.array(GD_PROBE_W))
+    return spark.createDataFrame([tuple(map(float, g))], "g1 double, g2 double, g3 double").select(
+        *[_round(F.col(f"g{j}"), f"g{j}") for j in (1, 2, 3)])
 
 
 @query("gd_predict")
@@ -387,6 +443,15 @@ def q_poly_cv_best_test_rmse(spark, sf):
     return model.transform(test).agg(*error_aggs("label_shifted", "prediction")).select(_round(F.col("rmse"), "rmse"))
 
 
+@query("cv_fold_offsets")
+def q_cv_fold_offsets(spark, sf):
+    """The label minimum learned without each fold, and on all training rows."""
+    model = _cv(spark, sf)[0]
+    shift = lambda stages: next(s for s in stages if isinstance(s, fe.MinShiftModel)).getOrDefault("offset")
+    rows = [(k, float(shift(stages))) for k, stages in enumerate(model.fold_stages)] + [(-1, float(shift(model.best.stages)))]
+    return spark.createDataFrame(rows, "fold int, offset double")
+
+
 @query("gd_cv_metrics")
 def q_gd_cv_metrics(spark, sf):
     """Gradient descent tuned by the same cross-validation."""
