@@ -172,6 +172,80 @@ class PandasArrayFn(Transformer, _Stage):
                                   "saved; rebuild it in code after loading the other stages")
 
 
+class FlatMapFn(Transformer, _Stage):
+    """A user function from one value to any number of rows, as a stage.
+
+    ``fn`` is called once per row with the input column's value and gives an
+    iterable of outputs of type ``schema`` (DDL). A generator is consumed as it
+    goes, and rows are handed on in batches of ``batchRows``, so neither a row with
+    very many outputs nor a large input batch is held whole. All other columns
+    are carried; columns named like the output or ``positionCol`` (the output's
+    number within its row, from 0) are replaced. No output, or None for it, gives
+    no row; with ``outer`` one row whose output and position are null.
+    """
+
+    def __init__(self, fn: Callable, inputCol: str, outputCol: str, schema: str, positionCol: str | None = None,
+                 outer: bool = False, batchRows: int = 4096):
+        super().__init__()
+        self.fn, self.schema, self.positionCol, self.outer, self.batchRows = fn, schema, positionCol, outer, batchRows
+        self._set(inputCol=inputCol, outputCol=outputCol)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.sql.pandas.types import to_arrow_type
+        from pyspark.sql.types import LongType, StructField, StructType, _parse_datatype_string
+        fn, outer, limit, position = self.fn, self.outer, self.batchRows, self.positionCol
+        # a bare type ("string") as well as a struct of fields
+        kind = _parse_datatype_string(self.schema)
+        arrow = to_arrow_type(kind)
+        new = [self.getOutputCol(), *([position] if position else [])]
+        carried = [f for f in df.schema.fields if f.name.lower() not in {n.lower() for n in new}]
+        names = [f"c{i}" for i in range(len(carried))]  # duplicate and odd names travel as numbers
+
+        def run(batches):
+            for batch in batches:
+                at, places, values = [], [], []
+
+                def out():
+                    rows = batch.take(pa.array(at, pa.int64()))
+                    made = pa.RecordBatch.from_arrays(
+                        [*rows.columns[1:], pa.array(places, pa.int64()), pa.array(values, arrow)], names=[*names, "place", "value"])
+                    for x in (at, places, values):
+                        x.clear()
+                    return made
+
+                for i in range(batch.num_rows):
+                    some = False
+                    for k, v in enumerate(fn(batch.column(0)[i].as_py()) or ()):
+                        some = True
+                        at.append(i)
+                        places.append(k)
+                        values.append(v)
+                        if len(at) >= limit:
+                            yield out()
+                    if outer and not some:
+                        at.append(i)
+                        places.append(None)
+                        values.append(None)
+                        if len(at) >= limit:
+                            yield out()
+                if at:
+                    yield out()
+
+        fields = [StructField(n, f.dataType) for n, f in zip(names, carried)]
+        source = df.select(self._in().alias("input"), *(F.col(f"`{f.name}`").alias(n) for n, f in zip(names, carried)))
+        rows = source.mapInArrow(run, StructType([*fields, StructField("place", LongType()), StructField("value", kind)]))
+        return rows.select(*(F.col(n).alias(f.name, metadata=f.metadata) for n, f in zip(names, carried)),
+                           *([F.col("place").alias(position)] if position else []), F.col("value").alias(self.getOutputCol()))
+
+    def copy(self, extra=None):
+        that = FlatMapFn(self.fn, self.getInputCol(), self.getOutputCol(), self.schema, self.positionCol, self.outer, self.batchRows)
+        return self._copyValues(that, extra)
+
+    def write(self):
+        raise NotImplementedError("FlatMapFn holds a Python function and cannot be saved; "
+                                  "rebuild it in code after loading the other stages")
+
+
 class ElementToDouble(Transformer, _Stage):
     """One vector element as a ``double`` column (default element 0)."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,51 @@ def reject_counts(lines: DataFrame, n_features: int = 3, value_col: str = "value
                      *[F.count_if(b).alias(f"bad_{name}") for b, name in zip(bad, names)])
 
 
+def parse_checked(lines: DataFrame, n_features: int = 3, value_col: str = "value", sep: str = ",") -> DataFrame:
+    """One parse that tells good lines from bad ones: all other columns, ``accepted``,
+    the typed columns (null in a rejected line), ``rejected_line`` (null in an
+    accepted one) and ``reasons``, one text per bad field. A field that is there but
+    does not parse is bad, as is a year beyond an int; a missing one is null."""
+    toks = split_fields(value_col, sep, n_features + 1)
+    names = ["year"] + [f"f{i}" for i in range(1, n_features + 1)]
+    reasons = []
+    for i, name in enumerate(names):
+        text, number = field(toks, i), to_double(field(toks, i), strict=False)
+        why = F.when((text != "") & number.isNull(), F.lit(f"{name} is not a number"))
+        if i == 0:
+            why = why.when(number.isNotNull() & to_int_truncated(text, strict=False).isNull(), F.lit("year is out of range"))
+        reasons.append(why)
+    others = [F.col(f"`{c}`") for c in lines.columns if c != value_col]
+    parsed = lines.select(*others, F.col(value_col).alias("rejected_line"), F.array_compact(F.array(*reasons)).alias("reasons"),
+                          to_int_truncated(field(toks, 0), strict=False).alias("year"),
+                          *(to_double(field(toks, i), strict=False).alias(n) for i, n in enumerate(names) if i))
+    good = F.size("reasons") == 0
+    return parsed.select(*others, good.alias("accepted"), *(F.when(good, F.col(n)).alias(n) for n in names),
+                         F.when(~good, F.col("rejected_line")).alias("rejected_line"), "reasons")
+
+
+def land_checked(lines: DataFrame, path: str, n_features: int = 3, value_col: str = "value") -> str:
+    """Write typed songs and rejected lines from one scan and one parse: one table,
+    partitioned by ``accepted``, so each reader below prunes the other half."""
+    parse_checked(lines, n_features, value_col).write.mode("overwrite").partitionBy("accepted").parquet(path)
+    return path
+
+
+def accepted_songs(spark: SparkSession, path: str) -> DataFrame:
+    """The typed songs of :func:`land_checked`."""
+    return _landed(spark, path).where(F.col("accepted")).drop("accepted", "rejected_line", "reasons")
+
+
+def rejected_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The rejected lines of :func:`land_checked`, as they were, with their reasons."""
+    rows = _landed(spark, path).where(~F.col("accepted"))
+    return rows.select(*(c for c in rows.columns if c != "accepted" and c != "year" and not c.startswith("f")))
+
+
+def _landed(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).withColumn("accepted", F.col("accepted").cast("boolean"))
+
+
 def land(songs: DataFrame, path: str, partition_col: str = "year",
          max_records_per_file: int = 5_000_000) -> str:
     """Write typed songs as parquet partitioned by ``partition_col`` so later

@@ -228,3 +228,23 @@ def derive_song_record(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("f6").alias("song_hotttnesss"),
         ).alias("metadata"),
     )
+
+
+def deep_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`song_record` with an array of structs added: ``segments`` has as many
+    elements as the line number modulo 4 (a null array where the order key is a
+    multiple of 9), each a start, a nested pitch and an array of beats, as many as
+    the element's number less one."""
+    key = F.split("song_id", "-")
+    n = (F.element_at(key, 2).cast("int") % 4).cast("int")
+    numbers = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+
+    def segment(i: Column) -> Column:
+        beats = F.transform(F.sequence(F.lit(1), i), lambda k: k * F.col("analysis.duration"))
+        return F.struct(
+            (i * F.col("analysis.end_of_fade_in")).alias("start"),
+            F.struct((i * F.col("analysis.energy")).alias("low"),
+                     F.struct((i + F.col("analysis.duration")).alias("value")).alias("high")).alias("pitch"),
+            F.slice(beats, 1, i - 1).alias("beats"))
+    segments = F.when(F.element_at(key, 1).cast("long") % 9 != 0, F.transform(numbers, segment))
+    return song_record(spark, sf_dir).withColumn("segments", segments)

@@ -84,6 +84,19 @@ SELECT count(*) AS n, count(*) FILTER (WHERE y OR x) AS rejected, count(*) FILTE
 FROM (SELECT l_orderkey % 7 = 0 AS y, l_linenumber % 5 = 0 AS x FROM lineitem)""")
 
 
+REJECT_CTE = """
+checked AS (SELECT song_id, year, l_orderkey % 7 = 0 AS y, CAST(split_part(song_id, '-', 2) AS INTEGER) % 5 = 0 AS x FROM song)"""
+oracle("landed_songs_and_rejects", with_ctes(SONG_CTE, REJECT_CTE, body="""
+SELECT 'accepted' AS kind, count(*) AS n, CAST(sum(year) AS BIGINT) AS years FROM checked WHERE NOT (x OR y)
+UNION ALL SELECT 'rejected', count(*), NULL FROM checked WHERE x OR y
+UNION ALL SELECT 'year is not a number', count(*), NULL FROM checked WHERE y
+UNION ALL SELECT 'f1 is not a number', count(*), NULL FROM checked WHERE x"""))
+oracle("rejected_lines", with_ctes(SONG_CTE, REJECT_CTE, body="""
+SELECT song_id, concat_ws('; ', CASE WHEN y THEN 'year is not a number' END, CASE WHEN x THEN 'f1 is not a number' END) AS reasons,
+  CASE WHEN y THEN 'n/a' ELSE CAST(year AS VARCHAR) END AS first_field
+FROM checked WHERE x OR y"""))
+
+
 def oracle_sql() -> dict[str, str]:
     from . import oracles_io, oracles_ml, oracles_vec  # noqa: F401
     return dict(ORACLES)

@@ -8,6 +8,7 @@ from .oracles_ml import R, enet_sql, rd
 oracle("archive_members", """
 SELECT page_id, CAST(strlen(html) AS BIGINT) AS size FROM pages""")
 oracle("archive_content_hash", "SELECT page_id, md5(html) AS md5 FROM pages")
+oracle("archive_segments_hash", "SELECT page_id, CAST(strlen(html) AS BIGINT) AS size, md5(html) AS md5 FROM pages")
 oracle("archive_counts", """
 SELECT 'pages-' || CAST(page_id // 100 AS VARCHAR) || '.tar.gz' AS archive,
        count(*) AS n, CAST(sum(strlen(html)) AS BIGINT) AS bytes
@@ -64,3 +65,13 @@ SELECT term, CASE WHEN value = 0 THEN 0.0E0 ELSE round(value, {R}) END AS value
 _pred = "c0 + " + " + ".join(f"c{j + 1}*{x}" for j, x in enumerate(XR))
 oracle("record_enet_test_rmse", with_ctes(SONG_CTE, RAW_REC_CTE, REC_SPLIT_CTE, ENR, body=f"""
 SELECT {rd(f'sqrt(avg((y - ({_pred}))^2))', 'rmse')} FROM rtest, coef"""))
+
+oracle("nested_flat", with_ctes(SONG_CTE, RAW_REC_CTE, body="SELECT * REPLACE (CAST(year AS INTEGER) AS year) FROM raw"))
+SEGMENTS_CTE = """
+seg AS (SELECT song_id, l_orderkey % 9 = 0 AS none, CAST(split_part(song_id, '-', 2) AS INTEGER) % 4 AS n, f2, f3, f4 FROM song),
+each AS (SELECT *, unnest(CASE WHEN none OR n = 0 THEN [NULL] ELSE range(1, n + 1) END) AS i FROM seg)"""
+oracle("nested_segments", with_ctes(SONG_CTE, SEGMENTS_CTE, body="""
+SELECT song_id, CAST(i - 1 AS INTEGER) AS segments_pos, i * f3 AS start, i * f4 AS low, i + f2 AS value FROM each"""))
+oracle("nested_beats", with_ctes(SONG_CTE, SEGMENTS_CTE, body="""
+SELECT song_id, CAST(i - 1 AS INTEGER) AS segments_pos, CAST(k - 1 AS INTEGER) AS beats_pos, k * f2 AS beats
+FROM (SELECT *, unnest(range(1, i)) AS k FROM each WHERE i IS NOT NULL)"""))

@@ -327,3 +327,10 @@ SELECT CAST({ERA} AS INTEGER) AS era, max(f1) AS top1, max(f2) AS top2, max(f3)
 oracle("user_aggregate", with_ctes(SONG_CTE, body=f"""
 SELECT CAST({ERA} AS INTEGER) AS era, count(*) AS n, {rd('avg(f1)', 'mean')}, {rd('var_pop(f1)', 'variance')},
   {', '.join(f'count(*) FILTER (WHERE floor(f2 * 10) = {i}) AS t{i}' for i in range(11))} FROM song GROUP BY 1"""))
+
+# --- one to many ------------------------------------------------------------------------
+oracle("one_to_many_stage", with_ctes(SONG_CTE, """
+high AS (SELECT song_id, list_filter(list_transform([f1, f2, f3, f4, f5, f6, f7, f8, f9, f10, f11, f12],
+    lambda v, i: {'field': i, 'level': v}), lambda e: e.level > 0.9) AS h FROM song),
+each AS (SELECT song_id, h, unnest(CASE WHEN len(h) = 0 THEN [NULL] ELSE range(1, len(h) + 1) END) AS k FROM high)""", body="""
+SELECT song_id, CAST(k - 1 AS BIGINT) AS nth, CAST(h[k].field AS INTEGER) AS field, h[k].level AS level FROM each"""))

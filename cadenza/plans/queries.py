@@ -66,6 +66,7 @@ def prepare_inputs(spark: SparkSession, sf: str) -> None:
     song_text_path(spark, sf)
     landed_songs_path(spark, sf)
     bank_csv_path(spark, sf)
+    checked_songs_path(spark, sf)
     _page_archives(spark, sf)
 
 
@@ -150,6 +151,31 @@ def q_reject_counts(spark, sf):
     return songs.reject_counts(fx.flawed_lines(spark, sf))
 
 
+def checked_songs_path(spark: SparkSession, sf: str) -> str:
+    """Typed songs and rejected lines of lines that hold bad fields, landed together."""
+    return fx.written(spark, "checked_songs", fx.input_tag(spark, sf, "lineitem"),
+                      lambda out: songs.land_checked(fx.flawed_lines(spark, sf), out))
+
+
+@query("landed_songs_and_rejects")
+def q_landed_songs_and_rejects(spark, sf):
+    """How many lines were landed as songs and as rejects, and why the rejects were."""
+    path = checked_songs_path(spark, sf)
+    good = songs.accepted_songs(spark, path).agg(F.lit("accepted").alias("kind"), F.count("*").alias("n"), F.sum("year").alias("years"))
+    bad = songs.rejected_lines(spark, path)
+    whole = bad.agg(F.lit("rejected").alias("kind"), F.count("*").alias("n"), F.lit(None).cast("bigint").alias("years"))
+    why = bad.select(F.explode("reasons").alias("kind")).groupBy("kind").agg(F.count("*").alias("n"), F.lit(None).cast("bigint").alias("years"))
+    return good.unionByName(whole).unionByName(why)
+
+
+@query("rejected_lines")
+def q_rejected_lines(spark, sf):
+    """The rejected lines themselves, with every reason."""
+    bad = songs.rejected_lines(spark, checked_songs_path(spark, sf))
+    return bad.select("song_id", F.concat_ws("; ", "reasons").alias("reasons"),
+                      F.get(F.split("rejected_line", ","), 0).alias("first_field"))
+
+
 # --- the same questions as SQL text over temp views ---------------------------
 
 # Fixed SQL texts of the profiling questions (run against the "song" and

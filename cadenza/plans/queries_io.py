@@ -13,7 +13,7 @@ from ..operators import split as sp
 from ..operators.linreg import ElasticNet
 from ..operators.pipeline import Pipeline
 from ..functions.parse import nan_to_zero
-from ..sources import archive, records, storage
+from ..sources import archive, records, restart, storage
 from .queries import R, query
 
 # Fixed values of the archive program.
@@ -61,6 +61,26 @@ def q_archive_counts(spark, sf):
     return m.groupBy("archive").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
 
 
+#: Decompressed bytes between restart points: small, so that the page archives have several.
+SPACING = 1 << 18
+
+
+def _page_index(spark, sf) -> str:
+    """The restart points of the page archives, written once."""
+    def write(out):
+        paths = [p for p, _ in storage.glob(spark, _page_archives(spark, sf) + "/*.tar.gz")]
+        restart.index_archives(spark, paths, SPACING).write.parquet(out)
+
+    return fx.written(spark, "page_restarts", fx.input_tag(spark, sf, "pages", PAGES_PER_ARCHIVE, SPACING), write)
+
+
+@query("archive_segments_hash")
+def q_archive_segments_hash(spark, sf):
+    """Members of gzip archives that many tasks read, each from a restart point."""
+    index = spark.read.schema(restart.INDEX_SCHEMA).parquet(_page_index(spark, sf))
+    return restart.read_indexed(index, ".html").select(_page_id(), F.col("size"), F.md5("content").alias("md5"))
+
+
 def _flat(spark, sf):
     return records.flatten_records(fx.song_record(spark, sf), keep=["song_id"])
 
@@ -70,6 +90,24 @@ def q_flatten_record(spark, sf):
     return _flat(spark, sf)
 
 
+@query("nested_flat")
+def q_nested_flat(spark, sf):
+    """Every leaf of a nested record as a column, by its schema alone."""
+    return records.flatten(fx.deep_record(spark, sf).drop("segments"), keep=["song_id"])
+
+
+@query("nested_segments")
+def q_nested_segments(spark, sf):
+    """A row per element of an array of structs, nested structs flattened."""
+    return records.unnest(fx.deep_record(spark, sf), "segments", keep=["song_id"], outer=True)
+
+
+@query("nested_beats")
+def q_nested_beats(spark, sf):
+    """A row per element of an array inside an array of structs."""
+    return records.unnest(fx.deep_record(spark, sf), "segments.beats", keep=["song_id"])
+
+
 @query("nan_to_zero")
 def q_nan_to_zero(spark, sf):
     # one pass over the raw values: NaN counts and sums after NaN -> 0

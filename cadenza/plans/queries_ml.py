@@ -135,6 +135,21 @@ def q_vector_fn_stage(spark, sf):
     return stage.transform(_unshifted(spark, sf)).select("song_id", "y")
 
 
+def high_fields(line):
+    """The numbered fields of a song line that are over 0.9, the year left out."""
+    for i, v in enumerate(line.split(",")[1:], 1):
+        if float(v) > 0.9:
+            yield {"field": i, "level": float(v)}
+
+
+@query("one_to_many_stage")
+def q_one_to_many_stage(spark, sf):
+    """A user function from one row to any number of rows as a pipeline stage."""
+    stage = fe.FlatMapFn(high_fields, "value", "high", "struct<field: int, level: double>", positionCol="nth", outer=True)
+    out = stage.transform(fx.song_lines(spark, sf))
+    return out.select("song_id", "nth", "high.field", "high.level")
+
+
 # --- vector expressions ---------------------------------------------------------
 
 def _pairs(spark, sf):

@@ -29,6 +29,29 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """A file with these bytes: written under a name of its own, then renamed."""
+    fs, p = _fs(spark, path)
+    own = _fs(spark, f"{path}.{uuid.uuid4().hex}")[1]
+    out = fs.create(own, True)
+    for i in range(0, len(data), 1 << 20):
+        out.write(bytearray(data[i:i + (1 << 20)]))
+    out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    fs.rename(own, p)
+
+
+def read_bytes(spark: SparkSession, path: str) -> bytes:
+    """The bytes of a file of moderate size."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+    finally:
+        stream.close()
+
+
 def qualify(spark: SparkSession, path: str) -> str:
     """Fully qualified URI of ``path`` under the session's default file system
     (``/x`` becomes ``hdfs://nn:8020/x`` on HDFS, ``file:/x`` locally), so
