@@ -8,9 +8,10 @@ The gradient is linear in ``w``: ``sum((w.x - y) x) = G w - b`` with
 ``G = X^T X`` and ``b = X^T y``, and ``RMSE(w)^2 = (w^T G w - 2 w^T b + y^T y)/n``.
 So ``mode="gram"`` (default) makes ONE distributed aggregate pass for
 ``n, G, b, y^T y`` and runs the iterations on d x d numbers; the weights and
-history equal the per-row loop's up to rounding. ``mode="iterative"`` makes
-one pass per iteration over the (persisted) input instead, a NumPy partial per
-partition, for vectors too wide for a d x d matrix on the driver.
+history equal the per-row loop's up to rounding. For vectors too wide for a
+d x d matrix on the driver, ``mode="span"`` makes passes that are worth many steps
+each (:mod:`.wide`), with a bound on the error; ``mode="iterative"`` makes one pass
+per iteration over the (persisted) input, a NumPy partial per partition.
 """
 
 from __future__ import annotations
@@ -34,8 +35,10 @@ from .stats import Moments, check_rows, feature_size, moments
 class _GDParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasMaxIter):
     stepSize = Param(Params._dummy(), "stepSize", "base step (alpha)",
                      typeConverter=TypeConverters.toFloat)
-    mode = Param(Params._dummy(), "mode", "'gram' (one pass) or 'iterative' (one pass per step)",
+    mode = Param(Params._dummy(), "mode", "'gram' (one pass), 'span' (a pass for many steps) or 'iterative' (one pass per step)",
                  typeConverter=TypeConverters.toString)
+    stateKey = Param(Params._dummy(), "stateKey", "name of the state that mode 'span' keeps in the shared folder after "
+                     "every pass; a fit of the same rows with the same key goes on from there", typeConverter=TypeConverters.toString)
 
 
 def rmse_at(G: np.ndarray, b: np.ndarray, yy: float, n: float, w: np.ndarray) -> float:
@@ -65,11 +68,11 @@ def descend(G: np.ndarray, b: np.ndarray, yy: float, n: float, iters: int,
 class GradientDescentRegression(Estimator, _GDParams, DefaultParamsReadable, DefaultParamsWritable):
     @keyword_only
     def __init__(self, featuresCol="features", labelCol="label", predictionCol="prediction",
-                 maxIter=100, stepSize=1.0, mode="gram"):
+                 maxIter=100, stepSize=1.0, mode="gram", stateKey=None):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction",
                          maxIter=100, stepSize=1.0, mode="gram")
-        self._set(**self._input_kwargs)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def fitsOnMoments(self) -> bool:
         return self.getOrDefault(self.mode) == "gram"
@@ -91,6 +94,11 @@ class GradientDescentRegression(Estimator, _GDParams, DefaultParamsReadable, Def
         d = feature_size(data, fc)
         if self.getOrDefault(self.mode) == "gram":
             return self.fit_moments(moments(data, fc, lc, d)[None])
+        if self.getOrDefault(self.mode) == "span":
+            from .wide import descend_in_span
+            key = self.getOrDefault(self.stateKey) if self.isSet(self.stateKey) else None
+            w, hist, final, _ = descend_in_span(data, fc, lc, d, iters, step, state_key=key)
+            return self._model(w, hist, final)
         return self._model(*self._fit_iterative(data, fc, lc, d, iters, step))
 
     @staticmethod

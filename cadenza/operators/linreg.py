@@ -92,6 +92,17 @@ def _active_step(R: np.ndarray, r: np.ndarray, l1: float, l2: float, w: np.ndarr
     return best
 
 
+def settle(R: np.ndarray, r: np.ndarray, l1: float, l2: float, w: np.ndarray, tol: float,
+           max_rounds: int) -> tuple[np.ndarray, int, bool]:
+    """(coefficients, rounds, converged) of the standardised problem, from ``w`` on."""
+    rounds, converged = 0, violation(R, r, l1, l2, w) <= tol
+    while rounds < max_rounds and not converged:
+        rounds += 1
+        w = _active_step(R, r, l1, l2, _sweep(R, r, l1, l2, w))
+        converged = violation(R, r, l1, l2, w) <= tol
+    return w, rounds, bool(converged)
+
+
 def solve(m: Moments, reg: float, alpha: float, tol: float = KKT_TOL, max_rounds: int = 1000) -> Solution:
     """The elastic net on moments, at most ``max_rounds`` rounds. A round is a sweep
     of coordinate descent, which finds the coefficients that are not zero, and an
@@ -115,16 +126,10 @@ def solve(m: Moments, reg: float, alpha: float, tol: float = KKT_TOL, max_rounds
         w = np.linalg.lstsq(A, r, rcond=None)[0]
         coef[idx] = w * sy / sx[idx]
         return Solution(coef, float(m.mean[d] - coef @ m.mean[:d]), 0, True)
-    w = np.zeros(len(idx))
-    tol = max(tol, KKT_TOL)
-    rounds, converged = 0, violation(R, r, l1, l2, w) <= tol
-    while rounds < max_rounds and not converged:
-        rounds += 1
-        w = _active_step(R, r, l1, l2, _sweep(R, r, l1, l2, w))
-        converged = violation(R, r, l1, l2, w) <= tol
+    w, rounds, converged = settle(R, r, l1, l2, np.zeros(len(idx)), max(tol, KKT_TOL), max_rounds)
     coef[idx] = w * sy / sx[idx]
     coef[coef == 0.0] = 0.0  # no signed zeros from the soft threshold
-    return Solution(coef, float(m.mean[d] - coef @ m.mean[:d]), rounds, bool(converged))
+    return Solution(coef, float(m.mean[d] - coef @ m.mean[:d]), rounds, converged)
 
 
 def mse_on(m: Moments, coef: np.ndarray, intercept: float, label_offset: float = 0.0) -> float:
@@ -138,27 +143,34 @@ def mse_on(m: Moments, coef: np.ndarray, intercept: float, label_offset: float =
 
 class _ENParams(HasFeaturesCol, HasLabelCol, HasPredictionCol, HasRegParam,
                 HasElasticNetParam, HasMaxIter, HasTol):
-    pass
+    solver = Param(Params._dummy(), "solver", "'moments' (one pass, d x d numbers) or 'span' (passes with d x k numbers)",
+                   typeConverter=TypeConverters.toString)
+    stateKey = Param(Params._dummy(), "stateKey", "name of the state that solver 'span' keeps in the shared folder after "
+                     "every pass; a fit of the same rows with the same key goes on from there", typeConverter=TypeConverters.toString)
 
 
 class ElasticNet(Estimator, _ENParams, DefaultParamsReadable, DefaultParamsWritable):
     """Elastic net on ``array<double>`` features: at most ``maxIter`` rounds of
     :func:`solve`, fewer when it converges (``tol``). The model records both; a
-    fit that has not converged warns."""
+    fit that has not converged warns. For vectors too wide for a d x d matrix on the
+    driver, ``solver="span"`` makes at most ``maxIter`` passes (:mod:`.wide`), with a
+    ``tol`` of at least 1e-9."""
 
     @keyword_only
     def __init__(self, featuresCol="features", labelCol="label", predictionCol="prediction",
-                 regParam=0.0, elasticNetParam=0.0, maxIter=100, tol=KKT_TOL):
+                 regParam=0.0, elasticNetParam=0.0, maxIter=100, tol=KKT_TOL, solver="moments", stateKey=None):
         super().__init__()
         self._setDefault(featuresCol="features", labelCol="label", predictionCol="prediction",
-                         regParam=0.0, elasticNetParam=0.0, maxIter=100, tol=KKT_TOL)
-        self._set(**self._input_kwargs)
+                         regParam=0.0, elasticNetParam=0.0, maxIter=100, tol=KKT_TOL, solver="moments")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def fitsOnMoments(self) -> bool:
-        return True
+        return self.getOrDefault(self.solver) == "moments"
 
     def fit_moments(self, m: Moments) -> "LinearModel":
-        found = solve(m, self.getRegParam(), self.getElasticNetParam(), self.getTol(), self.getMaxIter())
+        return self._model(solve(m, self.getRegParam(), self.getElasticNetParam(), self.getTol(), self.getMaxIter()))
+
+    def _model(self, found: Solution) -> "LinearModel":
         if not found.converged:
             warnings.warn(f"elastic net has not converged in maxIter={self.getMaxIter()} rounds", stacklevel=2)
         model = LinearModel(coefficients=[float(c) for c in found.coef], intercept=found.intercept,
@@ -168,7 +180,14 @@ class ElasticNet(Estimator, _ENParams, DefaultParamsReadable, DefaultParamsWrita
     def _fit(self, df: DataFrame) -> "LinearModel":
         fc, lc = self.getFeaturesCol(), self.getLabelCol()
         d = feature_size(df, fc)
-        return self.fit_moments(moments(df, fc, lc, d)[None])
+        if self.fitsOnMoments():
+            return self.fit_moments(moments(df, fc, lc, d)[None])
+        from .wide import elastic_net_by_columns, ridge_in_span
+        key = self.getOrDefault(self.stateKey) if self.isSet(self.stateKey) else None
+        reg, alpha, tol = self.getRegParam(), self.getElasticNetParam(), max(self.getTol(), 1e-9)
+        if reg * alpha == 0.0:
+            return self._model(Solution(*ridge_in_span(df, fc, lc, d, reg, self.getMaxIter(), tol, state_key=key)))
+        return self._model(Solution(*elastic_net_by_columns(df, fc, lc, d, reg, alpha, self.getMaxIter(), tol, state_key=key)))
 
 
 class LinearModel(Model, _ENParams, DefaultParamsReadable, DefaultParamsWritable):

@@ -2,15 +2,16 @@
 
 The one thing asked of the rows is a pass that multiplies the (centred, scaled)
 second-moment matrix with a block of ``k`` directions: ``Z' Z V``, d x k numbers,
-as a user aggregate whose states merge in a tree. Both solvers keep an
-orthonormal basis of the directions multiplied so far, and work inside its span
-on the driver, where the products are known exactly. Every pass adds the
-directions that matter most, so a pass is worth many steps of a plain loop.
+as a user aggregate whose states merge in a tree. The solvers keep the directions
+multiplied so far and work inside their span on the driver, where the products
+are known exactly. Every pass adds the directions that matter most, so a pass is
+worth many steps of a plain loop.
 
 * :func:`descend_in_span` follows gradient descent. What the steps lose outside the
   span is known, and bounds the error of the weights.
-* :func:`elastic_net_in_span` minimises the elastic net over the span and adds the
-  proximal step of the whole problem, until that step vanishes.
+* :func:`elastic_net_by_columns` holds the columns of the coefficients that are not
+  zero, and is done when the others meet their optimality conditions.
+* :func:`ridge_in_span` solves the normal equations where there is no L1 term.
 
 With ``state_key`` a solver writes basis and products to the shared folder after
 every pass, and a driver that starts again continues there.
@@ -99,21 +100,24 @@ class Spreads(_State):
 
 class Products(_State):
     """n, rows off, bad rows, ``y.y`` and the sum of squares of Z; ``Z' y``; ``Z' Z V``, for
-    rows ``z = (x - centre) / scale``."""
+    rows ``z = (x - centre) / scale``. ``V`` is a matrix, or the numbers of unit vectors
+    among ``d``."""
 
-    def __init__(self, V: np.ndarray, centre: np.ndarray | None = None, scale: np.ndarray | None = None):
+    def __init__(self, V: np.ndarray, centre: np.ndarray | None = None, scale: np.ndarray | None = None, d: int | None = None):
         self.V, self.centre, self.scale = V, centre, scale
-        self.state_bytes = 8 * (V.size + len(V)) + 8192
+        self.shape = V.shape if V.ndim == 2 else (d, len(V))
+        self.state_bytes = 8 * (self.shape[0] * (self.shape[1] + 1)) + 8192
 
     def zero(self):
-        return np.zeros(5), np.zeros(len(self.V)), np.zeros(self.V.shape)
+        return np.zeros(5), np.zeros(self.shape[0]), np.zeros(self.shape)
 
     def update(self, state, rows):
-        x, y, off, bad = _rows(rows, len(self.V))
+        x, y, off, bad = _rows(rows, self.shape[0])
         if self.centre is not None:
             x = (x - self.centre) / self.scale
         with np.errstate(over="ignore", invalid="ignore"):
-            return self.merge(state, (np.array([len(y), off, bad, y @ y, (x * x).sum()]), x.T @ y, x.T @ (x @ self.V)))
+            part = x @ self.V if self.V.ndim == 2 else x[:, self.V]
+            return self.merge(state, (np.array([len(y), off, bad, y @ y, (x * x).sum()]), x.T @ y, x.T @ part))
 
     def merge(self, a, b):
         return tuple(s + t for s, t in zip(a, b, strict=True))
@@ -165,11 +169,13 @@ class Span:
             for x in self.outside(block).T if m else block.T:
                 if found.shape[1] == k:
                     return found
-                y = x
-                for _ in range(2):
-                    y = y - found @ (found.T @ y)
-                if np.linalg.norm(y) > 1e-8:
-                    found = np.column_stack([found, y / np.linalg.norm(y)])
+                y = x - found @ (found.T @ x)
+                if np.linalg.norm(y) <= 1e-8:
+                    continue
+                for _ in range(2):  # once more from a vector of length 1, which leaves no rounding
+                    y = y / np.linalg.norm(y)
+                    y = y - self.S @ (self.S.T @ y) - found @ (found.T @ y)
+                found = np.column_stack([found, y / np.linalg.norm(y)])
         return found
 
     def grown(self, V: np.ndarray, GV: np.ndarray) -> Span:
@@ -262,87 +268,100 @@ def descend_in_span(data: DataFrame, features: str, label: str, d: int, iters: i
         saved.store(passes, S=span.S, GS=span.GS, b=b, scalars=np.array([n, yy, trace, passes]))
 
 
-def _soft(x: np.ndarray, t: float) -> np.ndarray:
-    return np.sign(x) * np.maximum(np.abs(x) - t, 0.0)
-
-
-class _SpanProblem:
-    """The standardised elastic net over a growing span, by the alternating
-    direction method of multipliers on ``u = S z``."""
-
-    def __init__(self, r: np.ndarray, l1: float, l2: float):
-        self.r, self.l1, self.l2 = r, l1, l2
-        self.u, self.v, self.rho = np.zeros(len(r)), np.zeros(len(r)), 1.0
-
-    def solve(self, span: Span, tol: float, steps: int = 2000) -> np.ndarray:
-        """Coordinates z of the least objective."""
-        values, Q = np.linalg.eigh(span.inner)
-        SQ = span.S @ Q
-        c, rho = SQ.T @ self.r, self.rho
-        u, v = self.u, self.v
-        for i in range(steps):
-            z = (c + rho * (SQ.T @ (u - v))) / (values + self.l2 + rho)
-            x = SQ @ z
-            old, u = u, _soft(x + v, self.l1 / rho)
-            v = v + x - u
-            primal, dual = np.linalg.norm(x - u), rho * np.linalg.norm(SQ.T @ (u - old))
-            scale = max(np.linalg.norm(u), 1e-12)
-            if primal <= tol * scale and dual <= tol * scale:
-                break
-            if i % 10 == 9 and i < steps // 2 and (primal > 10 * dual or dual > 10 * primal):
-                by = 2.0 if primal > dual else 0.5
-                rho, v = rho * by, v / by
-        self.u, self.v, self.rho = u, v, rho
-        return Q @ z
-
-
-def _units(d: int, at: np.ndarray) -> np.ndarray:
-    out = np.zeros((d, len(at)))
-    out[at, np.arange(len(at))] = 1.0
-    return out
-
-
-def elastic_net_in_span(data: DataFrame, features: str, label: str, d: int, reg: float, alpha: float,
-                        max_passes: int, tol: float = 1e-7, block: int = 4 * BLOCK, state_key: str | None = None):
-    """(coefficients, intercept, passes, converged) of the elastic net of
-    :mod:`.linreg`. It has converged when the proximal step of the whole problem is
-    shorter than ``tol`` times the coefficients."""
-    saved = Saved(data, state_key, "elastic")
+@dataclass
+class Standard:
+    """A standardised problem: ``r`` are the features' correlations with the label."""
+
+    n: float
+    mean: np.ndarray
+    scale: np.ndarray
+    live: np.ndarray
+    sy: float
+    r: np.ndarray
+
+    @staticmethod
+    def of(n: float, mean: np.ndarray, squares: np.ndarray, cross: np.ndarray) -> Standard:
+        sd = np.sqrt(np.maximum(squares, 0.0) / n)
+        live, sy = sd[:-1] > 0, float(sd[-1])
+        scale = np.where(live, sd[:-1], 1.0)
+        return Standard(n, mean, scale, live, sy, np.where(live, cross[:-1] / n / (scale * (sy or 1.0)), 0.0))
+
+    def unscaled(self, w: np.ndarray) -> tuple[np.ndarray, float]:
+        """(coefficients, intercept)."""
+        coef = np.where(self.live, w * self.sy / self.scale, 0.0) + 0.0
+        return coef, float(self.mean[-1] - coef @ self.mean[:-1])
+
+
+def _standard(data, features: str, label: str, d: int, saved: Saved):
+    """(problem, state saved so far, passes)."""
     held = saved.load()
-    if held is None:
-        counts, mean, squares, cross = _passed(data, features, label, Spreads(d), d)
-        n = counts[0]
-        span, passes = Span(np.zeros((d, 0)), np.zeros((d, 0))), 1
-    else:
-        mean, squares, cross = held["mean"], held["squares"], held["cross"]
-        span, (n, passes) = Span(held["S"], held["GS"]), held["scalars"]
-        passes = int(passes)
-    sd = np.sqrt(np.maximum(squares, 0.0) / n)
-    sx, sy = sd[:d], float(sd[d])
-    live = sx > 0
-    if sy == 0.0 or not live.any():
-        return np.zeros(d), float(mean[d]), passes, True
-    scale = np.where(live, sx, 1.0)
-    r = np.where(live, cross[:d] / n / (scale * sy), 0.0)
-    l1, l2 = reg / sy * alpha, reg / sy * (1.0 - alpha)
-    problem, w, g = _SpanProblem(r, l1, l2), np.zeros(d), -r
-    converged = False
+    if held is not None:
+        return Standard.of(held["scalars"][0], held["mean"], held["squares"], held["cross"]), held, int(held["scalars"][1])
+    counts, mean, squares, cross = _passed(data, features, label, Spreads(d), d)
+    held = {"mean": mean, "squares": squares, "cross": cross, "scalars": np.array([counts[0], 1.0])}
+    saved.store(1, **held)
+    return Standard.of(counts[0], mean, squares, cross), held, 1
+
+
+#: Columns of the correlation matrix that a fit may hold on the driver, d numbers each.
+MOST_COLUMNS = 4096
+
+
+def elastic_net_by_columns(data: DataFrame, features: str, label: str, d: int, reg: float, alpha: float,
+                           max_passes: int, tol: float = 1e-9, block: int = 8 * BLOCK, most: int = MOST_COLUMNS,
+                           state_key: str | None = None):
+    """(coefficients, intercept, passes, converged) of the elastic net of :mod:`.linreg`.
+
+    A pass gives ``block`` whole columns of the correlation matrix. The problem over
+    the columns held is solved exactly; the gradient of all d coefficients is then
+    known, and the coefficients that miss their optimality condition most are
+    the next pass's columns. When none misses it by more than ``tol``, the solution is
+    that of the whole problem. Needs about as many columns as it has coefficients
+    that are not zero; with more than ``most`` it ends without having converged.
+    """
+    from .linreg import settle
+    saved = Saved(data, state_key, "elastic")
+    p, held, passes = _standard(data, features, label, d, saved)
+    if p.sy == 0.0 or not p.live.any():
+        return *p.unscaled(np.zeros(d)), passes, True
+    l1, l2 = reg / p.sy * alpha, reg / p.sy * (1.0 - alpha)
+    at, columns = held.get("at", np.zeros(0, np.int64)), held.get("columns", np.zeros((d, 0)))
+    w = np.zeros(d)
+    while True:
+        if len(at):
+            R = columns[at]
+            w[at], _, solved = settle((R + R.T) / 2, p.r[at], l1, l2, w[at], tol * 0.1, 10_000)
+        g = columns @ w[at] - p.r
+        missed = np.where(p.live, np.abs(g) - l1, 0.0)
+        missed[at] = 0.0
+        worst = np.argsort(-missed, kind="stable")[:block]
+        worst = worst[missed[worst] > tol]
+        if not len(worst) or passes >= max_passes or len(at) + len(worst) > most:
+            return *p.unscaled(w), passes, not len(worst) and (not len(at) or solved)
+        found = _passed(data, features, label, Products(np.sort(worst), p.mean[:-1], p.scale, d), d)[2] / p.n
+        at, columns, passes = np.append(at, np.sort(worst)), np.column_stack([columns, found]), passes + 1
+        saved.store(passes, **held | {"at": at, "columns": columns, "scalars": np.array([p.n, float(passes)])})
+
+
+def ridge_in_span(data: DataFrame, features: str, label: str, d: int, reg: float, max_passes: int, tol: float = 1e-9,
+                  block: int = BLOCK, state_key: str | None = None):
+    """(coefficients, intercept, passes, converged) without an L1 term: the normal
+    equations, over a span that grows by the residual and the products' largest parts."""
+    saved = Saved(data, state_key, "ridge")
+    p, held, passes = _standard(data, features, label, d, saved)
+    if p.sy == 0.0 or not p.live.any():
+        return *p.unscaled(np.zeros(d)), passes, True
+    l2 = reg / p.sy
+    span = Span(held.get("S", np.zeros((d, 0))), held.get("GS", np.zeros((d, 0))))
+    w, rest = np.zeros(d), p.r
     while True:
-        largest = l2 + (float(np.linalg.eigvalsh(span.inner)[-1]) if span.S.shape[1] else 1.0)
-        stepped = _soft(w - g / largest, l1 / largest)
-        if np.linalg.norm(stepped - w) <= tol * max(float(np.linalg.norm(stepped)), 1e-300) or not stepped.any() and not w.any():
-            converged = True
-        V = np.zeros((d, 0))
-        if not converged and passes < max_passes:
-            # the proximal step, single coefficients that it moves most, then the products' largest parts
-            moved = np.abs(stepped - w) + 1e-3 * np.abs(stepped)
-            units = _units(d, np.argsort(-moved, kind="stable")[:min(block // 2, np.count_nonzero(moved))])
-            V = span.fresh([stepped - w, r, units], block)
+        if span.S.shape[1]:
+            z = np.linalg.lstsq(span.inner + l2 * np.eye(span.S.shape[1]), span.S.T @ p.r, rcond=None)[0]
+            w, rest = span.S @ z, p.r - span.GS @ z - l2 * (span.S @ z)
+        converged = float(np.linalg.norm(rest)) <= tol * max(float(np.linalg.norm(p.r)), 1e-300)
+        V = np.zeros((d, 0)) if converged or passes >= max_passes else span.fresh([rest, *([] if span.S.shape[1] else [_random_block(d, block)])], block)
         if not V.shape[1]:
-            coef = np.where(live, stepped * sy / scale, 0.0) + 0.0
-            return coef, float(mean[d] - coef @ mean[:d]), passes, converged
-        GV = _passed(data, features, label, Products(V, mean[:d], scale), d)[2] / n
+            return *p.unscaled(w), passes, converged
+        GV = _passed(data, features, label, Products(V, p.mean[:-1], p.scale), d)[2] / p.n
         span, passes = span.grown(V, GV), passes + 1
-        saved.store(passes, S=span.S, GS=span.GS, mean=mean, squares=squares, cross=cross, scalars=np.array([n, passes]))
-        z = problem.solve(span, tol * 0.1)
-        w, g = span.S @ z, span.GS @ z - r + l2 * (span.S @ z)
+        saved.store(passes, **held | {"S": span.S, "GS": span.GS, "scalars": np.array([p.n, float(passes)])})

@@ -11,9 +11,11 @@ from . import fixtures as fx
 from ..functions import vectors as V
 from ..operators import features as fe
 from ..operators.gd import GradientDescentRegression
+from ..operators.linreg import ElasticNet
 from .queries import R, query
 
 EMBED_DIM = 64  # fixed size of the embedding vectors
+ENET_REG, ENET_ALPHA = 0.5, 0.3
 
 
 def embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -40,12 +42,20 @@ def q_embedding_norm(spark, sf):
 
 @query("embedding_gd_iterative")
 def q_embedding_gd_iterative(spark, sf):
-    """The same descent with one pass over the rows per step."""
+    """The same descent without d x d numbers on the driver, many steps a pass."""
     model = GradientDescentRegression(featuresCol="features", labelCol="label", maxIter=100, stepSize=1.0,
-                                      mode="iterative").fit(embeddings(spark, sf))
+                                      mode="span").fit(embeddings(spark, sf))
     return model.weights_frame(spark).select("i", F.round("weight", R).alias("weight"))
 
 
+@query("embedding_enet_span")
+def q_embedding_enet_span(spark, sf):
+    """Elastic net without d x d numbers on the driver."""
+    model = ElasticNet(featuresCol="features", labelCol="label", regParam=ENET_REG, elasticNetParam=ENET_ALPHA,
+                       solver="span").fit(embeddings(spark, sf))
+    return model.terms_frame(spark).select("term", F.round(F.col("value"), R).alias("value"))
+
+
 @query("embedding_gd_weights")
 def q_embedding_gd_weights(spark, sf):
     model = GradientDescentRegression(featuresCol="features", labelCol="label",
