@@ -1,15 +1,15 @@
 """Length-bucketed packing: optimal bucket boundaries, token-budget batches.
 
 1. The global histogram of lengths, aggregated by Spark. Lengths are rounded up
-   to cells (exact up to 256, then 64 cells per doubling), so the histogram has
-   a fixed bound of cells however large the corpus is. A cell counts as the
-   largest length in it.
+   to cells: exact up to ``exact_to``, then ``cells`` of them per doubling, so the
+   histogram has a fixed bound of cells however large the corpus is. A cell counts
+   as the largest length in it.
 2. Dynamic programming over the cells chooses at most ``n_buckets`` boundaries
-   that minimise the padding summed over all documents. It is exact for
-   boundaries that are the largest length of a cell; against any boundaries a
-   document loses less than 1/64 of its bucket's length.
-3. Each bucket is cut into shards of bounded size by a hash of the row, and each
-   shard into batches of ``token_budget // boundary`` documents (one at least),
+   that minimise the padding summed over all documents. It is exact for lengths up
+   to ``exact_to``, and beyond for boundaries that are the largest length of a cell;
+   against any boundaries a document loses less than 1/``cells`` of its bucket's length.
+3. Each bucket is cut into shards of about ``shard_rows`` by a hash of the row and of
+   its place in the input, so that equal rows spread too, and each shard into batches of ``token_budget // boundary`` documents (one at least),
    so a hot bucket spreads over many tasks.
 
 A token is a word ``[^\\x20\\x09-\\x0D]+``, or what ``length_col`` counts.
@@ -37,11 +37,11 @@ def words(text: Column) -> Column:
     return F.size(F.filter(parts, lambda p: p != "")).cast("long")
 
 
-def cell(length: Column) -> Column:
+def cell(length: Column, exact_to: int = EXACT_TO, cells: int = CELLS) -> Column:
     """The upper end of a length's histogram cell."""
-    top = F.greatest(length, F.lit(EXACT_TO + 1)).cast("double")
-    step = F.greatest(F.pow(F.lit(2.0), F.floor(F.log2(top - 1))) / CELLS, F.lit(1.0))
-    return F.when(length <= EXACT_TO, length).otherwise(
+    top = F.greatest(length, F.lit(exact_to + 1)).cast("double")
+    step = F.greatest(F.pow(F.lit(2.0), F.floor(F.log2(top - 1))) / cells, F.lit(1.0))
+    return F.when(length <= exact_to, length).otherwise(
         (F.ceil(length / step) * step).cast("long"))
 
 
@@ -76,7 +76,8 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, k: int) -> list[int]:
 
 
 def pack(docs: DataFrame, n_buckets: int = N_BUCKETS, token_budget: int = TOKEN_BUDGET,
-         shard_rows: int = SHARD_ROWS, length_col: str | None = None) -> DataFrame:
+         shard_rows: int = SHARD_ROWS, length_col: str | None = None,
+         exact_to: int = 4 * EXACT_TO, cells: int = 4 * CELLS) -> DataFrame:
     """``doc_id, n_tokens, bucket, bucket_tokens, batch, slot``: ``bucket_tokens``
     is the padded length, ``batch`` names a batch of the bucket, ``slot`` the
     document's place in it."""
@@ -87,7 +88,7 @@ def pack(docs: DataFrame, n_buckets: int = N_BUCKETS, token_budget: int = TOKEN_
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), length.alias("n_tokens"),
                         F.xxhash64("doc_id", body(F.col("text"))).alias("spread"))
     hist = sorted((r["top"], r["n"]) for r in
-                  sized.groupBy(cell(F.col("n_tokens")).alias("cell"))
+                  sized.groupBy(cell(F.col("n_tokens"), exact_to, cells).alias("cell"))
                   .agg(F.max("n_tokens").alias("top"), F.count("*").alias("n")).collect())
     at = np.array([h[0] for h in hist], dtype=np.int64)
     n = np.array([h[1] for h in hist], dtype=np.int64)
@@ -103,7 +104,8 @@ def pack(docs: DataFrame, n_buckets: int = N_BUCKETS, token_budget: int = TOKEN_
         for e, h in zip(ends, held, strict=True)])
     placed = sized.withColumn("bucket", bucket.cast("int"))
     placed = placed.withColumn("b", F.element_at(per_bucket, F.col("bucket") + 1))
-    placed = placed.withColumn("shard", F.pmod("spread", F.col("b.shards").cast("long")))
+    salt = F.xxhash64("spread", F.monotonically_increasing_id())
+    placed = placed.withColumn("shard", F.pmod(salt, F.col("b.shards").cast("long")))
     order = W.partitionBy("bucket", "shard").orderBy("n_tokens", "doc_id", "spread")
     row = F.row_number().over(order) - 1
     return placed.withColumn("row", row).select(

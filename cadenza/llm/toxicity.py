@@ -2,15 +2,18 @@
 
 A word's embedding is the average of its subwords': the hashed character
 n-grams of ``<word>`` in lower case, and the whole word. A linear softmax over
-the average of a document's distinct words gives its toxicity; embeddings and
-softmax are trained jointly in numpy, by gradient descent on a bounded sample
-of labelled documents (``labelled.FIT_ROWS`` per class). A misspelling shares
-most n-grams with its word and so most of its score.
-
-A document is scored by its worst passage of ``PASSAGE`` distinct words (a
-short one is padded), so a few words in a long text are not averaged away; a
-logistic curve through the scores of sampled documents that did not train
-turns that into a probability.
+the average of a passage's words gives its toxicity; embeddings and softmax are
+trained jointly in numpy, by gradient descent on a bounded sample of labelled
+documents (``labelled.FIT_ROWS`` per class). A misspelling shares most n-grams
+with its word and so most of its score.
+
+A document is scored by its worst passage, of all that start at one of its
+distinct words and hold ``PASSAGE`` of them (a short text is padded), so a few
+words in a long text are not averaged away and none is cut apart. Training
+starts from whole documents and goes on, in ``STAGES``, from the passage of each
+document that is worst so far: what is trained is what is scored. A logistic curve
+through the scores of sampled documents that did not train turns that into a
+probability.
 
 Scoring needs one number per subword bucket (its embedding times the softmax
 weights), which is all that goes to the executors.
@@ -35,9 +38,12 @@ from cadenza.llm.blobs import mixed, rolled
 from cadenza.llm.common import body, free_name, table, text_chunks
 
 PASSAGE, BUCKETS, DIM, GRAMS = 32, 1 << 18, 4, (3, 4, 5, 6)
-STEPS, RATE, COMMON = 30, 1e5, 1.0
+#: Stages of training, gradient steps of the first one and of each other, rates of both.
+STAGES, STEPS, RATES, COMMON = 4, (30, 20), (1e5, 2e4), 1.0
+#: Pull of the embeddings to zero.
+DECAY = 3e-8
 #: A subword is learned if it is in this share of the sample's documents, and in three at least.
-RARE = 0.01
+RARE = 0.03
 #: A document of this score or more is toxic.
 THRESHOLD = 0.5
 #: A toxic document that passes counts as this many clean ones rejected.
@@ -82,6 +88,16 @@ def tokens(text: str) -> list[str]:
     return re.findall(r"\w+", text.lower())
 
 
+def worst(score: np.ndarray) -> tuple[float, tuple[int, int]]:
+    """The highest sum of ``PASSAGE`` consecutive scores, and where that passage starts and ends."""
+    if len(score) <= PASSAGE:
+        return float(score.sum()), (0, len(score))
+    total = np.concatenate([[0.0], np.cumsum(score)])
+    sums = total[PASSAGE:] - total[:-PASSAGE]
+    at = int(np.argmax(sums))
+    return float(sums[at]), (at, at + PASSAGE)
+
+
 def train(sample: list[tuple[str, int]], prior: float = 0.5, seed: int = 7) -> tuple[np.ndarray, float, float]:
     """(score per bucket, slope, bias): a passage's logit is ``slope`` times the mean of its words' scores,
     plus the bias; a word's score is the mean of its subwords' scores."""
@@ -98,11 +114,8 @@ def train(sample: list[tuple[str, int]], prior: float = 0.5, seed: int = 7) -> t
     names: dict[str, int] = {}
     ids = [np.array([names.setdefault(w, len(names)) for w in dict.fromkeys(tokens(text)) or [""]], np.int32)
            for (text, _), on in zip(sample, fit, strict=True) if on]
-    doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in ids])
-    share = np.repeat([1 / len(x) for x in ids], [len(x) for x in ids])
-    ids = np.concatenate(ids)
     # block by block, as only the subwords of several documents are kept
-    listed, freq = list(names), np.bincount(ids, minlength=len(names))
+    listed, freq = list(names), np.bincount(np.concatenate(ids), minlength=len(names))
     blocks, uses = [], np.zeros(BUCKETS)  # documents a subword is in, counting a document once per word
     for first in range(0, len(listed), WORDS):
         gram, at = subwords(listed[first:first + WORDS])
@@ -120,7 +133,7 @@ def train(sample: list[tuple[str, int]], prior: float = 0.5, seed: int = 7) -> t
         column.append(at[at >= 0])
     del blocks, listed
     owner, column = np.concatenate(owner), np.concatenate(column)
-    rate = RATE * ((uses[used] / len(y_fit)) ** -COMMON)[:, None]  # a rare subword learns as fast as a common one
+    scale = ((uses[used] / len(y_fit)) ** -COMMON)[:, None]  # a rare subword learns as fast as a common one
 
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 1e-3, (len(used), DIM))
@@ -128,26 +141,32 @@ def train(sample: list[tuple[str, int]], prior: float = 0.5, seed: int = 7) -> t
     out = np.hstack([-out, out]) / (2 * np.linalg.norm(out))
     bias = np.zeros(2)
     weight = np.where(y_fit == 1, 0.5 / (y_fit == 1).sum(), 0.5 / (y_fit == 0).sum())
-    moved = [np.zeros_like(emb), np.zeros_like(out), np.zeros_like(bias)]
-
-    def words_to_docs(vectors):
-        return np.stack([np.bincount(doc, share * vectors[ids, k], len(y_fit)) for k in range(DIM)], 1)
-
-    for _ in range(STEPS):
-        vectors = np.stack([np.bincount(owner, emb[column, k], len(names)) for k in range(DIM)], 1) / size[:, None]
-        mean = words_to_docs(vectors)
-        z = mean @ out + bias
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        dz = p / p.sum(axis=1, keepdims=True) * weight[:, None]
-        dz[np.arange(len(y_fit)), y_fit] -= weight
-        d_mean = dz @ out.T
-        d_word = np.stack([np.bincount(ids, share * d_mean[doc, k], len(names)) for k in range(DIM)], 1) / size[:, None]
-        d_emb = np.stack([np.bincount(column, d_word[owner, k], len(used)) for k in range(DIM)], 1)
-        for value, step, old in zip((emb, out, bias), (rate * d_emb, 1e-4 * mean.T @ dz, dz.sum(axis=0)), moved,
-                                    strict=True):
-            old *= 0.9
-            old += step
-            value -= old
+    for stage in range(STAGES):
+        if stage:
+            score = np.bincount(owner, (emb @ (out[:, 1] - out[:, 0]))[column], len(names)) / size
+            held = [x[slice(*worst(score[x])[1])] for x in ids]
+            part = [1 / PASSAGE] * len(held)
+        else:
+            held, part = ids, [1 / len(x) for x in ids]
+        sizes = [len(x) for x in held]
+        doc, word, share = np.repeat(np.arange(len(held), dtype=np.int32), sizes), np.concatenate(held), np.repeat(part, sizes)
+        rate = RATES[stage > 0] * scale
+        moved = [np.zeros_like(emb), np.zeros_like(out), np.zeros_like(bias)]
+        for _ in range(STEPS[stage > 0]):
+            vectors = np.stack([np.bincount(owner, emb[column, k], len(names)) for k in range(DIM)], 1) / size[:, None]
+            mean = np.stack([np.bincount(doc, share * vectors[word, k], len(y_fit)) for k in range(DIM)], 1)
+            z = mean @ out + bias
+            p = np.exp(z - z.max(axis=1, keepdims=True))
+            dz = p / p.sum(axis=1, keepdims=True) * weight[:, None]
+            dz[np.arange(len(y_fit)), y_fit] -= weight
+            d_mean = dz @ out.T
+            d_word = np.stack([np.bincount(word, share * d_mean[doc, k], len(names)) for k in range(DIM)], 1) / size[:, None]
+            d_emb = np.stack([np.bincount(column, d_word[owner, k], len(used)) for k in range(DIM)], 1) + DECAY * emb
+            for value, step, old in zip((emb, out, bias), (rate * d_emb, 1e-4 * mean.T @ dz, dz.sum(axis=0)), moved,
+                                        strict=True):
+                old *= 0.9
+                old += step
+                value -= old
     table = np.zeros(BUCKETS, np.float32)
     table[used] = emb @ (out[:, 1] - out[:, 0])
     texts = [text for (text, _), on in zip(sample, fit, strict=True) if not on]
@@ -182,7 +201,7 @@ class Scorer:
             ids = np.fromiter(map(self.names.__getitem__, words), np.int64, len(words))
             if len(ids) > 1:  # each word once, in order of first use
                 ids = ids[np.sort(np.unique(ids, return_index=True)[1])]
-            out[i] = np.add.reduceat(self.score[ids], np.arange(0, len(ids), PASSAGE)).max() / PASSAGE
+            out[i] = worst(self.score[ids])[0] / PASSAGE
         return self.slope * out + self.bias
 
 

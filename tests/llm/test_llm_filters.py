@@ -166,3 +166,31 @@ def test_packing_edge_cases(empty_docs, make_docs):
     assert [r.n_tokens for r in rows] == [2] * 4 and len({(r.batch, r.slot) for r in rows}) == 4
     with pytest.raises(ValueError):
         packing.pack(empty_docs, token_budget=0)
+
+
+def test_equal_rows_spread_over_shards(make_docs):
+    from collections import Counter
+    rows = packing.pack(make_docs([(7, "a b c")] * 20_000 + [(i, "w " * (i % 9)) for i in range(2000)]), n_buckets=3, shard_rows=500).collect()
+    shards = Counter(r.batch.rsplit("-", 1)[0] for r in rows)
+    assert max(shards.values()) < 2 * 500 and len(rows) == 22_000
+
+
+def test_histogram_cells_are_a_parameter(make_docs):
+    sizes = [300, 301, 500, 501, 502, 900, 901]
+    docs = make_docs([(i, "w " * n) for i, n in enumerate(sizes)])
+    exact = packing.pack(docs, n_buckets=3).collect()
+    assert {r.bucket_tokens for r in exact} == {301, 502, 901}
+    coarse = packing.pack(docs, n_buckets=7, exact_to=256, cells=2).collect()
+    assert {r.bucket_tokens for r in coarse} <= {301, 502, 901, 900, 500}
+
+
+def test_worst_passage_is_found_at_any_place():
+    import numpy as np
+
+    from cadenza.llm import toxicity
+    r = np.random.default_rng(1)
+    for n in (1, 5, toxicity.PASSAGE, toxicity.PASSAGE + 1, 200):
+        score = r.normal(size=n)
+        best, (a, b) = toxicity.worst(score)
+        windows = [score[k:k + toxicity.PASSAGE].sum() for k in range(max(1, n - toxicity.PASSAGE + 1))]
+        assert abs(best - max(windows)) < 1e-9 and abs(score[a:b].sum() - best) < 1e-9 and b - a == min(n, toxicity.PASSAGE)
