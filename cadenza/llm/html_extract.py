@@ -198,10 +198,10 @@ def extract(sources: list[str], model: Boosted) -> list[str]:
     return ["\n".join(dom.chosen(t, p[a:b])) for t, a, b in zip(trees, at, at[1:], strict=False)]
 
 
-def _sample(rows: DataFrame, most: int) -> list[str]:
+def _sample(rows: DataFrame, most: int, chars: int = FIT_PAGE_CHARS) -> list[str]:
     """The pages with the least hashes: the hashes are chosen first, so that no
     task gathers more than ``most`` pages, however often one is repeated."""
-    hashed = rows.where(F.length("text") <= FIT_PAGE_CHARS).select("text", F.xxhash64("page_id", "text").alias("h"))
+    hashed = rows.where(F.length("text") <= chars).select("text", F.xxhash64("page_id", "text").alias("h"))
     least = [r["h"] for r in hashed.select("h").distinct().orderBy("h").limit(most).collect()]
     if not least:
         return []
@@ -209,11 +209,13 @@ def _sample(rows: DataFrame, most: int) -> list[str]:
     return [r["text"] for r in sorted(found, key=lambda r: r["h"])]
 
 
-def html_extract(pages: DataFrame, fit_pages: int = FIT_PAGES) -> DataFrame:
-    """``page_id, url, text, n_chars`` for every row."""
+def html_extract(pages: DataFrame, fit_pages: int = FIT_PAGES, fit_page_chars: int = FIT_PAGE_CHARS) -> DataFrame:
+    """``page_id, url, text, n_chars`` for every row. The model is fitted on at most
+    ``fit_pages`` pages of at most ``fit_page_chars`` characters, which bounds what
+    comes to the driver; every page is read in full."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         body(F.col("html")).alias("text"))
-    model = train(_sample(rows, fit_pages))
+    model = train(_sample(rows, fit_pages, fit_page_chars))
 
     def run(batches):
         import pyarrow as pa
