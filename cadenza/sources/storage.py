@@ -29,6 +29,12 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     """A file with these bytes: written under a name of its own, then renamed."""
     fs, p = _fs(spark, path)
