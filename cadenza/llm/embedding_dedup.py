@@ -100,7 +100,7 @@ class Index:
         return np.sqrt(total) <= self.radius + off[None, :] + SLACK
 
 
-_LISTED = "label int, dim int, list int, query boolean, node long, copies long, home int, vec binary, codes binary, off double"
+_LISTED = "label long, dim int, list int, query boolean, node long, copies long, home int, vec binary, codes binary, off double"
 
 
 def _listed(reps: DataFrame, index: Index | None) -> DataFrame:
@@ -230,7 +230,7 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, fit_rows:
     e = F.col("embedding")
     if kind is np.float64:
         e = e.cast("array<double>")
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("int").alias("label"),
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"),
                           e.alias("vec"))
     finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     valid = (F.col("label").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda v: v != 0))

@@ -22,7 +22,7 @@ from cadenza.llm import labelled
 from cadenza.llm.common import as_bytes, body, table, text_chunks
 
 DICTIONARY, BLOCK, LEVEL = 112_640, 1024, 3
-#: Blocks of the sample that a dictionary is trained on, taken evenly.
+#: Blocks of the sample that a dictionary is trained on, taken evenly (``fit_blocks``).
 BLOCKS = 8000
 
 
@@ -30,11 +30,11 @@ def blocks(text: bytes) -> list[bytes]:
     return [text[k:k + BLOCK] for k in range(0, len(text), BLOCK)]
 
 
-def dictionary(texts: list[bytes]) -> bytes:
+def dictionary(texts: list[bytes], most: int = BLOCKS) -> bytes:
     """A trained dictionary, or the joined texts' end where there is too little to train on."""
     import zstandard
     pieces = [b for t in texts for b in blocks(t)]
-    pieces = [pieces[i] for i in np.linspace(0, len(pieces) - 1, min(len(pieces), BLOCKS)).astype(int)]
+    pieces = [pieces[i] for i in np.linspace(0, len(pieces) - 1, min(len(pieces), most)).astype(int)]
     try:
         return zstandard.train_dictionary(DICTIONARY, pieces).as_bytes()
     except zstandard.ZstdError:
@@ -60,7 +60,7 @@ class Comparer:
         return (bad - good) / len(text)
 
 
-def train(sample: list[tuple[str, int]], prior: float = 0.5) -> tuple[bytes, bytes, float, float]:
+def train(sample: list[tuple[str, int]], prior: float = 0.5, fit_blocks: int = BLOCKS) -> tuple[bytes, bytes, float, float]:
     """(bad dictionary, good dictionary, slope, bias)."""
     y = np.array([label for _, label in sample], dtype=np.int64)
     texts = [t.encode() for t, _ in sample]
@@ -71,7 +71,7 @@ def train(sample: list[tuple[str, int]], prior: float = 0.5) -> tuple[bytes, byt
     for k in (0, 1):
         place[y == k] = np.arange((y == k).sum())
     fit = place % 5 != 4
-    bad, good = (dictionary([t for t, label, on in zip(texts, y, fit, strict=True) if on and label == k])
+    bad, good = (dictionary([t for t, label, on in zip(texts, y, fit, strict=True) if on and label == k], fit_blocks)
                  for k in (0, 1))
     compare = Comparer(bad, good)
     z = np.array([compare.difference(t) for t, on in zip(texts, fit, strict=True) if not on])
@@ -79,10 +79,11 @@ def train(sample: list[tuple[str, int]], prior: float = 0.5) -> tuple[bytes, byt
 
 
 def quality(docs: DataFrame, labels: DataFrame, fit_rows: int = labelled.FIT_ROWS,
-            threshold: float = 0.3) -> DataFrame:
-    """``doc_id, held_out, score, predicted, difference`` for every row."""
+            threshold: float = 0.3, fit_blocks: int = BLOCKS) -> DataFrame:
+    """``doc_id, held_out, score, predicted, difference`` for every row. Fitted on at
+    most ``fit_rows`` documents and ``fit_blocks`` of their blocks per class."""
     bad, good, slope, bias = train(labelled.sample(docs, labels, "quality", fit_rows),
-                                   labelled.share(labels, "quality"))
+                                   labelled.share(labels, "quality"), fit_blocks)
 
     def run(batches):
         import pyarrow as pa

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cadenza.llm import exact_dedup, packing, simhash, substring_dedup, toxicity
 from cadenza.llm.common import table
 from cadenza.session import checkpoint_root
+from cadenza.sources import storage
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +52,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents; intermediate tables go to the shared folder."""
+    """All stages over the documents. They run when this is called; each one's table
+    goes to a folder ``pipeline-<id>`` of its own in the shared folder. A failed
+    run removes it. After a run the result reads its last table, so the folder is
+    the caller's to remove, with the rest of ``spark.checkpoint.dir``.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{checkpoint_root(spark)}/pipeline-{uuid.uuid4().hex}"
-    for i, (name, stage) in enumerate(STAGES):
-        path = f"{folder}/{i}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    try:
+        for i, (name, stage) in enumerate(STAGES):
+            path = f"{folder}/{i}-{name}"
+            stage(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+    except BaseException:
+        storage.remove(spark, folder)
+        raise
     return docs

@@ -272,8 +272,59 @@ def test_pipeline_stages(spark, odd_docs, labels, tmp_path, empty_docs):
         assert corpus_pipeline.pack_batches(spark, docs, "").count() == docs.count()
 
 
+PASSAGE = " ".join(f"v{k}" for k in range(35))
+
+
+@pytest.mark.parametrize("rows", [
+    [(1, "a0 a1 " + " ".join(f"s{k}" for k in range(15)) + " x"), (2, " ".join(f"s{k}" for k in range(15)) + " y z")],
+    [(7, PASSAGE)] * 30 + [(None, PASSAGE)] * 30, [(None, PASSAGE + f" t{k % 4}") for k in range(30)] + [(3, PASSAGE + " q")],
+    [(i % 3, f"{PASSAGE} {i} " + " ".join(f"w{i}.{k}" for k in range(60))) for i in range(40)]], ids=range(4))
+def test_pipeline_on_repeated_ids_and_rows(spark, make_docs, labels, tmp_path, rows):
+    """All five stages run; what stays is one row per group, without later repeats."""
+    import corpus_pipeline
+    docs = make_docs(rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    texts = {(i, " ".join((t or "").split())) for i, t in rows}
+    assert 0 < len(out) <= len(texts)
+    kept = [w for r in out for w in [r.n_tokens]]
+    assert sum(kept) >= 35 or len(rows) == 2
+
+
+def test_a_failed_pipeline_leaves_no_folder(spark, sf, monkeypatch):
+    import corpus_pipeline
+    from cadenza.session import checkpoint_root
+    from cadenza.sources import storage
+
+    def broken(spark, docs, sf_dir):
+        raise RuntimeError("lost")
+    folders = lambda: {p.split("/pipeline-")[1].split("/")[0] for p, _, _ in storage.listing(spark, checkpoint_root(spark)) if "/pipeline-" in p}
+    before = folders()
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [corpus_pipeline.STAGES[1], ("broken", broken)])
+    with pytest.raises(RuntimeError, match="lost"):
+        corpus_pipeline.run(spark, sf)
+    assert folders() == before
+
+
+def test_labels_with_clashing_columns(spark, odd_docs, labels):
+    from cadenza.llm import quality, toxicity
+    more = labels
+    for c in ("text", "y", "top", "score", "lang", "doc_ID2", "fold", "picked"):
+        more = more.withColumn(c, F.lit("x"))
+    for run, columns in ((toxicity.toxicity, ["doc_id", "score"]), (quality.quality, ["doc_id", "score"])):
+        a, b = (sorted(map(str, run(odd_docs, t).select(columns).collect())) for t in (labels, more))
+        assert a == b
+
+
+def test_embedding_labels_may_be_large(spark):
+    rows = [(1, [1.0, 0.0], 2**40), (2, [1.0, 0.001], 2**40), (3, [1.0, 0.0], 2**40 + 1)]
+    out = embedding_dedup.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label long"))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in out.collect()} == {1: (1, 1), 2: (1, 1), 3: (0, 3)}
+
+
 def test_registry():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     queries = E.queries()
     for n in names:
         assert sum(q.startswith(n) for q in queries) == 1
