@@ -36,11 +36,11 @@ from pyspark.sql import functions as F
 from cadenza.llm.common import LAST_ID, checkpoint_ready, table
 
 SCALE, PARTS, ENTRIES, ROUNDS = 1024, 4, 256, 4
-#: Rows whose distances a task works on at a time.
-BLOCK = 2048
-#: Coefficients that are compared with all entries before any is eliminated, and
-#: those added in each step after.
-DENSE, STEP = 4, 4
+#: Rows whose distances a task works on at a time, and coefficients between eliminations.
+BLOCK, STEP = 512, 4
+#: Entries are followed one by one when this share of them is left; until then the
+#: sums of eliminated ones go on in the matrix, which is faster.
+SPARSE = 0.1
 #: Labels whose sums are broadcast at most; beyond, rows find them by a shuffle.
 FEW_LABELS = 10_000
 LARGEST = 2**63 - 1
@@ -79,21 +79,33 @@ def nearest(x: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     best, far = np.zeros(n, np.int64), np.zeros(n, x.dtype)
     for s in range(0, n, BLOCK):
         rows = x[s:s + BLOCK]
-        sums = np.zeros((len(rows), len(entries)), x.dtype)
-        for c in range(min(DENSE, m)):
-            d = rows[:, c, None] - entries[None, :, c]
-            sums = sums + d * d
-        lead = entries[sums.argmin(axis=1)]
-        bound = ((rows - lead) ** 2).sum(axis=1)
-        row, entry = np.nonzero(sums <= bound[:, None])
+        sums, done = np.zeros((len(rows), len(entries)), x.dtype), 0
+        while True:
+            for c in range(done, min(done + STEP, m)):
+                d = rows[:, c, None] - entries[None, :, c]
+                d *= d
+                sums += d
+            done = min(done + STEP, m)
+            if done == m:
+                break
+            # the whole sum of a promising entry bounds the least one
+            bound = ((rows - entries[sums.argmin(axis=1)]) ** 2).sum(axis=1)
+            live = sums <= bound[:, None]
+            if np.count_nonzero(live) <= SPARSE * live.size:
+                break
+        if done == m:
+            best[s:s + BLOCK] = sums.argmin(axis=1)
+            far[s:s + BLOCK] = sums[np.arange(len(rows)), best[s:s + BLOCK]]
+            continue
+        # few entries are left: from here on they are followed one by one
+        row, entry = np.nonzero(live)
         sums = sums[row, entry]
-        for c in range(DENSE, m, STEP):
+        for c in range(done, m, STEP):
             sums = sums + ((rows[row, c:c + STEP] - entries[entry, c:c + STEP]) ** 2).sum(axis=1)
-            live = sums <= bound[row]
-            row, entry, sums = row[live], entry[live], sums[live]
+            on = sums <= bound[row]
+            row, entry, sums = row[on], entry[on], sums[on]
         # every row still has an entry; its first one of the least sum is the nearest
-        first = np.searchsorted(row, np.arange(len(rows)))
-        least = np.minimum.reduceat(sums, first)
+        least = np.minimum.reduceat(sums, np.searchsorted(row, np.arange(len(rows))))
         at = np.flatnonzero(sums == least[row])
         at = at[np.searchsorted(row[at], np.arange(len(rows)))]
         best[s:s + BLOCK], far[s:s + BLOCK] = entry[at], least

@@ -109,3 +109,19 @@ def test_nearest_breaks_ties_by_index():
     x = np.array([[0, 0, 0, 0, 0], [0, 0, 0, 0, 1], [9, 9, 9, 9, 9]])
     index, far = vc.nearest(vc.transformed(x), vc.transformed(entries))
     assert index.tolist() == [1, 1, 0] and (far // 8).tolist() == [0, 1, 16 + 16 + 81 + 81 + 64]
+
+
+@pytest.mark.parametrize("sparse", [0.0, 0.1, 1.0])
+@pytest.mark.parametrize("kind", [np.int64, object])
+def test_elimination_is_exact(monkeypatch, sparse, kind):
+    """Whenever entries are left to the matrix or followed one by one."""
+    monkeypatch.setattr(vc, "SPARSE", sparse)
+    monkeypatch.setattr(vc, "BLOCK", 50)
+    rng = np.random.default_rng(5)
+    centres = rng.integers(-400, 400, (9, 13))
+    entries = (centres[rng.integers(0, 9, 40)] + rng.integers(-3, 4, (40, 13))).astype(kind)
+    x = (centres[rng.integers(0, 9, 180)] + rng.integers(-3, 4, (180, 13))).astype(kind)
+    index, far = vc.nearest(vc.transformed(x), vc.transformed(entries))
+    d = ((x[:, None] - entries[None]) ** 2).sum(axis=2)
+    assert index.tolist() == [min(range(40), key=lambda e: (row[e], e)) for row in d]  # noqa: B023
+    assert (far // 16).tolist() == d.min(axis=1).tolist()
