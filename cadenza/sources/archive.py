@@ -10,7 +10,8 @@ an archive that holds a large share of all members.
 
 :func:`read_archives` takes archives of any size: those that fit a cell come
 through ``binaryFile``, larger ones are opened inside their task through
-``pyarrow.fs`` and streamed (:func:`read_archives_streaming`). With
+``pyarrow.fs`` and streamed (:func:`read_archives_streaming`), or taken apart at
+restart points (``split_over``). With
 ``content=False`` only names and sizes leave the task.
 """
 
@@ -115,19 +116,31 @@ def extract_members(archives: DataFrame, suffix: str | None = ".h5",
 
 def read_archives(spark: SparkSession, paths: str | list[str], suffix: str | None = ".h5",
                   max_members: int | None = None, repartition: int | None = None,
-                  content: bool = True) -> DataFrame:
-    """Archive files (paths or globs; duplicates removed) of any size -> member rows."""
+                  content: bool = True, split_over: int | None = None) -> DataFrame:
+    """Archive files (paths or globs; duplicates removed) of any size -> member rows.
+    Gzip archives of more than ``split_over`` bytes are indexed in one pass and then
+    read by many tasks each, from restart points (:mod:`.restart`); to read one
+    again, keep the index."""
     from .storage import glob
+    if split_over is not None and max_members is not None:
+        raise ValueError("max_members counts the members of a whole archive, which split_over takes apart")
     plist = [paths] if isinstance(paths, str) else list(dict.fromkeys(paths))
     files = dict(f for p in plist for f in glob(spark, p))
     if not files:
         raise FileNotFoundError(f"no archive at {plist}")
-    small = [f for f, size in files.items() if size <= CELL_BYTES]
-    large = [f for f, size in files.items() if size > CELL_BYTES]
+    split = [f for f, size in files.items() if split_over is not None and size > split_over]
+    small = [f for f, size in files.items() if size <= CELL_BYTES and f not in split]
+    large = [f for f, size in files.items() if size > CELL_BYTES and f not in split]
     out = None
+    if split:
+        from ..session import checkpoint_root
+        from .restart import index_archives, read_indexed
+        checkpoint_root(spark)
+        out = read_indexed(index_archives(spark, split).checkpoint(), suffix, content)
     if small:
         cells = spark.read.format("binaryFile").load(small).select("path", "content")
-        out = extract_members(cells, suffix, max_members, content=content)
+        whole = extract_members(cells, suffix, max_members, content=content)
+        out = whole if out is None else out.unionByName(whole)
     if large:
         streamed = read_archives_streaming(spark, large, suffix, max_members, content=content)
         out = streamed if out is None else out.unionByName(streamed)

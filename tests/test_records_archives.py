@@ -165,6 +165,18 @@ def test_one_archive_is_read_by_many_tasks(spark, tmp_path, level, members):
     assert only.columns == ["path", "member", "size"] and only.count() == sum(n.endswith(".txt") for n in want)
 
 
+def test_large_archives_are_split_on_request(spark, tmp_path):
+    from cadenza.sources import archive
+    want = make_archive(tmp_path / "big.tar.gz", 400, 8) | {}
+    small = make_archive(tmp_path / "small.tar.gz", 5, 9)
+    paths = [str(tmp_path / "*.tar.gz")]
+    for split_over in (None, 100_000, 0):
+        rows = archive.read_archives(spark, paths, suffix=None, split_over=split_over).collect()
+        assert sorted(hashlib.md5(r.content).hexdigest() for r in rows) == sorted([*want.values(), *small.values()])
+    with pytest.raises(ValueError, match="max_members"):
+        archive.read_archives(spark, paths, max_members=3, split_over=1)
+
+
 def test_small_archives_and_ones_that_cannot_be_compressed(spark, tmp_path):
     r = random.Random(1)
     with tarfile.open(tmp_path / "noise.tar.gz", "w:gz") as tar:
