@@ -14,7 +14,8 @@ worth many steps of a plain loop.
 * :func:`ridge_in_span` solves the normal equations where there is no L1 term.
 
 With ``state_key`` a solver writes basis and products to the shared folder after
-every pass, and a driver that starts again continues there.
+every pass, and a driver that starts again on the same rows continues there. A
+complete fit removes its state.
 """
 
 from __future__ import annotations
@@ -189,8 +190,8 @@ def _random_block(d: int, k: int) -> np.ndarray:
 class Saved:
     """A solver's state in the shared folder, one file a pass."""
 
-    def __init__(self, df: DataFrame, key: str | None, kind: str):
-        self.spark, self.path = df.sparkSession, None
+    def __init__(self, df: DataFrame, key: str | None, kind: str, d: int):
+        self.spark, self.path, self.d = df.sparkSession, None, d
         if key:
             from ..session import checkpoint_root
             self.path = f"{checkpoint_root(self.spark)}/cadenza/solver-{kind}-{key}"
@@ -200,13 +201,22 @@ class Saved:
         if not self.path or not (files := storage.glob(self.spark, f"{self.path}/*.npz")):
             return None
         with np.load(io.BytesIO(storage.read_bytes(self.spark, files[-1][0]))) as f:
-            return {k: f[k] for k in f.files}
+            held = {k: f[k] for k in f.files}
+        if held["d"] != self.d:
+            raise ValueError(f"the state {self.path} is of vectors of size {held['d']}, not {self.d}")
+        return held
+
+    def done(self) -> None:
+        """The fit is complete: its state goes, so that its name can be used again."""
+        from ..sources import storage
+        if self.path:
+            storage.remove(self.spark, self.path)
 
     def store(self, number: int, **arrays) -> None:
         from ..sources import storage
         if self.path:
             out = io.BytesIO()
-            np.savez(out, **arrays)
+            np.savez(out, **arrays | {"d": self.d})
             storage.write_bytes(self.spark, f"{self.path}/{number:06d}.npz", out.getvalue())
 
 
@@ -242,7 +252,7 @@ def descend_in_span(data: DataFrame, features: str, label: str, d: int, iters: i
     bound that follows the part of every step outside the span; a span of all d
     dimensions, or one that the matrix does not leave, is exact.
     """
-    saved = Saved(data, state_key, "descent")
+    saved = Saved(data, state_key, "descent", d)
     held = saved.load()
     if held is None:
         V = _random_block(d, block)
@@ -258,10 +268,10 @@ def descend_in_span(data: DataFrame, features: str, label: str, d: int, iters: i
         return np.zeros(d), [], math.sqrt(yy / n), passes
     while True:
         w, hist, final, bound, lost = _trajectory(span, b, yy, n, trace, iters, step)
-        if bound <= tol * max(float(np.linalg.norm(w)), 1e-300) or span.S.shape[1] == d:
-            return w, hist, final, passes
-        V = span.fresh([b, lost], block)
+        close = bound <= tol * max(float(np.linalg.norm(w)), 1e-300)
+        V = np.zeros((d, 0)) if close or span.S.shape[1] == d else span.fresh([b, lost], block)
         if not V.shape[1]:
+            saved.done()
             return w, hist, final, passes
         span = span.grown(V, _passed(data, features, label, Products(V), d)[2])
         passes += 1
@@ -320,7 +330,7 @@ def elastic_net_by_columns(data: DataFrame, features: str, label: str, d: int, r
     that are not zero; with more than ``most`` it ends without having converged.
     """
     from .linreg import settle
-    saved = Saved(data, state_key, "elastic")
+    saved = Saved(data, state_key, "elastic", d)
     p, held, passes = _standard(data, features, label, d, saved)
     if p.sy == 0.0 or not p.live.any():
         return *p.unscaled(np.zeros(d)), passes, True
@@ -337,6 +347,7 @@ def elastic_net_by_columns(data: DataFrame, features: str, label: str, d: int, r
         worst = np.argsort(-missed, kind="stable")[:block]
         worst = worst[missed[worst] > tol]
         if not len(worst) or passes >= max_passes or len(at) + len(worst) > most:
+            saved.done()
             return *p.unscaled(w), passes, not len(worst) and (not len(at) or solved)
         found = _passed(data, features, label, Products(np.sort(worst), p.mean[:-1], p.scale, d), d)[2] / p.n
         at, columns, passes = np.append(at, np.sort(worst)), np.column_stack([columns, found]), passes + 1
@@ -347,7 +358,7 @@ def ridge_in_span(data: DataFrame, features: str, label: str, d: int, reg: float
                   block: int = BLOCK, state_key: str | None = None):
     """(coefficients, intercept, passes, converged) without an L1 term: the normal
     equations, over a span that grows by the residual and the products' largest parts."""
-    saved = Saved(data, state_key, "ridge")
+    saved = Saved(data, state_key, "ridge", d)
     p, held, passes = _standard(data, features, label, d, saved)
     if p.sy == 0.0 or not p.live.any():
         return *p.unscaled(np.zeros(d)), passes, True
@@ -361,6 +372,7 @@ def ridge_in_span(data: DataFrame, features: str, label: str, d: int, reg: float
         converged = float(np.linalg.norm(rest)) <= tol * max(float(np.linalg.norm(p.r)), 1e-300)
         V = np.zeros((d, 0)) if converged or passes >= max_passes else span.fresh([rest, *([] if span.S.shape[1] else [_random_block(d, block)])], block)
         if not V.shape[1]:
+            saved.done()
             return *p.unscaled(w), passes, converged
         GV = _passed(data, features, label, Products(V, p.mean[:-1], p.scale), d)[2] / p.n
         span, passes = span.grown(V, GV), passes + 1
