@@ -148,62 +148,105 @@ def per_row(ids: np.ndarray, sub: np.ndarray, values: np.ndarray, name: str):
                                        pa.array(packed, pa.binary())], names=["id", "sub", name])
 
 
+#: Probe hashes that a task collects before it merges them.
+MERGED = 1 << 22
+
+
+class _Probed:
+    """The hashes of one range that were probed at least twice."""
+
+    def __init__(self):
+        self.once, self.twice = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.parts, self.held = [], 0
+
+    def add(self, distinct: np.ndarray, twice: np.ndarray) -> None:
+        """The distinct probes of a slice, and those seen twice in it."""
+        self.parts += [distinct, twice]  # a hash in both counts twice
+        self.held += len(distinct) + len(twice)
+        if self.held > MERGED:
+            self.merge()
+
+    def merge(self) -> None:
+        values, counts = np.unique(np.concatenate([self.once, *self.parts]), return_counts=True)
+        self.twice = np.union1d(self.twice, values[counts > 1])
+        self.once = values  # all so far; one more probe of any makes two
+        self.parts, self.held = [], 0
+
+    def hits(self, h: np.ndarray) -> np.ndarray:
+        if self.parts:
+            self.merge()
+        if not len(self.twice):
+            return np.zeros(len(h), bool)
+        return self.twice[np.minimum(np.searchsorted(self.twice, h), len(self.twice) - 1)] == h
+
+
 def repeated(blobs: DataFrame, n: int, many: int | None = None) -> DataFrame:
     """``id, sub, found``: per row and hash range, the positions of the index
     entries whose hash was probed at least twice in the corpus (an entry's own
     probe counts once). 32 bits within a range may collide, so a hit is a
     candidate that the caller verifies; no repeat is missed. With ``many``,
     entries whose hash has more than that many contents go to a list ``hot``.
-    One of ``n`` tasks holds one hash range at a time.
+
+    One of ``n`` tasks works on one hash range at a time. It holds the range's probe
+    hashes, which a hot hash is among once per slice; the index entries, which a hot
+    hash has once per place, pass through (with ``many`` they are held, as the
+    contents of a hash must be counted before any of its entries is told hot).
     """
-    def settled(held, keys, hits, contents):
+    def entries(row):
+        return (summed(row["h"]), unplaned(row["id"], np.int64), unplaned(row["sub"], np.int64),
+                unplaned(row["pos"], np.int32))
+
+    def passed(batches):
+        open_p, probed = None, None
+        for batch in batches:
+            for row in rows_of(batch):
+                if row["p"] != open_p:
+                    open_p, probed = row["p"], _Probed()
+                if row["kind"] == 1:  # these come first
+                    probed.add(summed(row["h"]), summed(row["twice"]))
+                    continue
+                h, ids, sub, pos = entries(row)
+                on = probed.hits(h)
+                if on.any():
+                    yield per_row(ids[on], sub[on], pos[on], "found")
+
+    def parted(batches):
+        open_p, probed, held = None, None, []
+        for batch in batches:
+            for row in rows_of(batch):
+                if row["p"] != open_p:
+                    yield from settled(held, probed)
+                    open_p, probed, held = row["p"], _Probed(), []
+                if row["kind"] == 1:
+                    probed.add(summed(row["h"]), summed(row["twice"]))
+                    continue
+                h, ids, sub, pos = entries(row)
+                on = probed.hits(h)
+                if on.any():
+                    held.append((h[on], ids[on], sub[on], pos[on], unplaned(row["twice"], np.uint32)[on]))
+        yield from settled(held, probed)
+
+    def settled(held, probed):
         import pyarrow as pa
-        hot = np.zeros(len(keys), dtype=bool)
-        if many is not None and held:
-            pairs = [np.searchsorted(keys, x[0]).astype(np.uint64) << np.uint64(32) | unplaned(c, np.uint32)
-                     for x, c in zip(held, contents, strict=True)]
-            pairs = np.unique(np.concatenate(pairs)) >> np.uint64(32)
-            hot = np.bincount(pairs.astype(np.int64), minlength=len(keys)) > many
-        for h, ids, sub, pos in held:
-            at = np.searchsorted(keys, h)
-            for name, on in (("found", (hits[at] > 1) & ~hot[at]), ("hot", (hits[at] > 1) & hot[at])):
+        if not held:
+            return
+        keys = probed.twice
+        pairs = [np.searchsorted(keys, x[0]).astype(np.uint64) << np.uint64(32) | x[4] for x in held]
+        pairs = np.unique(np.concatenate(pairs)) >> np.uint64(32)
+        hot = np.bincount(pairs.astype(np.int64), minlength=len(keys)) > many
+        for h, ids, sub, pos, _ in held:
+            is_hot = hot[np.searchsorted(keys, h)]
+            for name, on in (("found", ~is_hot), ("hot", is_hot)):
                 if on.any():
                     batch = per_row(ids[on], sub[on], pos[on], name)
-                    if many is None:
-                        yield batch
-                        continue
                     none = pa.nulls(batch.num_rows, pa.binary())
                     both = [batch.column(2), none] if name == "found" else [none, batch.column(2)]
                     yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *both], names=["id", "sub", "found", "hot"])
 
-    def run(batches):
-        open_p, held, keys, hits, contents = None, [], None, None, []
-        for batch in batches:
-            for row in rows_of(batch):
-                if row["p"] != open_p:
-                    if keys is not None:
-                        yield from settled(held, keys, hits, contents)
-                    open_p, held, keys, hits, contents = row["p"], [], None, None, []
-                h = summed(row["h"])
-                if row["kind"] == 0:
-                    held.append((h, unplaned(row["id"], np.int64), unplaned(row["sub"], np.int64),
-                                 unplaned(row["pos"], np.int32)))
-                    contents.append(row["twice"])
-                    continue
-                if keys is None:
-                    keys = np.unique(np.concatenate([x[0] for x in held])) if held else np.zeros(0, np.uint64)
-                    hits = np.zeros(len(keys), dtype=np.uint8)
-                if not len(keys):
-                    continue
-                for x in (h, summed(row["twice"])):
-                    at = np.searchsorted(keys, x)
-                    at = at[keys[np.minimum(at, len(keys) - 1)] == x]
-                    hits[at] += hits[at] < 2
-        if keys is not None:
-            yield from settled(held, keys, hits, contents)
-
-    return (blobs.repartition(n, "p").sortWithinPartitions("p", "kind")
-            .mapInArrow(run, "id long, sub long, found binary" + ("" if many is None else ", hot binary")))
+    ordered = blobs.repartition(n, "p").sortWithinPartitions("p", F.desc("kind"))
+    if many is None:
+        return ordered.mapInArrow(passed, "id long, sub long, found binary")
+    return ordered.mapInArrow(parted, "id long, sub long, found binary, hot binary")
 
 
 def gathered(lists: DataFrame, *names: str) -> DataFrame:

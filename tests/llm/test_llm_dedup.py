@@ -400,3 +400,21 @@ def test_factor_matches_by_suffix_order():
         parts = [text[s:s + width] for s in starts]
         assert earlier.tolist() == [p in parts[:s] for s, p in enumerate(parts)]
         assert later.tolist() == [p in parts[s + 1:] for s, p in enumerate(parts)]
+
+
+@pytest.mark.parametrize("merged", [1, 50, 10**9])
+def test_probes_seen_twice(monkeypatch, merged):
+    import numpy as np
+    from collections import Counter
+
+    from cadenza.llm import blobs
+    monkeypatch.setattr(blobs, "MERGED", merged)
+    r = np.random.default_rng(3)
+    probed, counts = blobs._Probed(), Counter()
+    for _ in range(20):
+        values, n = np.unique(r.integers(0, 400, 30).astype(np.uint64), return_counts=True)
+        probed.add(values, values[n > 1])
+        counts.update(dict(zip(values.tolist(), n.tolist(), strict=True)))
+    asked = np.arange(500, dtype=np.uint64)
+    assert probed.hits(asked).tolist() == [counts[int(v)] > 1 for v in asked]
+    assert not blobs._Probed().hits(asked).any()
