@@ -21,7 +21,6 @@ import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from .archive import _batched, _fs_and_path, _members, _schema
 

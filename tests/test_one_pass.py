@@ -14,7 +14,7 @@ from cadenza.operators import features as fe
 from cadenza.operators import split, stats
 from cadenza.operators.aggregate import Aggregator, aggregate, reduce_by
 from cadenza.operators.gd import GradientDescentRegression
-from cadenza.operators.linreg import ElasticNet, mllib_fit, solve, violation
+from cadenza.operators.linreg import ElasticNet, solve, violation
 from cadenza.operators.pipeline import Pipeline, fold
 from cadenza.operators.tuning import CrossValidatedModel, CrossValidator, param_grid
 from cadenza.plans import fixtures as fx
