@@ -26,7 +26,6 @@ and the field is then fitted on made-up words.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import random
 import re
