@@ -2,13 +2,12 @@
 
 
 def test_quick_start(spark, tmp_path):
-    from pyspark.ml import Pipeline
-
     from cadenza.functions.metrics import RegressionEvaluator
     from cadenza.operators import features as fe
     from cadenza.operators import profile, songs, split
     from cadenza.operators.gd import GradientDescentRegression
     from cadenza.operators.linreg import ElasticNet
+    from cadenza.operators.pipeline import Pipeline
     from cadenza.operators.tuning import cross_validate, param_grid
     from cadenza.plans import fixtures as fx
     from cadenza.sources import text
