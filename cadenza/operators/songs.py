@@ -62,15 +62,17 @@ def parse_checked(lines: DataFrame, n_features: int = 3, value_col: str = "value
     does not parse is bad, as is a year beyond an int; a missing one is null."""
     toks = split_fields(value_col, sep, n_features + 1)
     names = ["year"] + [f"f{i}" for i in range(1, n_features + 1)]
+    # array_remove is compiled; array_compact is not, and a projection with it splits
+    # the line and parses its fields anew wherever they are named
     reasons = []
     for i, name in enumerate(names):
         text, number = field(toks, i), to_double(field(toks, i), strict=False)
         why = F.when((text != "") & number.isNull(), F.lit(f"{name} is not a number"))
         if i == 0:
             why = why.when(number.isNotNull() & to_int_truncated(text, strict=False).isNull(), F.lit("year is out of range"))
-        reasons.append(why)
+        reasons.append(F.coalesce(why, F.lit("")))
     others = [F.col(f"`{c}`") for c in lines.columns if c != value_col]
-    parsed = lines.select(*others, F.col(value_col).alias("rejected_line"), F.array_compact(F.array(*reasons)).alias("reasons"),
+    parsed = lines.select(*others, F.col(value_col).alias("rejected_line"), F.array_remove(F.array(*reasons), "").alias("reasons"),
                           to_int_truncated(field(toks, 0), strict=False).alias("year"),
                           *(to_double(field(toks, i), strict=False).alias(n) for i, n in enumerate(names) if i))
     good = F.size("reasons") == 0
@@ -80,8 +82,17 @@ def parse_checked(lines: DataFrame, n_features: int = 3, value_col: str = "value
 
 def land_checked(lines: DataFrame, path: str, n_features: int = 3, value_col: str = "value") -> str:
     """Write typed songs and rejected lines from one scan and one parse: one table,
-    partitioned by ``accepted``, so each reader below prunes the other half."""
-    parse_checked(lines, n_features, value_col).write.mode("overwrite").partitionBy("accepted").parquet(path)
+    partitioned by ``accepted``, so each reader below prunes the other half. A task
+    keeps a file open for each half; unless the session says otherwise, nothing is sorted."""
+    conf, writers = lines.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    unset = conf.get(writers) == "0"
+    if unset:
+        conf.set(writers, "2")
+    try:
+        parse_checked(lines, n_features, value_col).write.mode("overwrite").partitionBy("accepted").parquet(path)
+    finally:
+        if unset:
+            conf.unset(writers)
     return path
 
 

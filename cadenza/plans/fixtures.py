@@ -24,12 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Round-robin over ``defaultParallelism`` partitions when the input has
-    fewer (a small file with one row group is read by a single task). Large
-    inputs already have many splits and pass through unchanged."""
-    target = spark.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """:func:`table` with its rows dealt out where a few tasks would read most
+    of them: one task reads a whole row group, however many splits its file has.
+    The raw columns are dealt, by a row's place in its file (no sort, no hot
+    key), so what is derived from them is derived in all tasks. Evenly read
+    inputs pass through unchanged."""
+    rows = table(spark, sf_dir, name)
+    tasks = max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions())
+    read = (rows.select(F.spark_partition_id().alias("split")).groupBy("split").count()
+                .agg(F.max("count").alias("largest"), F.sum("count").alias("all")).first())
+    if not read["all"] or read["largest"] * spark.sparkContext.defaultParallelism <= 2 * read["all"]:
+        return rows
+    return rows.repartition(tasks, F.col("_metadata.row_index"))
 
 
 def _mod_feature(a: str, ka: int, b: str, kb: int) -> Column:
@@ -58,17 +65,17 @@ def _song_exprs() -> dict[str, Column]:
     return f
 
 
-def song(spark: SparkSession, sf_dir: str) -> DataFrame:
+def song(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     """``song_id string, year double, f1..f12 double`` (one row per lineitem)."""
     f = _song_exprs()
-    return table(spark, sf_dir, "lineitem").select(
+    return read(spark, sf_dir, "lineitem").select(
         *[f[c].alias(c) for c in ["song_id", "year"] + FEATURE_COLS])
 
 
-def derive_song_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_song_lines(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     """``song_id string, value string`` computed from ``lineitem``: each song
     as one CSV line ``year,f1,...,f12`` (doubles in Spark's text form)."""
-    s = song(spark, sf_dir)
+    s = song(spark, sf_dir, read)
     value = F.concat_ws(",", *[F.col(c).cast("string") for c in ["year"] + FEATURE_COLS])
     return s.select("song_id", value.alias("value"))
 
@@ -113,7 +120,7 @@ def _scanned(spark: SparkSession, sf_dir: str, name: str, derive, schema: str, m
     if not materialize or not has_shared_folder(spark):
         return derive(spark, sf_dir)
     path = written(spark, name, input_tag(spark, sf_dir, "lineitem"),
-                   lambda out: spread(spark, derive(spark, sf_dir)).write.parquet(out))
+                   lambda out: derive(spark, sf_dir, spread).write.parquet(out))
     return spark.read.schema(schema).parquet(path)
 
 
@@ -128,14 +135,15 @@ def song_lines(spark: SparkSession, sf_dir: str, with_id: bool = True,
     return df if with_id else df.select("value")
 
 
-def flawed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The song lines with bad fields: the year is ``n/a`` where the order key
-    is a multiple of 7, the first feature ``x`` where the line number is one of
-    5, and the second is empty where the part key is one of 11."""
+def flawed_lines(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    """The song lines (or ``lines``, rows alike) with bad fields: the year is
+    ``n/a`` where the order key is a multiple of 7, the first feature ``x`` where
+    the line number is one of 5, and the second is empty where the part key is one of 11."""
     key = F.split("song_id", "-")
     parts = F.split("value", ",", 4)
     bad = lambda i, n: F.get(key, i).cast("long") % n == 0
-    return song_lines(spark, sf_dir).select("song_id", F.concat_ws(
+    lines = song_lines(spark, sf_dir) if lines is None else lines
+    return lines.select("song_id", F.concat_ws(
         ",", F.when(bad(0, 7), "n/a").otherwise(F.get(parts, 0)), F.when(bad(1, 5), "x").otherwise(F.get(parts, 1)),
         F.when(bad(2, 11), "").otherwise(F.get(parts, 2)), F.get(parts, 3)).alias("value"))
 
@@ -188,7 +196,7 @@ RECORD_SCHEMA = (
     "artist_longitude: double, song_hotttnesss: double>")
 
 
-def derive_song_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_song_record(spark: SparkSession, sf_dir: str, read=table) -> DataFrame:
     """Nested song records: ``song_id``, ``musicbrainz struct<year int>``,
     ``analysis struct<10 doubles>``, ``metadata struct<5 doubles>``.
 
@@ -196,7 +204,7 @@ def derive_song_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``l_orderkey % 11 = 0``; year is 0 (unknown) where ``l_partkey % 13 = 0``.
     """
     f = _song_exprs()
-    s = table(spark, sf_dir, "lineitem").select(
+    s = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", *[f[c].alias(c) for c in ["song_id", "year"] + FEATURE_COLS])
     nan_mask = (F.col("l_orderkey") % 11) == 0
     nan = F.lit(float("nan"))

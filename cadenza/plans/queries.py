@@ -152,9 +152,11 @@ def q_reject_counts(spark, sf):
 
 
 def checked_songs_path(spark: SparkSession, sf: str) -> str:
-    """Typed songs and rejected lines of lines that hold bad fields, landed together."""
-    return fx.written(spark, "checked_songs", fx.input_tag(spark, sf, "lineitem"),
-                      lambda out: songs.land_checked(fx.flawed_lines(spark, sf), out))
+    """Typed songs and rejected lines of lines that hold bad fields, landed together.
+    The lines go straight into the landing: they are read once, so a table of them
+    would only be written to be read back."""
+    return fx.written(spark, "checked_songs", fx.input_tag(spark, sf, "lineitem"), lambda out: songs.land_checked(
+        fx.flawed_lines(spark, sf, fx.derive_song_lines(spark, sf, fx.spread)), out))
 
 
 @query("landed_songs_and_rejects")
@@ -173,7 +175,7 @@ def q_rejected_lines(spark, sf):
     """The rejected lines themselves, with every reason."""
     bad = songs.rejected_lines(spark, checked_songs_path(spark, sf))
     return bad.select("song_id", F.concat_ws("; ", "reasons").alias("reasons"),
-                      F.get(F.split("rejected_line", ","), 0).alias("first_field"))
+                      F.get(F.split("rejected_line", ",", 2), 0).alias("first_field"))
 
 
 # --- the same questions as SQL text over temp views ---------------------------

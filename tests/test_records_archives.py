@@ -85,6 +85,21 @@ def test_songs_and_rejects_land_from_one_scan(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(accepted" in good._jdf.queryExecution().toString()
 
 
+def test_lines_are_checked_in_compiled_code(spark, tmp_path):
+    """A projection that is not compiled splits the line anew for each field it names."""
+    spark.range(50).select(F.col("id").cast("string").alias("song_id"), F.when(F.col("id") % 5 == 0, "x,1,2,3,4").when(
+        F.col("id") % 7 == 0, F.concat_ws(",", F.col("id"), F.lit("y,z"))).otherwise("2001,1,2,,4").alias("value")).write.parquet(str(tmp_path / "in"))
+    lines = spark.read.parquet(str(tmp_path / "in"))
+    plan = songs.parse_checked(lines)._jdf.queryExecution().executedPlan().toString()
+    assert all("*(" in x for x in plan.splitlines() if "Project" in x), plan
+    writers = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    path = songs.land_checked(lines.coalesce(1), str(tmp_path / "t"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == writers
+    order = [int(r.song_id) for r in songs.rejected_lines(spark, path).select("song_id").collect()]
+    assert sorted(order) == [i for i in range(50) if i % 5 == 0 or i % 7 == 0]
+    assert songs.accepted_songs(spark, path).count() == 50 - len(order)
+
+
 # --- nested records ------------------------------------------------------------------
 
 DEEP = """id int, a struct<x: int, b: struct<x: double, y: string>>, c array<struct<x: int, d: array<array<int>>, e: struct<f: string>>>,

@@ -59,3 +59,30 @@ def test_group_count_guard(spark):
                                      F.array(*[F.rand(i) for i in range(d)]).alias("x"))
         with pytest.raises(ValueError, match="more than 50 groups"):
             moments(df, "x", "y", by="g", max_groups=50)
+
+
+def test_a_row_group_is_dealt_out_before_lines_are_derived(spark, tmp_path):
+    """One task reads a whole row group, so the number of splits does not tell how rows are spread."""
+    from pyspark.sql import functions as F
+
+    from cadenza.plans import fixtures as fx
+    n, d = 20_000, str(tmp_path / "one")
+    rows = spark.range(n).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7).cast("int").alias("l_linenumber"), F.lit(3).cast("long").alias("l_partkey"),
+        F.when(F.col("id") % 3 > 0, F.lit(5).cast("long")).alias("l_suppkey"), (F.col("id") % 50).cast("double").alias("l_quantity"),
+        F.lit(1.5).alias("l_extendedprice"), F.lit(0.1).alias("l_discount"), F.lit(0.02).alias("l_tax"))
+    rows.coalesce(1).write.parquet(f"{d}/lineitem.parquet")
+    rows.repartition(4).write.parquet(f"{tmp_path}/even/lineitem.parquet")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        assert fx.table(spark, d, "lineitem").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        lines = fx.song_lines(spark, d)
+        plan = fx.derive_song_lines(spark, d, fx.spread)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    sizes = [r["count"] for r in lines.groupBy("_metadata.file_name").count().toLocalIterator()]
+    assert sum(sizes) == n and max(sizes) * spark.sparkContext.defaultParallelism <= 2 * n, sizes
+    assert "concat_ws" in plan.split("Exchange")[0] and "concat_ws" not in plan.split("Exchange")[1], plan
+    assert lines.exceptAll(fx.derive_song_lines(spark, d)).count() == 0
+    assert fx.spread(spark, f"{tmp_path}/even", "lineitem")._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0
