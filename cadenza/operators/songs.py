@@ -87,7 +87,7 @@ def land_checked(lines: DataFrame, path: str, n_features: int = 3, value_col: st
     conf, writers = lines.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
     unset = conf.get(writers) == "0"
     if unset:
-        conf.set(writers, "2")
+        conf.set(writers, "4")  # at the full number the writer goes over to sorting
     try:
         parse_checked(lines, n_features, value_col).write.mode("overwrite").partitionBy("accepted").parquet(path)
     finally:
